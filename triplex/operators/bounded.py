@@ -1,0 +1,79 @@
+"""Size-checked hand-off of small relations.
+
+A relation derived from the data (a domain's leaf list, the set of subject
+lengths, ...) is only inlined into a plan after its size was checked with
+``limit(max + 1)``.  Above the bound the caller falls back to a shuffle
+join, so nothing of unproven size is broadcast or sent to the driver.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest literal list inlined into a filter (becomes an InSet / pushed
+# down to Parquet as an In filter).
+MAX_INLINE_VALUES = 20_000
+
+
+def bounded_values(df: DataFrame, column: str, max_values: int = MAX_INLINE_VALUES) -> list | None:
+    """Distinct non-null values of ``column`` if there are at most ``max_values``.
+
+    Returns ``None`` when the bound is exceeded; only ``max_values + 1`` rows
+    ever reach the driver.
+    """
+    rows = (
+        df.select(column)
+        .where(F.col(column).isNotNull())
+        .distinct()
+        .limit(max_values + 1)
+        .collect()
+    )
+    if len(rows) > max_values:
+        return None
+    return sorted(r[0] for r in rows)
+
+
+def semi_join_checked(
+    big: DataFrame, small: DataFrame, big_key: str, small_key: str,
+    max_values: int = MAX_INLINE_VALUES, anti: bool = False,
+) -> DataFrame:
+    """``big`` rows whose key is (not) in ``small``: inline set when small, else a shuffle join.
+
+    Inline path: ``isin`` of a checked list, no shuffle of ``big`` and a
+    filter the Parquet scan can use.  Fallback: an equi semi (anti) join;
+    AQE may still turn it into a broadcast at run time and splits skewed
+    partitions of ``big``.
+    """
+    values = bounded_values(small, small_key, max_values)
+    if values is not None:
+        member = F.col(big_key).isin(values)
+        if anti:
+            # NOT IN semantics of a set without NULLs: a NULL key is kept.
+            return big.where(~F.coalesce(member, F.lit(False)))
+        return big.where(member)
+    keys = small.select(F.col(small_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
+    how = "left_anti" if anti else "left_semi"
+    return big.join(keys, big[big_key] == keys["__k"], how)
+
+
+def membership_flag(
+    big: DataFrame, small: DataFrame, big_key: str, small_key: str, flag: str,
+    max_values: int = MAX_INLINE_VALUES,
+) -> DataFrame:
+    """``big`` with a boolean ``flag``: key is in ``small`` (NULL key gives false).
+
+    Same size check as ``semi_join_checked``; the fallback is a left join
+    against the distinct keys of ``small``.
+    """
+    values = bounded_values(small, small_key, max_values)
+    if values is not None:
+        return big.withColumn(flag, F.coalesce(F.col(big_key).isin(values), F.lit(False)))
+    keys = (
+        small.select(F.col(small_key).alias("__k"))
+        .where(F.col("__k").isNotNull())
+        .distinct()
+        .withColumn("__hit", F.lit(True))
+    )
+    joined = big.join(keys, big[big_key] == keys["__k"], "left")
+    return joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop("__k", "__hit")
