@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import domain_of, path_parts, path_prefix
-from triplex.operators.bounded import semi_join_checked
 from triplex.operators.vocabulary import predicate_counts, unique_predicates
 from triplex.schema import PREDICATE
 
@@ -81,12 +80,14 @@ def leaf_predicates(cl: DataFrame) -> DataFrame:
 def domain_leaves(cl: DataFrame, domain: str, strict: bool = False) -> DataFrame:
     """Leaf predicates under ``domain`` (the domain node itself excluded).
 
-    An unknown domain gives an empty relation, or raises with ``strict``.
+    Lazy: the domain's vocabulary anti-joined with its strict prefixes (both
+    one row per distinct predicate).  An unknown domain gives an empty
+    relation, or raises with ``strict``.
     """
     p = F.col(PREDICATE)
     vocab = unique_predicates(cl).where(p.isNotNull() & (domain_of(p) == domain))
     if strict and not vocab.take(1):
         raise KeyError(domain)
-    dotted = vocab.where(p.contains("."))
     prefixes = strict_prefixes(vocab)
-    return semi_join_checked(dotted, prefixes, PREDICATE, "prefix", anti=True)
+    dotted = vocab.where(p.contains("."))
+    return dotted.join(prefixes, dotted[PREDICATE] == prefixes["prefix"], "left_anti")

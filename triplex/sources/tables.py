@@ -1,8 +1,8 @@
 """Raw triples derived from the driver's relational test tables.
 
 The test tables hold no triples, so every query builds them with the same
-``UNION ALL`` that the oracle SQL uses.  Each branch reads only the columns
-it needs (column pruning reaches the Parquet scan).
+rows that the oracle SQL's ``UNION ALL`` lists.  Each table is scanned once
+and only for the columns it needs (column pruning reaches the Parquet scan).
 """
 
 from __future__ import annotations
@@ -38,9 +38,23 @@ def _quoted(c: Column, suffix: str | Column = "") -> Column:
     return F.concat(F.lit('"'), c, F.lit('"'), tail)
 
 
-def _triples(df: DataFrame, s: Column, p: Column | str, o: Column) -> DataFrame:
-    p = F.lit(p) if isinstance(p, str) else p
-    return df.select(s.alias("Subject"), p.alias("Predicate"), o.alias("Object"))
+def _triples(df: DataFrame, *rows: tuple[Column, Column | str, Column]) -> DataFrame:
+    """Emit one triple per ``(s, p, o)`` in ``rows`` for every row of ``df``.
+
+    A table that yields several triples is scanned once: the triples of a
+    row are built as an array of structs and exploded.
+    """
+
+    def lit(p):
+        return F.lit(p) if isinstance(p, str) else p
+
+    if len(rows) == 1:
+        s, p, o = rows[0]
+        return df.select(s.alias("Subject"), lit(p).alias("Predicate"), o.alias("Object"))
+    structs = [
+        F.struct(s.alias("Subject"), lit(p).alias("Predicate"), o.alias("Object")) for s, p, o in rows
+    ]
+    return df.select(F.explode(F.array(*structs)).alias("_t")).select("_t.*")
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,30 +68,34 @@ def raw_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     supplier, events, documents = t["supplier"], t["events"], t["documents"]
 
     type_obj = _ns("business.", F.lower(F.col("p_type")))
+    cust = _ns("m.c", _s("c_custkey"))
+    prt = _ns("m.p", _s("p_partkey"))
     branches = [
-        _triples(nation, _ns("m.n", _s("n_nationkey")), RDFS_LABEL, _quoted(F.col("n_name"), "@en")),
-        _triples(customer, _ns("m.c", _s("c_custkey")), _ns("people.person.name"),
-                 _quoted(F.col("c_name"), "@en")),
-        _triples(customer, _ns("m.c", _s("c_custkey")), _ns("people.person.nationality"),
-                 _ns("m.n", _s("c_nationkey"))),
-        _triples(customer, _ns("m.c", _s("c_custkey")), _ns("people.person"),
-                 _quoted(F.col("c_mktsegment"))),
-        _triples(orders, _ns("m.c", _s("o_custkey")), _ns("business.customer.orders"),
-                 _ns("m.o", _s("o_orderkey"))),
-        _triples(orders, _ns("m.o", _s("o_orderkey")), _ns("business.order.status"),
-                 _quoted(F.col("o_orderstatus"))),
-        _triples(part, _ns("m.p", _s("p_partkey")), _ns("common.topic.alias"),
-                 _quoted(F.col("p_name"), "@en")),
-        _triples(part, _ns("m.p", _s("p_partkey")), RDF_TYPE_SHORT, type_obj),
-        _triples(part, _ns("m.p", _s("p_partkey")), RDF_TYPE_W3C, type_obj),
-        _triples(part, _ns("m.p", _s("p_partkey")), _ns("business.part.size"),
-                 _quoted(_s("p_size"), "^^" + XSD_INT)),
-        _triples(supplier, F.concat(F.lit(FOREIGN_SUPPLIER), _s("s_suppkey"), F.lit(">")),
-                 _ns("business.supplier.name"), _quoted(F.col("s_name"), "@en")),
-        _triples(events, _ns("m.u", _s("user_id")), _ns("event.user.", F.col("event_type")),
-                 _quoted(F.concat(F.col("event_type"), F.lit(" of m.u"), _s("user_id")), "@en")),
-        _triples(documents, _ns("m.d", _s("doc_id")), _ns("common.topic.description"),
-                 _quoted(F.col("text"), F.concat(F.lit("@"), F.col("lang")))),
+        _triples(nation, (_ns("m.n", _s("n_nationkey")), RDFS_LABEL, _quoted(F.col("n_name"), "@en"))),
+        _triples(
+            customer,
+            (cust, _ns("people.person.name"), _quoted(F.col("c_name"), "@en")),
+            (cust, _ns("people.person.nationality"), _ns("m.n", _s("c_nationkey"))),
+            (cust, _ns("people.person"), _quoted(F.col("c_mktsegment"))),
+        ),
+        _triples(
+            orders,
+            (_ns("m.c", _s("o_custkey")), _ns("business.customer.orders"), _ns("m.o", _s("o_orderkey"))),
+            (_ns("m.o", _s("o_orderkey")), _ns("business.order.status"), _quoted(F.col("o_orderstatus"))),
+        ),
+        _triples(
+            part,
+            (prt, _ns("common.topic.alias"), _quoted(F.col("p_name"), "@en")),
+            (prt, RDF_TYPE_SHORT, type_obj),
+            (prt, RDF_TYPE_W3C, type_obj),
+            (prt, _ns("business.part.size"), _quoted(_s("p_size"), "^^" + XSD_INT)),
+        ),
+        _triples(supplier, (F.concat(F.lit(FOREIGN_SUPPLIER), _s("s_suppkey"), F.lit(">")),
+                            _ns("business.supplier.name"), _quoted(F.col("s_name"), "@en"))),
+        _triples(events, (_ns("m.u", _s("user_id")), _ns("event.user.", F.col("event_type")),
+                          _quoted(F.concat(F.col("event_type"), F.lit(" of m.u"), _s("user_id")), "@en"))),
+        _triples(documents, (_ns("m.d", _s("doc_id")), _ns("common.topic.description"),
+                             _quoted(F.col("text"), F.concat(F.lit("@"), F.col("lang"))))),
     ]
     out = branches[0]
     for b in branches[1:]:
