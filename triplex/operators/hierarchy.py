@@ -1,9 +1,9 @@
 """Predicate hierarchy as a flat relation ``(path, parent, part, depth, is_leaf)``.
 
 A dotted predicate ``a.b.c`` contributes the nodes ``a``, ``a.b`` and
-``a.b.c``.  A node is a leaf when no node has it as parent, which is the
-"empty sub-dictionary" rule of a nested template, but computed with an
-equi join on exploded prefixes instead of a tree walk on one machine.
+``a.b.c``.  A node is a leaf when no predicate continues below it, which is
+the "empty sub-dictionary" rule of a nested template, computed as one
+aggregate over exploded prefixes instead of a tree walk on one machine.
 
 Rules kept from the template semantics:
 * a predicate that is also a prefix of another (``a.b`` with ``a.b.c``) is
@@ -22,36 +22,38 @@ from triplex.operators.vocabulary import predicate_counts, unique_predicates
 from triplex.schema import PREDICATE
 
 
-def _prefix_rows(preds: DataFrame, strict: bool = False, extra: list[str] | None = None) -> DataFrame:
-    """Explode every dotted prefix of ``Predicate`` (strict: the predicate itself excluded)."""
+def _prefix_rows(preds: DataFrame, extra: list[str] | None = None) -> DataFrame:
+    """Explode every dotted prefix of ``Predicate`` into one node row.
+
+    ``has_child`` is true when the node is a strict prefix of the predicate
+    that produced the row.
+    """
     extra = extra or []
     parts = path_parts(PREDICATE)
-    last = F.size(parts) - (1 if strict else 0)
+    n = F.size(parts)
     node = F.transform(
-        F.sequence(F.lit(1), last),
+        F.sequence(F.lit(1), n),
         lambda i: F.struct(
             path_prefix(parts, i).alias("path"),
             F.when(i > 1, path_prefix(parts, i - 1)).alias("parent"),
             F.element_at(parts, i).alias("part"),
             i.cast("long").alias("depth"),
+            (i < n).alias("has_child"),
         ),
     )
     src = preds.where(F.col(PREDICATE).isNotNull())
-    if strict:
-        # sequence(1, 0) would count down; single-part predicates have no strict prefix.
-        src = src.where(F.size(parts) > 1)
     return src.select(*extra, F.explode(node).alias("_node")).select(*extra, "_node.*")
 
 
 def predicate_hierarchy(cl: DataFrame) -> DataFrame:
-    """All nodes of the predicate tree with their leaf flag."""
-    vocab = unique_predicates(cl)
-    nodes = _prefix_rows(vocab).distinct()
-    parents = nodes.where(F.col("parent").isNotNull()).select(
-        F.col("parent").alias("path"), F.lit(True).alias("_has_child")
-    ).distinct()
-    return nodes.join(parents, "path", "left").select(
-        "path", "parent", "part", "depth", F.col("_has_child").isNull().alias("is_leaf")
+    """All nodes of the predicate tree with their leaf flag.
+
+    One aggregate over the exploded prefixes of the distinct predicates: a
+    node is a leaf when no predicate continues below it.  No join.
+    """
+    nodes = _prefix_rows(unique_predicates(cl))
+    return nodes.groupBy("path", "parent", "part", "depth").agg(
+        (~F.max("has_child")).alias("is_leaf")
     )
 
 
@@ -65,29 +67,29 @@ def hierarchy_sizes(cl: DataFrame) -> DataFrame:
     )
 
 
-def strict_prefixes(vocab: DataFrame) -> DataFrame:
-    """Distinct strict dotted prefixes of the predicates (``prefix`` column)."""
-    return _prefix_rows(vocab, strict=True).select(F.col("path").alias("prefix")).distinct()
+def _leaves(vocab: DataFrame) -> DataFrame:
+    return (
+        _prefix_rows(vocab)
+        .groupBy("path")
+        .agg(F.max("has_child").alias("_inner"))
+        .where(~F.col("_inner"))
+        .select(F.col("path").alias(PREDICATE))
+    )
 
 
 def leaf_predicates(cl: DataFrame) -> DataFrame:
-    """Predicates that are not a strict prefix of another predicate."""
-    vocab = unique_predicates(cl).where(F.col(PREDICATE).isNotNull())
-    prefixes = strict_prefixes(vocab)
-    return vocab.join(prefixes, vocab[PREDICATE] == prefixes["prefix"], "left_anti")
+    """Predicates that are not a strict dotted prefix of another predicate."""
+    return _leaves(unique_predicates(cl))
 
 
 def domain_leaves(cl: DataFrame, domain: str, strict: bool = False) -> DataFrame:
     """Leaf predicates under ``domain`` (the domain node itself excluded).
 
-    Lazy: the domain's vocabulary anti-joined with its strict prefixes (both
-    one row per distinct predicate).  An unknown domain gives an empty
-    relation, or raises with ``strict``.
+    Lazy; only the domain's predicates are exploded.  An unknown domain
+    gives an empty relation, or raises with ``strict``.
     """
     p = F.col(PREDICATE)
     vocab = unique_predicates(cl).where(p.isNotNull() & (domain_of(p) == domain))
     if strict and not vocab.take(1):
         raise KeyError(domain)
-    prefixes = strict_prefixes(vocab)
-    dotted = vocab.where(p.contains("."))
-    return dotted.join(prefixes, dotted[PREDICATE] == prefixes["prefix"], "left_anti")
+    return _leaves(vocab).where(F.col(PREDICATE).contains("."))

@@ -9,7 +9,7 @@
 * ``substring_pairs``: every (distinct subject, distinct object) pair with
   ``contains(object, subject)``, exact, as an *equi* join: each object
   emits the substrings that could be a subject (lengths taken from the
-  subject set, start positions filtered by the subjects' first characters)
+  subject set, start positions filtered by the subjects' short prefixes)
   and those are joined to the subjects by equality.
 * ``id_mentions``: the stricter whole-id form: ids found in the object text
   by a regex, equi-joined to the subjects.
@@ -24,10 +24,13 @@ from triplex.operators.bounded import bounded_values
 from triplex.operators.domains import domain_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
-# Distinct subject lengths / first characters are inlined into the plan;
-# both are bounded by the longest subject and the alphabet, and checked.
+# Distinct subject lengths and short prefixes are inlined into the plan;
+# their number is checked before that.
 MAX_SUBJECT_LENGTHS = 4096
-MAX_FIRST_CHARS = 65536
+MAX_SHAPES = 65536
+# Above this many prefixes the start positions are tested against a hash set
+# instead of one regex alternation.
+MAX_REGEX_PREFIXES = 512
 
 # --- FIXED VALUES: id-shaped tokens ------------------------------------------
 # An id token starts at the beginning of the text or after a character that
@@ -51,51 +54,84 @@ def subject_as_object(parts: DataFrame) -> DataFrame:
     return parts.join(ids, parts[SUBJECT] == ids["_id"], "left_semi").select(SUBJECT, PREDICATE, OBJECT)
 
 
-def _candidate_substrings(o, lengths: list[int], first_chars: list[str] | None):
-    """Distinct substrings of ``o`` with a subject length and a subject first char."""
+def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str] | None, int]:
+    """Distinct subject lengths, and the ``k``-character prefixes of the subjects.
+
+    One size-checked job over the distinct ``(length, first 3 chars)`` pairs;
+    ``k`` is 3 or the shortest non-empty subject length if smaller.  Above
+    the bound only the lengths are kept (and checked) and every start
+    position stays a candidate.
+    """
+    shapes = subjects.select(F.length(SUBJECT).alias("L"), F.substring(SUBJECT, 1, 3).alias("p")).distinct()
+    rows = shapes.limit(MAX_SHAPES + 1).collect()
+    if len(rows) > MAX_SHAPES:
+        lengths = bounded_values(subjects.select(F.length(SUBJECT).alias("L")), "L", MAX_SUBJECT_LENGTHS)
+        if lengths is None:
+            raise ValueError(f"more than {MAX_SUBJECT_LENGTHS} distinct subject lengths")
+        return lengths, None, 1
+    lengths = sorted({r["L"] for r in rows})
+    positive = [L for L in lengths if L > 0]
+    k = min(3, min(positive)) if positive else 1
+    return lengths, sorted({r["p"][:k] for r in rows if r["L"] > 0}), k
+
+
+def _quote_regex(text: str) -> str:
+    """Java-regex literal for ``text``."""
+    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+
+
+def _candidate_substrings(o, lengths: list[int], prefixes: list[str] | None, k: int):
+    """Distinct substrings of ``o`` that have a subject's length and start like a subject.
+
+    With a short prefix list, one compiled regex finds every position where
+    a subject prefix occurs (a zero-width lookahead, so overlapping
+    occurrences are all found) and captures the window of up to the longest
+    subject length that starts there; the candidates are that window's
+    leading substrings of each subject length.  With a long prefix list the
+    start positions are enumerated and tested against the set.
+    """
+    longest = max(lengths)
+    cut = lambda w: F.filter(
+        F.array(*[F.when(F.length(w) >= L, w.substr(F.lit(1), F.lit(L))) for L in lengths]),
+        lambda x: x.isNotNull(),
+    )
+    if prefixes is not None and len(prefixes) <= MAX_REGEX_PREFIXES:
+        alternation = "|".join(_quote_regex(p) for p in prefixes)
+        pattern = f"(?s)(?=((?:{alternation}).{{0,{longest - k}}}))"
+        windows = F.regexp_extract_all(o, F.lit(pattern), 1)
+        return F.array_distinct(F.flatten(F.transform(windows, cut)))
     n = F.length(o)
     starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    if first_chars is not None:
-        starts = F.filter(starts, lambda i: o.substr(i, F.lit(1)).isin(first_chars))
-    per_start = F.transform(
-        starts,
-        lambda i: F.filter(
-            F.array(*[F.when(i + (L - 1) <= n, o.substr(i, F.lit(L))) for L in lengths]),
-            lambda x: x.isNotNull(),
-        ),
-    )
-    return F.array_distinct(F.flatten(per_start))
+    if prefixes is not None:
+        starts = F.filter(starts, lambda i: o.substr(i, F.lit(k)).isin(prefixes))
+    return F.array_distinct(F.flatten(F.transform(starts, lambda i: cut(o.substr(i, F.lit(longest))))))
 
 
 def substring_pairs(cl: DataFrame) -> DataFrame:
     """All distinct (Subject, Object) with ``contains(Object, Subject)``.
 
     Work is linear in the total object length times the number of distinct
-    subject lengths; the join is an equality join (no nested loop).
+    subject lengths, counted only at positions where a subject prefix
+    occurs; the join is an equality join (no nested loop, no product).
     """
     subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull()).distinct()
     objects = cl.select(OBJECT).where(F.col(OBJECT).isNotNull()).distinct()
-    lengths = bounded_values(subjects.select(F.length(SUBJECT).alias("L")), "L", MAX_SUBJECT_LENGTHS)
-    if lengths is None:
-        raise ValueError(f"more than {MAX_SUBJECT_LENGTHS} distinct subject lengths")
+    lengths, prefixes, k = _subject_shapes(subjects)
     parts = []
     if 0 in lengths:
         # The empty subject is contained in every object.
         parts.append(objects.select(F.lit("").alias(SUBJECT), OBJECT))
     positive = [L for L in lengths if L > 0]
     if positive:
-        firsts = bounded_values(
-            subjects.where(F.length(SUBJECT) > 0).select(F.substring(SUBJECT, 1, 1).alias("c")),
-            "c",
-            MAX_FIRST_CHARS,
-        )
         o = F.col(OBJECT)
         cands = objects.where(F.length(o) > 0).select(
-            OBJECT, F.explode(_candidate_substrings(o, positive, firsts)).alias("_sub")
+            OBJECT, F.explode(_candidate_substrings(o, positive, prefixes, k)).alias("_sub")
         )
         parts.append(
             cands.join(subjects, cands["_sub"] == subjects[SUBJECT], "inner").select(SUBJECT, OBJECT)
         )
+    if not parts:
+        return objects.select(F.lit(None).cast("string").alias(SUBJECT), OBJECT).where(F.lit(False))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
