@@ -1,0 +1,41 @@
+"""Every registered query against its DuckDB SQL on the small test tables."""
+
+import pytest
+
+import __spark_entry__ as entry
+
+TABLES = ("region nation customer supplier part orders lineitem events documents "
+          "embeddings pages benchmark labels conversations").split()
+
+
+@pytest.fixture(scope="module")
+def duck(sf_small):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{sf_small}/{t}.parquet')")
+    yield con
+    con.close()
+
+
+def _norm(cols, rows):
+    order = sorted(range(len(cols)), key=lambda i: cols[i])
+    return sorted(cols), sorted(tuple(repr(r[i]) for i in order) for r in rows)
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_matches_duckdb(spark, sf_small, duck, name):
+    df = entry.queries()[name](spark, sf_small)
+    got = _norm(df.columns, [tuple(r) for r in df.collect()])
+    res = duck.execute(entry.oracle_sql()[name])
+    want = _norm([d[0] for d in res.description], res.fetchall())
+    assert got[0] == want[0]
+    assert len(got[1]) == len(want[1])
+    assert got[1] == want[1]
+
+
+def test_every_query_has_oracle_or_is_declared():
+    from triplex.plans.catalogue import NO_ORACLE
+
+    missing = set(entry.queries()) - set(entry.oracle_sql())
+    assert missing == set(NO_ORACLE)
