@@ -55,6 +55,11 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Broadcast only what was measured: no static (estimate-based)
+        # broadcast; adaptive execution converts a join to a broadcast from
+        # the actual size of a finished shuffle stage.
+        .config("spark.sql.autoBroadcastJoinThreshold", "-1")
+        .config("spark.sql.adaptive.autoBroadcastJoinThreshold", "32MB")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("TRIPLEX_DRIVER_MEMORY", "8g"))
     )
