@@ -16,8 +16,12 @@ from triplex.functions.clean import ColumnOrName, _c
 
 
 def tokenize(c: ColumnOrName) -> Column:
-    """Lowercase and split on runs of non-letters; empty tokens dropped."""
-    return F.filter(F.split(F.lower(_c(c)), TOKEN_SPLIT_REGEX), lambda t: t != "")
+    """Lowercase and split on runs of non-letters; empty tokens dropped.
+
+    ``array_remove`` is a native (code-generated) array function, cheaper
+    than a lambda filter per token.
+    """
+    return F.array_remove(F.split(F.lower(_c(c)), TOKEN_SPLIT_REGEX), "")
 
 
 def remove_stop_words(tokens: ColumnOrName, stop_words=ENGLISH_STOP_WORDS) -> Column:

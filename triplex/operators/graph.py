@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # --- FIXED VALUES: predicates that carry node attributes ---------------------
@@ -40,13 +41,19 @@ def graph_node_types(parts: DataFrame) -> DataFrame:
     )
 
 
-def graph_edges(parts: DataFrame) -> DataFrame:
-    """Distinct ``src, predicate, dst`` where the object id is itself a subject."""
-    subjects = parts.select(F.col(SUBJECT).alias("_dst")).where(F.col("_dst").isNotNull()).distinct()
-    links = parts.where(F.col("object_id").isNotNull()).select(
-        F.col(SUBJECT).alias("src"), F.col(PREDICATE).alias("predicate"), F.col("object_id").alias("dst")
+def graph_edges(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Distinct ``src, predicate, dst`` where the object id is itself a subject.
+
+    Edges are made distinct first (map-side combined), then salted against
+    the distinct subjects, so a node that is the target of a large share of
+    the edges (a type, a country) does not land on one reducer.
+    """
+    links = (
+        parts.where(F.col("object_id").isNotNull())
+        .select(F.col(SUBJECT).alias("src"), F.col(PREDICATE).alias("predicate"), F.col("object_id").alias("dst"))
+        .distinct()
     )
-    return links.join(subjects, links["dst"] == subjects["_dst"], "left_semi").distinct()
+    return salted_semi_join(links, parts.select(SUBJECT), "dst", SUBJECT, salt_buckets)
 
 
 def graph_model(parts: DataFrame) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from triplex.operators.bounded import bounded_values
 from triplex.operators.domains import domain_triples
+from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # Distinct subject lengths and short prefixes are inlined into the plan;
@@ -44,14 +45,16 @@ def matching_triples(cl: DataFrame, domain: str) -> DataFrame:
     return domain_triples(cl, domain).where(o.contains(s)).select(SUBJECT, OBJECT, PREDICATE)
 
 
-def subject_as_object(parts: DataFrame) -> DataFrame:
+def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Triples whose subject appears as an object id (``object_parts`` input).
 
-    Both sides are shuffled on the id; the id side is distinct, and AQE's
-    skew-join split handles a subject that owns a large share of the rows.
+    The id side is distinct (pre-aggregated map side); the triple side is
+    salted so a subject that owns a large share of the rows is spread over
+    ``salt_buckets`` reducers.
     """
-    ids = parts.select(F.col("object_id").alias("_id")).where(F.col("_id").isNotNull()).distinct()
-    return parts.join(ids, parts[SUBJECT] == ids["_id"], "left_semi").select(SUBJECT, PREDICATE, OBJECT)
+    ids = parts.select(F.col("object_id").alias("_id")).where(F.col("_id").isNotNull())
+    triples = parts.select(SUBJECT, PREDICATE, OBJECT)
+    return salted_semi_join(triples, ids, SUBJECT, "_id", salt_buckets)
 
 
 def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str] | None, int]:
@@ -107,7 +110,7 @@ def _candidate_substrings(o, lengths: list[int], prefixes: list[str] | None, k:
     return F.array_distinct(F.flatten(F.transform(starts, lambda i: cut(o.substr(i, F.lit(longest))))))
 
 
-def substring_pairs(cl: DataFrame) -> DataFrame:
+def substring_pairs(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """All distinct (Subject, Object) with ``contains(Object, Subject)``.
 
     Work is linear in the total object length times the number of distinct
@@ -127,8 +130,11 @@ def substring_pairs(cl: DataFrame) -> DataFrame:
         cands = objects.where(F.length(o) > 0).select(
             OBJECT, F.explode(_candidate_substrings(o, positive, prefixes, k)).alias("_sub")
         )
+        # A substring mentioned in very many objects is a hot key on the
+        # candidate side; the subject side is distinct, so it is salted.
         parts.append(
-            cands.join(subjects, cands["_sub"] == subjects[SUBJECT], "inner").select(SUBJECT, OBJECT)
+            salted_semi_join(cands, subjects, "_sub", SUBJECT, salt_buckets)
+            .select(F.col("_sub").alias(SUBJECT), OBJECT)
         )
     if not parts:
         return objects.select(F.lit(None).cast("string").alias(SUBJECT), OBJECT).where(F.lit(False))
@@ -138,11 +144,13 @@ def substring_pairs(cl: DataFrame) -> DataFrame:
     return out
 
 
-def id_mentions(cl: DataFrame) -> DataFrame:
+def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Distinct (Subject, Object) where the object mentions the subject as a whole id."""
-    subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull()).distinct()
+    subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull())
     objects = cl.select(OBJECT).where(F.col(OBJECT).contains("m.")).distinct()
     ids = objects.select(
         OBJECT, F.explode(F.array_distinct(F.regexp_extract_all(OBJECT, F.lit(ID_TOKEN_REGEX), 1))).alias("_id")
     )
-    return ids.join(subjects, ids["_id"] == subjects[SUBJECT], "inner").select(SUBJECT, OBJECT)
+    return salted_semi_join(ids, subjects, "_id", SUBJECT, salt_buckets).select(
+        F.col("_id").alias(SUBJECT), OBJECT
+    )
