@@ -23,3 +23,15 @@ def test_run_batch_counters_and_exports(spark, sf_small):
 def test_random_sample_mode(spark, sf_small):
     res = run_batch(spark, raw_triples(spark, sf_small), ExportConfig(sample_mode="random", seed=1))
     assert 0 < res.counters["sample"] <= res.counters["domainCount"]
+
+
+def test_counters_are_additive(spark):
+    from triplex.plans.batch import combine_metrics
+    from triplex.schema import METRICS_SCHEMA
+
+    rows = []
+    for _ in range(300):
+        rows += [("counters", "count1", 1.0), ("counters", "count2", -2.0), ("counters", "count3", 10.0)]
+    parts = [spark.createDataFrame(rows[i:i + 90], METRICS_SCHEMA) for i in range(0, len(rows), 90)]
+    got = {r["metric"]: r["value"] for r in combine_metrics(*parts).collect()}
+    assert got == {"count1": 300.0, "count2": -600.0, "count3": 3000.0}

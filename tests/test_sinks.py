@@ -58,6 +58,10 @@ def test_merge_parts(spark):
     assert merged.count() == 50
     with pytest.raises(ValueError):
         merge_parts(spark, parts, scratch_path(spark, "t-merged2"), PREDICATE_LIST_SCHEMA, max_chars=10)
+    out3 = scratch_path(spark, "t-merged3")
+    merge_parts(spark, parts, out3, PREDICATE_LIST_SCHEMA, header=True, index_header=True)
+    f3 = [f for f in os.listdir(out3) if f.startswith("part-")][0]
+    assert open(os.path.join(out3, f3)).readline().strip() == "0"
 
 
 def test_hierarchy_files(spark):

@@ -104,7 +104,6 @@ def materialise_cleaned(raw: DataFrame, path: str, counters: dict[str, int] | No
 
 def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _Clock, paths: dict) -> None:
     """The four optional exports, in a fixed order; each one is one write job."""
-    spark = cleaned.sparkSession
     base = cfg.work_dir
     triples = cleaned.select(*TRIPLE_COLUMNS)
     if cfg.export_sample:
@@ -138,7 +137,6 @@ def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _C
             path = cfg.predicates_path or f"{base}/unique_predicates"
             write_delimited(unique_predicates(triples), path, sep=cfg.delimiter)
             paths["unique_predicates"] = path
-    del spark
 
 
 def run_batch(spark: SparkSession, raw: DataFrame, cfg: ExportConfig | None = None,
@@ -161,6 +159,14 @@ def run_batch(spark: SparkSession, raw: DataFrame, cfg: ExportConfig | None = No
     return RunResult(cleaned.select(*TRIPLE_COLUMNS), tokens, counters, clock.seconds, paths)
 
 
+def combine_metrics(*metrics: DataFrame) -> DataFrame:
+    """Add up ``stage, metric, value`` relations (counters are additive)."""
+    out = metrics[0]
+    for m in metrics[1:]:
+        out = out.unionByName(m)
+    return out.groupBy("stage", "metric").agg(F.sum("value").alias("value"))
+
+
 def run_counters(raw: DataFrame, domain: str = DEFAULT_DOMAIN,
                  fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
     """The run's counters as a lazy ``metric, value`` relation.

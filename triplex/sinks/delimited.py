@@ -62,13 +62,15 @@ def merge_parts(
     sort: bool = False,
     lossless: bool = False,
     max_chars: int = MAX_MERGE_CHARS,
+    index_header: bool = False,
 ) -> DataFrame:
     """Merge the part files of ``folder`` into one file under ``out_path``.
 
     The output goes outside the input folder, so a re-run never reads its
     own output.  ``sort`` orders by the first column (a distributed range
     sort; coalescing to one partition keeps that order).  Returns the merged
-    relation read back from ``out_path``.
+    relation read back from ``out_path``.  ``index_header`` names the header
+    fields ``0|1|...`` (a positional header) instead of the column names.
     """
     parts = read_parts(spark, folder, schema, sep=sep, lossless=lossless)
     size = parts.select(
@@ -80,6 +82,8 @@ def merge_parts(
             "keep the partitioned export instead"
         )
     merged = parts.orderBy(parts.columns[0]) if sort else parts
+    if index_header:
+        merged = merged.toDF(*[str(i) for i in range(len(merged.columns))])
     write_delimited(merged.coalesce(1), out_path, sep=sep, header=header, lossless=lossless)
     return read_parts(spark, out_path, schema, sep=sep, header=header, lossless=lossless)
 
