@@ -22,6 +22,20 @@ FOREIGN_SUPPLIER = "<http://x.example.org/s/"
 
 TABLES = ("nation", "customer", "orders", "part", "supplier", "events", "documents")
 
+# Declared schemas of the tables read by the library: a declared schema
+# skips the footer-reading inference job on every load.
+TABLE_SCHEMAS = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
 
 def _s(c: str) -> Column:
     return F.col(c).cast("string")
@@ -58,7 +72,11 @@ def _triples(df: DataFrame, *rows: tuple[Column, Column | str, Column]) -> DataF
 
 
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One test table; declared schema when known, else inferred."""
+    reader = spark.read
+    if name in TABLE_SCHEMAS:
+        reader = reader.schema(TABLE_SCHEMAS[name])
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def raw_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
