@@ -71,3 +71,27 @@ def test_ordered_positions_distributed(spark):
     got = {r[0]: r[1] for r in ordered_positions(df, "Predicate").collect()}
     want = {v: i for i, v in enumerate(sorted(v for v in set(vals) if v is not None))}
     assert got == want
+
+
+def test_raw_first_domain_path_equals_cleaned_path(spark, monkeypatch):
+    raw = triples_df(spark, [
+        ("<http://a/m.1>", "<http://a/d.x.y>", '"one"@en'),
+        ("<http://a/m.1>", "<http://b/d.x.y>", '"one"@en'),   # same cleaned predicate
+        ("<http://a/m.2>", "d.x.y", '"two"@en'),              # already clean
+        ("<http://a/m.3>", "<http://a/d.x>", '"parent"@en'),  # d.x is not a leaf
+        ("<http://a/m.4>", "<http://a/e.z>", '"other"@en'),
+        ("<http://a/m.4>", None, '"none"@en'),
+        ("<http://a/m.1>", "<http://a/d.x.y>", '"one"@en'),   # exact duplicate
+    ])
+    want = sorted(map(tuple, domains.domain_triples(clean_triples(drop_duplicate_triples(raw)), "d").collect()))
+    got = sorted(map(tuple, domains.domain_triples_from_raw(raw, "d").collect()))
+    assert got == want and len(got) == 2
+    monkeypatch.setattr(bounded, "MAX_INLINE_VALUES", 0)
+    assert sorted(map(tuple, domains.domain_triples_from_raw(raw, "d").collect())) == want
+
+
+def test_raw_first_filter_has_no_regex(spark):
+    raw = _raw(spark)
+    plan = domains.domain_triples_from_raw(raw, "d")._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if "Filter" in line and "Predicate" in line]
+    assert filters and all("regexp" not in line for line in filters)

@@ -12,9 +12,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from triplex.functions.clean import clean_predicate
 from triplex.operators.bounded import MAX_INLINE_VALUES, semi_join_checked
 from triplex.operators.hierarchy import domain_leaves
-from triplex.operators.triples import clean_triples
+from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 
 SAMPLE_UNIT = "_sample_unit"
@@ -51,16 +52,45 @@ def domain_triples(cl: DataFrame, domain: str, vocab_from: DataFrame | None = No
     return filter_to_predicates(cl, leaves)
 
 
+def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
+    """Raw predicate values whose cleaned form is a leaf of ``domain``.
+
+    The cleaning regex runs on the distinct raw predicates only (a map-side
+    combined aggregate), never per triple.  An inner join (not a semi join)
+    keeps the optimizer from moving the leaf test below the distinct.
+    """
+    vocab = (
+        raw.select(PREDICATE).where(F.col(PREDICATE).isNotNull()).distinct()
+        .select(F.col(PREDICATE).alias("_raw"), clean_predicate(PREDICATE).alias(PREDICATE))
+    )
+    leaves = domain_leaves(vocab.select(PREDICATE), domain)
+    return vocab.join(leaves, PREDICATE, "inner").select(F.col("_raw").alias(PREDICATE))
+
+
+def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int = MAX_INLINE_VALUES) -> DataFrame:
+    """Raw triples of ``domain``: a filter on the raw predicate column.
+
+    Applied before dedup and cleaning, so only the domain's rows are
+    shuffled; inlined (size-checked) it is an ``IN`` the scan can use.
+    """
+    return semi_join_checked(raw, raw_predicates_of_domain(raw, domain), PREDICATE, PREDICATE, max_inline)
+
+
+def domain_triples_from_raw(raw: DataFrame, domain: str) -> DataFrame:
+    """Same rows as ``domain_triples(clean_triples(drop_duplicate_triples(raw)), domain)``."""
+    return clean_triples(drop_duplicate_triples(raw_domain_rows(raw.select(*TRIPLE_COLUMNS), domain)))
+
+
 def domain_sample_hash(dedup_raw: DataFrame, domain: str, fraction: float) -> DataFrame:
     """Repeatable Bernoulli sample of a domain's cleaned triples.
 
     Keeps a row when its raw-triple hash unit is below ``fraction * 2^32``.
-    Filter-only: no shuffle, no state, identical on every re-run.
+    Filter-only: no shuffle, no state, identical on every re-run.  The
+    domain test runs on the raw predicate (see ``raw_domain_rows``).
     """
-    with_unit = dedup_raw.select(*TRIPLE_COLUMNS, sample_unit().alias(SAMPLE_UNIT))
-    cl = clean_triples(with_unit)
-    picked = domain_triples(cl, domain, vocab_from=cl.select(PREDICATE))
-    return picked.where(F.col(SAMPLE_UNIT) < F.lit(fraction * _TWO_32)).select(*TRIPLE_COLUMNS)
+    picked = raw_domain_rows(dedup_raw.select(*TRIPLE_COLUMNS), domain)
+    sampled = picked.where(sample_unit() < F.lit(fraction * _TWO_32))
+    return clean_triples(sampled).select(*TRIPLE_COLUMNS)
 
 
 def domain_sample_random(cl: DataFrame, domain: str, fraction: float, seed: int | None = None) -> DataFrame:

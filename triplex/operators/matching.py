@@ -39,10 +39,15 @@ MAX_REGEX_PREFIXES = 512
 ID_TOKEN_REGEX = r"(?:^|[^0-9A-Za-z_.])(m\.[0-9A-Za-z_]+)"
 
 
+def matching_rows(domain_rows: DataFrame) -> DataFrame:
+    """Rows whose object contains their own subject; columns S, O, P."""
+    s, o = F.col(SUBJECT), F.col(OBJECT)
+    return domain_rows.where(o.contains(s)).select(SUBJECT, OBJECT, PREDICATE)
+
+
 def matching_triples(cl: DataFrame, domain: str) -> DataFrame:
     """Domain triples whose object contains the subject; columns S, O, P."""
-    s, o = F.col(SUBJECT), F.col(OBJECT)
-    return domain_triples(cl, domain).where(o.contains(s)).select(SUBJECT, OBJECT, PREDICATE)
+    return matching_rows(domain_triples(cl, domain))
 
 
 def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:

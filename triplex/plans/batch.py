@@ -19,7 +19,13 @@ from pyspark.sql import functions as F
 
 from triplex.constants import DEFAULT_DOMAIN, DEFAULT_SAMPLE_FRACTION, EXPORT_DELIMITER
 from triplex.operators.bounded import membership_flag
-from triplex.operators.domains import SAMPLE_UNIT, _TWO_32, filter_to_predicates, sample_unit
+from triplex.operators.domains import (
+    SAMPLE_UNIT,
+    _TWO_32,
+    filter_to_predicates,
+    raw_predicates_of_domain,
+    sample_unit,
+)
 from triplex.operators.hierarchy import domain_leaves
 from triplex.operators.matching import matching_triples
 from triplex.operators.tokens import triple_tokens
@@ -174,10 +180,13 @@ def run_counters(raw: DataFrame, domain: str = DEFAULT_DOMAIN,
     One dedup shuffle (with per-triple multiplicity) feeds one final
     aggregate: raw rows, distinct rows, domain rows and hash-sampled rows.
     """
+    raw = raw.select(*TRIPLE_COLUMNS)
     per = raw.groupBy(*TRIPLE_COLUMNS).agg(F.count(F.lit(1)).alias("_m"))
-    cl = clean_triples(per.select(*TRIPLE_COLUMNS, "_m", sample_unit().alias(SAMPLE_UNIT)))
-    leaves = domain_leaves(cl.select(PREDICATE), domain)
-    flagged = membership_flag(cl, leaves, PREDICATE, PREDICATE, "_in")
+    # Counting needs no cleaned values: the domain test is done on the raw
+    # predicate (cleaned once per distinct predicate).
+    flagged = membership_flag(
+        per.withColumn(SAMPLE_UNIT, sample_unit()), raw_predicates_of_domain(raw, domain), PREDICATE, PREDICATE, "_in"
+    )
     picked = F.col("_in") & (F.col(SAMPLE_UNIT) < F.lit(fraction * _TWO_32))
     wide = flagged.agg(
         F.sum("_m").cast("long").alias("initCount"),

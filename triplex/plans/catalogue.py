@@ -129,7 +129,8 @@ QUERIES: dict[str, Query] = {
     "hierarchy_sizes": lambda s, d: hierarchy.hierarchy_sizes(_cl(s, d)),
     "leaf_predicates": lambda s, d: hierarchy.leaf_predicates(_cl(s, d)),
     "domain_leaves": lambda s, d: hierarchy.domain_leaves(_cl(s, d), LEAF_DOMAIN),
-    "domain_triples": lambda s, d: domains.domain_triples(_cl(s, d), LEAF_DOMAIN),
+    "domain_triples": lambda s, d: domains.domain_triples_from_raw(raw_triples(s, d), LEAF_DOMAIN),
+    "domain_triples_cleaned": lambda s, d: domains.domain_triples(_cl(s, d), LEAF_DOMAIN),
     "domain_sample_hash": lambda s, d: domains.domain_sample_hash(_dedup(s, d), SAMPLE_DOMAIN, SAMPLE_FRACTION),
     "domain_sample_random": lambda s, d: domains.domain_sample_random(
         _cl(s, d), SAMPLE_DOMAIN, SAMPLE_FRACTION, SAMPLE_SEED),
@@ -150,7 +151,9 @@ QUERIES: dict[str, Query] = {
     "triple_tokens": lambda s, d: tokens.triple_tokens(_cl(s, d)).select(
         *TRIPLE_COLUMNS, tokens_text("tokenizedObj").alias("tokenized"),
         tokens_text("filtered_tokens").alias("filtered")),
-    "matching_triples": lambda s, d: matching.matching_triples(_cl(s, d), MATCH_DOMAIN),
+    "matching_triples": lambda s, d: matching.matching_rows(
+        domains.domain_triples_from_raw(raw_triples(s, d), MATCH_DOMAIN)),
+    "matching_triples_cleaned": lambda s, d: matching.matching_triples(_cl(s, d), MATCH_DOMAIN),
     "subject_as_object": lambda s, d: matching.subject_as_object(_parts(s, d)),
     "substring_pairs": lambda s, d: matching.substring_pairs(_cl(s, d)),
     "id_mentions": lambda s, d: matching.id_mentions(_cl(s, d)),
@@ -249,6 +252,8 @@ ORACLE: dict[str, str] = {
     + "SELECT Predicate FROM dleaves",
     "domain_triples": O.with_(O.TR, O.DD, O.CL, O.PREDS, O.LEAVES, O.domain_leaves_cte(LEAF_DOMAIN))
     + "SELECT * FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves)",
+    "domain_triples_cleaned": O.with_(O.TR, O.DD, O.CL, O.PREDS, O.LEAVES, O.domain_leaves_cte(LEAF_DOMAIN))
+    + "SELECT * FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves)",
     "domain_sample_hash": O.with_(
         O.TR, O.DD,
         f"clu AS (SELECT {O.clean_subject_sql('Subject')} AS Subject, {O.clean_predicate_sql('Predicate')} "
@@ -281,6 +286,10 @@ ORACLE: dict[str, str] = {
         "SELECT Subject, Object, Predicate FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves) "
         "AND contains(Object, Subject)"
     ),
+    "matching_triples_cleaned": O.with_(O.TR, O.DD, O.CL, O.PREDS, O.LEAVES, O.domain_leaves_cte(MATCH_DOMAIN)) + (
+        "SELECT Subject, Object, Predicate FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves) "
+        "AND contains(Object, Subject)"
+    ),
     "subject_as_object": O.PARTS_BASE + (
         "SELECT Subject, Predicate, Object FROM parts WHERE Subject IN "
         "(SELECT object_id FROM parts WHERE object_id IS NOT NULL)"
