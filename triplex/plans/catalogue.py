@@ -64,6 +64,22 @@ def q_triples_scan_tsv(spark, d):
     return read_triples(spark, path, mode="ntriples")
 
 
+def q_triples_scan_tsv_compat(spark, d):
+    tr = raw_triples(spark, d).where(_no_line_chars(SUBJECT) & _no_line_chars(PREDICATE) & _no_line_chars(OBJECT))
+    path = scratch_path(spark, "tsv-compat")
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in TRIPLE_COLUMNS], F.lit("."))
+    tr.select(line.alias("value")).write.text(path)
+    return read_triples(spark, path, mode="compat")
+
+
+def q_batch_run_sample(spark, d):
+    from triplex.plans.batch import ExportConfig, run_batch
+
+    cfg = ExportConfig(domain=SAMPLE_DOMAIN, fraction=SAMPLE_FRACTION, sample_mode="hash")
+    result = run_batch(spark, raw_triples(spark, d), cfg, perform_counts=False)
+    return read_parts(spark, result.paths["sample"], TRIPLE_SCHEMA)
+
+
 def q_export_roundtrip(spark, d):
     path = scratch_path(spark, "export-lossless")
     write_delimited(_cl(spark, d), path, lossless=True)
@@ -100,6 +116,7 @@ def q_hierarchy_roundtrip(spark, d):
 
 QUERIES: dict[str, Query] = {
     "triples_scan_tsv": q_triples_scan_tsv,
+    "triples_scan_tsv_compat": q_triples_scan_tsv_compat,
     "triples_dedup": lambda s, d: _dedup(s, d),
     "triples_dup_counts": lambda s, d: triples.duplicate_counts(raw_triples(s, d)),
     "triple_multiplicity": lambda s, d: triples.triple_multiplicity(raw_triples(s, d)),
@@ -167,6 +184,7 @@ QUERIES: dict[str, Query] = {
     "preview_rows": lambda s, d: _cl(s, d).orderBy(
         *[F.col(c).asc_nulls_first() for c in TRIPLE_COLUMNS]).limit(PREVIEW_ROWS),
     "run_metrics": lambda s, d: run_counters(raw_triples(s, d), SAMPLE_DOMAIN, SAMPLE_FRACTION),
+    "batch_run_sample": q_batch_run_sample,
 }
 
 # --- oracle SQL ------------------------------------------------------------------------
@@ -191,6 +209,12 @@ ORACLE: dict[str, str] = {
         "SELECT Subject, Predicate, Object FROM tr WHERE NOT ("
         + " OR ".join(f"contains({c}, chr({k}))" for c in TRIPLE_COLUMNS for k in (9, 10, 13)) + ")"
     ),
+    "triples_scan_tsv_compat": O.with_(O.TR) + (
+        "SELECT Subject, Predicate, CASE WHEN Object = '\"\"' THEN NULL "
+        "WHEN regexp_matches(Object, '^\"[^\"]*\"$') THEN substr(Object, 2, length(Object) - 2) "
+        "ELSE Object END AS Object FROM tr WHERE NOT ("
+        + " OR ".join(f"contains({c}, chr({k}))" for c in TRIPLE_COLUMNS for k in (9, 10, 13)) + ")"
+    ),
     "triples_dedup": O.with_(O.TR, O.DD) + "SELECT * FROM dd",
     "triples_dup_counts": O.with_(O.TR) + (
         "SELECT CAST(count(*) AS BIGINT) AS raw_count, "
@@ -264,6 +288,17 @@ ORACLE: dict[str, str] = {
         "SELECT Subject, Predicate, Object FROM clu WHERE Predicate IN (SELECT Predicate FROM dleaves) "
         f"AND u < {_SAMPLE_THRESHOLD}"
     ),
+    "batch_run_sample": O.with_(
+        O.TR, O.DD,
+        f"clu AS (SELECT {O.clean_subject_sql('Subject')} AS Subject, {O.clean_predicate_sql('Predicate')} "
+        f"AS Predicate, {O.clean_object_sql('Object')} AS Object, {O.sample_unit_sql()} AS u FROM dd)",
+        "cl AS (SELECT Subject, Predicate, Object FROM clu)",
+        O.PREDS, O.LEAVES, O.domain_leaves_cte(SAMPLE_DOMAIN),
+    ) + (
+        "SELECT NULLIF(trim(Subject), '') AS Subject, NULLIF(trim(Predicate), '') AS Predicate, "
+        "NULLIF(trim(Object), '') AS Object FROM clu WHERE Predicate IN (SELECT Predicate FROM dleaves) "
+        f"AND u < {_SAMPLE_THRESHOLD}"
+    ),
     "doc_tokens": _tok_select(O.tokens_sql, "documents", "doc_id"),
     "conversation_tokens": _tok_select(O.tokens_sql, "conversations", "conv_id, turn"),
     "doc_tokens_nostop": _tok_select(lambda t: O.nostop_sql(O.tokens_sql(t)), "documents", "doc_id"),
