@@ -1,7 +1,6 @@
 """Domain filter, hash and random samples, positions, counts."""
 
 from conftest import triples_df
-from pyspark.sql import functions as F
 
 from triplex.operators import bounded, domains
 from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts, triple_multiplicity
@@ -23,7 +22,9 @@ def test_domain_filter_paths_agree(spark, monkeypatch):
     cl = clean_triples(drop_duplicate_triples(_raw(spark)))
     inline = sorted(map(tuple, domains.domain_triples(cl, "d").collect()))
     monkeypatch.setattr(bounded, "MAX_INLINE_VALUES", 0)
-    joined = sorted(map(tuple, domains.domain_triples(cl, "d").collect()))
+    fallback = domains.domain_triples(cl, "d")
+    assert "LeftSemi" in fallback._jdf.queryExecution().executedPlan().toString()
+    joined = sorted(map(tuple, fallback.collect()))
     assert inline == joined and len(inline) == 400
 
 
@@ -87,7 +88,9 @@ def test_raw_first_domain_path_equals_cleaned_path(spark, monkeypatch):
     got = sorted(map(tuple, domains.domain_triples_from_raw(raw, "d").collect()))
     assert got == want and len(got) == 3  # cleaning re-creates one duplicate
     monkeypatch.setattr(bounded, "MAX_INLINE_VALUES", 0)
-    assert sorted(map(tuple, domains.domain_triples_from_raw(raw, "d").collect())) == want
+    fallback = domains.domain_triples_from_raw(raw, "d")
+    assert "LeftSemi" in fallback._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, fallback.collect())) == want
 
 
 def test_raw_first_filter_has_no_regex(spark):

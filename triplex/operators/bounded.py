@@ -16,12 +16,14 @@ from pyspark.sql import functions as F
 MAX_INLINE_VALUES = 20_000
 
 
-def bounded_values(df: DataFrame, column: str, max_values: int = MAX_INLINE_VALUES) -> list | None:
+def bounded_values(df: DataFrame, column: str, max_values: int | None = None) -> list | None:
     """Distinct non-null values of ``column`` if there are at most ``max_values``.
 
     Returns ``None`` when the bound is exceeded; only ``max_values + 1`` rows
     ever reach the driver.
     """
+    if max_values is None:
+        max_values = MAX_INLINE_VALUES
     rows = (
         df.select(column)
         .where(F.col(column).isNotNull())
@@ -36,7 +38,7 @@ def bounded_values(df: DataFrame, column: str, max_values: int = MAX_INLINE_VALU
 
 def semi_join_checked(
     big: DataFrame, small: DataFrame, big_key: str, small_key: str,
-    max_values: int = MAX_INLINE_VALUES, anti: bool = False,
+    max_values: int | None = None, anti: bool = False,
 ) -> DataFrame:
     """``big`` rows whose key is (not) in ``small``: inline set when small, else a shuffle join.
 
@@ -59,7 +61,7 @@ def semi_join_checked(
 
 def membership_flag(
     big: DataFrame, small: DataFrame, big_key: str, small_key: str, flag: str,
-    max_values: int = MAX_INLINE_VALUES,
+    max_values: int | None = None,
 ) -> DataFrame:
     """``big`` with a boolean ``flag``: key is in ``small`` (NULL key gives false).
 

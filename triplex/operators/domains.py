@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate
-from triplex.operators.bounded import MAX_INLINE_VALUES, semi_join_checked
+from triplex.operators.bounded import semi_join_checked
 from triplex.operators.hierarchy import domain_leaves
 from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
@@ -35,7 +35,7 @@ def sample_unit(s: Column | str = SUBJECT, p: Column | str = PREDICATE, o: Colum
 
 
 def filter_to_predicates(
-    cl: DataFrame, predicates: DataFrame, max_inline: int = MAX_INLINE_VALUES
+    cl: DataFrame, predicates: DataFrame, max_inline: int | None = None
 ) -> DataFrame:
     """Rows of ``cl`` whose predicate is in ``predicates`` (exact, case-sensitive)."""
     return semi_join_checked(cl, predicates, PREDICATE, PREDICATE, max_inline)
@@ -67,7 +67,7 @@ def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
     return vocab.join(leaves, PREDICATE, "inner").select(F.col("_raw").alias(PREDICATE))
 
 
-def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int = MAX_INLINE_VALUES) -> DataFrame:
+def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int | None = None) -> DataFrame:
     """Raw triples of ``domain``: a filter on the raw predicate column.
 
     Applied before dedup and cleaning, so only the domain's rows are
