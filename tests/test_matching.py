@@ -18,7 +18,7 @@ def literal_matching(cl, leaves):
 
 
 def rows(df):
-    return sorted(tuple(r) for r in df.collect())
+    return sorted((tuple(r) for r in df.collect()), key=repr)
 
 
 FIXTURE = [
@@ -80,3 +80,31 @@ def test_subject_as_object(spark):
     ])
     got = rows(matching.subject_as_object(object_parts(raw)))
     assert got == [("m.2", "a.c", '"x"')]
+
+
+def test_raw_first_id_joins_equal_parts_forms(spark):
+    from triplex.operators.graph import graph_edges, graph_edges_from_raw
+    from triplex.operators.triples import drop_duplicate_triples
+
+    fb = "http://rdf.freebase.com/ns/"
+    raw = triples_df(spark, [
+        (f"<{fb}m.1>", f"<{fb}a.b>", f"<{fb}m.2>"),
+        (f"<{fb}m.1>", f"<{fb}a.b>", f"<{fb}m.2>"),      # duplicate
+        ("m.1>", f"<{fb}a.b>", f"<{fb}m.2>"),            # cleans to the same triple
+        (f"<{fb}m.2>", f"<{fb}a.c>", '"x"@en'),
+        (f"<{fb}m.2>", f"<{fb}a.d>", f"<{fb}m.9>"),      # m.9 is not a subject
+        (f"<{fb}m.3>", f"<{fb}a.c>", '"y"@en'),
+        (None, f"<{fb}a.c>", f"<{fb}m.1>"),
+    ])
+    parts = object_parts(drop_duplicate_triples(raw))
+    for buckets in (1, 4):
+        assert rows(matching.subject_as_object_from_raw(raw, buckets)) == rows(matching.subject_as_object(parts, buckets))
+        assert rows(graph_edges_from_raw(raw, buckets)) == rows(graph_edges(parts, buckets))
+
+
+def test_raw_first_subject_join_shuffles_triples_once(spark):
+    raw = triples_df(spark, SUBSTRING_FIXTURE)
+    plan = matching.subject_as_object_from_raw(raw)._jdf.queryExecution().executedPlan().toString()
+    # one exchange on the triple side (join key + salt), one + one on the id side
+    assert plan.count("Exchange hashpartitioning(_cs") == 1
+    assert "Exchange hashpartitioning(Subject, Predicate, Object" not in plan

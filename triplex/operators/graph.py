@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
+from triplex.functions.clean import clean_predicate, clean_subject, object_id
+from triplex.operators.joins import SALT_BUCKETS, SALT_COLUMN, salted_semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # --- FIXED VALUES: predicates that carry node attributes ---------------------
@@ -56,6 +57,23 @@ def graph_edges(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame
     return salted_semi_join(links, parts.select(SUBJECT), "dst", SUBJECT, salt_buckets)
 
 
+def graph_edges_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """``graph_edges(object_parts(drop_duplicate_triples(raw)))`` with one shuffle of the links.
+
+    Edges are distinct cleaned values, so the raw dedup is not needed; the
+    link rows are salted by a hash of the edge itself, joined on
+    ``(dst, salt)``, and the distinct then reuses that partitioning.
+    """
+    links = raw.select(
+        clean_subject(SUBJECT).alias("src"),
+        clean_predicate(PREDICATE).alias("predicate"),
+        object_id(OBJECT).alias("dst"),
+    ).where(F.col("dst").isNotNull())
+    subjects = raw.select(clean_subject(SUBJECT).alias(SUBJECT))
+    joined = salted_semi_join(links, subjects, "dst", SUBJECT, salt_buckets, keep_salt=True)
+    return joined.select("src", "predicate", "dst", SALT_COLUMN).distinct().drop(SALT_COLUMN)
+
+
 def graph_model(parts: DataFrame) -> DataFrame:
     """Per predicate: triples, distinct subjects, link and literal counts."""
     return parts.groupBy(PREDICATE).agg(

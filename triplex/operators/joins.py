@@ -33,13 +33,23 @@ def _replicated_keys(keys: DataFrame, key: str, buckets: int, extra: list[str])
     return distinct.withColumn(_SALT, F.explode(salts))
 
 
+SALT_COLUMN = _SALT
+
+
 def salted_semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
-                     buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Rows of ``big`` whose ``big_key`` occurs in ``keys[key]`` (left semi join)."""
+                     buckets: int = SALT_BUCKETS, keep_salt: bool = False) -> DataFrame:
+    """Rows of ``big`` whose ``big_key`` occurs in ``keys[key]`` (left semi join).
+
+    The result is hash-partitioned on ``(big_key, salt)``.  With
+    ``keep_salt`` the salt column stays, so a following aggregate that groups
+    by columns including ``big_key`` and the salt reuses that partitioning
+    instead of shuffling again.
+    """
     salted = big.withColumn(_SALT, _salt_of(big, buckets) if buckets > 1 else F.lit(0).cast("long"))
     right = _replicated_keys(keys, key, buckets, [])
     cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right[_SALT])
-    return salted.join(right, cond, "left_semi").drop(_SALT)
+    out = salted.join(right, cond, "left_semi")
+    return out if keep_salt else out.drop(_SALT)
 
 
 def salted_inner_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,

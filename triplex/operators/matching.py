@@ -22,7 +22,9 @@ from pyspark.sql import functions as F
 
 from triplex.operators.bounded import bounded_values
 from triplex.operators.domains import domain_triples
-from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
+from triplex.functions.clean import clean_subject, object_id
+from triplex.operators.joins import SALT_BUCKETS, SALT_COLUMN, salted_semi_join
+from triplex.operators.triples import clean_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # Distinct subject lengths and short prefixes are inlined into the plan;
@@ -62,6 +64,23 @@ def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> Dat
     return salted_semi_join(triples, ids, SUBJECT, "_id", salt_buckets)
 
 
+def subject_as_object_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+    """``subject_as_object(object_parts(drop_duplicate_triples(raw)))`` with one shuffle of the triples.
+
+    The membership test depends only on the raw triple, so it runs before
+    the dedup; the dedup then groups by the raw triple *plus* the join key
+    and salt (functions of the triple, so the groups are unchanged), which
+    the join's ``(key, salt)`` hash partitioning already satisfies: no
+    second exchange of the data.
+    """
+    r = raw.select(SUBJECT, PREDICATE, OBJECT)
+    ids = r.select(object_id(OBJECT).alias("_id"))
+    keyed = r.withColumn("_cs", clean_subject(SUBJECT))
+    joined = salted_semi_join(keyed, ids, "_cs", "_id", salt_buckets, keep_salt=True)
+    deduped = joined.select(SUBJECT, PREDICATE, OBJECT, "_cs", SALT_COLUMN).distinct()
+    return clean_triples(deduped.select(SUBJECT, PREDICATE, OBJECT))
+
+
 def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str] | None, int]:
     """Distinct subject lengths, and the ``k``-character prefixes of the subjects.
 

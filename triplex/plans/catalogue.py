@@ -171,12 +171,14 @@ QUERIES: dict[str, Query] = {
     "matching_triples": lambda s, d: matching.matching_rows(
         domains.domain_triples_from_raw(raw_triples(s, d), MATCH_DOMAIN)),
     "matching_triples_cleaned": lambda s, d: matching.matching_triples(_cl(s, d), MATCH_DOMAIN),
-    "subject_as_object": lambda s, d: matching.subject_as_object(_parts(s, d)),
+    "subject_as_object": lambda s, d: matching.subject_as_object_from_raw(raw_triples(s, d)),
+    "subject_as_object_parts": lambda s, d: matching.subject_as_object(_parts(s, d)),
     "substring_pairs": lambda s, d: matching.substring_pairs(_cl(s, d)),
     "id_mentions": lambda s, d: matching.id_mentions(_cl(s, d)),
     "graph_nodes": lambda s, d: graph.graph_nodes(_parts(s, d)),
     "graph_node_types": lambda s, d: graph.graph_node_types(_parts(s, d)),
-    "graph_edges": lambda s, d: graph.graph_edges(_parts(s, d)),
+    "graph_edges": lambda s, d: graph.graph_edges_from_raw(raw_triples(s, d)),
+    "graph_edges_parts": lambda s, d: graph.graph_edges(_parts(s, d)),
     "graph_model": lambda s, d: graph.graph_model(_parts(s, d)),
     "export_roundtrip": q_export_roundtrip,
     "export_roundtrip_default": q_export_roundtrip_default,
@@ -329,6 +331,10 @@ ORACLE: dict[str, str] = {
         "SELECT Subject, Predicate, Object FROM parts WHERE Subject IN "
         "(SELECT object_id FROM parts WHERE object_id IS NOT NULL)"
     ),
+    "subject_as_object_parts": O.PARTS_BASE + (
+        "SELECT Subject, Predicate, Object FROM parts WHERE Subject IN "
+        "(SELECT object_id FROM parts WHERE object_id IS NOT NULL)"
+    ),
     "substring_pairs": O.CL_BASE + (
         "SELECT s.Subject, o.Object FROM (SELECT DISTINCT Subject FROM cl WHERE Subject IS NOT NULL) s "
         "JOIN (SELECT DISTINCT Object FROM cl WHERE Object IS NOT NULL) o ON contains(o.Object, s.Subject)"
@@ -352,6 +358,10 @@ ORACLE: dict[str, str] = {
         "SELECT DISTINCT Subject AS src, Predicate AS predicate, object_id AS dst FROM parts "
         "WHERE object_id IN (SELECT Subject FROM parts WHERE Subject IS NOT NULL)"
     ),
+    "graph_edges_parts": O.PARTS_BASE + (
+        "SELECT DISTINCT Subject AS src, Predicate AS predicate, object_id AS dst FROM parts "
+        "WHERE object_id IN (SELECT Subject FROM parts WHERE Subject IS NOT NULL)"
+    ),
     "graph_model": O.PARTS_BASE + (
         "SELECT Predicate, count(*) AS n_triples, count(DISTINCT Subject) AS n_subjects, "
         "count(object_id) AS n_links, count(*) - count(object_id) AS n_literals FROM parts GROUP BY Predicate"
