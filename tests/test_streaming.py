@@ -24,3 +24,21 @@ def test_ingest_available_now(spark, sf_small):
     assert got.count() == want.count() > 0
     assert got.exceptAll(want).count() == 0
     assert os.path.isdir(out)
+
+
+def test_ingest_resumes_from_checkpoint(spark, sf_small):
+    src = scratch_path(spark, "t-stream-src2")
+    out = scratch_path(spark, "t-stream-out2")
+    ckpt = scratch_path(spark, "t-stream-ckpt2")
+    tr = raw_triples(spark, sf_small).where(~F.col("Object").rlike("[\t\r\n]"))
+    lines = tr.select(F.concat_ws("\t", *TRIPLE_COLUMNS, F.lit(".")).alias("v"))
+    first, second = lines.randomSplit([0.5, 0.5], seed=11)
+    first.write.text(src + "/a")
+    q = start_ingest(spark, src + "/*", out, checkpoint=ckpt, mode="ntriples")
+    q.awaitTermination(120)
+    n1 = spark.read.parquet(out).count()
+    second.write.text(src + "/b")
+    q = start_ingest(spark, src + "/*", out, checkpoint=ckpt, mode="ntriples")
+    q.awaitTermination(120)
+    n2 = spark.read.parquet(out).count()
+    assert n1 == first.count() and n2 == n1 + second.count()
