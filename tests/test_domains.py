@@ -98,3 +98,17 @@ def test_raw_first_filter_has_no_regex(spark):
     plan = domains.domain_triples_from_raw(raw, "d")._jdf.queryExecution().optimizedPlan().toString()
     filters = [line for line in plan.splitlines() if "Filter" in line and "Predicate" in line]
     assert filters and all("regexp" not in line for line in filters)
+
+
+def test_edge_cases(spark):
+    from triplex.operators.hierarchy import leaf_predicates, predicate_hierarchy
+    from triplex.operators.matching import id_mentions, substring_pairs
+
+    vocab = spark.createDataFrame([("a.b",)], "Predicate string")
+    assert keyword_predicates(vocab, []).count() == 0
+    no_subjects = triples_df(spark, [(None, "p", "text"), (None, "q", None)])
+    assert substring_pairs(no_subjects).count() == 0
+    assert id_mentions(no_subjects).count() == 0
+    null_preds = triples_df(spark, [("s", None, "o")])
+    assert predicate_hierarchy(null_preds).count() == 0 and leaf_predicates(null_preds).count() == 0
+    assert domain_counts(null_preds).collect()[0]["n_predicates"] == 0

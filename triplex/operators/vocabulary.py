@@ -57,8 +57,10 @@ def keyword_predicates(vocab: DataFrame, keywords: Sequence[str]) -> DataFrame:
     repeats its hits.  The keyword list is a literal array evaluated per
     row, so there is no join at all.
     """
-    kw = F.array(*[F.lit(k) for k in keywords])
     p = F.col(PREDICATE)
+    if not keywords:
+        return vocab.select(p, F.lit(None).cast("string").alias("keyword")).where(F.lit(False))
+    kw = F.array(*[F.lit(k) for k in keywords])
     return (
         vocab.where(p.isNotNull())
         .select(p, F.explode(F.filter(kw, lambda k: p.contains(k))).alias("keyword"))
