@@ -1,4 +1,4 @@
-"""Predicate hierarchy: leaves, nodes and sizes against a nested-template model."""
+"""Predicate hierarchy: leaves, nodes and sizes against a set-based model."""
 
 import pytest
 from conftest import one_col, triples_df
@@ -13,31 +13,15 @@ from triplex.operators.hierarchy import (
 )
 
 
-def template_model(predicates):
-    """Nested template built from sorted predicates ({} marks a leaf)."""
-    root = {}
-    for p in sorted(set(predicates)):
-        *inner, last = p.split(".")
-        node = root
-        for part in inner:
-            node = node.setdefault(part, {})
-        node[last] = {}
-    return root
-
-
-def model_leaves(tree, prefix=None):
-    out = []
-    for key, sub in tree.items():
-        path = key if prefix is None else f"{prefix}.{key}"
-        out.extend(model_leaves(sub, path) if sub else [path])
-    return out
-
-
 def model_domain_leaves(predicates, domain):
-    tree = template_model(predicates)
-    if domain not in tree:
-        return []
-    return sorted(model_leaves(tree[domain], domain))
+    """Leaves by definition: predicates of the domain, below the domain node,
+    that no other predicate extends with a further dotted part."""
+    preds = set(predicates)
+    return sorted(
+        p for p in preds
+        if p.startswith(domain + ".")
+        and not any(q != p and q.startswith(p + ".") for q in preds)
+    )
 
 
 def _cl(spark, preds):
