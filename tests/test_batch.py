@@ -35,3 +35,18 @@ def test_counters_are_additive(spark):
     parts = [spark.createDataFrame(rows[i:i + 90], METRICS_SCHEMA) for i in range(0, len(rows), 90)]
     got = {r["metric"]: r["value"] for r in combine_metrics(*parts).collect()}
     assert got == {"count1": 300.0, "count2": -600.0, "count3": 3000.0}
+
+
+def test_command_line_run(spark, sf_small):
+    from pyspark.sql import functions as F
+
+    from triplex.__main__ import main
+    from triplex.schema import TRIPLE_COLUMNS
+    from triplex.session import scratch_path
+
+    tsv = scratch_path(spark, "t-cli-tsv")
+    tr = raw_triples(spark, sf_small).where(~F.concat_ws("", *TRIPLE_COLUMNS).rlike("[\t\r\n]"))
+    tr.select(F.concat_ws("\t", *TRIPLE_COLUMNS, F.lit(".")).alias("v")).write.text(tsv)
+    report = main(["--input", tsv, "--mode", "ntriples", "--domain", "event", "--unique-predicates"], spark=spark)
+    assert report["counters"]["initCount"] == tr.count()
+    assert report["counters"]["domainCount"] > 0 and os.path.isdir(report["paths"]["unique_predicates"])
