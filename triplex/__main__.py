@@ -9,8 +9,13 @@ from __future__ import annotations
 
 import argparse
 import json
+import os
+import sys
 
-from triplex.constants import DEFAULT_DOMAIN, DEFAULT_SAMPLE_FRACTION
+if not __package__:  # run as a file (spark-submit triplex/__main__.py): make the package importable
+    sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from triplex.constants import DEFAULT_DOMAIN, DEFAULT_SAMPLE_FRACTION  # noqa: E402
 
 
 def parse_args(argv=None) -> argparse.Namespace:
