@@ -20,7 +20,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch output.
 
     Read from the session (``spark.checkpoint.dir``); only when it is unset
-    a new local temp folder is created and registered.
+    on a ``local[...]`` master (tests) a new temp folder is created and
+    registered.  On a cluster an unset value is an error.
     """
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
@@ -33,6 +34,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not sc.master.startswith("local"):
+        # A machine-local folder is not visible to other executors and is
+        # lost with the machine: require the shared folder on a cluster.
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")
     local = tempfile.mkdtemp(prefix="triplex-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir().rstrip("/")
