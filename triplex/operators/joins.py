@@ -46,9 +46,12 @@ def salted_semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
     instead of shuffling again.
     """
     salted = big.withColumn(_SALT, _salt_of(big, buckets) if buckets > 1 else F.lit(0).cast("long"))
-    right = _replicated_keys(keys, key, buckets, [])
-    cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right[_SALT])
-    out = salted.join(right, cond, "left_semi")
+    right = _replicated_keys(keys, key, buckets, []).withColumnRenamed(_SALT, "__salt_r")
+    # The key side is distinct on (key, salt), so an inner join returns each
+    # row of ``big`` at most once, exactly like a semi join; unlike a semi
+    # join it is not pushed into every branch of a union below it.
+    cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right["__salt_r"])
+    out = salted.join(right, cond, "inner").drop(_KEY, "__salt_r")
     return out if keep_salt else out.drop(_SALT)
 
 
