@@ -54,3 +54,17 @@ def test_checked_membership_paths_agree(spark):
     anti_a = semi_join_checked(big, small, "k", "key", anti=True).count()
     anti_b = semi_join_checked(big, small, "k", "key", max_values=0, anti=True).count()
     assert anti_a == anti_b == 300 - len(a)
+
+
+def test_salted_anti_and_flag_equal_plain(spark):
+    from triplex.operators.joins import salted_anti_join, salted_flag_join
+
+    big = _skewed(spark).union(spark.createDataFrame([(None, -1)], "k string, v long"))
+    keys = spark.createDataFrame([("hot",), ("k7",), (None,)], "key string")
+    plain_anti = big.join(keys.where("key is not null"), big.k == keys.key, "left_anti")
+    assert sorted(map(tuple, salted_anti_join(big, keys, "k", "key", 8).collect()), key=repr) == sorted(
+        map(tuple, plain_anti.collect()), key=repr)
+    flagged = salted_flag_join(big, keys, "k", "key", "f", 8)
+    assert flagged.count() == big.count()
+    assert flagged.where("f").count() == big.where("k in ('hot', 'k7')").count()
+    assert flagged.where("k is null and f").count() == 0

@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triplex.operators.joins import salted_anti_join, salted_flag_join, salted_semi_join
+
 # Largest literal list inlined into a filter (becomes an InSet / pushed
 # down to Parquet as an In filter).
 MAX_INLINE_VALUES = 20_000
@@ -43,9 +45,8 @@ def semi_join_checked(
     """``big`` rows whose key is (not) in ``small``: inline set when small, else a shuffle join.
 
     Inline path: ``isin`` of a checked list, no shuffle of ``big`` and a
-    filter the Parquet scan can use.  Fallback: an equi semi (anti) join;
-    AQE may still turn it into a broadcast at run time and splits skewed
-    partitions of ``big``.
+    filter the Parquet scan can use.  Fallback: a salted equi semi (anti)
+    join (``triplex.operators.joins``).
     """
     values = bounded_values(small, small_key, max_values)
     if values is not None:
@@ -54,9 +55,11 @@ def semi_join_checked(
             # NOT IN semantics of a set without NULLs: a NULL key is kept.
             return big.where(~F.coalesce(member, F.lit(False)))
         return big.where(member)
-    keys = small.select(F.col(small_key).alias("__k")).where(F.col("__k").isNotNull()).distinct()
-    how = "left_anti" if anti else "left_semi"
-    return big.join(keys, big[big_key] == keys["__k"], how)
+    # Fallback: a salted shuffle join, so one key holding a large share of
+    # ``big`` is spread over several reducers.
+    if anti:
+        return salted_anti_join(big, small, big_key, small_key)
+    return salted_semi_join(big, small, big_key, small_key)
 
 
 def membership_flag(
@@ -65,17 +68,10 @@ def membership_flag(
 ) -> DataFrame:
     """``big`` with a boolean ``flag``: key is in ``small`` (NULL key gives false).
 
-    Same size check as ``semi_join_checked``; the fallback is a left join
-    against the distinct keys of ``small``.
+    Same size check as ``semi_join_checked``; the fallback is a salted left
+    join against the distinct keys of ``small``.
     """
     values = bounded_values(small, small_key, max_values)
     if values is not None:
         return big.withColumn(flag, F.coalesce(F.col(big_key).isin(values), F.lit(False)))
-    keys = (
-        small.select(F.col(small_key).alias("__k"))
-        .where(F.col("__k").isNotNull())
-        .distinct()
-        .withColumn("__hit", F.lit(True))
-    )
-    joined = big.join(keys, big[big_key] == keys["__k"], "left")
-    return joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop("__k", "__hit")
+    return salted_flag_join(big, small, big_key, small_key, flag)

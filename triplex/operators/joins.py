@@ -67,3 +67,28 @@ def salted_inner_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
     right = _replicated_keys(keys, key, buckets, keep)
     cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right[_SALT])
     return salted.join(right, cond, "inner").drop(_SALT, _KEY)
+
+
+def salted_anti_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
+                     buckets: int = SALT_BUCKETS) -> DataFrame:
+    """Rows of ``big`` whose ``big_key`` does not occur in ``keys[key]`` (NULL keys kept)."""
+    salted = big.withColumn(_SALT, _salt_of(big, buckets) if buckets > 1 else F.lit(0).cast("long"))
+    right = _replicated_keys(keys, key, buckets, []).withColumnRenamed(_SALT, "__salt_r")
+    cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right["__salt_r"])
+    return salted.join(right, cond, "left_anti").drop(_SALT)
+
+
+def salted_flag_join(big: DataFrame, keys: DataFrame, big_key: str, key: str, flag: str,
+                     buckets: int = SALT_BUCKETS) -> DataFrame:
+    """``big`` with a boolean ``flag``: its key occurs in ``keys[key]`` (NULL key: false)."""
+    salted = big.withColumn(_SALT, _salt_of(big, buckets) if buckets > 1 else F.lit(0).cast("long"))
+    right = (
+        _replicated_keys(keys, key, buckets, [])
+        .withColumnRenamed(_SALT, "__salt_r")
+        .withColumn("__hit", F.lit(True))
+    )
+    cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right["__salt_r"])
+    joined = salted.join(right, cond, "left")
+    return joined.withColumn(flag, F.coalesce(F.col("__hit"), F.lit(False))).drop(
+        _SALT, _KEY, "__salt_r", "__hit"
+    )

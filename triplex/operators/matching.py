@@ -5,7 +5,7 @@
   subjects x objects product, so the product + contains + join-back form
   equals a per-row filter: O(N) instead of O(|S| * |O|).
 * ``subject_as_object``: triples whose subject is referenced as an object
-  id somewhere (an equi semi join).
+  id somewhere (a salted equi join against the distinct ids).
 * ``substring_pairs``: every (distinct subject, distinct object) pair with
   ``contains(object, subject)``, exact, as an *equi* join: each object
   emits the substrings that could be a subject (lengths taken from the
@@ -20,9 +20,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triplex.functions.clean import clean_subject, object_id
 from triplex.operators.bounded import bounded_values
 from triplex.operators.domains import domain_triples
-from triplex.functions.clean import clean_subject, object_id
 from triplex.operators.joins import SALT_BUCKETS, SALT_COLUMN, salted_semi_join
 from triplex.operators.triples import clean_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
