@@ -108,3 +108,17 @@ def test_raw_first_subject_join_shuffles_triples_once(spark):
     # one exchange on the triple side (join key + salt), one + one on the id side
     assert plan.count("Exchange hashpartitioning(_cs") == 1
     assert "Exchange hashpartitioning(Subject, Predicate, Object" not in plan
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_piece = st.lists(st.sampled_from(["a", "b", ".", "*", "(", "\\", "E", "Q", "é", " "]), min_size=0, max_size=5).map("".join)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([512, 0]))
+def test_substring_pairs_property(spark, monkeypatch, pairs, regex_prefixes):
+    monkeypatch.setattr(matching, "MAX_REGEX_PREFIXES", regex_prefixes)
+    cl = triples_df(spark, [(s, "p", o) for s, o in pairs])
+    assert rows(matching.substring_pairs(cl, 4)) == rows(brute_pairs(cl))
