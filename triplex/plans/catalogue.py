@@ -49,6 +49,12 @@ def _parts(spark, d):
 
 
 def _no_line_chars(c):
+    """True when a field can be written on one TSV line.
+
+    The line format has no quoting, so a field holding a tab or a line break
+    cannot be represented; those rows are not part of a TSV dump at all (this
+    is the format's constraint, not a size cap).
+    """
     c = F.col(c)
     return ~(c.contains("\t") | c.contains("\n") | c.contains("\r"))
 
