@@ -48,9 +48,8 @@ def brute_pairs(cl):
     return s.crossJoin(o).where(F.col("Object").contains(F.col("Subject")))
 
 
-@pytest.mark.parametrize("regex_prefixes,shapes", [(512, 65536), (0, 65536), (512, 0)])
-def test_substring_pairs_exact(spark, monkeypatch, regex_prefixes, shapes):
-    monkeypatch.setattr(matching, "MAX_REGEX_PREFIXES", regex_prefixes)
+@pytest.mark.parametrize("shapes", [65536, 0, 3])
+def test_substring_pairs_exact(spark, monkeypatch, shapes):
     monkeypatch.setattr(matching, "MAX_SHAPES", shapes)
     cl = triples_df(spark, SUBSTRING_FIXTURE)
     got = rows(matching.substring_pairs(cl))
@@ -58,6 +57,20 @@ def test_substring_pairs_exact(spark, monkeypatch, regex_prefixes, shapes):
     assert ("m.u1", "click of m.u12") in got and ("", "anything") in got
 
 
+def test_trie_regex_matches_exactly_the_words():
+    import re
+
+    words = ["m.c", "m.d", "<ht", "a*b", "\\Ex", "éé1"]
+    # The pattern uses Java code-point escapes; rewrite them for Python's re.
+    java = matching._trie_regex(words)
+    py = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: re.escape(chr(int(m.group(1), 16))), java)
+    full = re.compile(f"(?:{py})\\Z")
+    for w in words:
+        assert full.match(w)
+    for w in ["m.e", "<hx", "ab", "a*", "Ex", "éé2", "m."]:
+        assert not full.match(w)
+
+
 def test_substring_pairs_no_product_in_plan(spark):
     cl = triples_df(spark, SUBSTRING_FIXTURE)
     plan = matching.substring_pairs(cl)._jdf.queryExecution().executedPlan().toString()
@@ -117,8 +130,8 @@ _piece = st.lists(st.sampled_from(["a", "b", ".", "*", "(", "\\", "E", "Q", "é"
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([512, 0]))
-def test_substring_pairs_property(spark, monkeypatch, pairs, regex_prefixes):
-    monkeypatch.setattr(matching, "MAX_REGEX_PREFIXES", regex_prefixes)
+@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([65536, 0]))
+def test_substring_pairs_property(spark, monkeypatch, pairs, shapes):
+    monkeypatch.setattr(matching, "MAX_SHAPES", shapes)
     cl = triples_df(spark, [(s, "p", o) for s, o in pairs])
     assert rows(matching.substring_pairs(cl, 4)) == rows(brute_pairs(cl))

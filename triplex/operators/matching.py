@@ -31,9 +31,8 @@ from triplex.schema import OBJECT, PREDICATE, SUBJECT
 # their number is checked before that.
 MAX_SUBJECT_LENGTHS = 4096
 MAX_SHAPES = 65536
-# Above this many prefixes the start positions are tested against a hash set
-# instead of one regex alternation.
-MAX_REGEX_PREFIXES = 512
+# Distinct first characters can never exceed the number of Unicode code points.
+MAX_FIRST_CHARS = 0x110000
 
 # --- FIXED VALUES: id-shaped tokens ------------------------------------------
 # An id token starts at the beginning of the text or after a character that
@@ -81,57 +80,89 @@ def subject_as_object_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS)
     return clean_triples(deduped.select(SUBJECT, PREDICATE, OBJECT))
 
 
-def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str] | None, int]:
+def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str], int]:
     """Distinct subject lengths, and the ``k``-character prefixes of the subjects.
 
     One size-checked job over the distinct ``(length, first 3 chars)`` pairs;
-    ``k`` is 3 or the shortest non-empty subject length if smaller.  Above
-    the bound only the lengths are kept (and checked) and every start
-    position stays a candidate.
+    ``k`` is 3, or the shortest non-empty subject length if smaller.  If that
+    set is too large, lengths and ``k``-prefixes are collected separately
+    (each size-checked), and if the prefixes are still too many, ``k`` drops
+    to 1 (first characters), so a prefix set always exists.
     """
     shapes = subjects.select(F.length(SUBJECT).alias("L"), F.substring(SUBJECT, 1, 3).alias("p")).distinct()
     rows = shapes.limit(MAX_SHAPES + 1).collect()
-    if len(rows) > MAX_SHAPES:
-        lengths = bounded_values(subjects.select(F.length(SUBJECT).alias("L")), "L", MAX_SUBJECT_LENGTHS)
-        if lengths is None:
-            raise ValueError(f"more than {MAX_SUBJECT_LENGTHS} distinct subject lengths")
-        return lengths, None, 1
-    lengths = sorted({r["L"] for r in rows})
+    if len(rows) <= MAX_SHAPES:
+        lengths = sorted({r["L"] for r in rows})
+        positive = [L for L in lengths if L > 0]
+        k = min(3, min(positive)) if positive else 1
+        return lengths, sorted({r["p"][:k] for r in rows if r["L"] > 0}), k
+    lengths = bounded_values(subjects.select(F.length(SUBJECT).alias("L")), "L", MAX_SUBJECT_LENGTHS)
+    if lengths is None:
+        raise ValueError(f"more than {MAX_SUBJECT_LENGTHS} distinct subject lengths")
     positive = [L for L in lengths if L > 0]
-    k = min(3, min(positive)) if positive else 1
-    return lengths, sorted({r["p"][:k] for r in rows if r["L"] > 0}), k
+    if not positive:
+        return lengths, [], 1
+    nonempty = subjects.where(F.length(SUBJECT) > 0)
+    k = min(3, min(positive))
+    prefixes = bounded_values(nonempty.select(F.substring(SUBJECT, 1, k).alias("p")), "p", MAX_SHAPES)
+    if prefixes is None:
+        k = 1
+        prefixes = bounded_values(nonempty.select(F.substring(SUBJECT, 1, 1).alias("p")), "p", MAX_FIRST_CHARS)
+    return lengths, prefixes, k
 
 
-def _quote_regex(text: str) -> str:
-    """Java-regex literal for ``text``."""
-    return "\\Q" + text.replace("\\E", "\\E\\\\E\\Q") + "\\E"
+def _char(c: str) -> str:
+    """One character as a Java-regex code-point escape (safe for any character)."""
+    return f"\\x{{{ord(c):X}}}"
 
 
-def _candidate_substrings(o, lengths: list[int], prefixes: list[str] | None, k: int):
+def _trie_regex(words: list[str]) -> str:
+    """A regex matching exactly ``words``, shaped as a trie of their characters.
+
+    At each text position the matcher dispatches on one character per level
+    instead of trying every word in turn, so the cost per position stays a
+    few character comparisons even for tens of thousands of words.
+    """
+    trie: dict = {}
+    for w in words:
+        node = trie
+        for c in w:
+            node = node.setdefault(c, {})
+        node[""] = {}
+
+    def emit(node: dict) -> str:
+        ends = "" in node
+        branches = {c: sub for c, sub in node.items() if c != ""}
+        if not branches:
+            return ""
+        leaves = [c for c, sub in branches.items() if list(sub) == [""]]
+        inner = [c for c in branches if c not in leaves]
+        alts = [_char(c) + emit(branches[c]) for c in sorted(inner)]
+        if leaves:
+            alts.append(_char(leaves[0]) if len(leaves) == 1 else "[" + "".join(_char(c) for c in sorted(leaves)) + "]")
+        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
+        return f"(?:{body})?" if ends else body
+
+    return emit(trie)
+
+
+def _candidate_substrings(o, lengths: list[int], prefixes: list[str], k: int):
     """Distinct substrings of ``o`` that have a subject's length and start like a subject.
 
-    With a short prefix list, one compiled regex finds every position where
-    a subject prefix occurs (a zero-width lookahead, so overlapping
-    occurrences are all found) and captures the window of up to the longest
-    subject length that starts there; the candidates are that window's
-    leading substrings of each subject length.  With a long prefix list the
-    start positions are enumerated and tested against the set.
+    One compiled regex finds every position where a subject prefix occurs (a
+    zero-width lookahead, so overlapping occurrences are all found; the
+    prefixes form a trie-shaped pattern) and captures the window of up to the
+    longest subject length from there; the candidates are that window's
+    leading substrings of each subject length.
     """
     longest = max(lengths)
+    pattern = f"(?s)(?=({_trie_regex(prefixes)}.{{0,{longest - k}}}))"
+    windows = F.regexp_extract_all(o, F.lit(pattern), 1)
     cut = lambda w: F.filter(
         F.array(*[F.when(F.length(w) >= L, w.substr(F.lit(1), F.lit(L))) for L in lengths]),
         lambda x: x.isNotNull(),
     )
-    if prefixes is not None and len(prefixes) <= MAX_REGEX_PREFIXES:
-        alternation = "|".join(_quote_regex(p) for p in prefixes)
-        pattern = f"(?s)(?=((?:{alternation}).{{0,{longest - k}}}))"
-        windows = F.regexp_extract_all(o, F.lit(pattern), 1)
-        return F.array_distinct(F.flatten(F.transform(windows, cut)))
-    n = F.length(o)
-    starts = F.sequence(F.lit(1), F.greatest(n, F.lit(1)))
-    if prefixes is not None:
-        starts = F.filter(starts, lambda i: o.substr(i, F.lit(k)).isin(prefixes))
-    return F.array_distinct(F.flatten(F.transform(starts, lambda i: cut(o.substr(i, F.lit(longest))))))
+    return F.array_distinct(F.flatten(F.transform(windows, cut)))
 
 
 def substring_pairs(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
