@@ -130,8 +130,10 @@ _piece = st.lists(st.sampled_from(["a", "b", ".", "*", "(", "\\", "E", "Q", "é"
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([65536, 0]))
-def test_substring_pairs_property(spark, monkeypatch, pairs, shapes):
+@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([65536, 0]),
+       st.sampled_from([1 << 20, 3, 1]))
+def test_substring_pairs_property(spark, monkeypatch, pairs, shapes, chunk):
     monkeypatch.setattr(matching, "MAX_SHAPES", shapes)
+    monkeypatch.setattr(matching, "CHUNK_CHARS", chunk)
     cl = triples_df(spark, [(s, "p", o) for s, o in pairs])
     assert rows(matching.substring_pairs(cl, 4)) == rows(brute_pairs(cl))

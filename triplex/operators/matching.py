@@ -31,6 +31,9 @@ from triplex.schema import OBJECT, PREDICATE, SUBJECT
 # their number is checked before that.
 MAX_SUBJECT_LENGTHS = 4096
 MAX_SHAPES = 65536
+# Objects longer than this are scanned in overlapping chunks, so the
+# candidate array of one row stays bounded whatever the text length.
+CHUNK_CHARS = 1 << 20
 # Distinct first characters can never exceed the number of Unicode code points.
 MAX_FIRST_CHARS = 0x110000
 
@@ -182,8 +185,22 @@ def substring_pairs(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFram
     positive = [L for L in lengths if L > 0]
     if positive:
         o = F.col(OBJECT)
-        cands = objects.where(F.length(o) > 0).select(
-            OBJECT, F.explode(_candidate_substrings(o, positive, prefixes, k)).alias("_sub")
+        # Chunks overlap by (longest subject - 1) characters, so every
+        # occurrence lies wholly inside some chunk.  The distinct on
+        # (Object, candidate) removes repeats from overlaps and reuses the
+        # hash partitioning on Object of the distinct objects (no shuffle).
+        size, overlap = CHUNK_CHARS, max(positive) - 1
+        chunks = F.when(F.length(o) <= size, F.array(o)).otherwise(
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.length(o) - 1) / size).cast("int")),
+                lambda i: o.substr(i * size + 1, F.lit(size + overlap)),
+            )
+        )
+        cands = (
+            objects.where(F.length(o) > 0)
+            .select(OBJECT, F.explode(chunks).alias("_chunk"))
+            .select(OBJECT, F.explode(_candidate_substrings(F.col("_chunk"), positive, prefixes, k)).alias("_sub"))
+            .distinct()
         )
         # A substring mentioned in very many objects is a hot key on the
         # candidate side; the subject side is distinct, so it is salted.
