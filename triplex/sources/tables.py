@@ -7,6 +7,8 @@ and only for the columns it needs (column pruning reaches the Parquet scan).
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,16 +73,29 @@ def _triples(df: DataFrame, *rows: tuple[Column, Column | str, Column]) -> DataF
     return df.select(F.explode(F.array(*structs)).alias("_t")).select("_t.*")
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One test table; declared schema when known, else inferred."""
+# DataFrames are immutable, lazily evaluated plans: the plan objects (not
+# data) are reused per (session, folder), which saves re-listing files and
+# re-analysing the adapter plan for every query built in one session.
+@lru_cache(maxsize=64)
+def _load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     reader = spark.read
     if name in TABLE_SCHEMAS:
         reader = reader.schema(TABLE_SCHEMAS[name])
-    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return reader.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table; declared schema when known, else inferred."""
+    return _load_table(spark, sf_dir.rstrip("/"), name)
 
 
 def raw_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Union of all adapter branches: ``Subject, Predicate, Object`` strings."""
+    return _raw_triples(spark, sf_dir.rstrip("/"))
+
+
+@lru_cache(maxsize=16)
+def _raw_triples(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = {name: load_table(spark, sf_dir, name) for name in TABLES}
     nation, customer, orders, part = t["nation"], t["customer"], t["orders"], t["part"]
     supplier, events, documents = t["supplier"], t["events"], t["documents"]
