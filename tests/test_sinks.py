@@ -80,3 +80,18 @@ def test_lossless_merge_round_trip(spark):
     write_delimited(df, parts, lossless=True)
     merged = merge_parts(spark, parts, scratch_path(spark, "t-lmerged"), TRIPLE_SCHEMA, header=True, lossless=True)
     assert sorted(map(tuple, merged.collect()), key=repr) == sorted(TRICKY, key=repr)
+
+
+def test_gzip_dump_with_spread(spark):
+    import gzip
+
+    d = scratch_path(spark, "t-gz")
+    os.makedirs(d)
+    lines = [f"<s{i % 50}>\t<p{i % 3}>\t\"o{i % 7}\"@en\t." for i in range(2000)]
+    with gzip.open(os.path.join(d, "dump.tsv.gz"), "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    plain = read_triples(spark, d, "ntriples")
+    spread = read_triples(spark, d, "ntriples", spread=8)
+    assert plain.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() == 8
+    assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
+    assert spread.dropDuplicates().count() == len(set(lines))

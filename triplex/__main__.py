@@ -22,6 +22,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap = argparse.ArgumentParser(prog="triplex", description=__doc__.splitlines()[0])
     ap.add_argument("--input", required=True, nargs="+", help="tab-separated triple files or folders")
     ap.add_argument("--mode", choices=("compat", "ntriples"), default="compat", help="quoting of the input")
+    ap.add_argument("--spread", type=int, default=None,
+                    help="round-robin the parsed rows over N partitions (for unsplittable .gz input)")
     ap.add_argument("--domain", default=DEFAULT_DOMAIN)
     ap.add_argument("--fraction", type=float, default=DEFAULT_SAMPLE_FRACTION)
     ap.add_argument("--sample-mode", choices=("hash", "random"), default="hash")
@@ -54,7 +56,8 @@ def main(argv=None, spark=None) -> dict:
         seed=args.seed,
         work_dir=args.work_dir,
     )
-    result = run_batch(spark, read_triples(spark, args.input, args.mode), cfg, perform_counts=not args.no_counts)
+    raw = read_triples(spark, args.input, args.mode, spread=args.spread)
+    result = run_batch(spark, raw, cfg, perform_counts=not args.no_counts)
     report = {"counters": result.counters, "seconds": result.seconds, "paths": result.paths}
     print(json.dumps(report, indent=2))
     return report

@@ -34,16 +34,24 @@ def _tsv_reader(spark: SparkSession, schema: StructType, mode: str):
     return reader
 
 
-def read_triples(spark: SparkSession, path: str | list[str], mode: str = "compat") -> DataFrame:
+def read_triples(
+    spark: SparkSession, path: str | list[str], mode: str = "compat", spread: int | None = None
+) -> DataFrame:
     """Scan headerless ``subject<TAB>predicate<TAB>object<TAB>.`` lines.
 
     ``compat`` applies the CSV reader's default quoting (a field that is
     entirely quoted loses its quotes, backslash escapes are consumed);
     ``ntriples`` disables quoting so fields are read verbatim.  The trailing
     ``.`` column is dropped; Catalyst prunes it from the scan.
+
+    ``spread``: for unsplittable input (a ``.gz`` dump is read by one task
+    per file), distribute the parsed rows round-robin over ``spread``
+    partitions right after the scan.  Round-robin, not a hash of the triple,
+    so the dedup still combines duplicate copies map-side before its own
+    shuffle.  Leave it unset for splittable input: it costs a shuffle.
     """
-    df = _tsv_reader(spark, RAW_TRIPLE_SCHEMA, mode).csv(path)
-    return df.drop("Blank")
+    df = _tsv_reader(spark, RAW_TRIPLE_SCHEMA, mode).csv(path).drop("Blank")
+    return df.repartition(spread) if spread else df
 
 
 def positional_triples(df: DataFrame) -> DataFrame:
