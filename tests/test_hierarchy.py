@@ -81,3 +81,8 @@ def test_leaves_match_template_model(spark, preds):
 def test_null_predicates_ignored(spark):
     df = one_col(spark, "Predicate", [None, "a.b"])
     assert [r[0] for r in leaf_predicates(df).collect()] == ["a.b"]
+
+
+def test_empty_named_domain_keeps_original_predicates(spark):
+    cl = _cl(spark, [".x", ".y.z", ".y", "a.b"])
+    assert sorted(r[0] for r in domain_leaves(cl, "").collect()) == [".x", ".y.z"]
