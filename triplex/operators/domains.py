@@ -77,7 +77,13 @@ def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int | None = None)
 
 
 def domain_triples_from_raw(raw: DataFrame, domain: str) -> DataFrame:
-    """Same rows as ``domain_triples(clean_triples(drop_duplicate_triples(raw)), domain)``."""
+    """Same rows as ``domain_triples(clean_triples(drop_duplicate_triples(raw)), domain)``.
+
+    The size check reads the raw predicate column once more; on a columnar
+    source that is one narrow column, on a text dump it is a second full
+    read, so repeated domain work should run on the Parquet table written by
+    the batch run (``plans.batch``), where the filter is pushed into the scan.
+    """
     return clean_triples(drop_duplicate_triples(raw_domain_rows(raw.select(*TRIPLE_COLUMNS), domain)))
 
 
