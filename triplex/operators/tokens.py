@@ -54,13 +54,22 @@ def triple_tokens(cl: DataFrame) -> DataFrame:
 
 
 def token_frequency(df: DataFrame, text: str, id_col: str, stop_words: str = "none") -> DataFrame:
-    """Per token: occurrences ``n`` and number of distinct rows ``n_rows`` holding it."""
-    toks = with_tokens(df.select(id_col, text), text, stop_words, "_t").select(
-        id_col, F.explode("_t").alias("token")
+    """Per token: occurrences ``n`` and number of rows ``n_rows`` holding it.
+
+    ``id_col`` must identify the rows (a key such as ``doc_id``).  Each row
+    emits its tokens followed by its distinct tokens in one ``posexplode``;
+    a position below the token count is an occurrence, the rest mark the
+    row's distinct tokens.  One aggregate keyed by the token alone, so each
+    task ships one partial row per distinct token (not per token and row).
+    """
+    toks = with_tokens(df.select(id_col, text), text, stop_words, "_t")
+    both = toks.select(
+        F.size("_t").alias("_n"),
+        F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_p", "token"),
     )
-    per_row = toks.groupBy("token", id_col).agg(F.count(F.lit(1)).alias("_n"))
-    return per_row.groupBy("token").agg(
-        F.sum("_n").cast("long").alias("n"), F.count(F.lit(1)).alias("n_rows")
+    occurrence = (F.col("_p") < F.col("_n")).cast("long")
+    return both.groupBy("token").agg(
+        F.sum(occurrence).alias("n"), F.sum(1 - occurrence).alias("n_rows")
     )
 
 
