@@ -112,3 +112,24 @@ def test_edge_cases(spark):
     null_preds = triples_df(spark, [("s", None, "o")])
     assert predicate_hierarchy(null_preds).count() == 0 and leaf_predicates(null_preds).count() == 0
     assert domain_counts(null_preds).collect()[0]["n_predicates"] == 0
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_path = st.lists(st.sampled_from(["d", "e", "x", ""]), min_size=1, max_size=4).map(".".join)
+_raw_pred = st.one_of(
+    _path,
+    st.builds(lambda p: f"<http://a/{p}>", _path),
+    st.builds(lambda p: f"<http://b/c/{p}>", _path),
+)
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(st.sampled_from(["<s1>", "<s2>"]), _raw_pred), min_size=1, max_size=10),
+       st.sampled_from(["d", "e", "x"]))
+def test_raw_first_domain_property(spark, rows, domain):
+    raw = triples_df(spark, [(s, p, '"o"@en') for s, p in rows])
+    want = sorted(map(tuple, domains.domain_triples(clean_triples(drop_duplicate_triples(raw)), domain).collect()))
+    got = sorted(map(tuple, domains.domain_triples_from_raw(raw, domain).collect()))
+    assert got == want

@@ -9,12 +9,12 @@ semi join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplex.functions.clean import clean_predicate
+from triplex.functions.clean import clean_predicate, domain_of
 from triplex.operators.bounded import semi_join_checked
-from triplex.operators.hierarchy import domain_leaves
+from triplex.operators.hierarchy import domain_leaves, prefix_rows
 from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 
@@ -62,9 +62,17 @@ def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
     vocab = (
         raw.select(PREDICATE).where(F.col(PREDICATE).isNotNull()).distinct()
         .select(F.col(PREDICATE).alias("_raw"), clean_predicate(PREDICATE).alias(PREDICATE))
+        .where(domain_of(PREDICATE) == domain)
+    )
+    # Every dotted prefix of each cleaned predicate, the raw value carried
+    # along; a cleaned predicate is a leaf when no row with the same path
+    # has a child.  One window over the (small) vocabulary, no join.
+    nodes = prefix_rows(vocab, extra=["_raw"])
+    inner = F.max("has_child").over(Window.partitionBy("path"))
+    flagged = nodes.withColumn("_inner", inner)
+    return flagged.where(~F.col("has_child") & ~F.col("_inner") & F.col("path").contains(".")).select(
+        F.col("_raw").alias(PREDICATE)
     )
-    leaves = domain_leaves(vocab.select(PREDICATE), domain)
-    return vocab.join(leaves, PREDICATE, "inner").select(F.col("_raw").alias(PREDICATE))
 
 
 def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int | None = None) -> DataFrame:

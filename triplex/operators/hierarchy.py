@@ -22,7 +22,7 @@ from triplex.operators.vocabulary import predicate_counts, unique_predicates
 from triplex.schema import PREDICATE
 
 
-def _prefix_rows(preds: DataFrame, extra: list[str] | None = None) -> DataFrame:
+def prefix_rows(preds: DataFrame, extra: list[str] | None = None) -> DataFrame:
     """Explode every dotted prefix of ``Predicate`` into one node row.
 
     ``has_child`` is true when the node is a strict prefix of the predicate
@@ -51,7 +51,7 @@ def predicate_hierarchy(cl: DataFrame) -> DataFrame:
     One aggregate over the exploded prefixes of the distinct predicates: a
     node is a leaf when no predicate continues below it.  No join.
     """
-    nodes = _prefix_rows(unique_predicates(cl))
+    nodes = prefix_rows(unique_predicates(cl))
     return nodes.groupBy("path", "parent", "part", "depth").agg(
         (~F.max("has_child")).alias("is_leaf")
     )
@@ -61,7 +61,7 @@ def hierarchy_sizes(cl: DataFrame) -> DataFrame:
     """Per node: distinct predicates and triples in its subtree (itself included)."""
     counts = predicate_counts(cl)
     return (
-        _prefix_rows(counts, extra=["n"])
+        prefix_rows(counts, extra=["n"])
         .groupBy("path", "depth")
         .agg(F.count(F.lit(1)).alias("n_predicates"), F.sum("n").cast("long").alias("n_triples"))
     )
@@ -69,7 +69,7 @@ def hierarchy_sizes(cl: DataFrame) -> DataFrame:
 
 def _leaves(vocab: DataFrame) -> DataFrame:
     return (
-        _prefix_rows(vocab)
+        prefix_rows(vocab)
         .groupBy("path")
         .agg(F.max("has_child").alias("_inner"))
         .where(~F.col("_inner"))
