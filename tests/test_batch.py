@@ -50,3 +50,23 @@ def test_command_line_run(spark, sf_small):
     report = main(["--input", tsv, "--mode", "ntriples", "--domain", "event", "--unique-predicates"], spark=spark)
     assert report["counters"]["initCount"] == tr.count()
     assert report["counters"]["domainCount"] > 0 and os.path.isdir(report["paths"]["unique_predicates"])
+
+
+def test_scratch_follows_configured_checkpoint_dir(spark, tmp_path_factory):
+    from triplex.session import checkpoint_root, scratch_path
+
+    # spark.checkpoint.dir is fixed when a session starts: emulate one that set it.
+    shared = str(tmp_path_factory.mktemp("shared-ckpt"))
+    conf = spark.conf
+    real_get = conf.get
+
+    def get(key, *default):
+        return shared if key == "spark.checkpoint.dir" else real_get(key, *default)
+
+    import pytest
+
+    with pytest.MonkeyPatch.context() as mp:
+        mp.setattr(conf, "get", get)
+        assert checkpoint_root(spark) == shared
+        p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
+        assert p1.startswith(shared + "/scratch/x-") and p1 != p2
