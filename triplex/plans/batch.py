@@ -12,6 +12,7 @@ actions (not around lazy plan building).
 from __future__ import annotations
 
 import time
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -72,20 +73,18 @@ class RunResult:
 
 
 class _Clock:
+    """Elapsed seconds per named stage, measured around actions."""
+
     def __init__(self):
         self.seconds: dict[str, float] = {}
 
+    @contextmanager
     def __call__(self, name: str):
-        clock = self
-
-        class _Span:
-            def __enter__(self):
-                self.t0 = time.perf_counter()
-
-            def __exit__(self, *exc):
-                clock.seconds[name] = clock.seconds.get(name, 0.0) + time.perf_counter() - self.t0
-
-        return _Span()
+        t0 = time.perf_counter()
+        try:
+            yield
+        finally:
+            self.seconds[name] = self.seconds.get(name, 0.0) + time.perf_counter() - t0
 
 
 def materialise_cleaned(raw: DataFrame, path: str, counters: dict[str, int] | None = None) -> DataFrame:
