@@ -23,7 +23,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--input", required=True, nargs="+", help="tab-separated triple files or folders")
     ap.add_argument("--mode", choices=("compat", "ntriples"), default="compat", help="quoting of the input")
     ap.add_argument("--spread", type=int, default=None,
-                    help="round-robin the parsed rows over N partitions (for unsplittable .gz input)")
+                    help="round-robin the parsed rows over N partitions "
+                         "(default for .gz inputs: the session's parallelism)")
     ap.add_argument("--domain", default=DEFAULT_DOMAIN)
     ap.add_argument("--fraction", type=float, default=DEFAULT_SAMPLE_FRACTION)
     ap.add_argument("--sample-mode", choices=("hash", "random"), default="hash")
@@ -56,7 +57,11 @@ def main(argv=None, spark=None) -> dict:
         seed=args.seed,
         work_dir=args.work_dir,
     )
-    raw = read_triples(spark, args.input, args.mode, spread=args.spread)
+    spread = args.spread
+    if spread is None and any(str(p).endswith(".gz") for p in args.input):
+        # gzip files cannot be split: spread the parsed rows over the cluster.
+        spread = spark.sparkContext.defaultParallelism
+    raw = read_triples(spark, args.input, args.mode, spread=spread)
     result = run_batch(spark, raw, cfg, perform_counts=not args.no_counts)
     report = {"counters": result.counters, "seconds": result.seconds, "paths": result.paths}
     print(json.dumps(report, indent=2))
