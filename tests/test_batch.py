@@ -70,3 +70,20 @@ def test_scratch_follows_configured_checkpoint_dir(spark, tmp_path_factory):
         assert checkpoint_root(spark) == shared
         p1, p2 = scratch_path(spark, "x"), scratch_path(spark, "x")
         assert p1.startswith(shared + "/scratch/x-") and p1 != p2
+
+
+def test_command_line_gzip_input(spark):
+    import gzip
+
+    from triplex.__main__ import main
+    from triplex.session import scratch_path
+
+    d = scratch_path(spark, "t-cli-gz")
+    os.makedirs(d)
+    fb = "http://rdf.freebase.com/ns/"
+    lines = [f"<{fb}m.{i % 40}>\t<{fb}common.topic.alias>\t\"n{i % 90}\"@en\t." for i in range(600)]
+    with gzip.open(os.path.join(d, "dump.tsv.gz"), "wt") as f:
+        f.write("\n".join(lines) + "\n")
+    report = main(["--input", os.path.join(d, "dump.tsv.gz"), "--mode", "ntriples"], spark=spark)
+    assert report["counters"]["initCount"] == 600
+    assert report["counters"]["finalCount"] == len(set(lines)) == report["counters"]["domainCount"]
