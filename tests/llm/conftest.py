@@ -1,0 +1,35 @@
+import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+#: Extra columns whose names operators use themselves.
+DOCS = StructType([
+    StructField("doc_id", LongType()),
+    StructField("text", StringType()),
+    StructField("lang", StringType()),
+    StructField("source", StringType()),
+    StructField("n_chars", LongType()),
+    StructField("fp", StringType()),
+    StructField("kept", StringType()),
+    StructField("digest", StringType()),
+    StructField("bucket", StringType()),
+    StructField("start", StringType()),
+])
+
+
+@pytest.fixture(scope="session")
+def make_docs(spark):
+    """Documents from ``(doc_id, text)`` or ``(doc_id, text, source)`` rows, with clashing extra columns."""
+
+    def make(rows, lang=None):
+        full = []
+        for r in rows:
+            doc_id, text, source = (*r, "s")[:3] if len(r) == 2 else r
+            full.append((doc_id, text, lang(text) if lang else None, source, None, "x", "y", "z", None, "0"))
+        return spark.createDataFrame(full, DOCS).repartition(3)
+
+    return make
+
+
+@pytest.fixture(scope="session")
+def llm_documents(spark, sf_small):
+    return spark.read.parquet(f"{sf_small}/documents.parquet")
