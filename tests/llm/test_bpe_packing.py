@@ -1,0 +1,92 @@
+import hashlib
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import public_tokenizers
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from triplex.llm import bpe, packing
+from triplex.llm.queries import byte_bpe
+
+TEXTS = [None, "", "Hello world", " a  b\n\n c\t ", "'s it's", "<|endoftext|> é日本 😀 " * 30, "word " * 900, " " * 700, "x" * 600, "a\n" * 500 + "日本語" * 200, "1 2,3 " * 300]
+
+
+def encoder():
+    return packing.rank_encoder(*byte_bpe())
+
+
+@pytest.mark.parametrize("chunk,overlap", [(bpe.CHUNK, bpe.OVERLAP), (64, 16), (50, 40), (100, 4)])
+def test_chunked_encoding_and_round_trip(make_docs, chunk, overlap):
+    rows = list(enumerate(TEXTS)) + [(2, TEXTS[2]), (None, "none " * 100)]
+    docs = make_docs(rows)
+    got = bpe.encode(docs, *byte_bpe(), chunk=chunk, overlap=overlap)
+    decoded = {r["doc_id"]: r["bytes"] for r in bpe.decode(got, *byte_bpe()).collect()}
+    found = got.collect()
+    assert len(found) == len(rows)
+    texts = dict(rows)
+    for r in found:
+        text = texts[r["doc_id"]] or ""
+        assert np.frombuffer(r["ids"], "<u4").tolist() == encoder().encode_ordinary(text), text[:40]
+        assert r["decoded"] == decoded[r["doc_id"]] == text.encode()
+    digests = {r["doc_id"]: r for r in bpe.encode(docs, *byte_bpe(), digests=True, chunk=chunk, overlap=overlap).collect()}
+    for i, text in rows:
+        ids = encoder().encode_ordinary(text or "")
+        assert digests[i]["ids"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet="ab1 \n\t'sé,.", max_size=300), st.integers(5, 40), st.integers(2, 30))
+def test_stitched_cuts_are_boundaries(text, chunk, overlap):
+    import regex
+
+    pattern = public_tokenizers.PATTERN
+    parts = []
+    for s in bpe.chunk_starts(len(text), chunk):
+        part = text[s : s + chunk + overlap]
+        ends = bpe.boundaries(part, s, pattern, s + len(part) >= len(text))
+        tail = [e for e in ends if s + chunk <= e < s + chunk + overlap]
+        parts.append(([e for e in ends if e < s + overlap], tail, [e for e in tail if bpe.is_sure(part, e - s)]))
+    assert set(bpe.stitch(parts)) <= {0} | {m.end() for m in regex.finditer(pattern, text)}
+
+
+def test_pieces_cover_every_document_once(make_docs):
+    rows = list(enumerate(TEXTS)) + [(50 + i, "some words here " * (i % 37 + 1) * 9) for i in range(150)]
+    out = packing.pack(make_docs(rows), packing.text_ids(*byte_bpe()), open_windows=4).collect()
+    pieces, windows = defaultdict(list), defaultdict(list)
+    for r in out:
+        assert len(r["ids"]) == 4 * r["length"] > 0
+        pieces[r["doc_id"]].append((r["start"], r["ids"], r["doc_tokens"]))
+        windows[r["sequence_id"]].append((r["offset"], r["length"]))
+    for i, text in rows:
+        ids = np.frombuffer(b"".join(p[1] for p in sorted(pieces[i])), "<u4").tolist()
+        assert ids == encoder().encode_ordinary(text or "") + [1]
+        assert all(p[2] == len(ids) for p in pieces[i])
+    for parts in windows.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= packing.WINDOW
+    total = sum(r["length"] for r in out)
+    assert len(windows) * packing.WINDOW < 1.2 * total + packing.WINDOW
+
+
+def test_ids_equal_those_of_the_tokenizers_library(make_docs):
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    t.encode_special_tokens = True  # a special token's name in a text is ordinary text
+    for text in TEXTS:
+        assert t.encode(text or "", add_special_tokens=False).ids == encoder().encode_ordinary(text or "")
+
+
+def test_repeated_rows_checksums_and_empty(make_docs):
+    docs = make_docs([(1, "a b"), (1, "a b"), (None, None)])
+    out = packing.pack(docs, packing.text_ids(*byte_bpe()), checksum_only=True).collect()
+    ids = np.array(encoder().encode_ordinary("a b") + [1], "<u4").tobytes()
+    assert [int.from_bytes(r["ids"], "big") for r in out if r["doc_id"] == 1] == [zlib.crc32(ids)] * 2 and len(out) == 3
+    assert packing.pack(docs.limit(0), packing.text_ids(*byte_bpe())).count() == 0
+    assert bpe.encode(docs.limit(0), *byte_bpe()).count() == 0

@@ -1,0 +1,50 @@
+import math
+
+import numpy as np
+import pytest
+
+from triplex.llm import maxscore
+
+SCHEMA = "vec_id long, embedding array<float>, label string, w string, part string, score string"
+
+
+def brute(rows, k):
+    ok = [(i, [math.floor(256 * x) for x in np.float32(v).astype(float)]) for i, v in rows if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, a in ok:
+        if q % 50 == 0:
+            scores = sorted((-sum(x * y for x, y in zip(a, b)), i) for i, b in ok if i != q)[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(scores, 1)]
+    return sorted(out)
+
+
+def search(spark, rows, **sizes):
+    df = spark.createDataFrame([(i, v, "x", "y", "z", "s") for i, v in rows], SCHEMA).repartition(3)
+    return sorted(tuple(r) for r in maxscore.top_k(df, df.where("vec_id % 50 = 0"), 5, **sizes).collect())
+
+
+@pytest.mark.parametrize("sizes", [{}, {"shard_rows": 40, "block_queries": 2}])
+def test_against_brute_force(spark, sizes):
+    g = np.random.default_rng(1)
+    rows = [(i, (g.normal(size=24) * (g.random(24) < 0.5)).astype("float32").tolist()) for i in range(400)]
+    rows += [(1000 + i, rows[3][1]) for i in range(20)] + [(2000, None), (2001, [1.0, None]), (2050, [float("nan")] * 24), (2051, [float("inf")])]
+    rows += [(3000, []), (3001, [0.5, 2.0]), (7, rows[7][1]), (None, [1.0])]
+    assert search(spark, rows, **sizes) == brute(rows, 5)
+
+
+def test_fewer_rows_than_k_and_empty(spark):
+    rows = [(0, [1.0, -1.0]), (1, [0.5, 0.25]), (50, [-1.0, 0.0])]
+    assert search(spark, rows) == brute(rows, 5)
+    assert search(spark, []) == []
+
+
+def test_pruning_is_exact_for_every_query():
+    g = np.random.default_rng(2)
+    post = np.round(g.normal(size=(32, 500)) * (2.0 ** -np.arange(32))[:, None] * 256)
+    ids = np.arange(500)
+    for j in range(50):
+        q = post[:, j]
+        found, scores = maxscore.shard_top(ids, post, j, q, post.min(axis=1), post.max(axis=1), 5)
+        s = q @ post
+        want = sorted((-s[i], i) for i in ids if i != j)[:5]
+        assert list(zip(-scores, found)) == want

@@ -11,7 +11,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from triplex.llm import exact_dedup, sharding, simhash
+from triplex.llm import (
+    bloom_lm,
+    bpe,
+    exact_dedup,
+    html_extract,
+    language_id,
+    maxscore,
+    ownership,
+    packing,
+    sharding,
+    simhash,
+)
 
 SHARDS = 16
 
@@ -20,11 +31,58 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def byte_bpe() -> tuple[str, str]:
+    """Rank file and pattern of the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
+
 def op1_simhash_near_dedup(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"), shingle=3, bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_lm_scoring(spark, d):
+    remainder = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7
+    return bloom_lm.score(table(spark, d, "documents"), remainder != 2)
+
+
+def op3_language_id(spark, d):
+    docs = table(spark, d, "documents")
+    out = language_id.held_out()
+    found = language_id.predict(docs, language_id.fit(docs.where(~out)))
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score")
+
+
+def op4_maxscore(spark, d):
+    vectors = table(spark, d, "embeddings")
+    return maxscore.top_k(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+def op5_packing(spark, d):
+    docs = table(spark, d, "documents")
+    pieces = packing.pack(docs, packing.text_ids(*byte_bpe()), checksum_only=True)
+    return pieces.select(
+        "doc_id", "start", "length", F.conv(F.hex("ids"), 16, 10).cast("long").alias("ids_crc32"),
+        "doc_tokens", "sequence_id", "offset",
+    )
+
+
+def op6_secret_scans(spark, d):
+    return ownership.scan(table(spark, d, "documents"))
+
+
+def op7_bpe(spark, d):
+    coded = bpe.encode(table(spark, d, "documents"), *byte_bpe(), digests=True)
+    return coded.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
+def op8_html_extraction(spark, d):
+    found = html_extract.extract(table(spark, d, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op9_exact_dedup(spark, d):
     found = exact_dedup.exact_dedup(table(spark, d, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
@@ -40,6 +98,13 @@ def op10_sharding(spark, d):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_lm_scoring": op2_lm_scoring,
+    "op3_language_id": op3_language_id,
+    "op4_maxscore": op4_maxscore,
+    "op5_packing": op5_packing,
+    "op6_secret_scans": op6_secret_scans,
+    "op7_bpe": op7_bpe,
+    "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
 }
