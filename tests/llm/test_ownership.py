@@ -45,14 +45,14 @@ def test_base_spans_against_regular_expressions(make_docs):
 
 def test_owners_separate_examples_from_live_values(make_docs):
     loose = "Xy7" * 8
-    rows = [(i, f"secret=PUBLIC99 {loose}", f"s{i}") for i in range(4)] + [(9, "secret=mine4711 " + "Zq8" * 8, "s0")]
+    rows = [(i, f"secret=PUBLIC99 {loose}", f"s{i}") for i in range(9)] + [(9, "secret=mine4711 " + "Zq8" * 8, "s0")]
     by_id = {r["doc_id"]: r for r in ownership.scan(make_docs(rows)).collect()}
     assert (by_id[0]["n_live"], by_id[0]["n_example"], "owned" in by_id[0]["spans"]) == (0, 1, False)
     assert (by_id[9]["n_live"], by_id[9]["n_example"], "owned" in by_id[9]["spans"]) == (2, 0, True)
 
 
 def test_redaction_changes_only_live_secrets(make_docs):
-    rows = [(i, "secret=PUBLIC99 stays", f"s{i}") for i in range(4)]
+    rows = [(20 + i, "secret=PUBLIC99 stays", f"s{i}") for i in range(9)]
     rows += [(7, "é token=mine4711 and token=deadbeefdeadbeefdeadbeefdead.", "s0"), (8, None, "s1"), (9, "clean", None)]
     docs = make_docs(rows)
     out = ownership.redact(docs)

@@ -9,6 +9,10 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def test_stages_against_brute_force(spark, sf_small):
     docs = spark.read.parquet(f"{sf_small}/documents.parquet")
+    planted = docs.orderBy("doc_id").limit(3).selectExpr(
+        "doc_id + 1000000 AS doc_id", "reverse(text) || ' password=' || sha1(text) AS text", "lang", "source", "n_chars"
+    )
+    docs = materialise(docs.unionByName(planted), "test-documents")
     for name, stage in corpus_pipeline.STAGES:
         before = {r["doc_id"]: r for r in docs.collect()}
         docs = materialise(stage(spark, docs, sf_small), f"test-{name}")
@@ -30,7 +34,7 @@ def test_stages_against_brute_force(spark, sf_small):
         if name == "secret_scans":
             assert set(after) == set(before)
             changed = [i for i in after if after[i]["text"] != before[i]["text"]]
-            assert changed and all(ownership.MARK in after[i]["text"] for i in changed)
+            assert len(changed) == 3 and all(ownership.MARK in after[i]["text"] for i in changed)
             assert all(after[i]["n_chars"] == len(after[i]["text"]) for i in changed)
 
 
@@ -41,5 +45,5 @@ def test_odd_rows_go_through_every_stage(spark):
     for name, stage in corpus_pipeline.STAGES[1:]:
         assert stage(spark, docs, "").count() <= len(rows), name
         assert stage(spark, docs.limit(0), "").count() == 0, name
-    assert exact_dedup.drop_copies(docs).count() == 4
+    assert exact_dedup.drop_copies(docs).count() == 3
     assert language_id.keep_known(docs, language_id.fit(docs)).count() == 3
