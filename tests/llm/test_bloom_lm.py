@@ -19,7 +19,9 @@ ROWS = [(i, "The quick  brown\tfox é\x0bÉ jumps\x0c over " * (i % 4) + f"w{i %
 ROWS += [(100, None), (101, ""), (102, "the " * 300_000), (103, "rare words only"), (103, "rare words only"), (None, "the x")]
 
 
-def test_base_score_against_brute_force(make_docs):
+@pytest.mark.parametrize("frequent", [lm.FREQUENT, 3])
+def test_base_score_against_brute_force(make_docs, monkeypatch, frequent):
+    monkeypatch.setattr(lm, "FREQUENT", frequent)
     training = F.col("doc_id") % 3 != 2
     got = lm.score(make_docs(ROWS), training).collect()
     learn = [t for i, t in ROWS if i is None or i % 3 != 2]

@@ -44,6 +44,11 @@ BASE = 2.0
 MIX = 0.7
 #: An n-gram's bits all lie in one chunk of the filter, so one task can fill it.
 CHUNK_BITS = 1 << 16
+#: Entries (or rows) that a task places together, and bits of an n-gram's hash that deal it out.
+PLACED_TOGETHER = 1 << 19
+DEALT_BITS = 12
+#: The most frequent tokens, whose exact counts are broadcast (16 bytes each).
+FREQUENT = 1 << 16
 #: Tokens that are probed together.
 TOKENS_TOGETHER = 1 << 18
 
@@ -106,7 +111,11 @@ def read_levels(filter_: np.ndarray, chunks: int, h: np.ndarray) -> np.ndarray:
 
 
 def ngram_counts(texts: DataFrame) -> DataFrame:
-    """``h, single, n``: hashes of single tokens and token pairs with their counts over all ``texts``."""
+    """``h, single, n``: hashes of single tokens and token pairs with their counts over all ``texts``.
+
+    Rows are dealt by the bits of the hash that choose a chunk of the filter,
+    so the files of the stored table each hold few chunks.
+    """
 
     def counted(batches):
         held: list[np.ndarray] = [], []
@@ -132,7 +141,10 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
 
     return (
         texts.select("text").mapInPandas(counted, "h long, single boolean, n long")
-        .groupBy("h", "single").agg(F.sum("n").alias("n"))
+        .withColumn("dealt", F.shiftrightunsigned("h", 40).bitwiseAND(F.lit((1 << DEALT_BITS) - 1).cast("long")))
+        .repartition("dealt")
+        .groupBy("dealt", "h", "single").agg(F.sum("n").alias("n"))
+        .select("h", "single", "n")
     )
 
 
@@ -188,27 +200,42 @@ def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, base: float = BASE
     bits = min(max_bits, max(CHUNK_BITS, 1 << max(0, int(entries) * BITS_PER_ENTRY - 1).bit_length()))
     chunks, own = bits // CHUNK_BITS, CHUNK_BITS // 8
 
+    def place(held: dict, parts: list) -> None:
+        pdf = pd.concat(parts, ignore_index=True)
+        h, q = pdf["h"].to_numpy(np.int64).view(np.uint64), level(pdf["n"].to_numpy(np.int64), base)
+        for number in range(1, int(q.max(initial=0)) + 1):
+            at = np.sort(positions(h[q >= number], number, chunks).ravel())
+            chunk = (at // np.uint64(CHUNK_BITS)).astype(np.int64)
+            edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=chunks))
+            for lo, hi in zip(edges, edges[1:]):
+                places = (at[lo:hi] & np.uint64(CHUNK_BITS - 1)).astype(np.int64)
+                data = held.setdefault(int(chunk[lo]), np.zeros(own, np.uint8))
+                np.bitwise_or.at(data, places >> 3, np.left_shift(1, places & 7).astype(np.uint8))
+
     def filled(batches):
         held: dict[int, np.ndarray] = {}
+        parts: list[pd.DataFrame] = []
         for pdf in batches:
-            h, q = pdf["h"].to_numpy(np.int64).view(np.uint64), level(pdf["n"].to_numpy(np.int64), base)
-            for number in range(1, int(q.max(initial=0)) + 1):
-                at = np.sort(positions(h[q >= number], number, chunks).ravel())
-                chunk = (at // np.uint64(CHUNK_BITS)).astype(np.int64)
-                edges = np.flatnonzero(np.diff(chunk, prepend=-1, append=chunks))
-                for lo, hi in zip(edges, edges[1:]):
-                    bits_ = np.zeros(CHUNK_BITS, np.uint8)
-                    bits_[(at[lo:hi] & np.uint64(CHUNK_BITS - 1)).astype(np.int64)] = 1
-                    data = held.setdefault(int(chunk[lo]), np.zeros(own, np.uint8))
-                    data |= np.packbits(bits_, bitorder="little")
+            parts.append(pdf)
+            if sum(map(len, parts)) >= PLACED_TOGETHER:
+                place(held, parts)
+                parts = []
+        if parts:
+            place(held, parts)
         yield pd.DataFrame({"chunk": np.array(list(held), np.int64), "data": [d.tobytes() for d in held.values()]})
 
-    # Chunks are dealt by the n-gram's hash: each is filled by one task, which
-    # holds its chunks alone, and the rows that reach the driver are the filter.
-    chunk = F.shiftrightunsigned("h", 40).bitwiseAND(F.lit(chunks - 1).cast("long"))
-    pieces = counts.select("h", "n", chunk.alias("c")).repartition("c").sortWithinPartitions("c").select("h", "n")
+    def merged(pdf: pd.DataFrame) -> pd.DataFrame:
+        data = np.zeros(own, np.uint8)
+        for piece in pdf["data"]:
+            data |= np.frombuffer(piece, np.uint8)
+        return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "data": [data.tobytes()]})
+
+    # A file of the counts holds few chunks, so the pieces of all tasks together
+    # are about as large as the filter; what reaches the driver is the filter.
+    pieces = counts.select("h", "n").mapInPandas(filled, "chunk long, data binary")
+    pieces = pieces.groupBy("chunk").applyInPandas(merged, "chunk long, data binary")
     data = np.zeros(bits // 8, np.uint8)
-    for row in pieces.mapInPandas(filled, "chunk long, data binary").collect():
+    for row in pieces.collect():
         data[row["chunk"] * own : (row["chunk"] + 1) * own] = np.frombuffer(row["data"], np.uint8)
     return Filter(data, chunks, int(total), int(distinct))
 
@@ -228,39 +255,61 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     counts = materialise(ngram_counts(rows.where("training")), "ngram-counts")
     model = build_filter(counts, max_bits)
-    held = spark.sparkContext.broadcast(model)
+    total, distinct = model.total, model.distinct
+    frequent = counts.where("single").orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toPandas().sort_values("h")
+    held = spark.sparkContext.broadcast((model, frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
 
     def scored(batches):
+        lm, common, uses = held.value
+        logs = np.log10((uses + 1) / (total + distinct + 1))
         for pdf in batches:
             hashes = [token_hashes(tokens(t)) for t in pdf["text"]]
-            used = [np.unique(h, return_counts=True) for h in hashes]
+            out = []
+            for whole in hashes:
+                h, n = np.unique(whole.view(np.int64), return_counts=True)
+                at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
+                found = common[at] == h if len(common) else np.zeros(len(h), bool)
+                out.append((len(whole), int(n[found].sum()), float(n[found] @ logs[at[found]]), h[~found], n[~found]))
             yield pd.DataFrame({
                 "row_id": pdf["row_id"],
                 "doc_id": pdf["doc_id"].astype("Int64"),
                 "held_out": ~pdf["training"].astype(bool),
-                "score": held.value.log10_scores(hashes),
-                "h": [h.view(np.int64) for h, _ in used],
-                "n": [n for _, n in used],
+                "score": lm.log10_scores(hashes),
+                "n_tokens": [o[0] for o in out],
+                "common": [o[1] for o in out],
+                "common_score": [o[2] for o in out],
+                "h": [o[3] for o in out],
+                "n": [o[4] for o in out],
             })
 
-    # A token stands for itself by its 64-bit hash in the exact counts too.
+    # A token stands for itself by its 64-bit hash in the exact counts too. The
+    # counts of the most frequent ones come by broadcast, those of all others by a join.
     texts = materialise(
-        rows.mapInPandas(scored, "row_id long, doc_id long, held_out boolean, score double, h array<long>, n array<long>"),
+        rows.mapInPandas(
+            scored,
+            "row_id long, doc_id long, held_out boolean, score double, n_tokens long, common long, common_score double, "
+            "h array<long>, n array<long>",
+        ),
         "scored-texts",
     )
-    total, distinct = model.total, model.distinct
-    used = texts.select("row_id", F.explode(F.arrays_zip("h", "n")).alias("t")).select("row_id", "t.h", F.col("t.n").alias("uses"))
-    known = counts.where("single").select("h", "n")
-    c = F.coalesce(F.col("n"), F.lit(0))
+    used = texts.select("row_id", F.explode(F.arrays_zip("h", "n")).alias("t")).select(
+        "row_id", "t.h", F.col("t.n").cast("int").alias("uses")
+    )
+    known = counts.where("single").select("h", F.col("n").alias("c"))
+    c = F.coalesce(F.col("c"), F.lit(0))
     sums = (
         used.join(known, "h", "left")
-        .select("row_id", "uses", c.alias("c"))
-        .groupBy("row_id").agg(
-            F.sum("uses").alias("n_tokens"),
-            F.sum(F.when(F.col("c") > 0, F.col("uses")).otherwise(0)).alias("n_known"),
-            F.sum(F.col("uses") * F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))).alias("base_score"),
+        .select(F.col("row_id").alias("_row"), "uses", c.alias("c"))
+        .groupBy("_row").agg(
+            F.sum(F.when(F.col("c") > 0, F.col("uses")).otherwise(0)).alias("rest"),
+            F.sum(F.col("uses") * F.log10((F.col("c") + 1) / F.lit(float(total + distinct + 1)))).alias("rest_score"),
         )
     )
-    return texts.select("row_id", "doc_id", "held_out", "score").join(sums, "row_id").select(
-        "doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
+    joined = texts.drop("h", "n").join(sums, F.col("row_id") == F.col("_row"), "left")
+    return joined.select(
+        "doc_id", "held_out", "n_tokens",
+        (F.col("common") + F.coalesce("rest", F.lit(0))).alias("n_known"),
+        F.lit(total).cast("long").alias("train_tokens"),
+        (F.col("common_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"),
+        "score",
     )
