@@ -87,3 +87,14 @@ def test_command_line_gzip_input(spark):
     report = main(["--input", os.path.join(d, "dump.tsv.gz"), "--mode", "ntriples"], spark=spark)
     assert report["counters"]["initCount"] == 600
     assert report["counters"]["finalCount"] == len(set(lines)) == report["counters"]["domainCount"]
+
+
+def test_two_runs_with_one_config_stay_readable(spark):
+    from triplex.plans.batch import ExportConfig, run_batch
+    from triplex.schema import TRIPLE_SCHEMA
+
+    cfg = ExportConfig()
+    frames = [spark.createDataFrame([(f"<s{n}{i}>", "<p>", "<o>") for i in range(n + 1)], TRIPLE_SCHEMA) for n in range(2)]
+    first, second = (run_batch(spark, f, cfg) for f in frames)
+    assert cfg.work_dir is None
+    assert (first.cleaned.count(), second.cleaned.count()) == (1, 2)

@@ -42,3 +42,15 @@ def test_ingest_resumes_from_checkpoint(spark, sf_small):
     q.awaitTermination(120)
     n2 = spark.read.parquet(out).count()
     assert n1 == first.count() and n2 == n1 + second.count()
+
+
+def test_starts_without_a_checkpoint_lose_no_new_file(spark, tmp_path):
+    from triplex.streaming.ingest import start_ingest
+
+    folder, out = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+    for n in range(3):
+        lines = [f"<s{n}{i}>\t<p>\t<o\rx>\t.\n" for i in range(5)]
+        (folder / f"part-{n}.tsv").write_text("".join(lines), newline="")
+        start_ingest(spark, str(folder), out, mode="ntriples").awaitTermination()
+        assert spark.read.parquet(out).count() == 5 * (n + 1)

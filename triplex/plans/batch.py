@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import time
 from contextlib import contextmanager
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -153,8 +153,8 @@ def run_batch(spark: SparkSession, raw: DataFrame, cfg: ExportConfig | None = No
     session's shared checkpoint directory.
     """
     cfg = cfg or ExportConfig()
-    if cfg.work_dir is None:
-        cfg.work_dir = scratch_path(spark, "run")
+    if cfg.work_dir is None:  # the caller's config stays as it is: its next run gets a folder of its own
+        cfg = replace(cfg, work_dir=scratch_path(spark, "run"))
     clock, counters, paths = _Clock(), {}, {}
     with clock("dedup and clean"):
         cleaned = materialise_cleaned(raw, f"{cfg.work_dir}/cleaned", counters if perform_counts else None)

@@ -27,6 +27,7 @@ def _tsv_reader(spark: SparkSession, schema: StructType, mode: str):
         spark.read.schema(schema)
         .option("sep", "\t")
         .option("header", "false")
+        .option("lineSep", "\n")  # a lone carriage return is part of a field
     )
     if mode == "ntriples":
         # The line format has no quoting: keep every byte of a field.

@@ -6,9 +6,9 @@ streaming DataFrame.  Whole-table dedup is *not* done here: exact dedup
 over an unbounded stream needs unbounded state; it stays a batch step over
 the ingested table (``triplex.plans.batch``).
 
-Progress is tracked in a checkpoint folder under the session's shared
-``spark.checkpoint.dir``, so a restarted query (or a lost executor)
-resumes without re-ingesting or losing files.
+Progress is tracked in a checkpoint folder inside the output folder (unless
+the caller names another), beside the sink's own log: a restarted query, in
+this session or a later one, resumes without re-ingesting or losing files.
 """
 
 from __future__ import annotations
@@ -19,7 +19,6 @@ from pyspark.sql.streaming import StreamingQuery
 from triplex.operators.domains import SAMPLE_UNIT, sample_unit
 from triplex.operators.triples import clean_triples
 from triplex.schema import RAW_TRIPLE_SCHEMA, TRIPLE_COLUMNS
-from triplex.session import scratch_path
 
 
 def stream_triples(spark: SparkSession, folder: str, mode: str = "compat", max_files: int | None = None) -> DataFrame:
@@ -28,6 +27,7 @@ def stream_triples(spark: SparkSession, folder: str, mode: str = "compat", max_f
         spark.readStream.schema(RAW_TRIPLE_SCHEMA)
         .option("sep", "\t")
         .option("header", "false")
+        .option("lineSep", "\n")
     )
     if mode == "ntriples":
         reader = reader.option("quote", "").option("escape", "")
@@ -55,7 +55,7 @@ def start_ingest(
     ``available_now`` processes every file present and stops; otherwise the
     query keeps running and picks up new files each trigger.
     """
-    checkpoint = checkpoint or scratch_path(spark, "ingest-checkpoint")
+    checkpoint = checkpoint or f"{out_path.rstrip('/')}/_ingest_checkpoint"
     writer = (
         stream_cleaned(spark, folder, mode)
         .writeStream.format("parquet")
