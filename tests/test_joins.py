@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from triplex.operators.bounded import membership_flag, semi_join_checked
-from triplex.operators.joins import salted_inner_join, salted_semi_join
+from triplex.operators.joins import salted_semi_join
 
 
 def _skewed(spark, n=3000):
@@ -21,14 +21,6 @@ def test_salted_semi_equals_plain(spark):
         assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
 
 
-def test_salted_inner_equals_plain(spark):
-    big = _skewed(spark)
-    keys = spark.createDataFrame([("hot", "H"), ("k5", "F")], "key string, label string")
-    got = salted_inner_join(big, keys, "k", "key", 8, keep=["label"])
-    plain = big.join(keys, big.k == keys.key, "inner").drop("key")
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect()))
-
-
 def test_hot_key_spread_over_partitions(spark):
     big = _skewed(spark, 6000)
     keys = spark.createDataFrame([("hot",)], "key string")

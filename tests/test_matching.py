@@ -85,6 +85,16 @@ def test_id_mentions_whole_ids(spark):
     assert ("m.u1", "see a.b* and m.u1") in got
 
 
+def test_id_mentions_any_subject(spark):
+    subjects = ["m.9", "m.9.q", "g.11b", "<http://x.org/s/1", "q", "", "..", "two words"]
+    texts = ["m.9.q is", "see (m.9).", "g.11b: m.9, m.9", "at <http://x.org/s/1>, q!", "aq two words ..", None]
+    cl = triples_df(spark, [(s, "p", t) for s, t in zip([*subjects], [*texts, "", "q"])])
+    assert rows(matching.id_mentions(cl)) == sorted([
+        ("m.9.q", "m.9.q is"), ("m.9", "see (m.9)."), ("g.11b", "g.11b: m.9, m.9"), ("m.9", "g.11b: m.9, m.9"),
+        ("<http://x.org/s/1", "at <http://x.org/s/1>, q!"), ("q", "at <http://x.org/s/1>, q!"), ("q", "q"),
+    ], key=repr)
+
+
 def test_subject_as_object(spark):
     raw = triples_df(spark, [
         ("<http://rdf.freebase.com/ns/m.1>", "<http://rdf.freebase.com/ns/a.b>", "<http://rdf.freebase.com/ns/m.2>"),
@@ -115,12 +125,14 @@ def test_raw_first_id_joins_equal_parts_forms(spark):
         assert rows(graph_edges_from_raw(raw, buckets)) == rows(graph_edges(parts, buckets))
 
 
-def test_raw_first_subject_join_shuffles_triples_once(spark):
-    raw = triples_df(spark, SUBSTRING_FIXTURE)
-    plan = matching.subject_as_object_from_raw(raw)._jdf.queryExecution().executedPlan().toString()
-    # one exchange on the triple side (join key + salt), one + one on the id side
-    assert plan.count("Exchange hashpartitioning(_cs") == 1
-    assert "Exchange hashpartitioning(Subject, Predicate, Object" not in plan
+def test_copies_are_combined_before_the_join(spark):
+    fb = "http://rdf.freebase.com/ns/"
+    one = triples_df(spark, [(f"<{fb}m.1>", f"<{fb}a.b>", f"<{fb}m.1>")])
+    raw = one.join(spark.range(0, 200000, 1, 4), how="cross").drop("id")
+    assert rows(matching.subject_as_object_from_raw(raw)) == [("m.1", "a.b", "")]
+    plan = matching.subject_as_object_from_raw(raw)._jdf.queryExecution().optimizedPlan().toString()
+    join = plan.index("Join Inner")
+    assert "Aggregate [Subject" in plan[join:] and "Aggregate" not in plan[:join]
 
 
 from hypothesis import HealthCheck, given, settings  # noqa: E402

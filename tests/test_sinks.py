@@ -7,7 +7,7 @@ from conftest import triples_df
 
 from triplex.schema import PREDICATE_LIST_SCHEMA, TRIPLE_SCHEMA
 from triplex.session import scratch_path
-from triplex.sinks.delimited import merge_parts, read_hierarchy, write_delimited, write_hierarchy
+from triplex.sinks.delimited import merge_parts, read_hierarchy, write_delimited, write_hierarchy, write_triples
 from triplex.sources.triples import read_parts, read_triples
 
 TRICKY = [
@@ -15,6 +15,7 @@ TRICKY = [
     ("", None, "multi\nline"),
     ("  lead", "trail  ", '"Foo"@en'),
     ("x", "y", "z"),
+    ("\\N", "\\\\N", "\\"),
 ]
 
 
@@ -46,6 +47,14 @@ def test_tsv_read_modes(spark):
         read_triples(spark, d, "other")
 
 
+def test_escaped_tsv_round_trip(spark):
+    tricky = [("a\tb", "p", "one\rtwo\nthree"), ("\\t", "\\\\n", "\\"), ("x\\\t", "\\\\\\r", "y"), ("s", "p", "\\N")]
+    path = scratch_path(spark, "t-escaped")
+    write_triples(triples_df(spark, tricky), path)
+    back = read_triples(spark, path, "ntriples", escaped=True)
+    assert sorted(map(tuple, back.collect())) == sorted(tricky)
+
+
 def test_merge_parts(spark):
     parts = scratch_path(spark, "t-parts")
     df = spark.createDataFrame([(f"p{i:03d}",) for i in range(50)], PREDICATE_LIST_SCHEMA).repartition(4)
@@ -57,8 +66,12 @@ def test_merge_parts(spark):
     lines = open(os.path.join(out, files[0])).read().splitlines()
     assert lines[0] == "Predicate" and lines[1:] == [f"p{i:03d}" for i in range(50)]
     assert merged.count() == 50
-    with pytest.raises(ValueError):
-        merge_parts(spark, parts, scratch_path(spark, "t-merged2"), PREDICATE_LIST_SCHEMA, max_chars=10)
+    out2 = scratch_path(spark, "t-merged2")
+    merge_parts(spark, parts, out2, PREDICATE_LIST_SCHEMA, header=True, sort=True, file_chars=60)
+    names = sorted(f for f in os.listdir(out2) if f.startswith("part-"))
+    read = [open(os.path.join(out2, f)).read().splitlines() for f in names]
+    assert 1 < len(names) <= 5 and all(x[0] == "Predicate" for x in read)
+    assert [p for x in read for p in x[1:]] == [f"p{i:03d}" for i in range(50)]
     out3 = scratch_path(spark, "t-merged3")
     merge_parts(spark, parts, out3, PREDICATE_LIST_SCHEMA, header=True, index_header=True)
     f3 = [f for f in os.listdir(out3) if f.startswith("part-")][0]

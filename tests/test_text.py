@@ -46,6 +46,12 @@ def test_equal_to_ml_stages_on_documents(spark, sf_small):
     assert ours.count() > 0 and bad == 0
 
 
+def test_token_frequency_counts_a_repeated_id_once(spark):
+    df = spark.createDataFrame([(1, "one two one"), (1, "one"), (2, "two"), (None, "two")], "id long, text string")
+    got = {tuple(r) for r in token_frequency(df, "text", "id").select("token", "n", "n_rows").collect()}
+    assert got == {("one", 3, 1), ("two", 3, 2)}
+
+
 def test_token_frequency_matches_python(spark, sf_small):
     import collections
     import re

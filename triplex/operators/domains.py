@@ -9,7 +9,7 @@ semi join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate, domain_of
@@ -66,13 +66,14 @@ def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
     )
     # Every dotted prefix of each cleaned predicate, the raw value carried
     # along; a cleaned predicate is a leaf when no row with the same path
-    # has a child.  One window over the (small) vocabulary, no join.
-    nodes = prefix_rows(vocab, extra=["_raw"])
-    inner = F.max("has_child").over(Window.partitionBy("path"))
-    flagged = nodes.withColumn("_inner", inner)
-    return flagged.where(~F.col("has_child") & ~F.col("_inner") & F.col("path").contains(".")).select(
-        F.col("_raw").alias(PREDICATE)
+    # has a child.  One aggregate, combined map side: an inner path (the domain
+    # itself, above all) carries one flag, and only a predicate's own path
+    # carries its raw spellings.
+    nodes = prefix_rows(vocab, extra=["_raw"]).where(F.col("path").contains("."))
+    flagged = nodes.groupBy("path").agg(
+        F.max("has_child").alias("_inner"), F.collect_set(F.when(~F.col("has_child"), F.col("_raw"))).alias("_raws")
     )
+    return flagged.where(~F.col("_inner")).select(F.explode("_raws").alias(PREDICATE))
 
 
 def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate, clean_subject, object_id
-from triplex.operators.joins import SALT_BUCKETS, SALT_COLUMN, salted_semi_join
+from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # --- FIXED VALUES: predicates that carry node attributes ---------------------
@@ -58,11 +58,11 @@ def graph_edges(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame
 
 
 def graph_edges_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """``graph_edges(object_parts(drop_duplicate_triples(raw)))`` with one shuffle of the links.
+    """``graph_edges(object_parts(drop_duplicate_triples(raw)))`` without the dedup of the triples.
 
-    Edges are distinct cleaned values, so the raw dedup is not needed; the
-    link rows are salted by a hash of the edge itself, joined on
-    ``(dst, salt)``, and the distinct then reuses that partitioning.
+    Edges are distinct cleaned values, so the raw dedup is not needed.  They
+    are made distinct (combined map side) before the join, so copies never
+    meet it and adaptive execution can split a hot target.
     """
     links = raw.select(
         clean_subject(SUBJECT).alias("src"),
@@ -70,8 +70,7 @@ def graph_edges_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> Da
         object_id(OBJECT).alias("dst"),
     ).where(F.col("dst").isNotNull())
     subjects = raw.select(clean_subject(SUBJECT).alias(SUBJECT))
-    joined = salted_semi_join(links, subjects, "dst", SUBJECT, salt_buckets, keep_salt=True)
-    return joined.select("src", "predicate", "dst", SALT_COLUMN).distinct().drop(SALT_COLUMN)
+    return salted_semi_join(links.distinct(), subjects, "dst", SUBJECT, salt_buckets)
 
 
 def graph_model(parts: DataFrame) -> DataFrame:

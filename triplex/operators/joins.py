@@ -1,11 +1,14 @@
 """Skew-safe equi joins of a large relation against a set of distinct keys.
 
 The large side may hold a hot key (one id referenced by a third of all
-rows).  Its rows are spread over ``buckets`` salt values taken from a hash
-of the whole row, so a retried task puts every row in the same bucket
-again, and the key side (distinct keys, much smaller) is replicated once
-per bucket.  The hot key then lands on ``buckets`` reducers instead of
-one; adaptive skew handling can split those further.
+rows).  Adaptive execution splits the partitions that it measures as hot, and
+only those; callers combine duplicates before the join and put no aggregate
+behind it, which would forbid that split.
+
+``buckets`` above 1 adds a fixed split: rows of the large side are spread
+over salt values taken from a hash of the whole row, so a retried task puts
+every row in the same bucket again, and the key side is replicated once per
+bucket.  As that multiplies a key side of any size, it is off by default.
 """
 
 from __future__ import annotations
@@ -15,7 +18,7 @@ from pyspark.sql import functions as F
 
 # Salt buckets: the key side grows by this factor, a hot key is cut into as
 # many pieces.
-SALT_BUCKETS = 16
+SALT_BUCKETS = 1
 
 _SALT = "__salt"
 _KEY = "__key"
@@ -55,20 +58,6 @@ def salted_semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
     return out if keep_salt else out.drop(_SALT)
 
 
-def salted_inner_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
-                      buckets: int = SALT_BUCKETS, keep: list[str] | None = None) -> DataFrame:
-    """Inner join of ``big`` with the *distinct* rows of ``keys`` on ``big_key = key``.
-
-    ``keep`` lists further columns of ``keys`` to carry (they must be
-    functionally dependent on ``key`` for the result to equal a plain join).
-    """
-    keep = keep or []
-    salted = big.withColumn(_SALT, _salt_of(big, buckets) if buckets > 1 else F.lit(0).cast("long"))
-    right = _replicated_keys(keys, key, buckets, keep)
-    cond = (salted[big_key] == right[_KEY]) & (salted[_SALT] == right[_SALT])
-    return salted.join(right, cond, "inner").drop(_SALT, _KEY)
-
-
 def salted_anti_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
                      buckets: int = SALT_BUCKETS) -> DataFrame:
     """Rows of ``big`` whose ``big_key`` does not occur in ``keys[key]`` (NULL keys kept)."""

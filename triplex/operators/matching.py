@@ -11,8 +11,8 @@
   emits the substrings that could be a subject (lengths taken from the
   subject set, start positions filtered by the subjects' short prefixes)
   and those are joined to the subjects by equality.
-* ``id_mentions``: the stricter whole-id form: ids found in the object text
-  by a regex, equi-joined to the subjects.
+* ``id_mentions``: the stricter whole-id form: the ids of the object text,
+  cut at separators, equi-joined to the subjects.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from pyspark.sql import functions as F
 from triplex.functions.clean import clean_subject, object_id
 from triplex.operators.bounded import bounded_values
 from triplex.operators.domains import domain_triples
-from triplex.operators.joins import SALT_BUCKETS, SALT_COLUMN, salted_semi_join
-from triplex.operators.triples import clean_triples
+from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
+from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # Distinct subject lengths and short prefixes are inlined into the plan;
@@ -37,10 +37,11 @@ CHUNK_CHARS = 1 << 20
 # Distinct first characters can never exceed the number of Unicode code points.
 MAX_FIRST_CHARS = 0x110000
 
-# --- FIXED VALUES: id-shaped tokens ------------------------------------------
-# An id token starts at the beginning of the text or after a character that
-# cannot be part of an id.
-ID_TOKEN_REGEX = r"(?:^|[^0-9A-Za-z_.])(m\.[0-9A-Za-z_]+)"
+# --- FIXED VALUES: ids in a text ---------------------------------------------
+# Characters that end an id in a text, and those that may trail one.
+ID_SEPARATORS = r"""\s"'()\[\]{}<>,;!?"""
+ID_TOKEN_REGEX = f"<?[^{ID_SEPARATORS}]+"
+ID_TRAIL_REGEX = "[.:]+$"
 
 
 def matching_rows(domain_rows: DataFrame) -> DataFrame:
@@ -57,9 +58,9 @@ def matching_triples(cl: DataFrame, domain: str) -> DataFrame:
 def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     """Triples whose subject appears as an object id (``object_parts`` input).
 
-    The id side is distinct (pre-aggregated map side); the triple side is
-    salted so a subject that owns a large share of the rows is spread over
-    ``salt_buckets`` reducers.
+    The id side is distinct (pre-aggregated map side).  A subject that owns a
+    large share of the rows is split by adaptive execution, by measured size;
+    ``salt_buckets`` above 1 adds a fixed split on top.
     """
     ids = parts.select(F.col("object_id").alias("_id")).where(F.col("_id").isNotNull())
     triples = parts.select(SUBJECT, PREDICATE, OBJECT)
@@ -67,20 +68,17 @@ def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> Dat
 
 
 def subject_as_object_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """``subject_as_object(object_parts(drop_duplicate_triples(raw)))`` with one shuffle of the triples.
+    """``subject_as_object(object_parts(drop_duplicate_triples(raw)))``, its ids taken from the raw rows.
 
-    The membership test depends only on the raw triple, so it runs before
-    the dedup; the dedup then groups by the raw triple *plus* the join key
-    and salt (functions of the triple, so the groups are unchanged), which
-    the join's ``(key, salt)`` hash partitioning already satisfies: no
-    second exchange of the data.
+    Copies of a triple are combined map side before they meet the join, so a
+    triple with a million copies reaches it once; no distinct follows the
+    join, so adaptive execution is free to split a hot subject.
     """
     r = raw.select(SUBJECT, PREDICATE, OBJECT)
     ids = r.select(object_id(OBJECT).alias("_id"))
-    keyed = r.withColumn("_cs", clean_subject(SUBJECT))
-    joined = salted_semi_join(keyed, ids, "_cs", "_id", salt_buckets, keep_salt=True)
-    deduped = joined.select(SUBJECT, PREDICATE, OBJECT, "_cs", SALT_COLUMN).distinct()
-    return clean_triples(deduped.select(SUBJECT, PREDICATE, OBJECT))
+    keyed = drop_duplicate_triples(r).withColumn("_cs", clean_subject(SUBJECT))
+    joined = salted_semi_join(keyed, ids, "_cs", "_id", salt_buckets)
+    return clean_triples(joined.select(SUBJECT, PREDICATE, OBJECT))
 
 
 def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str], int]:
@@ -217,11 +215,22 @@ def substring_pairs(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFram
 
 
 def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """Distinct (Subject, Object) where the object mentions the subject as a whole id."""
+    """Distinct (Subject, Object) where the object mentions the subject as a whole id.
+
+    A text's ids are its runs of characters other than white space, quotes,
+    brackets and ``,;!?``, without trailing dots and colons; an id right after
+    ``<`` also counts with that ``<`` (the cleaned form of a foreign URI).  So
+    ``m.9.q`` mentions ``m.9.q`` and not ``m.9``.  Any subject of that shape
+    can be mentioned, whatever its prefix.
+    """
     subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull())
-    objects = cl.select(OBJECT).where(F.col(OBJECT).contains("m.")).distinct()
-    ids = objects.select(
-        OBJECT, F.explode(F.array_distinct(F.regexp_extract_all(OBJECT, F.lit(ID_TOKEN_REGEX), 1))).alias("_id")
+    objects = cl.select(OBJECT).where(F.col(OBJECT).isNotNull()).distinct()
+    found = F.transform(
+        F.regexp_extract_all(OBJECT, F.lit(ID_TOKEN_REGEX), 0), lambda x: F.regexp_replace(x, ID_TRAIL_REGEX, "")
+    )
+    bare = F.transform(found, lambda x: F.ltrim(x, F.lit("<")))
+    ids = objects.select(OBJECT, F.explode(F.array_distinct(F.concat(found, bare))).alias("_id")).where(
+        ~F.col("_id").isin("", "<")
     )
     return salted_semi_join(ids, subjects, "_id", SUBJECT, salt_buckets).select(
         F.col("_id").alias(SUBJECT), OBJECT

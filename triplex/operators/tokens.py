@@ -2,8 +2,8 @@
 
 The tokenizer, stop-word filter and length rule are column functions from
 ``triplex.functions.text``; these operators add the columns and the token
-statistics.  Token frequency is an explode + hash aggregate with a
-map-side partial step, so a very common token is pre-counted in each task.
+statistics.  Token frequency is an explode + two hash aggregates with
+map-side partial steps, so a very common token never meets in one task.
 """
 
 from __future__ import annotations
@@ -54,23 +54,15 @@ def triple_tokens(cl: DataFrame) -> DataFrame:
 
 
 def token_frequency(df: DataFrame, text: str, id_col: str, stop_words: str = "none") -> DataFrame:
-    """Per token: occurrences ``n`` and number of rows ``n_rows`` holding it.
+    """Per token: occurrences ``n`` and number of distinct ids ``n_rows`` whose rows hold it.
 
-    ``id_col`` must identify the rows (a key such as ``doc_id``).  Each row
-    emits its tokens followed by its distinct tokens in one ``posexplode``;
-    a position below the token count is an occurrence, the rest mark the
-    row's distinct tokens.  One aggregate keyed by the token alone, so each
-    task ships one partial row per distinct token (not per token and row).
+    Rows may share an id; a null id adds occurrences only.  Tokens are first
+    counted by token and id (so a common token is spread over its ids), then
+    by token; both steps combine map side.
     """
-    toks = with_tokens(df.select(id_col, text), text, stop_words, "_t")
-    both = toks.select(
-        F.size("_t").alias("_n"),
-        F.posexplode(F.concat("_t", F.array_distinct("_t"))).alias("_p", "token"),
-    )
-    occurrence = (F.col("_p") < F.col("_n")).cast("long")
-    return both.groupBy("token").agg(
-        F.sum(occurrence).alias("n"), F.sum(1 - occurrence).alias("n_rows")
-    )
+    toks = with_tokens(df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text", stop_words, "_t")
+    per_id = toks.select("_id", F.explode("_t").alias("token")).groupBy("token", "_id").agg(F.count(F.lit(1)).alias("_n"))
+    return per_id.groupBy("token").agg(F.sum("_n").alias("n"), F.count("_id").alias("n_rows"))
 
 
 __all__ = ["with_tokens", "triple_tokens", "token_frequency", "token_count"]

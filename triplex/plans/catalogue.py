@@ -19,7 +19,7 @@ from triplex.plans import oracle as O
 from triplex.plans.batch import run_counters
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS, TRIPLE_SCHEMA
 from triplex.session import scratch_path
-from triplex.sinks.delimited import merge_parts, read_hierarchy, write_delimited, write_hierarchy
+from triplex.sinks.delimited import merge_parts, read_hierarchy, write_delimited, write_hierarchy, write_triples
 from triplex.sources.tables import load_table, raw_triples
 from triplex.sources.triples import read_parts, read_predicate_list, read_triples
 
@@ -48,34 +48,19 @@ def _parts(spark, d):
     return triples.object_parts(_dedup(spark, d))
 
 
-def _no_line_chars(c):
-    """True when a field can be written on one TSV line.
-
-    The line format has no quoting, so a field holding a tab or a line break
-    cannot be represented; those rows are not part of a TSV dump at all (this
-    is the format's constraint, not a size cap).
-    """
-    c = F.col(c)
-    return ~(c.contains("\t") | c.contains("\n") | c.contains("\r"))
-
-
 # --- sources / sinks round trips ---------------------------------------------------
 
 
 def q_triples_scan_tsv(spark, d):
-    tr = raw_triples(spark, d).where(_no_line_chars(SUBJECT) & _no_line_chars(PREDICATE) & _no_line_chars(OBJECT))
     path = scratch_path(spark, "tsv")
-    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in TRIPLE_COLUMNS], F.lit("."))
-    tr.select(line.alias("value")).write.text(path)
-    return read_triples(spark, path, mode="ntriples")
+    write_triples(raw_triples(spark, d), path)
+    return read_triples(spark, path, mode="ntriples", escaped=True)
 
 
 def q_triples_scan_tsv_compat(spark, d):
-    tr = raw_triples(spark, d).where(_no_line_chars(SUBJECT) & _no_line_chars(PREDICATE) & _no_line_chars(OBJECT))
     path = scratch_path(spark, "tsv-compat")
-    line = F.concat_ws("\t", *[F.coalesce(F.col(c), F.lit("")) for c in TRIPLE_COLUMNS], F.lit("."))
-    tr.select(line.alias("value")).write.text(path)
-    return read_triples(spark, path, mode="compat")
+    write_triples(raw_triples(spark, d), path)
+    return read_triples(spark, path, mode="compat", escaped=True)
 
 
 def q_batch_run_sample(spark, d):
@@ -210,18 +195,17 @@ def _tok_select(tok_expr_fn, table, cols):
     )
 
 
+# Characters that end an id in a text.
+_SEP = r""" \t\n\r\f"'()\[\]{}<>,;!?"""
+
 _SAMPLE_THRESHOLD = f"{SAMPLE_FRACTION} * 4294967296"
 
 ORACLE: dict[str, str] = {
-    "triples_scan_tsv": O.with_(O.TR) + (
-        "SELECT Subject, Predicate, Object FROM tr WHERE NOT ("
-        + " OR ".join(f"contains({c}, chr({k}))" for c in TRIPLE_COLUMNS for k in (9, 10, 13)) + ")"
-    ),
+    "triples_scan_tsv": O.with_(O.TR) + "SELECT Subject, Predicate, Object FROM tr",
     "triples_scan_tsv_compat": O.with_(O.TR) + (
         "SELECT Subject, Predicate, CASE WHEN Object = '\"\"' THEN NULL "
         "WHEN regexp_matches(Object, '^\"[^\"]*\"$') THEN substr(Object, 2, length(Object) - 2) "
-        "ELSE Object END AS Object FROM tr WHERE NOT ("
-        + " OR ".join(f"contains({c}, chr({k}))" for c in TRIPLE_COLUMNS for k in (9, 10, 13)) + ")"
+        "ELSE Object END AS Object FROM tr"
     ),
     "triples_dedup": O.with_(O.TR, O.DD) + "SELECT * FROM dd",
     "triples_dup_counts": O.with_(O.TR) + (
@@ -345,11 +329,15 @@ ORACLE: dict[str, str] = {
         "SELECT s.Subject, o.Object FROM (SELECT DISTINCT Subject FROM cl WHERE Subject IS NOT NULL) s "
         "JOIN (SELECT DISTINCT Object FROM cl WHERE Object IS NOT NULL) o ON contains(o.Object, s.Subject)"
     ),
-    "id_mentions": O.CL_BASE + (
-        "SELECT DISTINCT s.Subject, x.Object FROM (SELECT Object, unnest(regexp_extract_all(Object, "
-        "'(?:^|[^0-9A-Za-z_.])(m\\.[0-9A-Za-z_]+)', 1)) AS id "
-        "FROM (SELECT DISTINCT Object FROM cl WHERE contains(Object, 'm.'))) x "
-        "JOIN (SELECT DISTINCT Subject FROM cl WHERE Subject IS NOT NULL) s ON s.Subject = x.id"
+    # From the definition: the subject stands between boundaries of the text.
+    "id_mentions": O.with_(
+        O.TR, O.DD, O.CL,
+        "sp AS MATERIALIZED (SELECT s.Subject, o.Object FROM (SELECT DISTINCT Subject FROM cl "
+        f"WHERE regexp_full_match(Subject, {O.q('<?[^' + _SEP + ']*[^' + _SEP + '.:]')})) s "
+        "JOIN (SELECT DISTINCT Object FROM cl WHERE Object IS NOT NULL) o ON contains(o.Object, s.Subject))",
+    ) + (
+        f"SELECT * FROM sp WHERE regexp_matches(Object, CASE WHEN Subject LIKE '<%' THEN '' "
+        f"ELSE {O.q('(^|[' + _SEP + '])')} END || regexp_escape(Subject) || {O.q('[.:]*($|[' + _SEP + '])')})"
     ),
     "graph_nodes": O.PARTS_BASE + (
         "SELECT Subject AS node_id, min(CASE WHEN Predicate = 'type.object.name' THEN Object END) AS name, "

@@ -8,7 +8,8 @@ files are splittable when uncompressed, so the scan parallelism follows
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from triplex.schema import (
@@ -19,6 +20,30 @@ from triplex.schema import (
 
 READ_MODES = ("compat", "ntriples")
 
+# --- FIXED VALUES: line escapes of the dump format (character, its escape) -------
+LINE_ESCAPES = (("\t", "\\t"), ("\n", "\\n"), ("\r", "\\r"))
+NULL_MARK = "\\N"
+
+
+def escape_field(c: str) -> Column:
+    """A field with tab, line feed, carriage return and backslash escaped, so that it fits one line."""
+    out = F.replace(F.col(c), F.lit("\\"), F.lit("\\\\"))
+    for char, escape in LINE_ESCAPES:
+        out = F.replace(out, F.lit(char), F.lit(escape))
+    return out
+
+
+def unescape_field(c: str) -> Column:
+    """Undo :func:`escape_field`: pairs of backslashes are set apart first, so an escape is never misread."""
+
+    def plain(piece: Column) -> Column:
+        for char, escape in LINE_ESCAPES:
+            piece = F.replace(piece, F.lit(escape), F.lit(char))
+        return piece
+
+    pieces = F.transform(F.split(F.col(c), r"\\\\", -1), plain)
+    return F.when(F.col(c).contains("\\"), F.array_join(pieces, "\\")).otherwise(F.col(c))
+
 
 def _tsv_reader(spark: SparkSession, schema: StructType, mode: str):
     if mode not in READ_MODES:
@@ -36,7 +61,8 @@ def _tsv_reader(spark: SparkSession, schema: StructType, mode: str):
 
 
 def read_triples(
-    spark: SparkSession, path: str | list[str], mode: str = "compat", spread: int | None = None
+    spark: SparkSession, path: str | list[str], mode: str = "compat", spread: int | None = None,
+    escaped: bool = False,
 ) -> DataFrame:
     """Scan headerless ``subject<TAB>predicate<TAB>object<TAB>.`` lines.
 
@@ -45,6 +71,9 @@ def read_triples(
     ``ntriples`` disables quoting so fields are read verbatim.  The trailing
     ``.`` column is dropped; Catalyst prunes it from the scan.
 
+    ``escaped`` undoes the line escapes of ``write_triples`` (tab, line
+    breaks and backslash inside a field).
+
     ``spread``: for unsplittable input (a ``.gz`` dump is read by one task
     per file), distribute the parsed rows round-robin over ``spread``
     partitions right after the scan.  Round-robin, not a hash of the triple,
@@ -52,14 +81,11 @@ def read_triples(
     shuffle.  Leave it unset for splittable input: it costs a shuffle.
     """
     df = _tsv_reader(spark, RAW_TRIPLE_SCHEMA, mode).csv(path).drop("Blank")
+    if escaped:
+        df = df.select(*[unescape_field(c).alias(c) for c in TRIPLE_COLUMNS])
     return df.repartition(spread) if spread else df
 
 
-def positional_triples(df: DataFrame) -> DataFrame:
-    """Name a schema-less ``_c0, _c1, _c2`` frame as a triple frame."""
-    return df.select(*df.columns[:3]).toDF(*TRIPLE_COLUMNS)
-
-
 def read_predicate_list(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
     """Scan a one-column list of predicates (a unique-predicates export)."""
     return (
@@ -88,10 +114,17 @@ def read_parts(
         reader = (
             reader.option("quote", '"')
             .option("escape", '"')
-            .option("nullValue", "\\N")
+            .option("nullValue", NULL_MARK)
             .option("emptyValue", "")
             .option("multiLine", "true")
             .option("ignoreLeadingWhiteSpace", "false")
             .option("ignoreTrailingWhiteSpace", "false")
         )
-    return reader.csv(folder)
+    parts = reader.csv(folder)
+    if lossless:  # a value that starts with a backslash was written with one more
+        parts = parts.select(*[
+            F.when(F.col(f.name).startswith("\\"), F.expr(f"substring(`{f.name}`, 2)")).otherwise(F.col(f.name)).alias(f.name)
+            if f.dataType.typeName() == "string" else F.col(f.name)
+            for f in schema.fields
+        ])
+    return parts
