@@ -63,3 +63,19 @@ def test_scores_do_not_depend_on_batches(monkeypatch):
 
 def test_empty_table(make_docs):
     assert lm.score(make_docs(ROWS).limit(0), F.lit(True)).count() == 0
+
+
+def test_a_filter_beyond_the_broadcast_gives_the_same_scores(make_docs, monkeypatch):
+    rng = np.random.default_rng(6)
+    rows = [(i, " ".join(f"w{n}" for n in rng.zipf(1.3, 90) % 4000)) for i in range(400)] + [(None, None), (7, "w1 w1 never")]
+    docs, training = make_docs(rows), F.col("doc_id") % 3 != 2
+    monkeypatch.setattr(lm, "PROBED_CHUNKS", 2)
+    monkeypatch.setattr(lm, "DEALT_CHARS", 5000)
+
+    def found(max_bits):
+        out = lm.score(docs, training, max_bits=max_bits).collect()
+        return sorted((r["doc_id"] or -1, r["n_tokens"], r["n_known"], round(r["base_score"], 6), round(r["score"], 6)) for r in out)
+
+    bits = lm.filter_totals(lm.ngram_counts(docs.where(F.coalesce(training, F.lit(True)))))[0]
+    assert bits >= 4 * lm.CHUNK_BITS  # one chunk, the bound below, would be nearly full
+    assert found(lm.CHUNK_BITS) == found(lm.MAX_BITS)

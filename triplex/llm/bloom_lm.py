@@ -4,11 +4,13 @@ Counts of single tokens and of token pairs, from all training texts, are
 quantised on a logarithmic scale: level ``1 + floor(log(count) / log(base))``.
 An n-gram of level ``q`` is entered into the filter ``q`` times, each time
 together with one of the numbers 1 to ``q``.  Its count is read back by
-probing number after number until one is missing.  The filter is broadcast;
-its length is ``BITS_PER_ENTRY`` bits for each entry, rounded up to a power of
-two, and ``max_bits`` at most, which is the proven bound of the broadcast.
-Beyond that bound no n-gram is left out: the filter grows fuller and answers
-wrongly more often (its fill is ``1 - exp(-hashes * entries / bits)``).
+probing number after number until one is missing.  The filter's length is
+``BITS_PER_ENTRY`` bits for each entry at every size, rounded up to a power of
+two, so it answers wrongly equally rarely whatever the corpus.  Up to
+``max_bits``, the proven bound of the broadcast, it is broadcast.  A longer one
+never leaves the executors: its chunks are a stored table, the distinct n-grams
+of bounded batches of texts are dealt to them by hash, and the levels read there
+go back to their batch.  The scores are those of the same filter in one piece.
 
 A token's probability after another mixes the two counts read back:
 ``mix * min(c(h, w), c(h)) / c(h) + (1 - mix) * (c(w) + 1) / (N + V + 1)``, and
@@ -29,6 +31,7 @@ import math
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,15 +41,24 @@ from triplex.llm.common import materialise
 END = "\n"
 BITS_PER_ENTRY = 10
 HASHES = 4
+#: The longest filter that is broadcast.
 MAX_BITS = 1 << 30
 #: Base of the logarithmic count scale.
 BASE = 2.0
 MIX = 0.7
 #: An n-gram's bits all lie in one chunk of the filter, so one task can fill it.
 CHUNK_BITS = 1 << 16
+#: The chunk is taken from the hash's bits from this one on (40 bits: 2^56 bits of filter).
+CHUNK_SHIFT = 24
 #: Entries (or rows) that a task places together, and bits of an n-gram's hash that deal it out.
 PLACED_TOGETHER = 1 << 19
 DEALT_BITS = 12
+#: Bytes of chunks that a task fills before it hands them on.
+FILLED_TOGETHER = 1 << 26
+#: Of a filter too long to broadcast: chunks that one task probes together, and
+#: characters of the texts whose n-grams are dealt to them together.
+PROBED_CHUNKS = 128
+DEALT_CHARS = 1 << 23
 #: The most frequent tokens, whose exact counts are broadcast (16 bytes each).
 FREQUENT = 1 << 16
 #: Tokens that are probed together.
@@ -91,7 +103,7 @@ def positions(h: np.ndarray, number: int, chunks: int, hashes: int = HASHES) ->
     step = (x >> np.uint64(17)) | np.uint64(1)
     x ^= x >> np.uint64(29)
     inside = (x[:, None] + step[:, None] * np.arange(hashes, dtype=np.uint64)) & np.uint64(CHUNK_BITS - 1)
-    chunk = (h >> np.uint64(40)) & np.uint64(chunks - 1)
+    chunk = (h >> np.uint64(CHUNK_SHIFT)) & np.uint64(chunks - 1)
     return inside | (chunk * np.uint64(CHUNK_BITS))[:, None]
 
 
@@ -141,7 +153,7 @@ def ngram_counts(texts: DataFrame) -> DataFrame:
 
     return (
         texts.select("text").mapInPandas(counted, "h long, single boolean, n long")
-        .withColumn("dealt", F.shiftrightunsigned("h", 40).bitwiseAND(F.lit((1 << DEALT_BITS) - 1).cast("long")))
+        .withColumn("dealt", F.shiftrightunsigned("h", CHUNK_SHIFT).bitwiseAND(F.lit((1 << DEALT_BITS) - 1).cast("long")))
         .repartition("dealt")
         .groupBy("dealt", "h", "single").agg(F.sum("n").alias("n"))
         .select("h", "single", "n")
@@ -154,6 +166,9 @@ class Filter:
     def __init__(self, data: np.ndarray, chunks: int, total: int, distinct: int):
         self.data, self.chunks, self.total, self.distinct = data, chunks, total, distinct
 
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        return read_levels(self.data, self.chunks, h)
+
     def log10_scores(self, hashes: list[np.ndarray], mix: float = MIX) -> np.ndarray:
         """Scores of the texts with these token hashes, probed together a bounded number of tokens at a time."""
         out = np.zeros(len(hashes))
@@ -176,10 +191,10 @@ class Filter:
         first = np.cumsum(lengths) - lengths
         h = np.concatenate([part for _, part, _ in held])
         distinct, where = np.unique(h, return_inverse=True)
-        one = level_count(read_levels(self.data, self.chunks, distinct))[where]
+        one = level_count(self.levels(distinct))[where]
         p = np.minimum(1.0, (one + 1) / (self.total + self.distinct + 1))
         pairs, which = np.unique(pair_hashes(h), return_inverse=True)
-        pair = level_count(read_levels(self.data, self.chunks, pairs))[which]
+        pair = level_count(self.levels(pairs))[which]
         seen = one[:-1] > 0
         seen[first[1:] - 1] = False  # the pair of a text's last token with the next text's first one
         follow = np.minimum(pair, one[:-1])[seen] / one[:-1][seen]
@@ -189,15 +204,33 @@ class Filter:
         np.add.at(out, [i for i, _, _ in held], np.add.reduceat(p, first))
 
 
-def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, base: float = BASE) -> Filter:
-    """The log-frequency filter of :func:`ngram_counts`; at most ``max_bits / 8`` bytes reach the driver."""
+class ReadLevels(Filter):
+    """Levels that were read elsewhere, for the n-grams of one batch of texts."""
+
+    def __init__(self, h: np.ndarray, found: np.ndarray, total: int, distinct: int):
+        super().__init__(found, 0, total, distinct)
+        order = np.argsort(h, kind="stable")
+        self.h, self.found = h[order], found[order]
+
+    def levels(self, h: np.ndarray) -> np.ndarray:
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where(self.h[at] == h, self.found[at], 0).astype(np.int64)
+
+
+def filter_totals(counts: DataFrame, base: float = BASE) -> tuple[int, int, int]:
+    """``(bits, total, distinct)``: the filter's length, and the totals that smoothing needs."""
     lev = 1 + F.floor(F.log(F.col("n").cast("double")) / math.log(base) + 1e-9)
     entries, total, distinct = counts.agg(
         F.coalesce(F.sum(lev), F.lit(0)),
         F.coalesce(F.sum(F.when(F.col("single"), F.col("n"))), F.lit(0)),
         F.count(F.when(F.col("single"), 1)),
     ).first()
-    bits = min(max_bits, max(CHUNK_BITS, 1 << max(0, int(entries) * BITS_PER_ENTRY - 1).bit_length()))
+    bits = max(CHUNK_BITS, 1 << max(0, int(entries) * BITS_PER_ENTRY - 1).bit_length())
+    return bits, int(total), int(distinct)
+
+
+def filter_chunks(counts: DataFrame, bits: int, base: float = BASE) -> DataFrame:
+    """``chunk, data``: the chunks of the log-frequency filter of :func:`ngram_counts`."""
     chunks, own = bits // CHUNK_BITS, CHUNK_BITS // 8
 
     def place(held: dict, parts: list) -> None:
@@ -212,6 +245,9 @@ def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, base: float = BASE
                 data = held.setdefault(int(chunk[lo]), np.zeros(own, np.uint8))
                 np.bitwise_or.at(data, places >> 3, np.left_shift(1, places & 7).astype(np.uint8))
 
+    def frame(held: dict) -> pd.DataFrame:
+        return pd.DataFrame({"chunk": np.array(list(held), np.int64), "data": [d.tobytes() for d in held.values()]})
+
     def filled(batches):
         held: dict[int, np.ndarray] = {}
         parts: list[pd.DataFrame] = []
@@ -220,9 +256,12 @@ def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, base: float = BASE
             if sum(map(len, parts)) >= PLACED_TOGETHER:
                 place(held, parts)
                 parts = []
+                if len(held) * own >= FILLED_TOGETHER:
+                    yield frame(held)
+                    held = {}
         if parts:
             place(held, parts)
-        yield pd.DataFrame({"chunk": np.array(list(held), np.int64), "data": [d.tobytes() for d in held.values()]})
+        yield frame(held)
 
     def merged(pdf: pd.DataFrame) -> pd.DataFrame:
         data = np.zeros(own, np.uint8)
@@ -231,13 +270,82 @@ def build_filter(counts: DataFrame, max_bits: int = MAX_BITS, base: float = BASE
         return pd.DataFrame({"chunk": [pdf["chunk"].iloc[0]], "data": [data.tobytes()]})
 
     # A file of the counts holds few chunks, so the pieces of all tasks together
-    # are about as large as the filter; what reaches the driver is the filter.
+    # are about as large as the filter.
     pieces = counts.select("h", "n").mapInPandas(filled, "chunk long, data binary")
-    pieces = pieces.groupBy("chunk").applyInPandas(merged, "chunk long, data binary")
-    data = np.zeros(bits // 8, np.uint8)
-    for row in pieces.collect():
-        data[row["chunk"] * own : (row["chunk"] + 1) * own] = np.frombuffer(row["data"], np.uint8)
-    return Filter(data, chunks, int(total), int(distinct))
+    return pieces.groupBy("chunk").applyInPandas(merged, "chunk long, data binary")
+
+
+def _joined_chunks(rows, chunks: int, first: int = 0) -> np.ndarray:
+    """The bytes of ``chunks`` chunks from ``first`` on; those without a row are empty."""
+    own = CHUNK_BITS // 8
+    data = np.zeros(chunks * own, np.uint8)
+    for chunk, piece in rows:
+        at = (chunk - first) * own
+        data[at : at + own] = np.frombuffer(piece, np.uint8)
+    return data
+
+
+def build_filter(counts: DataFrame, base: float = BASE) -> Filter:
+    """The whole log-frequency filter of :func:`ngram_counts`, on the driver."""
+    bits, total, distinct = filter_totals(counts, base)
+    return _collected(counts, bits, total, distinct, base)
+
+
+def _collected(counts: DataFrame, bits: int, total: int, distinct: int, base: float = BASE) -> Filter:
+    chunks = bits // CHUNK_BITS
+    held = materialise(filter_chunks(counts, bits, base), "filter-chunks")  # read file by file: the driver holds the filter once
+    return Filter(_joined_chunks(held.toLocalIterator(), chunks), chunks, total, distinct)
+
+
+def read_dealt(counts: DataFrame, bits: int, texts: DataFrame) -> DataFrame:
+    """``batch, h, levels`` (packed): the levels of all n-grams of ``texts (batch, text)``, a filter of any length.
+
+    Nothing but bounded parts of the filter meets the bounded batches: an
+    n-gram that every text holds is dealt once per batch.
+    """
+    chunks = bits // CHUNK_BITS
+    together = min(PROBED_CHUNKS, chunks)
+
+    def dealt(batches):
+        for pdf in batches:
+            for batch, part in pdf.groupby("batch"):
+                hashes = [token_hashes(tokens(t)) for t in part["text"]]
+                h = np.unique(np.concatenate([*hashes, *map(pair_hashes, hashes)]))
+                place = ((h >> np.uint64(CHUNK_SHIFT)) & np.uint64(chunks - 1)).astype(np.int64) // together
+                order = np.argsort(place, kind="stable")
+                h, place = h[order], place[order]
+                first = np.flatnonzero(np.diff(place, prepend=-1))
+                yield pd.DataFrame({
+                    "place": place[first], "batch": batch,
+                    "h": [x.astype("<u8").tobytes() for x in np.split(h, first[1:])],
+                })
+
+    def probed(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+        data = _joined_chunks(zip(held["chunk"], held["data"]), together, key[0] * together)
+        found = [read_levels(data, together, np.frombuffer(x, "<u8")).astype(np.uint8).tobytes() for x in asked["h"]]
+        return pd.DataFrame({"batch": asked["batch"], "h": asked["h"], "levels": found})
+
+    asked = texts.mapInPandas(dealt, "place long, batch long, h binary")
+    held = filter_chunks(counts, bits).withColumn("place", F.expr(f"chunk div {together}"))
+    return asked.groupBy("place").cogroup(held.groupBy("place")).applyInPandas(probed, "batch long, h binary, levels binary")
+
+
+def in_batches(rows: DataFrame, chars: int | None = None) -> DataFrame:
+    """``rows`` with a ``batch``: neighbouring rows of about ``chars`` characters together."""
+    chars = DEALT_CHARS if chars is None else chars
+
+    def numbered(batches):
+        batch, size = TaskContext.get().partitionId() << 40, 0
+        for pdf in batches:
+            numbers = []
+            for n in pdf["text"].str.len():
+                if size and size + n > chars:
+                    batch, size = batch + 1, 0
+                numbers.append(batch)
+                size += int(n) + 1
+            yield pdf.assign(batch=np.array(numbers, np.int64), doc_id=pdf["doc_id"].astype("Int64"))
+
+    return rows.mapInPandas(numbered, "row_id long, doc_id long, training boolean, text string, batch long")
 
 
 def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
@@ -254,44 +362,54 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     )
     spark = docs.sparkSession
     counts = materialise(ngram_counts(rows.where("training")), "ngram-counts")
-    model = build_filter(counts, max_bits)
-    total, distinct = model.total, model.distinct
+    bits, total, distinct = filter_totals(counts)
+    whole_filter = _collected(counts, bits, total, distinct) if bits <= max_bits else None
     frequent = counts.where("single").orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toPandas().sort_values("h")
-    held = spark.sparkContext.broadcast((model, frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
+    held = spark.sparkContext.broadcast((whole_filter, frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
 
-    def scored(batches):
-        lm, common, uses = held.value
+    def scored_with(lm: Filter, pdf: pd.DataFrame) -> pd.DataFrame:
+        _, common, uses = held.value
         logs = np.log10((uses + 1) / (total + distinct + 1))
+        hashes = [token_hashes(tokens(t)) for t in pdf["text"]]
+        out = []
+        for whole in hashes:
+            h, n = np.unique(whole.view(np.int64), return_counts=True)
+            at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
+            found = common[at] == h if len(common) else np.zeros(len(h), bool)
+            out.append((len(whole), int(n[found].sum()), float(n[found] @ logs[at[found]]), h[~found], n[~found]))
+        return pd.DataFrame({
+            "row_id": pdf["row_id"],
+            "doc_id": pdf["doc_id"].astype("Int64"),
+            "held_out": ~pdf["training"].astype(bool),
+            "score": lm.log10_scores(hashes),
+            "n_tokens": [o[0] for o in out],
+            "common": [o[1] for o in out],
+            "common_score": [o[2] for o in out],
+            "h": [o[3] for o in out],
+            "n": [o[4] for o in out],
+        })
+
+    def scored(batches):
         for pdf in batches:
-            hashes = [token_hashes(tokens(t)) for t in pdf["text"]]
-            out = []
-            for whole in hashes:
-                h, n = np.unique(whole.view(np.int64), return_counts=True)
-                at = np.minimum(np.searchsorted(common, h), max(len(common) - 1, 0))
-                found = common[at] == h if len(common) else np.zeros(len(h), bool)
-                out.append((len(whole), int(n[found].sum()), float(n[found] @ logs[at[found]]), h[~found], n[~found]))
-            yield pd.DataFrame({
-                "row_id": pdf["row_id"],
-                "doc_id": pdf["doc_id"].astype("Int64"),
-                "held_out": ~pdf["training"].astype(bool),
-                "score": lm.log10_scores(hashes),
-                "n_tokens": [o[0] for o in out],
-                "common": [o[1] for o in out],
-                "common_score": [o[2] for o in out],
-                "h": [o[3] for o in out],
-                "n": [o[4] for o in out],
-            })
+            yield scored_with(held.value[0], pdf)
+
+    def scored_batch(pdf: pd.DataFrame, read: pd.DataFrame) -> pd.DataFrame:
+        h = np.frombuffer(b"".join(read["h"]), "<u8")
+        return scored_with(ReadLevels(h, np.frombuffer(b"".join(read["levels"]), np.uint8), total, distinct), pdf)
 
     # A token stands for itself by its 64-bit hash in the exact counts too. The
     # counts of the most frequent ones come by broadcast, those of all others by a join.
-    texts = materialise(
-        rows.mapInPandas(
-            scored,
-            "row_id long, doc_id long, held_out boolean, score double, n_tokens long, common long, common_score double, "
-            "h array<long>, n array<long>",
-        ),
-        "scored-texts",
+    columns = (
+        "row_id long, doc_id long, held_out boolean, score double, n_tokens long, common long, common_score double, "
+        "h array<long>, n array<long>"
     )
+    if whole_filter is not None:
+        found = rows.mapInPandas(scored, columns)
+    else:
+        numbered = materialise(in_batches(rows), "batched-texts")
+        read = read_dealt(counts, bits, numbered.select("batch", "text"))
+        found = numbered.groupBy("batch").cogroup(read.groupBy("batch")).applyInPandas(scored_batch, columns)
+    texts = materialise(found, "scored-texts")
     used = texts.select("row_id", F.explode(F.arrays_zip("h", "n")).alias("t")).select(
         "row_id", "t.h", F.col("t.n").cast("int").alias("uses")
     )
