@@ -47,3 +47,21 @@ def test_odd_rows_go_through_every_stage(spark):
         assert stage(spark, docs.limit(0), "").count() == 0, name
     assert exact_dedup.drop_copies(docs).count() == 3
     assert language_id.keep_known(docs, language_id.fit(docs)).count() == 3
+
+
+def test_near_copies_keep_one_row_of_each_component(spark):
+    a, b, c, d = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcd")
+    rows = [(None, a), (2, b), (1, b), (None, b), (3, c), (3, c), (None, d), (None, d), (None, None), (4, "")]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.near_copies(spark, docs, "")
+    assert out.columns == COLUMNS
+    got = sorted(((r["doc_id"], r["text"]) for r in out.collect()), key=repr)
+    assert got == sorted([(None, a), (1, b), (3, c), (None, d), (4, "")], key=repr)
+
+
+def test_a_document_without_an_id_survives_the_stages(spark):
+    rows = [(1, None), (2, ""), (3, "word"), (3, "word"), (None, "an other")]
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        docs = materialise(stage(spark, docs, ""), f"test-odd-{name}")
+        assert docs.where("doc_id IS NULL").count() == 1, name

@@ -77,15 +77,24 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)`` of every row; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(
+    docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
+) -> DataFrame:
+    """``(doc_id, fp)`` of every row, with a ``row_id`` if ``row_col`` names one; ``fp`` holds the 64 bits as a signed long."""
 
     def hashed(batches):
         for pdf in batches:
-            fps = np.array([fingerprint(t, shingle) for t in pdf["text"]], np.uint64)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "fp": fps.view(np.int64)})
-
-    return id_and_text(docs, id_col, text_col).mapInPandas(hashed, "doc_id long, fp long")
+            fps = np.array([fingerprint(t, shingle) for t in pdf.pop("text")], np.uint64)
+            yield pdf.assign(doc_id=pdf["doc_id"].astype("Int64"), fp=fps.view(np.int64))
+
+    if row_col is None:
+        return id_and_text(docs, id_col, text_col).mapInPandas(hashed, "doc_id long, fp long")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"),
+        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
+        F.col(row_col).alias("row_id"),
+    )
+    return rows.mapInPandas(hashed, "doc_id long, row_id long, fp long")
 
 
 def _signed(x: int) -> int:
@@ -248,7 +257,23 @@ def near_duplicates(
 
 
 def drop_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The input rows, all columns, with one document (the smallest id) of each component."""
-    found = near_duplicates(docs, shingle, bits, id_col=id_col, text_col=text_col)
-    kept = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.col(id_col).cast("long") == F.col("_kept_id"), "left_semi")
+    """The input rows, all columns, with one row of each component.
+
+    It is the row with the smallest id; a row without an id stays only if no
+    row of its component has one, and among rows that share an id the first
+    one stays.  Every component keeps exactly one row.
+    """
+    numbered = materialise(docs.withColumn("_row_id", F.monotonically_increasing_id()), "near-copy-rows")
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row_id"))
+    fps = materialise(
+        fingerprints(numbered, shingle, id_col, text_col, "_row_id").groupBy("fp").agg(F.min(first).alias("first")),
+        "distinct-fingerprints",
+    )
+    linked = materialise(components(links(fps, bits)), "components")
+    kept = (
+        fps.join(linked, fps["fp"] == linked["node"], "left")
+        .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
+        .select(F.col("first.row_id").alias("_kept_row"))
+    )
+    stay = numbered.join(materialise(kept, "kept-rows"), F.col("_row_id") == F.col("_kept_row"), "left_semi")
+    return stay.select(*docs.columns)
