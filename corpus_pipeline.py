@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from triplex.llm import exact_dedup, language_id, ownership, packing, simhash
 from triplex.llm.common import materialise
-from triplex.llm.queries import byte_bpe
+from triplex.llm.queries import byte_bpe, byte_bpe_added
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences, with their ids."""
-    return packing.pack(docs, packing.text_ids(*byte_bpe()))
+    return packing.pack(docs, packing.text_ids(*byte_bpe(), added=byte_bpe_added()))
 
 
 STAGES = [

@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from triplex.llm import bpe, packing
 from triplex.llm.queries import byte_bpe
+from triplex.session import scratch_path
 
 TEXTS = [None, "", "Hello world", " a  b\n\n c\t ", "'s it's", "<|endoftext|> é日本 😀 " * 30, "word " * 900, " " * 700, "x" * 600, "a\n" * 500 + "日本語" * 200, "1 2,3 " * 300]
 
@@ -90,3 +91,22 @@ def test_repeated_rows_checksums_and_empty(make_docs):
     assert [int.from_bytes(r["ids"], "big") for r in out if r["doc_id"] == 1] == [zlib.crc32(ids)] * 2 and len(out) == 3
     assert packing.pack(docs.limit(0), packing.text_ids(*byte_bpe())).count() == 0
     assert bpe.encode(docs.limit(0), *byte_bpe()).count() == 0
+
+
+def test_op5_ids_equal_those_of_the_tokenizers_file_as_loaded(spark):
+    from tokenizers import Tokenizer
+
+    from triplex.llm import queries
+
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    name = "<|endoftext|>"
+    texts = [x or "" for x in TEXTS] + [f"a {name} b", name, name * 3, f"a  {name}  b", f"\n {name}\n\n x", f"<|{name}|>", f"x{name[:-1]} {name}'s", name.upper()]
+    ids = list(packing.text_ids(*byte_bpe(), added=queries.byte_bpe_added())(texts))
+    for text, found in zip(texts, ids):
+        assert found.tolist() == t.encode(text, add_special_tokens=False).ids + [packing.END_ID], text[:40]
+    folder = scratch_path(spark, "test-op5")
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+    out = queries.op5_packing(spark, folder).collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in out} == {i: len(x) for i, x in enumerate(ids)}
+    whole = {r["doc_id"]: r["ids_crc32"] for r in out if r["length"] == r["doc_tokens"]}
+    assert whole and all(whole[i] == zlib.crc32(ids[i].astype("<u4").tobytes()) for i in whole)

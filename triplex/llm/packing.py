@@ -43,13 +43,13 @@ PIECES = (
 
 
 @lru_cache(maxsize=4)
-def rank_encoder(path: str, pattern: str):
-    """The byte-level BPE of a rank file; loaded once per worker process."""
+def rank_encoder(path: str, pattern: str, added: tuple = ()):
+    """The byte-level BPE of a rank file, with ``added`` (token, id) pairs; loaded once per worker process."""
     import tiktoken
 
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
 class OpenWindows:
@@ -147,13 +147,17 @@ def _merge(window: int, open_windows: int):
     return merged
 
 
-def text_ids(path: str, pattern: str, end_id: int = END_ID):
-    """Ids of whole texts under a rank file, each with the end id."""
+def text_ids(path: str, pattern: str, end_id: int = END_ID, added: tuple = ()):
+    """Ids of whole texts under a rank file, each with the end id.
+
+    ``added`` tokens in a text get their own ids, and what stands between them
+    is encoded by itself; without them their names are ordinary text.
+    """
 
     def ids_of(texts):
-        encode = rank_encoder(path, pattern).encode_ordinary
+        encoder = rank_encoder(path, pattern, added)
         for text in texts:
-            ids = encode(text)
+            ids = encoder.encode(text, allowed_special="all") if added else encoder.encode_ordinary(text)
             ids.append(end_id)
             yield np.array(ids, np.uint32)
 

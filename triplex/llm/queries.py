@@ -6,6 +6,7 @@ table and derives the columns of its contract from the operator's output.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -38,6 +39,18 @@ def byte_bpe() -> tuple[str, str]:
     return public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
 
+def byte_bpe_added() -> tuple[tuple[str, int], ...]:
+    """``(token, id)`` of the added tokens of the vocabulary's tokenizers file."""
+    import public_tokenizers
+
+    with open(public_tokenizers.path("byte_bpe_50k.json"), encoding="utf-8") as f:
+        added = json.load(f)["added_tokens"]
+    for t in added:
+        if any(t[k] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError(f"added token {t['content']!r} is not matched as it stands")
+    return tuple((t["content"], t["id"]) for t in added)
+
+
 def op1_simhash_near_dedup(spark, d):
     found = simhash.near_duplicates(table(spark, d, "documents"), shingle=3, bits=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -62,7 +75,7 @@ def op4_maxscore(spark, d):
 
 def op5_packing(spark, d):
     docs = table(spark, d, "documents")
-    pieces = packing.pack(docs, packing.text_ids(*byte_bpe()), checksum_only=True)
+    pieces = packing.pack(docs, packing.text_ids(*byte_bpe(), added=byte_bpe_added()), checksum_only=True)
     return pieces.select(
         "doc_id", "start", "length", F.conv(F.hex("ids"), 16, 10).cast("long").alias("ids_crc32"),
         "doc_tokens", "sequence_id", "offset",
