@@ -61,6 +61,16 @@ def test_redaction_changes_only_live_secrets(make_docs):
     assert texts == {**{i: t for i, t, _ in rows}, 7: "é [SECRET] and [SECRET]"}
 
 
+def test_a_value_in_many_documents_of_one_owner_is_an_example(make_docs):
+    loose = "Xy7" * 8
+    rows = [(i, f"secret=PUBLIC99 {loose}", "s0") for i in range(200)] + [(900 + i, "secret=mine4711 " + "Zq8" * 8, "s0") for i in range(3)]
+    by_id = {r["doc_id"]: r for r in ownership.scan(make_docs(rows)).collect()}
+    assert (by_id[0]["n_live"], by_id[0]["n_example"], "owned" in by_id[0]["spans"]) == (0, 1, False)
+    assert (by_id[900]["n_live"], by_id[900]["n_example"], "owned" in by_id[900]["spans"]) == (2, 0, True)
+    texts = {r["doc_id"]: r["text"] for r in ownership.redact(make_docs(rows)).collect()}
+    assert texts == {**{i: t for i, t, _ in rows}, **{900 + i: "[SECRET] [SECRET]" for i in range(3)}}
+
+
 def test_empty_table(make_docs):
     empty = make_docs([(1, "x")]).limit(0)
     assert ownership.scan(empty).count() == 0 and ownership.redact(empty).count() == 0

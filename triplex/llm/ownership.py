@@ -1,9 +1,10 @@
 """Secret scans with corpus-wide ownership frequency (operator 6).
 
 Patterns find candidates; how many distinct owners and repositories hold a
-candidate's value tells what it is.  A value that many owners hold was copied
-from a manual or a template: a widely copied example.  A value that only few
-owners hold looks live.  Loose candidates (long mixed tokens without a keyword
+candidate's value tells what it is.  A value looks live (owner-specific) only
+if both are few: at most ``MAX_OWNERS`` owners and at most ``MAX_REPOSITORIES``
+repositories hold it.  Any other was copied from a manual or a template: a
+widely copied example, also where all its copies lie with one owner.  Loose candidates (long mixed tokens without a keyword
 beside them) are reported only if they are owner-specific, so the corpus, not
 a word list, separates them from common identifiers.
 
@@ -41,6 +42,9 @@ BASE_KINDS = 3
 #: A value that more owners hold is a widely copied example; up to so many may
 #: hold a live one, as forks and mirrors carry it along.
 MAX_OWNERS = 8
+#: So is a value that more repositories hold, whoever owns them: up to four for
+#: each of that many owners may hold a live one.
+MAX_REPOSITORIES = 4 * MAX_OWNERS
 MARK = "[SECRET]"
 
 
@@ -98,7 +102,7 @@ def ownership(found: DataFrame) -> DataFrame:
     )
 
 
-def scan_rows(rows: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
+def scan_rows(rows: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: int = MAX_REPOSITORIES) -> DataFrame:
     """Spans of ``rows (row_id, doc_id, owner, repository, text)``, one per row.
 
     ``row_id, doc_id, kind, start, end, value, owners, repositories, live``;
@@ -116,7 +120,8 @@ def scan_rows(rows: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
     start = F.sum("before").over(upto) + F.coalesce(F.sum("length").over(earlier), F.lit(0))
     return marked.repartition("row_id").select(
         "row_id", "doc_id", "kind", start.alias("start"), (start + F.col("length")).alias("end"),
-        "value", "owners", "repositories", (F.col("owners") <= max_owners).alias("live"),
+        "value", "owners", "repositories",
+        ((F.col("owners") <= max_owners) & (F.col("repositories") <= max_repositories)).alias("live"),
     )
 
 
@@ -146,10 +151,12 @@ def scan(
     owner_col: str = "source",
     repository_col: str = "doc_id",
     max_owners: int = MAX_OWNERS,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """One row per document: counts of the base kinds, span strings, and how many values are live or examples."""
     spans = scan_rows(
-        _rows(docs, id_col, text_col, owner_col, repository_col, F.monotonically_increasing_id()), max_owners
+        _rows(docs, id_col, text_col, owner_col, repository_col, F.monotonically_increasing_id()),
+        max_owners, max_repositories,
     )
     one = F.struct("start", "kind", "end")
     base = F.col("value").isNotNull() & (F.col("kind") < BASE_KINDS)
@@ -180,6 +187,7 @@ def redact(
     length_col: str = "n_chars",
     max_owners: int = MAX_OWNERS,
     mark: str = MARK,
+    max_repositories: int = MAX_REPOSITORIES,
 ) -> DataFrame:
     """All rows and columns of ``docs``; live-looking secrets give way to ``mark``.
 
@@ -189,7 +197,8 @@ def redact(
     """
     numbered = materialise(docs.withColumn("_row_id", F.monotonically_increasing_id()), "secret-rows")
     spans = scan_rows(
-        _rows(numbered, id_col, text_col, owner_col, repository_col, F.col("_row_id")), max_owners
+        _rows(numbered, id_col, text_col, owner_col, repository_col, F.col("_row_id")),
+        max_owners, max_repositories,
     ).where("live")
     before = Window.partitionBy("row_id").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
     steps = (
