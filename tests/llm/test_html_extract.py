@@ -40,6 +40,29 @@ def test_cases(spark):
     assert html_extract.extract(df.limit(0)).count() == 0
 
 
+def text_of(page):
+    return html_extract.main_text(page, {html_extract.WORD: 1.0, html_extract.OTHER: -0.1})
+
+
+def test_marks_in_the_names_of_layouts_do_not_drop_the_article():
+    for around in ('<div class="layout has-sidebar">', '<div id="content-with-nav">', '<section class="search-results">', '<div class="sidebar">', "<form>"):
+        name = around[1:].split()[0].strip(">")
+        page = f"<body>{around}<nav><a>menu</a></nav><article><p>one two three</p></article></{name}><div class=ad-box>buy</div>"
+        assert text_of(page) == "one two three", around
+    assert text_of("<body><div class=page-header><p>" + "word " * 50 + "</div><p>x") == "word " * 50 + "x"
+    assert text_of("<head><title>T</title><p>no body tag here") == "no body tag here"
+
+
+def test_left_out_elements_end_where_html_ends_them():
+    rest = "<p>four five six seven</p>"
+    assert text_of(f"<article><p>one two three<p class=ad>buy<p>three{rest}</article>") == "one two three three four five six seven"
+    assert text_of(f"<article><p>one</p><p class=ad>buy <b>now</b><div>two</div>{rest}</article>") == "one two four five six seven"
+    assert text_of(f"<article><ul><li>one<li class='menu-item'>buy<ul><li>in</ul><li>two</ul>{rest}</article>").split() == "one two four five six seven".split()
+    assert text_of(f"<article><dl><dt>one<dd class=ad>buy<dt>two</dl>{rest}</article>").split() == "one two four five six seven".split()
+    assert text_of(f"<article><table><tr><td>one<td class=ad>buy<td>two<tr><td>3</table>{rest}</article>").split() == "one two 3 four five six seven".split()
+    assert text_of(f"<article><div><div class=ad>buy<div>in</div></div>one</div>{rest}</article>") == "one four five six seven"
+
+
 def test_best_region_against_all_regions():
     for scores in ([], [-1], [1, -2, 3, -1, 2, -5, 4], [2, -1, 2], [0, 1, 0], [-1, 5, -6, 5]):
         a, b = html_extract.best_region(scores)

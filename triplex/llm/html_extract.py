@@ -4,7 +4,11 @@ A page is a sequence of words and tags.  Words score positive, tags negative;
 a linear scan finds the contiguous region with the highest sum, and its text
 is the content.  Elements that are never content (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments) are left out of
-the sequence first.
+the sequence first, by their name or by a whole token of ``class``, ``id`` or
+``role`` that marks them.  An element that holds an ``article`` or ``main`` is
+never left out, nor is one that holds most of the words of a page without
+either; what is left out inside of it still is.  Elements end where HTML ends
+them, so one without its optional end tag takes nothing else along.
 
 Weights come from labelled pages: those whose markup names the content by an
 ``article`` or ``main`` element.  For each known tag the counts inside and
@@ -21,12 +25,15 @@ from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_left
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Elements that are never content, and words in class, id or role that mark such elements.
+# Elements that are never content, and tokens of class, id or role
+# that mark such elements, alone or joined with each other and with affixes.
 LEFT_OUT = frozenset((
     "head", "nav", "header", "footer", "aside", "form", "button", "select", "textarea", "menu", "dialog",
     "iframe", "object", "svg", "canvas", "template", "noscript",
@@ -38,6 +45,12 @@ MARKS = frozenset((
     "cookies", "consent", "notice", "alert", "popup", "modal", "newsletter", "subscribe", "signup", "login", "share",
     "social", "related", "comment", "comments", "reply", "replies", "respond", "complementary", "contentinfo", "search",
 ))
+AFFIXES = frozenset((
+    "site", "page", "global", "main", "primary", "secondary", "top", "bottom", "left", "right", "mobile", "desktop",
+    "sticky", "fixed", "js", "block", "box", "bar", "area", "list", "item", "items", "link", "links", "wrap", "wrapper",
+    "container", "inner", "section", "widget", "widgets", "group", "panel", "unit", "slot", "zone", "form", "button",
+    "buttons", "icons", "toggle", "message", "policy",
+))
 CONTENT = ("article", "main")
 VOID = frozenset(("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"))
 INLINE = frozenset((
@@ -50,6 +63,30 @@ BLOCKS = frozenset((
     "h2", "h3", "h4", "h5", "h6", "hr", "html", "img", "li", "main", "ol", "p", "pre", "section", "summary", "table",
     "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 ))
+# Elements that may lack an end tag: the start tags that end them, and the open elements that keep them open.
+_ROWS = frozenset(("tr", "tbody", "thead", "tfoot"))
+_CELL = (_ROWS | {"td", "th"}, ("table",))
+IMPLIED = {
+    "p": (BLOCKS - {"br", "img", "html", "body", "summary"} | {
+        "aside", "fieldset", "footer", "form", "header", "hgroup", "menu", "nav",
+    }, ("table", "td", "th", "caption", "button", "object")),
+    "li": (frozenset(("li",)), ("ul", "ol", "menu", "table")),
+    "dd": (frozenset(("dd", "dt")), ("dl", "table")),
+    "dt": (frozenset(("dd", "dt")), ("dl", "table")),
+    "td": _CELL,
+    "th": _CELL,
+    "tr": (_ROWS, ("table",)),
+    "tbody": (_ROWS - {"tr"}, ("table",)),
+    "thead": (_ROWS - {"tr"}, ("table",)),
+    "tfoot": (_ROWS - {"tr"}, ("table",)),
+    "option": (frozenset(("option", "optgroup")), ("select",)),
+    "head": (BLOCKS - {"html"}, ()),
+}
+ENDS = {
+    tag: [(name, keep) for name, (tags, keep) in IMPLIED.items() if tag in tags]
+    for tag in frozenset().union(*(tags for tags, _ in IMPLIED.values()))
+}
+CELLS = ("td", "th", "caption", "table")
 OTHER = "other"
 WORD = "word"
 
@@ -61,46 +98,110 @@ _TOKEN = re.compile(
     re.I | re.S,
 )
 _HINT = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_SPLIT = re.compile(r"[^a-z]+")
+_PART = re.compile(r"[a-z]+")
 
 
 def _is_marked(name: str, attrs: str) -> bool:
     if name in ("html", "body", *CONTENT) or not attrs:
         return False
-    return any(w in MARKS for m in _HINT.finditer(attrs) for w in _SPLIT.split((m[1] or m[2] or m[3] or "").lower()))
+    return any(_marks(w) for m in _HINT.finditer(attrs) for w in (m[1] or m[2] or m[3] or "").lower().split())
+
+
+@lru_cache(maxsize=1 << 16)
+def _marks(token: str) -> bool:
+    parts = _PART.findall(token)
+    return any(p in MARKS for p in parts) and all(p in MARKS or p in AFFIXES for p in parts)
+
+
+def _extents(parts: list) -> dict[int, int]:
+    """Where each element that may be left out ends: index of its start tag to the index behind it."""
+    ends: dict[int, int] = {}
+    opened: list[tuple[str, int, bool]] = []
+    at: dict[str, list[int]] = {}  # places of the open elements of a name; all but inline ones under ""
+
+    def close(place: int, end: int) -> None:
+        while len(opened) > place:
+            name, i, wanted = opened.pop()
+            at[name].pop()
+            if name not in INLINE:
+                at[""].pop()
+            if wanted:
+                ends[i] = end
+
+    def last(name: str) -> int:
+        places = at.get(name)
+        return places[-1] if places else -1
+
+    for i, (name, slash, _, opens, wanted) in enumerate(parts):
+        if not name:
+            continue
+        if slash:
+            place = last(name)
+            if place < 0:
+                continue
+            if name in INLINE:
+                if last("") > place:
+                    continue
+            elif name not in CELLS and name not in _ROWS and max(map(last, CELLS)) > place:
+                continue
+            close(place + 1, i)
+            close(place, i + 1)
+            continue
+        if name in ENDS:
+            places = [last(n) for n, keep in ENDS[name] if last(n) >= 0 and all(last(k) < last(n) for k in keep if k != n)]
+            if places:
+                close(min(places), i)
+        if opens:
+            at.setdefault(name, []).append(len(opened))
+            if name not in INLINE:
+                at.setdefault("", []).append(len(opened))
+            opened.append((name, i, wanted))
+    close(0, len(parts))
+    return ends
+
+
+def _left_out(parts: list) -> dict[int, int]:
+    """The elements to leave out, as :func:`_extents` gives them."""
+    ends = _extents(parts)
+    content = [i for i, p in enumerate(parts) if p[0] in CONTENT and not p[1]]
+    if content:
+        return {i: end for i, end in ends.items() if bisect_left(content, i) == bisect_left(content, end)}
+    words = [0]
+    head = 0  # what stands in the head is no word of the page
+    for i, (name, _, text, _, _) in enumerate(parts):
+        if name == "head" and i in ends:
+            head = ends[i]
+        words.append(words[-1] + (0 if name or i < head else len(text.split())))
+    return {i: end for i, end in ends.items() if parts[i][0] == "head" or 2 * (words[end] - words[i]) <= words[-1]}
 
 
 def events(page: str):
     """``(tag, text, inside)`` of a page: a tag name (``/`` before an end tag) or a text, and whether it is labelled."""
-    left, depth, inside = "", 0, 0  # element being left out, how often it is open; open content elements
+    parts = []  # name, slash of an end tag, text, whether it opens an element, whether that may be left out
     for m in _TOKEN.finditer(page or ""):
         if m["text"] is not None:
-            if not left:
-                yield "", entities.unescape(m["text"]), inside > 0
-            continue
-        name = (m["name"] or "").lower()
-        if not name:
-            continue
-        if left == "head" and name == "body":
-            left = ""
-        if left:
-            if name == left:
-                depth += -1 if m["end"] else 1
-                left = left if depth else ""
-            continue
-        attrs = m["attrs"]
-        if not m["end"] and name not in VOID and not attrs.rstrip().endswith("/") and (
-            name in LEFT_OUT or _is_marked(name, attrs)
-        ):
-            left, depth = name, 1
+            parts.append(("", "", m["text"], False, False))
+        elif m["name"]:
+            name, attrs = m["name"].lower(), m["attrs"]
+            opens = not m["end"] and name not in VOID and not attrs.rstrip().endswith("/")
+            parts.append((name, m["end"], "", opens, opens and (name in LEFT_OUT or _is_marked(name, attrs))))
+    out = _left_out(parts)
+    i, inside = 0, 0  # open content elements
+    while i < len(parts):
+        name, slash, text, _, _ = parts[i]
+        if i in out:
             if name not in INLINE:
                 yield "", " ", inside > 0  # what stands around it stays apart
+            i = out[i]
             continue
-        if name in CONTENT:
-            inside = max(0, inside + (-1 if m["end"] else 1))
-            yield m["end"] + name, "", False
+        i += 1
+        if not name:
+            yield "", entities.unescape(text), inside > 0
+        elif name in CONTENT:
+            inside = max(0, inside + (-1 if slash else 1))
+            yield slash + name, "", False
         else:
-            yield m["end"] + name, "", inside > 0
+            yield slash + name, "", inside > 0
 
 
 def known(tag: str) -> str:
