@@ -95,6 +95,20 @@ def test_id_mentions_any_subject(spark):
     ], key=repr)
 
 
+def test_id_mentions_beside_any_punctuation(spark):
+    import re
+
+    subjects = ["m.9", "m.1", "m.2", "m.9.q", "m.9-x", "g.11b", "<http://x.org/ns/m.9"]
+    texts = ["ns/m.9", "m.1|m.2", "id=m.9", "see:m.9", "m.9*", "m.9-x", "m.9.q#", "xm.9 m.99 .m.1 m.2_", "<http://x.org/ns/m.9>", "~g.11b... m.2.", "é" + "m.1" + "é"]
+    cl = triples_df(spark, [(s, "p", "") for s in subjects] + [(None, "p", t) for t in texts])
+    # Its own boundary: no letter, digit, _ or dot on either side, but for dots that end the mention.
+    want = {
+        (s, t) for s in subjects for t in texts if re.search(rf"(?<![\w.]){re.escape(s)}(?!\.*\w)", t, re.A)
+    }
+    assert ("m.9", "ns/m.9") in want and ("m.2", "m.1|m.2") in want and ("m.1", "xm.9 m.99 .m.1 m.2_") not in want
+    assert {tuple(r) for r in matching.id_mentions(cl).collect()} == want
+
+
 def test_subject_as_object(spark):
     raw = triples_df(spark, [
         ("<http://rdf.freebase.com/ns/m.1>", "<http://rdf.freebase.com/ns/a.b>", "<http://rdf.freebase.com/ns/m.2>"),

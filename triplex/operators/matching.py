@@ -42,6 +42,8 @@ MAX_FIRST_CHARS = 0x110000
 ID_SEPARATORS = r"""\s"'()\[\]{}<>,;!?"""
 ID_TOKEN_REGEX = f"<?[^{ID_SEPARATORS}]+"
 ID_TRAIL_REGEX = "[.:]+$"
+# A bare id: a run of the only characters that can be part of one, up to its trailing dots.
+BARE_ID_REGEX = r"[0-9A-Za-z_.]*[0-9A-Za-z_]"
 
 
 def matching_rows(domain_rows: DataFrame) -> DataFrame:
@@ -219,9 +221,11 @@ def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
 
     A text's ids are its runs of characters other than white space, quotes,
     brackets and ``,;!?``, without trailing dots and colons; an id right after
-    ``<`` also counts with that ``<`` (the cleaned form of a foreign URI).  So
-    ``m.9.q`` mentions ``m.9.q`` and not ``m.9``.  Any subject of that shape
-    can be mentioned, whatever its prefix.
+    ``<`` also counts with that ``<`` (the cleaned form of a foreign URI).
+    Beside these, bare ids end at every character that is no letter, digit,
+    ``_`` or dot, so ``ns/m.1|m.2`` and ``id=m.9`` mention them.  ``m.9.q``
+    mentions ``m.9.q`` and not ``m.9``.  Any subject of these shapes can be
+    mentioned, whatever its prefix.
     """
     subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull())
     objects = cl.select(OBJECT).where(F.col(OBJECT).isNotNull()).distinct()
@@ -229,7 +233,8 @@ def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
         F.regexp_extract_all(OBJECT, F.lit(ID_TOKEN_REGEX), 0), lambda x: F.regexp_replace(x, ID_TRAIL_REGEX, "")
     )
     bare = F.transform(found, lambda x: F.ltrim(x, F.lit("<")))
-    ids = objects.select(OBJECT, F.explode(F.array_distinct(F.concat(found, bare))).alias("_id")).where(
+    cut = F.regexp_extract_all(OBJECT, F.lit(BARE_ID_REGEX), 0)
+    ids = objects.select(OBJECT, F.explode(F.array_distinct(F.concat(found, bare, cut))).alias("_id")).where(
         ~F.col("_id").isin("", "<")
     )
     return salted_semi_join(ids, subjects, "_id", SUBJECT, salt_buckets).select(
