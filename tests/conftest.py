@@ -24,15 +24,3 @@ def sf_small():
     if not os.path.isdir(SF_SMALL):
         pytest.skip("test tables not available")
     return SF_SMALL
-
-
-def triples_df(spark, rows):
-    from triplex.schema import TRIPLE_SCHEMA
-
-    return spark.createDataFrame(rows, TRIPLE_SCHEMA)
-
-
-def one_col(spark, name, values):
-    from pyspark.sql.types import StringType, StructField, StructType
-
-    return spark.createDataFrame([(v,) for v in values], StructType([StructField(name, StringType(), True)]))

@@ -1,7 +1,7 @@
 """Golden rows for the cleaning rules (subject, predicate, object, parts)."""
 
 import pytest
-from conftest import one_col
+from helpers import one_col
 from pyspark.sql import functions as F
 
 from triplex.functions import clean as C
@@ -104,7 +104,7 @@ def test_domain_and_parts(spark):
 
 def test_no_python_udf_in_cleaning_plan(spark):
     from triplex.operators.triples import clean_triples
-    from conftest import triples_df
+    from helpers import triples_df
 
     df = clean_triples(triples_df(spark, [("<a>", "<b/c>", '"d"@en')]))
     plan = df._jdf.queryExecution().executedPlan().toString()

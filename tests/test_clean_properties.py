@@ -1,6 +1,6 @@
 """Property tests: the native cleaning expressions against the rules written as string logic."""
 
-from conftest import one_col
+from helpers import one_col
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

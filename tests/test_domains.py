@@ -1,6 +1,6 @@
 """Domain filter, hash and random samples, positions, counts."""
 
-from conftest import triples_df
+from helpers import triples_df
 
 from triplex.operators import bounded, domains
 from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts, triple_multiplicity

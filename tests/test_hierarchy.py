@@ -1,7 +1,7 @@
 """Predicate hierarchy: leaves, nodes and sizes against a set-based model."""
 
 import pytest
-from conftest import one_col, triples_df
+from helpers import one_col, triples_df
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 

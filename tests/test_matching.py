@@ -1,7 +1,7 @@
 """Matching operators against their literal subjects x objects definition."""
 
 import pytest
-from conftest import triples_df
+from helpers import triples_df
 from pyspark.sql import functions as F
 
 from triplex.operators import matching

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import triples_df
+from helpers import triples_df
 
 from triplex.schema import PREDICATE_LIST_SCHEMA, TRIPLE_SCHEMA
 from triplex.session import scratch_path

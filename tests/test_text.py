@@ -1,6 +1,6 @@
 """Tokenizer and stop words: golden rows and equality with Spark ML stages."""
 
-from conftest import one_col
+from helpers import one_col
 from pyspark.ml.feature import RegexTokenizer, StopWordsRemover
 from pyspark.sql import functions as F
 
