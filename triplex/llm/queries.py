@@ -19,6 +19,8 @@ from triplex.llm import (
     html_extract,
     language_id,
     maxscore,
+    merkle,
+    oracle,
     ownership,
     packing,
     sharding,
@@ -109,6 +111,14 @@ def op10_sharding(spark, d):
     )
 
 
+def op11_merkle_manifest(spark, d):
+    picked = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    found = merkle.audit(
+        table(spark, d, "documents"), {"text": F.translate(F.col("text"), oracle.CAPITALS, oracle.SMALL)}, picked
+    )
+    return found.withColumnRenamed("key", "doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -120,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_extraction": op8_html_extraction,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
@@ -128,4 +139,5 @@ ORACLE: dict[str, str] = {
                doc_id = max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op11_merkle_manifest": oracle.merkle(),
 }
