@@ -78,3 +78,37 @@ def merkle(levels: int = 7, top_levels: int = 3) -> str:
     return "WITH " + ",\n".join(ctes) + f"""
         SELECT b.doc_id, b.leaf, b.subroot, r.h AS root, sha256(b.s) AS proof_sha256, b.f AS folded_root,
                b.f = r.h AS verified FROM {last} b, u{top_levels} r"""
+
+
+def spelling() -> str:
+    """Near words by equal strings after one deletion; forms followed by recursion."""
+    # U+00C0 to U+00FF have two bytes, the first one always 195.
+    run_bytes = """list_concat(ascii_part, flatten(list_transform(string_split(run, ''), lambda c:
+        CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)]
+             ELSE [CAST(195 AS BIGINT), CAST((unicode(c) & 63) | 128 AS BIGINT)] END)))"""
+    ctes = [
+        CRC_TABLE,
+        f"""runs AS MATERIALIZED (SELECT {ascii_bytes("coalesce(CAST(doc_id AS VARCHAR), '') || ':'")} AS ascii_part,
+            translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]{{7,}}')), '{CAPITALS}', '{SMALL}') AS run
+            FROM documents)""",
+        f"hashed AS MATERIALIZED (SELECT run, {crc32(run_bytes)} AS h FROM runs, crc_table)",
+        """words AS MATERIALIZED (SELECT word, count(*) AS n FROM (SELECT CASE WHEN h % 31 = 0
+            THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM hashed)
+            WHERE length(word) >= 7 GROUP BY word HAVING count(*) >= 2)""",
+        """cut AS MATERIALIZED (SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+            FROM (SELECT word, unnest(generate_series(1, length(word))) AS i FROM words))""",
+        """near AS MATERIALIZED (SELECT a.word AS u, b.word AS v FROM cut a JOIN cut b
+                ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+            UNION SELECT w.word, c.word FROM words w JOIN cut c ON w.word = c.rest
+            UNION SELECT c.word, w.word FROM words w JOIN cut c ON w.word = c.rest)""",
+        """best AS MATERIALIZED (SELECT u, count(*) AS n_near,
+            arg_min(v, {'less': -w.n, 'word': v}) AS v, max(w.n) AS n FROM near JOIN words w ON w.word = v GROUP BY u)""",
+        """formed AS MATERIALIZED (SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near,
+            CASE WHEN b.n >= 10 * w.n THEN b.v END AS form, CASE WHEN b.n >= 10 * w.n THEN b.n END AS form_n
+            FROM words w LEFT JOIN best b ON b.u = w.word)""",
+        """chain AS (SELECT word, word AS root, form AS next FROM formed
+            UNION ALL SELECT c.word, f.word, f.form FROM chain c JOIN formed f ON f.word = c.next)""",
+    ]
+    return "WITH RECURSIVE " + ",\n".join(ctes) + """
+        SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n
+        FROM formed f JOIN chain c ON c.word = f.word AND c.next IS NULL"""

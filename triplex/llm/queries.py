@@ -23,8 +23,10 @@ from triplex.llm import (
     oracle,
     ownership,
     packing,
+    phrases,
     sharding,
     simhash,
+    spelling,
 )
 
 SHARDS = 16
@@ -119,6 +121,20 @@ def op11_merkle_manifest(spark, d):
     return found.withColumnRenamed("key", "doc_id")
 
 
+def op12_document_fingerprints(spark, d):
+    found = phrases.compare_neighbours(table(spark, d, "documents"))
+    as_hex = {c: F.lower(F.hex(c)) for c in ("edited_digest", "fingerprint", "edited_fingerprint")}
+    return found.select(
+        "doc_id", "n_chars", as_hex["edited_digest"].alias("edited_sha256"),
+        as_hex["fingerprint"].alias("fingerprint"), as_hex["edited_fingerprint"].alias("edited_fingerprint"),
+        "near_edited", "near_next",
+    )
+
+
+def op13_spelling_variants(spark, d):
+    return spelling.variants(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_lm_scoring": op2_lm_scoring,
@@ -131,6 +147,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": op9_exact_dedup,
     "op10_sharding": op10_sharding,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_document_fingerprints": op12_document_fingerprints,
+    "op13_spelling_variants": op13_spelling_variants,
 }
 
 ORACLE: dict[str, str] = {
@@ -140,4 +158,5 @@ ORACLE: dict[str, str] = {
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
     "op11_merkle_manifest": oracle.merkle(),
+    "op13_spelling_variants": oracle.spelling(),
 }
