@@ -21,12 +21,31 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id long, text string)``: null text becomes empty, other columns go.
+    """``(doc_id string, text string)``: null text becomes empty, other columns go.
 
     Operators start here, so extra columns of the input, whatever their
-    names, cannot clash with the columns an operator makes.
+    names, cannot clash with the columns an operator makes.  Ids go through
+    Python as text: pandas turns a batch of longs that holds a null into
+    floats, which are exact up to 2^53 only.  :func:`long_ids` undoes it.
     """
     return docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).cast("long").cast("string").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
+
+
+def long_ids(df: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """``df`` with its text ids as numbers again."""
+    return df.withColumn(id_col, F.col(id_col).cast("long"))
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The wanted names, each lengthened until no column of ``df`` has it (whatever its case)."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out

@@ -7,7 +7,7 @@ those from each other by votes.
 
 The machines are fitted on the driver from ``max_rows`` labelled rows at most
 (a documented bound; the same number from each language, chosen by a hash of
-the id over all rows).  Their weights, ``features`` numbers for each pair of
+the id over all rows, and no more languages than that, those with most rows).  Their weights, ``features`` numbers for each pair of
 languages, go to the tasks that read whole texts.
 
 Defined results: null texts and texts without a letter are ``und`` with score
@@ -26,6 +26,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from triplex.llm.common import id_and_text, long_ids
+
 # Families of languages (ISO 639-1). A language not named is a family by itself.
 FAMILIES = {
     "germanic": ("en", "de", "nl", "sv", "da", "no"),
@@ -47,6 +49,8 @@ def family_of(lang: str) -> str:
 def text_features(text: str, features: int = FEATURES) -> np.ndarray | None:
     """Unit vector (with a last constant 1) of a whole text; ``None`` without a letter."""
     words = _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
+    if not words.replace(" ", "").isalpha():  # other numerals, such as powers and fractions
+        words = " ".join("".join(c if c.isalpha() else " " for c in words).split())
     if not words:
         return None
     codes = np.frombuffer(f" {words} ".encode("utf-32-le", "replace"), np.uint32)
@@ -122,15 +126,18 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     rows = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.xxhash64(F.col(id_col).cast("long")).alias("h"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text")
     )
-    ids = rows.select("lang", "h").distinct()
-    langs = ids.groupBy("lang").count().count()
-    each = max(1, max_rows // max(1, langs))
+    known = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_rows).collect()
+    if not known:
+        return Model(np.zeros((0, features + 1), np.float32), [])
     order = Window.partitionBy("lang").orderBy("h")
     cuts = (
-        ids.withColumn("r", F.row_number().over(order)).where(F.col("r") <= each)
-        .groupBy("lang").agg(F.max("h").alias("cut"))
+        rows.where(F.col("lang").isin([r["lang"] for r in known])).select("lang", "h").distinct()
+        .withColumn("r", F.row_number().over(order)).where(F.col("r") <= max_rows // len(known))
+        .groupBy("lang").agg(F.max("h").alias("cut")).collect()
     )
-    chosen = rows.join(cuts, "lang").where("h <= cut").select("lang", "h", "text")
+    # The cuts, one for each language, are a part of the condition, so no text is dealt out.
+    cut_of = F.create_map(*[x for r in cuts for x in (F.lit(r["lang"]), F.lit(r["cut"]))])
+    chosen = rows.where(F.col("h") <= F.element_at(cut_of, F.col("lang"))).select("lang", "h", "text")
 
     def vectors(batches):
         for pdf in batches:
@@ -153,14 +160,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
         for pdf in batches:
             found = [model.predict(text_features(t, features)) for t in pdf["text"]]
             yield pd.DataFrame({
-                "doc_id": pdf["doc_id"].astype("Int64"),
+                "doc_id": pdf["doc_id"],
                 "lang_pred": [f[0] for f in found],
                 "score": np.array([f[1] for f in found], float),
             })
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInPandas(
-        predicted, "doc_id long, lang_pred string, score double"
-    )
+    return long_ids(id_and_text(docs, id_col, text_col).mapInPandas(
+        predicted, "doc_id string, lang_pred string, score double"
+    ))
 
 
 def held_out(id_col: str = "doc_id", folds: int = 5) -> F.Column:
