@@ -68,3 +68,36 @@ def test_best_region_against_all_regions():
         a, b = html_extract.best_region(scores)
         best = max([0, *(sum(scores[i:j]) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1))])
         assert sum(scores[a:b]) == best
+
+
+LEAD = "<p>" + " ".join(f"lead{i}" for i in range(12)) + "</p>"
+ITEMS = "<ul>" + "".join(f"<li>item {i}</li>" for i in range(10)) + "</ul>"
+CELLS = "<table>" + "<tr><td></td><td></td><td>x</td></tr>" * 30 + "</table>"
+LONG = "<p>" + " ".join(f"word{i}" for i in range(200)) + "</p>"
+
+
+def plain(markup):
+    return " ".join(re.sub(r"<[^>]*>", " ", markup).split())
+
+
+def test_lists_and_tables_at_the_edges_of_an_article_stay(spark):
+    menus = "<nav><ul>" + "<li><a>menu entry</a></li>" * 30 + "</ul></nav><ul>" + "<li><a>more links</a></li>" * 40 + "</ul>"
+    bodies = [LEAD + ITEMS + LONG, LEAD + CELLS + LONG, LONG + CELLS + LEAD, LONG + "<pre>code  here</pre>" + ITEMS, ITEMS * 4]
+    rows = [(i, "u", f"<body>{menus}<article>{b}</article>{menus}", "t", "n") for i, b in enumerate(bodies)]
+    rows += [(10 + i, "u", f"<body>{menus}<article>{LONG}</article>{menus}", "t", "n") for i in range(20)]
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(spark.createDataFrame(rows, SCHEMA)).collect()}
+    for i, body in enumerate(bodies):
+        assert got[i] == plain(body), i
+
+
+def test_without_labels_the_element_around_the_region_stays_whole():
+    dear = {html_extract.WORD: 1.0, html_extract.OTHER: -1.0, "li": -3.0, "td": -3.0, "tr": -3.0}
+    links = "<div>" + "<li><a>link</a></li>" * 9 + "</div>"
+    page = f"<body>{links}<div class=post>{LEAD}{ITEMS}{CELLS}{LONG}</div>{links}"
+    assert html_extract.main_text(page, dear) == plain(LEAD + ITEMS + CELLS + LONG)
+    assert html_extract.main_text(f"<body>{links}{LONG}{links}", dear) == plain(LONG)
+
+
+def test_element_spans_of_broken_markup():
+    seen = [("div", "", False), ("section", "", False), ("/div", "", False), ("div", "", False), ("/x", "", False)]
+    assert html_extract.element_spans(seen, ("div", "section")) == [(1, 3), (0, 3), (3, 5)]

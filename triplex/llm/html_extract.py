@@ -1,8 +1,8 @@
 """Main text of web pages by a maximum-scoring subsequence (operator 8).
 
 A page is a sequence of words and tags.  Words score positive, tags negative;
-a linear scan finds the contiguous region with the highest sum, and its text
-is the content.  Elements that are never content (menus, headers, footers,
+a linear scan finds the contiguous region with the highest sum, extended to
+the content element that it lies in, and its text is the content.  Elements that are never content (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, comments) are left out of
 the sequence first, by their name or by a whole token of ``class``, ``id`` or
 ``role`` that marks them.  An element that holds an ``article`` or ``main`` is
@@ -32,6 +32,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from triplex.llm.common import long_ids
+
 # Elements that are never content, and tokens of class, id or role
 # that mark such elements, alone or joined with each other and with affixes.
 LEFT_OUT = frozenset((
@@ -255,11 +257,44 @@ def best_region(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def element_spans(seen: list, names: tuple[str, ...]) -> list[tuple[int, int]]:
+    """``(first, end)`` of the elements of those names, inner ones first; unclosed ones end with the page."""
+    spans, opened = [], []
+    for i, (tag, _, _) in enumerate(seen):
+        if tag in names:
+            opened.append((tag, i))
+        elif tag[:1] == "/" and any(tag[1:] == name for name, _ in opened):
+            while True:
+                name, start = opened.pop()
+                spans.append((start, i + 1))
+                if name == tag[1:]:
+                    break
+    return spans + [(start, len(seen)) for _, start in reversed(opened)]
+
+
+def whole_content(seen: list, first: int, end: int) -> tuple[int, int]:
+    """The region, extended to whole content elements: lists and tables at its edges belong to it.
+
+    On a page with ``article`` or ``main`` these are the ones that the region
+    reaches into, on any other the innermost ``div`` or ``section`` around it.
+    """
+    if first == end:
+        return first, end
+    content = element_spans(seen, CONTENT)
+    if content:
+        reached = [(a, b) for a, b in content if a < end and first < b]
+        return min([first, *(a for a, _ in reached)]), max([end, *(b for _, b in reached)])
+    around = [(a, b) for a, b in element_spans(seen, ("div", "section")) if a <= first and end <= b]
+    return min(around, key=lambda s: s[1] - s[0], default=(first, end))
+
+
 def main_text(page: str, score: dict[str, float]) -> str:
     seen = list(events(page))
     other = score.get(OTHER, -1.0)
     points = [score.get(known(t), other) if t else score[WORD] * len(x.split()) for t, x, _ in seen]
-    first, end = best_region(points)
+    if any(p > 0 and e[2] for p, e in zip(points, seen)):  # the page says where its content is
+        points = [p if e[2] else -abs(p) for p, e in zip(points, seen)]
+    first, end = whole_content(seen, *best_region(points))
     parts = [x if not t else ("" if t.lstrip("/") in INLINE else " ") for t, x, _ in seen[first:end]]
     return " ".join("".join(parts).split())
 
@@ -271,13 +306,13 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     def extracted(batches):
         for pdf in batches:
             yield pd.DataFrame({
-                "page_id": pdf["page_id"].astype("Int64"),
+                "page_id": pdf["page_id"],
                 "url": pdf["url"],
                 "text": [main_text(p, score) for p in pdf["html"]],
             })
 
-    return pages.select(
-        F.col(id_col).cast("long").alias("page_id"),
+    return long_ids(pages.select(
+        F.col(id_col).cast("long").cast("string").alias("page_id"),  # text: exact in pandas
         F.col(url_col).cast("string").alias("url"),
         F.col(html_col).cast("string").alias("html"),
-    ).mapInPandas(extracted, "page_id long, url string, text string")
+    ).mapInPandas(extracted, "page_id string, url string, text string"), "page_id")
