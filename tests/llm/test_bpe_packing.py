@@ -38,19 +38,64 @@ def test_chunked_encoding_and_round_trip(make_docs, chunk, overlap):
         assert digests[i]["ids"] == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.text(alphabet="ab1 \n\t'sé,.", max_size=300), st.integers(5, 40), st.integers(2, 30))
-def test_stitched_cuts_are_boundaries(text, chunk, overlap):
-    import regex
-
-    pattern = public_tokenizers.PATTERN
+def stitched_ids(text, chunk, overlap):
+    """Ids of a text as its chunks give them."""
     parts = []
     for s in bpe.chunk_starts(len(text), chunk):
         part = text[s : s + chunk + overlap]
-        ends = bpe.boundaries(part, s, pattern, s + len(part) >= len(text))
-        tail = [e for e in ends if s + chunk <= e < s + chunk + overlap]
-        parts.append(([e for e in ends if e < s + overlap], tail, [e for e in tail if bpe.is_sure(part, e - s)]))
-    assert set(bpe.stitch(parts)) <= {0} | {m.end() for m in regex.finditer(pattern, text)}
+        ends = bpe.boundaries(part, s, public_tokenizers.PATTERN, s + len(part) >= len(text))
+        sure = [e for e in ends if s + chunk <= e < s + chunk + overlap and bpe.is_sure(part, e - s)]
+        parts.append(([e for e in ends if e < s + overlap], sure))
+    cuts = bpe.stitch(parts)
+    assert cuts == sorted(set(cuts))
+    return [i for a, b in zip(cuts, [*cuts[1:], len(text)]) for i in packing.encode_plain(encoder(), text[a:b])], len(cuts)
+
+
+@settings(max_examples=400, deadline=None)
+@given(
+    st.one_of(
+        st.text(alphabet="ab1 \n\t'sé,.", max_size=300),
+        st.text(alphabet=" \n\r\xa0\u3000\x1cx", max_size=200),
+        st.text(alphabet="日本語、。 ①²½\u0301\u200b\U0001f600'lre", max_size=200),
+        st.text(max_size=120),
+    ),
+    st.integers(5, 40), st.integers(2, 30),
+)
+def test_stitched_ids_equal_the_library(text, chunk, overlap):
+    assert stitched_ids(text, chunk, overlap)[0] == encoder().encode_ordinary(text)
+
+
+def test_a_chunk_border_inside_white_space():
+    text = "a " * 16383 + "x\n\n" + "日本語、中国。" * 80 + " c" * 50
+    ids, pieces = stitched_ids(text, bpe.CHUNK, bpe.OVERLAP)
+    assert ids == encoder().encode_ordinary(text) and pieces == 2
+
+
+def test_texts_without_spaces_are_still_cut():
+    import random
+
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/"
+    for text in ("日本語、中国。" * 3000, "".join(random.Random(1).choices(letters, k=20000))):
+        ids, pieces = stitched_ids(text, 2000, 64)
+        assert ids == encoder().encode_ordinary(text) and pieces == -(-len(text) // 2000)
+
+
+@pytest.mark.parametrize("space", [" ", "\n", "\u3000\t"])
+@pytest.mark.parametrize("tail", ["b", "", "\x1c", " 's"])
+def test_long_white_space_is_encoded_as_the_library_does(space, tail):
+    run = space * (100_000 // len(space))
+    for text in (f"a{run}{tail}", f"{run}{tail}", f"a {run}b{run}{tail}"):
+        assert packing.encode_plain(encoder(), text) == encoder().encode_ordinary(text)
+
+
+def test_a_million_blanks_do_not_stop_the_job(make_docs):
+    rows = [(1, "a" + "\n" * 1_000_000 + "b"), (2, "a" + " " * 1_000_001), (3, "x" * 300_000)]
+    found = {r["doc_id"]: r for r in bpe.encode(make_docs(rows), *byte_bpe()).collect()}
+    for i, text in rows:
+        assert found[i]["decoded"] == text.encode()
+    pieces = packing.pack(make_docs(rows), packing.text_ids(*byte_bpe()), checksum_only=True).collect()
+    for i, _ in rows:
+        assert sum(r["length"] for r in pieces if r["doc_id"] == i) == found[i]["n_tokens"] + 1
 
 
 def test_pieces_cover_every_document_once(make_docs):

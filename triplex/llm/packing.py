@@ -11,12 +11,14 @@ neighbouring tasks, so no task ever sees all leftovers.
 Defined results: null and empty texts are one piece holding the end id;
 repeated rows are packed as rows of their own; an empty table gives no rows;
 other columns are ignored whatever their names; a document of many windows
-is cut, nothing is dropped.
+is cut, nothing is dropped; a text of any length is encoded whole, in the
+memory of one task.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
@@ -27,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplex.llm.common import id_and_text, materialise
+from triplex.llm.common import id_and_text, long_ids, materialise
 
 WINDOW = 2048
 END_ID = 1
@@ -37,7 +39,7 @@ OPEN_WINDOWS = 64
 MERGED_TASKS = 4
 
 PIECES = (
-    "doc_id long, start long, length long, ids binary, doc_tokens long, "
+    "doc_id string, start long, length long, ids binary, doc_tokens long, "
     "window_id long, offset long, used long, open boolean"
 )
 
@@ -52,6 +54,38 @@ def rank_encoder(path: str, pattern: str, added: tuple = ()):
     return tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens=dict(added))
 
 
+# The characters of a white-space run in the pattern; from what length on a run is set apart.
+_SPACE_RUN = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{%d,}" % 65536)
+
+
+def encode_plain(encoder, text: str) -> list[int]:
+    """``encoder.encode_ordinary(text)`` for any text.
+
+    The encoder's pattern matcher remembers each character of a white-space
+    run and fails on very long ones.  Such a run is one pre-token, up to its
+    last character if something follows (that one goes with what follows), so
+    it is encoded by itself; the pre-tokens around it stay as they are.
+    """
+    ids, at = [], 0
+    for run in _SPACE_RUN.finditer(text):
+        end = run.end() if run.end() == len(text) else run.end() - 1
+        ids += encoder.encode_ordinary(text[at : run.start()])
+        ids += encoder._encode_single_piece(text[run.start() : end])
+        at = end
+    return ids + encoder.encode_ordinary(text[at:]) if at else encoder.encode_ordinary(text)
+
+
+def encode_text(encoder, text: str, added: tuple = ()) -> list[int]:
+    """Ids of a text; ``added`` (token, id) pairs stand for themselves."""
+    if not added or not any(name in text for name, _ in added):
+        return encode_plain(encoder, text)
+    ids, number = [], dict(added)
+    names = "|".join(re.escape(name) for name in sorted(number, key=len, reverse=True))
+    for part in re.split(f"({names})", text):
+        ids += [number[part]] if part in number else encode_plain(encoder, part)
+    return ids
+
+
 class OpenWindows:
     """A fixed number of open windows with best-fit placement.
 
@@ -106,11 +140,11 @@ def place_rests(ids_of, window: int = WINDOW, open_windows: int = OPEN_WINDOWS):
         def frame():
             pdf = pd.DataFrame(out, columns=["doc_id", "start", "length", "ids", "doc_tokens", "window_id", "offset", "used", "open"])
             out.clear()
-            return pdf.astype({"doc_id": "Int64"})
+            return pdf
 
         for pdf in batches:
             for doc_id, ids in zip(pdf["doc_id"], ids_of(pdf["text"])):
-                doc_id, total = None if pd.isna(doc_id) else int(doc_id), len(ids)
+                total = len(ids)
                 data = ids.astype("<u4", copy=False)
                 rest = total // window * window
                 for start in range(0, rest, window):
@@ -157,7 +191,7 @@ def text_ids(path: str, pattern: str, end_id: int = END_ID, added: tuple = ()):
     def ids_of(texts):
         encoder = rank_encoder(path, pattern, added)
         for text in texts:
-            ids = encoder.encode(text, allowed_special="all") if added else encoder.encode_ordinary(text)
+            ids = encode_text(encoder, text, added)
             ids.append(end_id)
             yield np.array(ids, np.uint32)
 
@@ -199,4 +233,4 @@ def pack(
     merged = pieces.where("open").join(moves, F.col("window_id") == F.col("old_id")).select(
         *columns, "sequence_id", (F.col("offset") + F.col("base")).alias("offset")
     )
-    return closed.unionByName(merged)
+    return long_ids(closed.unionByName(merged))
