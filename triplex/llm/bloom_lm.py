@@ -343,9 +343,9 @@ def in_batches(rows: DataFrame, chars: int | None = None) -> DataFrame:
                     batch, size = batch + 1, 0
                 numbers.append(batch)
                 size += int(n) + 1
-            yield pdf.assign(batch=np.array(numbers, np.int64), doc_id=pdf["doc_id"].astype("Int64"))
+            yield pdf.assign(batch=np.array(numbers, np.int64))
 
-    return rows.mapInPandas(numbered, "row_id long, doc_id long, training boolean, text string, batch long")
+    return rows.mapInPandas(numbered, "row_id long, doc_id string, training boolean, text string, batch long")
 
 
 def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text", max_bits: int = MAX_BITS) -> DataFrame:
@@ -356,7 +356,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     """
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).cast("long").cast("string").alias("doc_id"),  # text: exact in pandas
         F.coalesce(training, F.lit(True)).alias("training"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
     )
@@ -379,7 +379,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
             out.append((len(whole), int(n[found].sum()), float(n[found] @ logs[at[found]]), h[~found], n[~found]))
         return pd.DataFrame({
             "row_id": pdf["row_id"],
-            "doc_id": pdf["doc_id"].astype("Int64"),
+            "doc_id": pdf["doc_id"],
             "held_out": ~pdf["training"].astype(bool),
             "score": lm.log10_scores(hashes),
             "n_tokens": [o[0] for o in out],
@@ -400,7 +400,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     # A token stands for itself by its 64-bit hash in the exact counts too. The
     # counts of the most frequent ones come by broadcast, those of all others by a join.
     columns = (
-        "row_id long, doc_id long, held_out boolean, score double, n_tokens long, common long, common_score double, "
+        "row_id long, doc_id string, held_out boolean, score double, n_tokens long, common long, common_score double, "
         "h array<long>, n array<long>"
     )
     if whole_filter is not None:
@@ -425,7 +425,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     )
     joined = texts.drop("h", "n").join(sums, F.col("row_id") == F.col("_row"), "left")
     return joined.select(
-        "doc_id", "held_out", "n_tokens",
+        F.col("doc_id").cast("long").alias("doc_id"), "held_out", "n_tokens",
         (F.col("common") + F.coalesce("rest", F.lit(0))).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"),
         (F.col("common_score") + F.coalesce("rest_score", F.lit(0.0))).alias("base_score"),

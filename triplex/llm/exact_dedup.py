@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplex.llm.common import id_and_text, materialise
+from triplex.llm.common import id_and_text, long_ids, materialise, unused
 
 #: A digest is a heavy hitter from this share of all rows on.
 HEAVY_SHARE = 1 / 1024
@@ -34,7 +34,7 @@ HEAVY_SHARE = 1 / 1024
 
 def text_digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id, row_id, digest)`` of every row; the digest is 32 bytes."""
-    return id_and_text(docs, id_col, text_col).select(
+    return long_ids(id_and_text(docs, id_col, text_col)).select(
         "doc_id",
         F.monotonically_increasing_id().alias("row_id"),
         F.unhex(F.sha2("text", 256)).alias("digest"),

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplex.llm.common import id_and_text, materialise
+from triplex.llm.common import id_and_text, long_ids, materialise, unused
 
 #: Reference fingerprints of the pivot table (eight distances fill one long).
 PIVOTS = 16
@@ -85,16 +85,16 @@ def fingerprints(
     def hashed(batches):
         for pdf in batches:
             fps = np.array([fingerprint(t, shingle) for t in pdf.pop("text")], np.uint64)
-            yield pdf.assign(doc_id=pdf["doc_id"].astype("Int64"), fp=fps.view(np.int64))
+            yield pdf.assign(fp=fps.view(np.int64))
 
     if row_col is None:
-        return id_and_text(docs, id_col, text_col).mapInPandas(hashed, "doc_id long, fp long")
+        return long_ids(id_and_text(docs, id_col, text_col).mapInPandas(hashed, "doc_id string, fp long"))
     rows = docs.select(
-        F.col(id_col).cast("long").alias("doc_id"),
+        F.col(id_col).cast("long").cast("string").alias("doc_id"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.col(row_col).alias("row_id"),
     )
-    return rows.mapInPandas(hashed, "doc_id long, row_id long, fp long")
+    return long_ids(rows.mapInPandas(hashed, "doc_id string, row_id long, fp long"))
 
 
 def _signed(x: int) -> int:
