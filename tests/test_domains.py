@@ -2,7 +2,7 @@
 
 from helpers import triples_df
 
-from triplex.operators import bounded, domains
+from triplex.operators import domains
 from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts, triple_multiplicity
 from triplex.operators.vocabulary import domain_counts, keyword_predicates, ordered_positions, top_domains
 
@@ -18,14 +18,41 @@ def _raw(spark, n=400):
     return triples_df(spark, rows)
 
 
-def test_domain_filter_paths_agree(spark, monkeypatch):
+def test_domain_filter_equals_a_literal_list(spark, monkeypatch):
     cl = clean_triples(drop_duplicate_triples(_raw(spark)))
-    inline = sorted(map(tuple, domains.domain_triples(cl, "d").collect()))
-    monkeypatch.setattr(bounded, "MAX_INLINE_VALUES", 0)
-    fallback = domains.domain_triples(cl, "d")
-    assert "SortMergeJoin" in fallback._jdf.queryExecution().executedPlan().toString()  # join fallback
-    joined = sorted(map(tuple, fallback.collect()))
-    assert inline == joined and len(inline) == 400
+    want = sorted(map(tuple, cl.where("Predicate IN ('d.p0', 'd.p1', 'd.p2')").collect()))
+    assert sorted(map(tuple, domains.domain_triples(cl, "d").collect())) == want and len(want) == 400
+    monkeypatch.setattr(domains, "BITMAP_BITS", 64)  # many false hits: the join settles them
+    assert sorted(map(tuple, domains.domain_triples(cl, "d").collect())) == want
+    assert domains.domain_triples(cl, "unknown").count() == 0
+
+
+def test_a_given_vocabulary_decides(spark):
+    from triplex.operators.hierarchy import predicate_hierarchy
+
+    raw = _raw(spark)
+    cl = clean_triples(drop_duplicate_triples(raw))
+    own = predicate_hierarchy(cl)
+    given = spark.createDataFrame([
+        ("d", None, "d", 1, False), ("d.p1", "d", "p1", 2, True), ("d.p2", "d", "p2", 2, False),
+        ("d.p2.x", "d.p2", "x", 3, True), ("e.q", "e", "q", 2, True), ("d", None, "d", 1, True),
+    ], own.schema)
+    rows = lambda df: sorted(map(tuple, df.collect()))
+    assert rows(domains.domain_triples(cl, "d", hierarchy=own)) == rows(domains.domain_triples(cl, "d"))
+    want = rows(cl.where("Predicate = 'd.p1'"))  # p0 is not in it, p2 no leaf there
+    assert rows(domains.domain_triples(cl, "d", hierarchy=given)) == want
+    assert rows(domains.domain_triples_from_raw(raw, "d", given)) == want
+
+
+def test_building_a_domain_query_runs_no_job(spark):
+    raw = _raw(spark)
+    cl = clean_triples(drop_duplicate_triples(raw))
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    domains.domain_triples(cl, "d")
+    domains.domain_triples_from_raw(raw, "d")
+    domains.domain_sample_hash(drop_duplicate_triples(raw), "d", 0.5)
+    assert set(tracker.getJobIdsForGroup(None)) == before
 
 
 def test_hash_sample_is_subset_and_repeatable(spark):
@@ -74,7 +101,7 @@ def test_ordered_positions_distributed(spark):
     assert got == want
 
 
-def test_raw_first_domain_path_equals_cleaned_path(spark, monkeypatch):
+def test_raw_first_domain_path_equals_cleaned_path(spark):
     raw = triples_df(spark, [
         ("<http://a/m.1>", "<http://a/d.x.y>", '"one"@en'),
         ("<http://a/m.1>", "<http://b/d.x.y>", '"one"@en'),   # same cleaned predicate
@@ -87,17 +114,13 @@ def test_raw_first_domain_path_equals_cleaned_path(spark, monkeypatch):
     want = sorted(map(tuple, domains.domain_triples(clean_triples(drop_duplicate_triples(raw)), "d").collect()))
     got = sorted(map(tuple, domains.domain_triples_from_raw(raw, "d").collect()))
     assert got == want and len(got) == 3  # cleaning re-creates one duplicate
-    monkeypatch.setattr(bounded, "MAX_INLINE_VALUES", 0)
-    fallback = domains.domain_triples_from_raw(raw, "d")
-    assert "SortMergeJoin" in fallback._jdf.queryExecution().executedPlan().toString()  # join fallback
-    assert sorted(map(tuple, fallback.collect())) == want
 
 
 def test_raw_first_filter_has_no_regex(spark):
     raw = _raw(spark)
-    plan = domains.domain_triples_from_raw(raw, "d")._jdf.queryExecution().optimizedPlan().toString()
-    filters = [line for line in plan.splitlines() if "Filter" in line and "Predicate" in line]
-    assert filters and all("regexp" not in line for line in filters)
+    plan = domains.domain_triples_from_raw(raw, "d")._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    filters = [line for line in plan if "Filter" in line]
+    assert any("scalar-subquery" in line for line in filters) and all("regexp" not in line for line in filters)
 
 
 def test_edge_cases(spark):

@@ -48,27 +48,45 @@ def brute_pairs(cl):
     return s.crossJoin(o).where(F.col("Object").contains(F.col("Subject")))
 
 
-@pytest.mark.parametrize("shapes", [65536, 0, 3])
-def test_substring_pairs_exact(spark, monkeypatch, shapes):
-    monkeypatch.setattr(matching, "MAX_SHAPES", shapes)
+@pytest.mark.parametrize("heavy", [10**6, 1])
+def test_substring_pairs_exact(spark, heavy):
     cl = triples_df(spark, SUBSTRING_FIXTURE)
-    got = rows(matching.substring_pairs(cl))
+    got = rows(matching.substring_pairs(cl, heavy))
     assert got == rows(brute_pairs(cl))
     assert ("m.u1", "click of m.u12") in got and ("", "anything") in got
 
 
-def test_trie_regex_matches_exactly_the_words():
-    import re
+def test_grams_of_every_place(spark):
+    texts = ["ab", "abcabc", "é日\U0001f600x" * 9, "y"]
+    df = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "_id long, _text string, _size int")
+    for k in (1, 2, 3):
+        want = sorted((i, t[p : p + k], p) for i, t in enumerate(texts) for p in range(len(t) - k + 1))
+        for chunks in (matching.CHUNKS, (7, 3, 2), (1,), (5,)):
+            got = matching.text_grams(df, k, chunks=chunks).select("_id", "_gram", "_place")
+            assert sorted(map(tuple, got.collect())) == want
+    assert matching.text_grams(df, 2, F.lit(False)).count() == 0
+
+
+def test_substring_pairs_with_thousands_of_subject_lengths(spark):
+    n = 5000
+    long = "xy" * n
+    cl = triples_df(spark, [("x" + "z" * i, "p", "") for i in range(n)] + [("s", "p", "a" + "x" + "z" * 4600 + "b"), ("t", "p", long)])
+    got = {(r["Subject"], r["Object"]) for r in matching.substring_pairs(cl).collect()}
+    big = "a" + "x" + "z" * 4600 + "b"
+    assert {s for s, o in got if o == big} == {"x" + "z" * i for i in range(4601)}
+    assert {s for s, o in got if o == long} == {"x"}
+
 
-    words = ["m.c", "m.d", "<ht", "a*b", "\\Ex", "éé1"]
-    # The pattern uses Java code-point escapes; rewrite them for Python's re.
-    java = matching._trie_regex(words)
-    py = re.sub(r"\\x\{([0-9A-F]+)\}", lambda m: re.escape(chr(int(m.group(1), 16))), java)
-    full = re.compile(f"(?:{py})\\Z")
-    for w in words:
-        assert full.match(w)
-    for w in ["m.e", "<hx", "ab", "a*", "Ex", "éé2", "m."]:
-        assert not full.match(w)
+def test_substring_pairs_lists_nothing_on_the_driver(spark, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    def refuse(*a, **k):
+        raise AssertionError("rows listed on the driver")
+
+    cl = triples_df(spark, SUBSTRING_FIXTURE)
+    for name in ("collect", "toPandas", "take", "head", "first"):
+        monkeypatch.setattr(DataFrame, name, refuse)
+    matching.substring_pairs(cl)
 
 
 def test_substring_pairs_no_product_in_plan(spark):
@@ -134,9 +152,9 @@ def test_raw_first_id_joins_equal_parts_forms(spark):
         (None, f"<{fb}a.c>", f"<{fb}m.1>"),
     ])
     parts = object_parts(drop_duplicate_triples(raw))
-    for buckets in (1, 4):
-        assert rows(matching.subject_as_object_from_raw(raw, buckets)) == rows(matching.subject_as_object(parts, buckets))
-        assert rows(graph_edges_from_raw(raw, buckets)) == rows(graph_edges(parts, buckets))
+    for heavy in (1, 10**6):
+        assert rows(matching.subject_as_object_from_raw(raw, heavy)) == rows(matching.subject_as_object(parts, heavy))
+        assert rows(graph_edges_from_raw(raw, heavy)) == rows(graph_edges(parts, heavy))
 
 
 def test_copies_are_combined_before_the_join(spark):
@@ -156,10 +174,7 @@ _piece = st.lists(st.sampled_from(["a", "b", ".", "*", "(", "\\", "E", "Q", "é"
 
 
 @settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([65536, 0]),
-       st.sampled_from([1 << 20, 3, 1]))
-def test_substring_pairs_property(spark, monkeypatch, pairs, shapes, chunk):
-    monkeypatch.setattr(matching, "MAX_SHAPES", shapes)
-    monkeypatch.setattr(matching, "CHUNK_CHARS", chunk)
+@given(st.lists(st.tuples(_piece, _piece), min_size=1, max_size=12), st.sampled_from([10**6, 2]))
+def test_substring_pairs_property(spark, pairs, heavy):
     cl = triples_df(spark, [(s, "p", o) for s, o in pairs])
-    assert rows(matching.substring_pairs(cl, 4)) == rows(brute_pairs(cl))
+    assert rows(matching.substring_pairs(cl, heavy)) == rows(brute_pairs(cl))

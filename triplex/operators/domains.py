@@ -1,10 +1,11 @@
 """Domain filter and domain samples.
 
-The leaf list of a domain is derived from the data, so its size is checked
-before it is inlined into the filter (``semi_join_checked``).  Inlined, the
-filter is an ``InSet`` evaluated next to the scan (and pushed into Parquet
-when the cleaned triples were materialised); beyond the bound it becomes a
-semi join.
+A domain's triples are those whose predicate is one of its leaves: of the
+data's own vocabulary, or of a maintained one given as a hierarchy relation.
+The filter is one lazy plan.  The domain's prefix reaches the Parquet scan; a
+4 KB bitmap of the wanted predicates, a scalar subquery that Spark runs with
+the query, drops other rows before any shuffle; and a join with the
+predicates settles what is left exactly.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate, domain_of
-from triplex.operators.bounded import semi_join_checked
+from triplex.operators.bitmap import bitmap_of, maybe_in
 from triplex.operators.hierarchy import domain_leaves, prefix_rows
 from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 
 SAMPLE_UNIT = "_sample_unit"
+# Bits of the filter's bitmap; a fixed size, whatever the vocabulary.
+BITMAP_BITS = 1 << 15
 _TWO_32 = 4294967296
 
 
@@ -34,36 +37,55 @@ def sample_unit(s: Column | str = SUBJECT, p: Column | str = PREDICATE, o: Colum
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long")
 
 
-def filter_to_predicates(
-    cl: DataFrame, predicates: DataFrame, max_inline: int | None = None
-) -> DataFrame:
-    """Rows of ``cl`` whose predicate is in ``predicates`` (exact, case-sensitive)."""
-    return semi_join_checked(cl, predicates, PREDICATE, PREDICATE, max_inline)
+def filter_to_predicates(df: DataFrame, predicates: DataFrame) -> DataFrame:
+    """Rows of ``df`` whose predicate is in ``predicates`` (exact, case-sensitive; a null predicate is in none)."""
+    wanted = predicates.select(F.col(PREDICATE).alias("_wanted")).where(F.col("_wanted").isNotNull())
+    p = F.col(PREDICATE)
+    near = df.where(maybe_in(bitmap_of(wanted, "_wanted", BITMAP_BITS), p, BITMAP_BITS))
+    # Distinct keys and an inner join: a semi join would be pushed into every branch of a union below it.
+    return near.join(wanted.distinct(), p == F.col("_wanted")).drop("_wanted")
+
 
+def leaves_of(cl: DataFrame | None, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:
+    """The leaf predicates of ``domain``: of a given hierarchy relation, else of the triples ``cl``."""
+    if hierarchy is None:
+        return domain_leaves(cl, domain)
+    path = F.col("path")
+    return hierarchy.where(F.col("is_leaf") & path.contains(".") & (domain_of(path) == domain)).select(path.alias(PREDICATE))
 
-def domain_triples(cl: DataFrame, domain: str, vocab_from: DataFrame | None = None) -> DataFrame:
+
+def domain_triples(
+    cl: DataFrame, domain: str, vocab_from: DataFrame | None = None, hierarchy: DataFrame | None = None
+) -> DataFrame:
     """Cleaned triples whose predicate is a leaf of ``domain``.
 
     ``vocab_from`` is the relation the leaves are computed from (defaults to
     ``cl`` itself); pass a narrow relation such as a materialised predicate
-    list to avoid a second wide scan.
+    list to avoid a second wide scan.  With ``hierarchy``, a maintained
+    vocabulary, the data's own one is not read at all.
     """
-    leaves = domain_leaves(vocab_from if vocab_from is not None else cl, domain)
-    return filter_to_predicates(cl, leaves)
+    leaves = leaves_of(vocab_from if vocab_from is not None else cl, domain, hierarchy)
+    # Every leaf starts with the domain: in files sorted by predicate the scan skips the others' row groups.
+    return filter_to_predicates(cl.where(F.col(PREDICATE).startswith(domain + ".")), leaves)
 
 
-def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
+def raw_predicates_of_domain(raw: DataFrame, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:
     """Raw predicate values whose cleaned form is a leaf of ``domain``.
 
     The cleaning regex runs on the distinct raw predicates only (a map-side
-    combined aggregate), never per triple.  An inner join (not a semi join)
-    keeps the optimizer from moving the leaf test below the distinct.
+    combined aggregate), never per triple.
     """
+    # Reading the count keeps the regex above the aggregate.
+    cleaned = F.when(F.col("_n") > 0, clean_predicate("_raw"))
     vocab = (
-        raw.select(PREDICATE).where(F.col(PREDICATE).isNotNull()).distinct()
-        .select(F.col(PREDICATE).alias("_raw"), clean_predicate(PREDICATE).alias(PREDICATE))
-        .where(domain_of(PREDICATE) == domain)
+        raw.select(F.col(PREDICATE).alias("_raw")).where(F.col("_raw").isNotNull())
+        .groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
+        .select("_raw", cleaned.alias(PREDICATE)).where(domain_of(PREDICATE) == domain)
     )
+    if hierarchy is not None:
+        leaves = leaves_of(None, domain, hierarchy).select(F.col(PREDICATE).alias("_leaf"))
+        # An inner join (not a semi join) keeps the test above the distinct.
+        return vocab.join(leaves.distinct(), F.col(PREDICATE) == F.col("_leaf")).select(F.col("_raw").alias(PREDICATE))
     # Every dotted prefix of each cleaned predicate, the raw value carried
     # along; a cleaned predicate is a leaf when no row with the same path
     # has a child.  One aggregate, combined map side: an inner path (the domain
@@ -76,24 +98,23 @@ def raw_predicates_of_domain(raw: DataFrame, domain: str) -> DataFrame:
     return flagged.where(~F.col("_inner")).select(F.explode("_raws").alias(PREDICATE))
 
 
-def raw_domain_rows(raw: DataFrame, domain: str, max_inline: int | None = None) -> DataFrame:
+def raw_domain_rows(raw: DataFrame, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:
     """Raw triples of ``domain``: a filter on the raw predicate column.
 
-    Applied before dedup and cleaning, so only the domain's rows are
-    shuffled; inlined (size-checked) it is an ``IN`` the scan can use.
+    Applied before dedup and cleaning, so only the domain's rows are shuffled.
     """
-    return semi_join_checked(raw, raw_predicates_of_domain(raw, domain), PREDICATE, PREDICATE, max_inline)
+    return filter_to_predicates(raw, raw_predicates_of_domain(raw, domain, hierarchy))
 
 
-def domain_triples_from_raw(raw: DataFrame, domain: str) -> DataFrame:
+def domain_triples_from_raw(raw: DataFrame, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:
     """Same rows as ``domain_triples(clean_triples(drop_duplicate_triples(raw)), domain)``.
 
-    The size check reads the raw predicate column once more; on a columnar
-    source that is one narrow column, on a text dump it is a second full
+    The vocabulary is read from the raw predicate column; on a columnar
+    source that is one narrow column, on a text dump it is a further full
     read, so repeated domain work should run on the Parquet table written by
     the batch run (``plans.batch``), where the filter is pushed into the scan.
     """
-    return clean_triples(drop_duplicate_triples(raw_domain_rows(raw.select(*TRIPLE_COLUMNS), domain)))
+    return clean_triples(drop_duplicate_triples(raw_domain_rows(raw.select(*TRIPLE_COLUMNS), domain, hierarchy)))
 
 
 def domain_sample_hash(dedup_raw: DataFrame, domain: str, fraction: float) -> DataFrame:

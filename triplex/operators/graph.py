@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate, clean_subject, object_id
-from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
+from triplex.operators.joins import HEAVY_ROWS, semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
 
 # --- FIXED VALUES: predicates that carry node attributes ---------------------
@@ -42,27 +42,28 @@ def graph_node_types(parts: DataFrame) -> DataFrame:
     )
 
 
-def graph_edges(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def graph_edges(parts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Distinct ``src, predicate, dst`` where the object id is itself a subject.
 
-    Edges are made distinct first (map-side combined), then salted against
-    the distinct subjects, so a node that is the target of a large share of
-    the edges (a type, a country) does not land on one reducer.
+    Edges are made distinct first (map-side combined) and then meet the
+    distinct subjects; a node that is the target of very many of them (a type,
+    a country) is split.
     """
     links = (
         parts.where(F.col("object_id").isNotNull())
         .select(F.col(SUBJECT).alias("src"), F.col(PREDICATE).alias("predicate"), F.col("object_id").alias("dst"))
         .distinct()
     )
-    return salted_semi_join(links, parts.select(SUBJECT), "dst", SUBJECT, salt_buckets)
+    return semi_join(links, parts.select(SUBJECT), "dst", SUBJECT, heavy_rows)
 
 
-def graph_edges_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def graph_edges_from_raw(raw: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``graph_edges(object_parts(drop_duplicate_triples(raw)))`` without the dedup of the triples.
 
     Edges are distinct cleaned values, so the raw dedup is not needed.  They
     are made distinct (combined map side) before the join, so copies never
-    meet it and adaptive execution can split a hot target.
+    meet it.  A hot target is split; targets are counted in the raw rows, one
+    narrow column.
     """
     links = raw.select(
         clean_subject(SUBJECT).alias("src"),
@@ -70,7 +71,7 @@ def graph_edges_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> Da
         object_id(OBJECT).alias("dst"),
     ).where(F.col("dst").isNotNull())
     subjects = raw.select(clean_subject(SUBJECT).alias(SUBJECT))
-    return salted_semi_join(links.distinct(), subjects, "dst", SUBJECT, salt_buckets)
+    return semi_join(links.distinct(), subjects, "dst", SUBJECT, heavy_rows, counted=links.select("dst"))
 
 
 def graph_model(parts: DataFrame) -> DataFrame:

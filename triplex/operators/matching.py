@@ -5,37 +5,33 @@
   subjects x objects product, so the product + contains + join-back form
   equals a per-row filter: O(N) instead of O(|S| * |O|).
 * ``subject_as_object``: triples whose subject is referenced as an object
-  id somewhere (a salted equi join against the distinct ids).
+  id somewhere (an equi join against the distinct ids, heavy subjects split).
 * ``substring_pairs``: every (distinct subject, distinct object) pair with
-  ``contains(object, subject)``, exact, as an *equi* join: each object
-  emits the substrings that could be a subject (lengths taken from the
-  subject set, start positions filtered by the subjects' short prefixes)
-  and those are joined to the subjects by equality.
+  ``contains(object, subject)``, exact, by an inverted index of the objects'
+  grams: subjects are looked up by their rarest gram, then by equality.
 * ``id_mentions``: the stricter whole-id form: the ids of the object text,
   cut at separators, equi-joined to the subjects.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_subject, object_id
-from triplex.operators.bounded import bounded_values
+from triplex.operators.bitmap import bitmap_of, maybe_in
 from triplex.operators.domains import domain_triples
-from triplex.operators.joins import SALT_BUCKETS, salted_semi_join
+from triplex.operators.joins import HEAVY_ROWS, heavy_of_counts, lookup_join, semi_join
 from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
+from triplex.session import stored
 
-# Distinct subject lengths and short prefixes are inlined into the plan;
-# their number is checked before that.
-MAX_SUBJECT_LENGTHS = 4096
-MAX_SHAPES = 65536
-# Objects longer than this are scanned in overlapping chunks, so the
-# candidate array of one row stays bounded whatever the text length.
-CHUNK_CHARS = 1 << 20
-# Distinct first characters can never exceed the number of Unicode code points.
-MAX_FIRST_CHARS = 0x110000
+# Characters of an index gram.
+GRAM = 3
+# Characters of a chunk of a long text, and of a chunk of that.
+CHUNKS = (1 << 20, 1 << 12)
+# Bits of the bitmap of the subjects' grams; a fixed size, whatever their number.
+BITMAP_BITS = 1 << 20
 
 # --- FIXED VALUES: ids in a text ---------------------------------------------
 # Characters that end an id in a text, and those that may trail one.
@@ -52,171 +48,145 @@ def matching_rows(domain_rows: DataFrame) -> DataFrame:
     return domain_rows.where(o.contains(s)).select(SUBJECT, OBJECT, PREDICATE)
 
 
-def matching_triples(cl: DataFrame, domain: str) -> DataFrame:
+def matching_triples(cl: DataFrame, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:
     """Domain triples whose object contains the subject; columns S, O, P."""
-    return matching_rows(domain_triples(cl, domain))
+    return matching_rows(domain_triples(cl, domain, hierarchy=hierarchy))
 
 
-def subject_as_object(parts: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def subject_as_object(parts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Triples whose subject appears as an object id (``object_parts`` input).
 
-    The id side is distinct (pre-aggregated map side).  A subject that owns a
-    large share of the rows is split by adaptive execution, by measured size;
-    ``salt_buckets`` above 1 adds a fixed split on top.
+    The id side is distinct (pre-aggregated map side).  A subject that owns
+    more than ``heavy_rows`` rows is split.
     """
     ids = parts.select(F.col("object_id").alias("_id")).where(F.col("_id").isNotNull())
     triples = parts.select(SUBJECT, PREDICATE, OBJECT)
-    return salted_semi_join(triples, ids, SUBJECT, "_id", salt_buckets)
+    return semi_join(triples, ids, SUBJECT, "_id", heavy_rows)
 
 
-def subject_as_object_from_raw(raw: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def subject_as_object_from_raw(raw: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``subject_as_object(object_parts(drop_duplicate_triples(raw)))``, its ids taken from the raw rows.
 
     Copies of a triple are combined map side before they meet the join, so a
-    triple with a million copies reaches it once; no distinct follows the
-    join, so adaptive execution is free to split a hot subject.
+    triple with a million copies reaches it once.  A hot subject is split;
+    subjects are counted in the raw rows, one narrow column.
     """
     r = raw.select(SUBJECT, PREDICATE, OBJECT)
     ids = r.select(object_id(OBJECT).alias("_id"))
     keyed = drop_duplicate_triples(r).withColumn("_cs", clean_subject(SUBJECT))
-    joined = salted_semi_join(keyed, ids, "_cs", "_id", salt_buckets)
+    joined = semi_join(keyed, ids, "_cs", "_id", heavy_rows, counted=r.select(clean_subject(SUBJECT).alias("_cs")))
     return clean_triples(joined.select(SUBJECT, PREDICATE, OBJECT))
 
 
-def _subject_shapes(subjects: DataFrame) -> tuple[list[int], list[str], int]:
-    """Distinct subject lengths, and the ``k``-character prefixes of the subjects.
-
-    One size-checked job over the distinct ``(length, first 3 chars)`` pairs;
-    ``k`` is 3, or the shortest non-empty subject length if smaller.  If that
-    set is too large, lengths and ``k``-prefixes are collected separately
-    (each size-checked), and if the prefixes are still too many, ``k`` drops
-    to 1 (first characters), so a prefix set always exists.
-    """
-    shapes = subjects.select(F.length(SUBJECT).alias("L"), F.substring(SUBJECT, 1, 3).alias("p")).distinct()
-    rows = shapes.limit(MAX_SHAPES + 1).collect()
-    if len(rows) <= MAX_SHAPES:
-        lengths = sorted({r["L"] for r in rows})
-        positive = [L for L in lengths if L > 0]
-        k = min(3, min(positive)) if positive else 1
-        return lengths, sorted({r["p"][:k] for r in rows if r["L"] > 0}), k
-    lengths = bounded_values(subjects.select(F.length(SUBJECT).alias("L")), "L", MAX_SUBJECT_LENGTHS)
-    if lengths is None:
-        raise ValueError(f"more than {MAX_SUBJECT_LENGTHS} distinct subject lengths")
-    positive = [L for L in lengths if L > 0]
-    if not positive:
-        return lengths, [], 1
-    nonempty = subjects.where(F.length(SUBJECT) > 0)
-    k = min(3, min(positive))
-    prefixes = bounded_values(nonempty.select(F.substring(SUBJECT, 1, k).alias("p")), "p", MAX_SHAPES)
-    if prefixes is None:
-        k = 1
-        prefixes = bounded_values(nonempty.select(F.substring(SUBJECT, 1, 1).alias("p")), "p", MAX_FIRST_CHARS)
-    return lengths, prefixes, k
-
-
-def _char(c: str) -> str:
-    """One character as a Java-regex code-point escape (safe for any character)."""
-    return f"\\x{{{ord(c):X}}}"
-
-
-def _trie_regex(words: list[str]) -> str:
-    """A regex matching exactly ``words``, shaped as a trie of their characters.
-
-    At each text position the matcher dispatches on one character per level
-    instead of trying every word in turn, so the cost per position stays a
-    few character comparisons even for tens of thousands of words.
-    """
-    trie: dict = {}
-    for w in words:
-        node = trie
-        for c in w:
-            node = node.setdefault(c, {})
-        node[""] = {}
-
-    def emit(node: dict) -> str:
-        ends = "" in node
-        branches = {c: sub for c, sub in node.items() if c != ""}
-        if not branches:
-            return ""
-        leaves = [c for c, sub in branches.items() if list(sub) == [""]]
-        inner = [c for c in branches if c not in leaves]
-        alts = [_char(c) + emit(branches[c]) for c in sorted(inner)]
-        if leaves:
-            alts.append(_char(leaves[0]) if len(leaves) == 1 else "[" + "".join(_char(c) for c in sorted(leaves)) + "]")
-        body = alts[0] if len(alts) == 1 else "(?:" + "|".join(alts) + ")"
-        return f"(?:{body})?" if ends else body
-
-    return emit(trie)
-
-
-def _candidate_substrings(o, lengths: list[int], prefixes: list[str], k: int):
-    """Distinct substrings of ``o`` that have a subject's length and start like a subject.
-
-    One compiled regex finds every position where a subject prefix occurs (a
-    zero-width lookahead, so overlapping occurrences are all found; the
-    prefixes form a trie-shaped pattern) and captures the window of up to the
-    longest subject length from there; the candidates are that window's
-    leading substrings of each subject length.
-    """
-    longest = max(lengths)
-    pattern = f"(?s)(?=({_trie_regex(prefixes)}.{{0,{longest - k}}}))"
-    windows = F.regexp_extract_all(o, F.lit(pattern), 1)
-    cut = lambda w: F.filter(
-        F.array(*[F.when(F.length(w) >= L, w.substr(F.lit(1), F.lit(L))) for L in lengths]),
-        lambda x: x.isNotNull(),
+def _texts(df: DataFrame, column: str, name: str) -> DataFrame:
+    """``_id, _text, _size`` of the distinct non-empty values of ``column``, stored once."""
+    text = F.col(column)
+    return stored(
+        df.select(text.alias("_text")).where(text.isNotNull() & (text != "")).distinct()
+        .select(F.monotonically_increasing_id().alias("_id"), "_text", F.length("_text").alias("_size")),
+        name,
     )
-    return F.array_distinct(F.flatten(F.transform(windows, cut)))
 
 
-def substring_pairs(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
-    """All distinct (Subject, Object) with ``contains(Object, Subject)``.
+def text_grams(texts: DataFrame, length: int, wanted: Column | None = None, chunks=CHUNKS) -> DataFrame:
+    """``_id, _size, _gram, _place``: the substrings of ``length`` characters of ``texts`` at every place.
 
-    Work is linear in the total object length times the number of distinct
-    subject lengths, counted only at positions where a subject prefix
-    occurs; the join is an equality join (no nested loop, no product).
+    Long texts are cut in overlapping chunks, and those again, so no row holds
+    more grams than a small chunk.  One pattern takes a chunk's grams in one
+    pass.  Where ``wanted`` (a scalar) is not true, no gram is taken at all.
     """
-    subjects = cl.select(SUBJECT).where(F.col(SUBJECT).isNotNull()).distinct()
-    objects = cl.select(OBJECT).where(F.col(OBJECT).isNotNull()).distinct()
-    lengths, prefixes, k = _subject_shapes(subjects)
-    parts = []
-    if 0 in lengths:
-        # The empty subject is contained in every object.
-        parts.append(objects.select(F.lit("").alias(SUBJECT), OBJECT))
-    positive = [L for L in lengths if L > 0]
-    if positive:
-        o = F.col(OBJECT)
-        # Chunks overlap by (longest subject - 1) characters, so every
-        # occurrence lies wholly inside some chunk.  The distinct on
-        # (Object, candidate) removes repeats from overlaps and reuses the
-        # hash partitioning on Object of the distinct objects (no shuffle).
-        size, overlap = CHUNK_CHARS, max(positive) - 1
-        chunks = F.when(F.length(o) <= size, F.array(o)).otherwise(
-            F.transform(
-                F.sequence(F.lit(0), F.floor((F.length(o) - 1) / size).cast("int")),
-                lambda i: o.substr(i * size + 1, F.lit(size + overlap)),
-            )
-        )
-        cands = (
-            objects.where(F.length(o) > 0)
-            .select(OBJECT, F.explode(chunks).alias("_chunk"))
-            .select(OBJECT, F.explode(_candidate_substrings(F.col("_chunk"), positive, prefixes, k)).alias("_sub"))
-            .distinct()
-        )
-        # A substring mentioned in very many objects is a hot key on the
-        # candidate side; the subject side is distinct, so it is salted.
-        parts.append(
-            salted_semi_join(cands, subjects, "_sub", SUBJECT, salt_buckets)
-            .select(F.col("_sub").alias(SUBJECT), OBJECT)
+    part, n = F.col("_part"), F.col("_n")
+    rows = texts.where(F.col("_size") >= length).select(
+        "_id", "_size", F.col("_text").alias("_part"), F.lit(0).alias("_from"), (F.col("_size") - (length - 1)).alias("_n")
+    )
+
+    def pieces(size: int):
+        return F.transform(F.sequence(F.lit(0), ((n - 1) / size).cast("int")), lambda i: F.struct(
+            part.substr(i * size + 1, F.lit(size + length - 1)).alias("part"),
+            (F.col("_from") + i * size).alias("from"),
+            F.least(n - i * size, F.lit(size)).alias("n"),  # places that start in this piece
+        ))
+
+    for size in chunks:
+        whole = F.array(F.struct(part.alias("part"), F.col("_from").alias("from"), n.alias("n")))
+        rows = rows.select("_id", "_size", F.explode(F.when(n <= size, whole).otherwise(pieces(size))).alias("p")).select(
+            "_id", "_size", F.col("p.part").alias("_part"), F.col("p.from").alias("_from"), F.col("p.n").alias("_n")
         )
-    if not parts:
-        return objects.select(F.lit(None).cast("string").alias(SUBJECT), OBJECT).where(F.lit(False))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    # Each match takes one character and looks at the gram that starts with it.
+    grams = F.regexp_extract_all(part, F.lit(f"(?s)(?=(.{{{length}}}))."), F.lit(1))
+    if wanted is not None:
+        grams = F.when(wanted, grams)
+    return rows.select("_id", "_size", "_from", F.posexplode(grams).alias("_at", "_gram")).select(
+        "_id", "_size", "_gram", (F.col("_from") + F.col("_at")).alias("_place")
+    )
+
+
+def _all_grams(texts: DataFrame, subjects: DataFrame) -> DataFrame:
+    """The grams of ``GRAM`` characters of all texts, and shorter ones if there are subjects that short."""
+    out = text_grams(texts, GRAM)
+    for length in range(1, GRAM):
+        any_so_short = subjects.agg(F.coalesce(F.bool_or(F.col("_size") == length), F.lit(False)).alias("any")).scalar()
+        out = out.unionByName(text_grams(texts, length, any_so_short))
     return out
 
 
-def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
+def rarest_grams(subjects: DataFrame, counts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """``_id, _gram, _place, _uses``: each subject's gram with the smallest count.
+
+    A subject with a gram that is not counted occurs in no object and goes.
+    """
+    short = subjects.where(F.col("_size") < GRAM).select("_id", "_size", F.col("_text").alias("_gram"), F.lit(0).alias("_place"))
+    own = text_grams(subjects, GRAM).unionByName(short)
+    counted = lookup_join(own, counts, "_gram", "_gram", "left", heavy_rows)
+    best = F.min(F.struct(F.coalesce("_uses", F.lit(0)).alias("uses"), "_place", "_gram")).alias("best")
+    return counted.groupBy("_id").agg(best).where("best.uses > 0").select(
+        "_id", "best._gram", "best._place", F.col("best.uses").alias("_uses")
+    )
+
+
+def substring_pairs(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """All distinct (Subject, Object) with ``contains(Object, Subject)``, by an inverted index of grams.
+
+    1. The grams (substrings of ``GRAM`` characters) of all objects are counted.
+    2. Each subject is keyed by its rarest gram; its shape is the gram's place
+       in it and its length.  Subjects with a gram that occurs nowhere go.
+    3. Objects emit their grams with their places.  Joined with the shapes of
+       a gram these are all spans that a subject could fill, as numbers only.
+    4. The spans are cut from the objects and joined to the subjects by equality.
+
+    Nothing is listed on the driver and no number of subjects, lengths or
+    prefixes is too large.  Grams and substrings that occur very often are
+    split in their joins.  A subject shorter than a gram is its own gram; the
+    empty one is in every object.
+    """
+    objects, subjects = _texts(cl, OBJECT, "objects"), _texts(cl, SUBJECT, "subjects")
+    grams = _all_grams(objects, subjects)
+    counts = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    keyed = stored(
+        rarest_grams(subjects, counts, heavy_rows).join(subjects.select("_id", "_text"), "_id"), "subject-grams"
+    )
+    shapes = keyed.select("_gram", F.col("_place").alias("_offset"), F.length("_text").alias("_length")).distinct()
+    uses = keyed.select(F.xxhash64("_gram").alias("__hash"), F.col("_uses").alias("__n")).distinct()
+    start = F.col("_place") - F.col("_offset")
+    near = grams.where(maybe_in(bitmap_of(keyed, "_gram", BITMAP_BITS), F.col("_gram"), BITMAP_BITS))
+    spans = (
+        lookup_join(near, shapes, "_gram", "_gram", heavy=heavy_of_counts(uses, heavy_rows))
+        .where((start >= 0) & (start + F.col("_length") <= F.col("_size")))
+        .select("_id", start.alias("_start"), "_length").distinct()
+    )
+    texts = objects.select("_id", "_text")
+    cut = spans.join(texts, "_id").select("_id", F.col("_text").substr(F.col("_start") + 1, F.col("_length")).alias("_sub")).distinct()
+    hits = semi_join(cut, keyed, "_sub", "_text", heavy_rows)
+    found = hits.join(texts, "_id").select(F.col("_sub").alias(SUBJECT), F.col("_text").alias(OBJECT))
+    # One row at most, the empty subject.
+    empty = F.broadcast(cl.where(F.col(SUBJECT) == "").select(SUBJECT).limit(1))
+    none = F.col(OBJECT).substr(1, 0)  # a key of each row, so that the join is one by equality
+    anything = cl.where(F.col(OBJECT).isNotNull()).select(OBJECT).distinct().withColumn("_none", none)
+    in_all = anything.join(empty, F.col("_none") == F.col(SUBJECT)).select(SUBJECT, OBJECT)
+    return found.unionByName(in_all)
+
+
+def id_mentions(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """Distinct (Subject, Object) where the object mentions the subject as a whole id.
 
     A text's ids are its runs of characters other than white space, quotes,
@@ -237,6 +207,6 @@ def id_mentions(cl: DataFrame, salt_buckets: int = SALT_BUCKETS) -> DataFrame:
     ids = objects.select(OBJECT, F.explode(F.array_distinct(F.concat(found, bare, cut))).alias("_id")).where(
         ~F.col("_id").isin("", "<")
     )
-    return salted_semi_join(ids, subjects, "_id", SUBJECT, salt_buckets).select(
+    return semi_join(ids, subjects, "_id", SUBJECT, heavy_rows).select(
         F.col("_id").alias(SUBJECT), OBJECT
     )

@@ -19,18 +19,16 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from triplex.constants import DEFAULT_DOMAIN, DEFAULT_SAMPLE_FRACTION, EXPORT_DELIMITER
-from triplex.operators.bounded import membership_flag
 from triplex.operators.domains import (
     SAMPLE_UNIT,
     _TWO_32,
-    filter_to_predicates,
-    raw_predicates_of_domain,
+    domain_triples,
+    raw_domain_rows,
     sample_unit,
 )
-from triplex.operators.hierarchy import domain_leaves
 from triplex.operators.matching import matching_triples
 from triplex.operators.tokens import triple_tokens
-from triplex.operators.triples import clean_triples, drop_duplicate_triples
+from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts
 from triplex.operators.vocabulary import unique_predicates
 from triplex.schema import METRICS_SCHEMA, PREDICATE, TRIPLE_COLUMNS
 from triplex.session import scratch_path
@@ -54,6 +52,7 @@ class ExportConfig:
     full_path: str | None = None
     predicates_path: str | None = None
     work_dir: str | None = None
+    hierarchy: DataFrame | None = None  # a maintained vocabulary; else the data's own
     delimiter: str = EXPORT_DELIMITER
 
 
@@ -113,8 +112,7 @@ def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _C
     triples = cleaned.select(*TRIPLE_COLUMNS)
     if cfg.export_sample:
         with clock(f"export {cfg.domain} sample"):
-            leaves = domain_leaves(cleaned.select(PREDICATE), cfg.domain)
-            in_domain = filter_to_predicates(cleaned, leaves)
+            in_domain = domain_triples(cleaned, cfg.domain, cleaned.select(PREDICATE), cfg.hierarchy)
             obs_dom, obs_smp = Observation("domain"), Observation("sample")
             in_domain = in_domain.observe(obs_dom, F.count(F.lit(1)).alias("domainCount"))
             if cfg.sample_mode == "hash":
@@ -130,7 +128,7 @@ def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _C
     if cfg.export_matching:
         with clock("matching triples"):
             path = cfg.matching_path or f"{base}/matching_triples"
-            write_delimited(matching_triples(triples, cfg.domain), path, sep=cfg.delimiter)
+            write_delimited(matching_triples(triples, cfg.domain, cfg.hierarchy), path, sep=cfg.delimiter)
             paths["matching"] = path
     if cfg.export_full:
         with clock("full export"):
@@ -173,24 +171,18 @@ def combine_metrics(*metrics: DataFrame) -> DataFrame:
 
 
 def run_counters(raw: DataFrame, domain: str = DEFAULT_DOMAIN,
-                 fraction: float = DEFAULT_SAMPLE_FRACTION) -> DataFrame:
+                 fraction: float = DEFAULT_SAMPLE_FRACTION, hierarchy: DataFrame | None = None) -> DataFrame:
     """The run's counters as a lazy ``metric, value`` relation.
 
-    One dedup shuffle (with per-triple multiplicity) feeds one final
-    aggregate: raw rows, distinct rows, domain rows and hash-sampled rows.
+    Counting needs no cleaned values: the domain test is done on the raw
+    predicate (cleaned once per distinct predicate), before the dedup, so the
+    domain counters add no shuffle of the other rows.
     """
     raw = raw.select(*TRIPLE_COLUMNS)
-    per = raw.groupBy(*TRIPLE_COLUMNS).agg(F.count(F.lit(1)).alias("_m"))
-    # Counting needs no cleaned values: the domain test is done on the raw
-    # predicate (cleaned once per distinct predicate).
-    flagged = membership_flag(
-        per.withColumn(SAMPLE_UNIT, sample_unit()), raw_predicates_of_domain(raw, domain), PREDICATE, PREDICATE, "_in"
+    whole = duplicate_counts(raw).select(F.col("raw_count").alias("initCount"), F.col("dedup_count").alias("finalCount"))
+    in_domain = drop_duplicate_triples(raw_domain_rows(raw, domain, hierarchy)).agg(
+        F.count(F.lit(1)).alias("domainCount"),
+        F.count(F.when(sample_unit() < F.lit(fraction * _TWO_32), 1)).alias("sample"),
     )
-    picked = F.col("_in") & (F.col(SAMPLE_UNIT) < F.lit(fraction * _TWO_32))
-    wide = flagged.agg(
-        F.sum("_m").cast("long").alias("initCount"),
-        F.count(F.lit(1)).alias("finalCount"),
-        F.count(F.when(F.col("_in"), 1)).alias("domainCount"),
-        F.count(F.when(picked, 1)).alias("sample"),
-    )
-    return wide.unpivot([], ["initCount", "finalCount", "domainCount", "sample"], "metric", "value")
+    rows = [df.unpivot([], df.columns, "metric", "value") for df in (whole, in_domain)]
+    return rows[0].unionByName(rows[1])
