@@ -54,7 +54,7 @@ SIZE = 64
 #: Factor of the ranks of first-level names: they are that much rarer in a sketch.
 FIRST_LEVEL = 16
 #: Characters that are parsed together, and symbols of a slice.
-BATCH = 1 << 18
+BATCH = 1 << 16
 
 # Odd multipliers of the hash.
 _SYMBOL, _RUN, _PLACE = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
@@ -182,7 +182,8 @@ def sketches(texts: list[str]) -> list[Sketch]:
         stay = np.repeat(~done, count)
         symbols, doc, count = symbols[stay], doc[~done], count[~done]
         begin = np.cumsum(count) - count
-    found = np.unique(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+    found = np.sort(np.concatenate(keys)) if keys else np.zeros(0, np.uint64)
+    found = found[np.append(True, found[1:] != found[:-1])[: len(found)]]
     edges = np.searchsorted(found, np.arange(len(texts) + 1, dtype=np.uint64) << np.uint64(32))
     ranks = (found & _RANK).astype(np.uint32)
     return [(int(t), ranks[a : min(b, a + SIZE)]) for t, a, b in zip(tops, edges, edges[1:])]
