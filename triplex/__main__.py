@@ -34,6 +34,9 @@ def parse_args(argv=None) -> argparse.Namespace:
     ap.add_argument("--full", action="store_true", help="export all cleaned triples")
     ap.add_argument("--unique-predicates", action="store_true", help="export the unique predicates")
     ap.add_argument("--work-dir", default=None, help="output folder (default: under spark.checkpoint.dir)")
+    ap.add_argument("--check-lines", action="store_true", help="set lines that are no triple apart and count them")
+    ap.add_argument("--ledger", default=None, help="counter ledger of all runs (default: beside the run's data)")
+    ap.add_argument("--run-id", default=None, help="a retry under the same id replaces the run's counters")
     ap.add_argument("--no-counts", action="store_true", help="skip the raw / dedup counters")
     return ap.parse_args(argv)
 
@@ -43,7 +46,7 @@ def main(argv=None, spark=None) -> dict:
     from pyspark.sql import SparkSession
 
     from triplex.plans.batch import ExportConfig, run_batch
-    from triplex.sources.triples import read_triples
+    from triplex.sources.triples import read_triples, read_triples_checked
 
     spark = spark or SparkSession.builder.appName("triplex").getOrCreate()
     cfg = ExportConfig(
@@ -56,13 +59,17 @@ def main(argv=None, spark=None) -> dict:
         sample_mode=args.sample_mode,
         seed=args.seed,
         work_dir=args.work_dir,
+        ledger_path=args.ledger,
+        run_id=args.run_id,
+        input_name=" ".join(args.input),
     )
     spread = args.spread
     if spread is None and any(str(p).endswith(".gz") for p in args.input):
         # gzip files cannot be split: spread the parsed rows over the cluster.
         spread = spark.sparkContext.defaultParallelism
-    raw = read_triples(spark, args.input, args.mode, spread=spread)
-    result = run_batch(spark, raw, cfg, perform_counts=not args.no_counts)
+    checked = read_triples_checked(spark, args.input, args.mode) if args.check_lines else None
+    raw = checked.triples if checked else read_triples(spark, args.input, args.mode, spread=spread)
+    result = run_batch(spark, raw.repartition(spread) if checked and spread else raw, cfg, not args.no_counts, checked)
     report = {"counters": result.counters, "seconds": result.seconds, "paths": result.paths}
     print(json.dumps(report, indent=2))
     return report

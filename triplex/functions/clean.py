@@ -1,7 +1,7 @@
 """Column -> Column cleaning rules for subjects, predicates and objects.
 
 All rules are native Catalyst expressions, so they stay inside whole-stage
-codegen and are evaluated once per row.  NULL passes through every rule.
+codegen.  NULL passes through every rule.
 """
 
 from __future__ import annotations

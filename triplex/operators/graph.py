@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import clean_predicate, clean_subject, object_id
-from triplex.operators.joins import HEAVY_ROWS, semi_join
+from triplex.operators.joins import HEAVY_ROWS, heavy_keys, semi_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT
+from triplex.session import stored
 
 # --- FIXED VALUES: predicates that carry node attributes ---------------------
 NAME_PREDICATE = "type.object.name"
@@ -33,6 +34,50 @@ def graph_nodes(parts: DataFrame) -> DataFrame:
     )
 
 
+def write_by_subject(
+    parts: DataFrame, name: str, path: str, buckets: int | None = None, heavy_rows: int = HEAVY_ROWS
+) -> tuple[DataFrame, DataFrame]:
+    """Store ``object_parts`` rows by subject: a bucketed table ``name`` under ``path``, and the other rows.
+
+    Work per subject then needs no exchange of the bucketed table.  A bucket
+    is read by one task, so subjects of more than ``heavy_rows`` rows (a
+    bounded list) and rows without a subject are kept in a plain table beside it.
+    """
+    spark = parts.sparkSession
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    heavy = F.broadcast(stored(heavy_keys(parts, SUBJECT, heavy_rows), "heavy-subjects"))
+    marked = parts.withColumn("__hash", F.xxhash64(SUBJECT)).join(heavy, "__hash", "left")
+    apart = F.col("__pieces").isNotNull() | F.col(SUBJECT).isNull()
+    marked.where(apart).select(*parts.columns).write.parquet(f"{path}/heavy")
+    (
+        marked.where(~apart).select(*parts.columns).repartition(buckets, SUBJECT)
+        .write.format("parquet").option("path", f"{path}/bucketed").bucketBy(buckets, SUBJECT).sortBy(SUBJECT)
+        .saveAsTable(name)
+    )
+    return spark.table(name), spark.read.schema(parts.schema).parquet(f"{path}/heavy")
+
+
+def graph_nodes_by_subject(bucketed: DataFrame, heavy: DataFrame) -> DataFrame:
+    """:func:`graph_nodes` of a table stored by subject; only the few heavy subjects are exchanged, combined map side."""
+    return graph_nodes(bucketed).unionByName(graph_nodes(heavy))
+
+
+def subject_as_object_by_subject(bucketed: DataFrame, heavy: DataFrame) -> DataFrame:
+    """Triples whose subject appears as an object id, of a table stored by subject.
+
+    The distinct ids go to the buckets; the rows stay where they are.  The
+    distinct heavy subjects, a bounded list, are looked up and broadcast.
+    """
+    ids = bucketed.select("object_id").unionByName(heavy.select("object_id")).where("object_id IS NOT NULL").select(
+        F.col("object_id").alias("_id")
+    ).distinct()
+    columns = [SUBJECT, PREDICATE, OBJECT]
+    found = bucketed.join(ids, F.col(SUBJECT) == F.col("_id"), "left_semi").select(*columns)
+    named = heavy.select(F.col(SUBJECT).alias("_s")).where("_s IS NOT NULL").distinct()
+    named = F.broadcast(named.join(ids, F.col("_s") == F.col("_id"), "left_semi"))
+    return found.unionByName(heavy.join(named, F.col(SUBJECT) == F.col("_s"), "left_semi").select(*columns))
+
+
 def graph_node_types(parts: DataFrame) -> DataFrame:
     """``node_id, type_id`` pairs, distinct (the node's type set as rows)."""
     return (

@@ -2,8 +2,8 @@
 
 The tokenizer, stop-word filter and length rule are column functions from
 ``triplex.functions.text``; these operators add the columns and the token
-statistics.  Token frequency is an explode + two hash aggregates with
-map-side partial steps, so a very common token never meets in one task.
+statistics.  Token frequency is one hash aggregate by token with a map-side
+partial step, so a very common token never meets in one task.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from triplex.functions.text import (
     tokenize,
 )
 from triplex.schema import OBJECT
+from triplex.session import stored
 
 STOP_MODES = ("none", "all", "long_only")
 
@@ -56,13 +57,34 @@ def triple_tokens(cl: DataFrame) -> DataFrame:
 def token_frequency(df: DataFrame, text: str, id_col: str, stop_words: str = "none") -> DataFrame:
     """Per token: occurrences ``n`` and number of distinct ids ``n_rows`` whose rows hold it.
 
-    Rows may share an id; a null id adds occurrences only.  Tokens are first
-    counted by token and id (so a common token is spread over its ids), then
-    by token; both steps combine map side.
+    Rows may share an id; a null id adds occurrences only.  Tokens are sorted
+    inside each row, so a row knows the first occurrence of each, and one
+    aggregate by token alone, combined map side, counts occurrences and rows.
+    Only rows whose id really repeats (found in the id column alone) need their
+    distinct pairs of token and id.
     """
+    repeated = stored(
+        df.select(F.col(id_col).alias("_again")).where(F.col(id_col).isNotNull())
+        .groupBy("_again").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select("_again"),
+        "repeated-ids",
+    )
     toks = with_tokens(df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text", stop_words, "_t")
-    per_id = toks.select("_id", F.explode("_t").alias("token")).groupBy("token", "_id").agg(F.count(F.lit(1)).alias("_n"))
-    return per_id.groupBy("token").agg(F.sum("_n").alias("n"), F.count("_id").alias("n_rows"))
+    rows = toks.select("_id", F.array_sort("_t").alias("_t"))
+    twice = repeated.take(1)
+    if twice:
+        rows = rows.join(repeated, F.col("_id") == F.col("_again"), "left")
+    else:
+        rows = rows.withColumn("_again", F.lit(None).cast("string"))
+    flat = rows.select("_id", "_again", "_t", F.posexplode("_t").alias("_at", "token"))
+    first = (F.col("_at") == 0) | (F.try_element_at("_t", F.greatest("_at", F.lit(1))) != F.col("token"))
+    flat = flat.select("token", "_id", "_again", first.alias("_first"))
+    own = F.col("_first") & F.col("_id").isNotNull() & F.col("_again").isNull()
+    counts = flat.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(own, 1)).alias("n_rows"))
+    if not twice:
+        return counts
+    shared = flat.where(F.col("_first") & F.col("_again").isNotNull()).select("token", "_id").distinct()
+    more = shared.groupBy("token").agg(F.lit(0).cast("long").alias("n"), F.count(F.lit(1)).alias("n_rows"))
+    return counts.unionByName(more).groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_rows").alias("n_rows"))
 
 
 __all__ = ["with_tokens", "triple_tokens", "token_frequency", "token_count"]

@@ -17,8 +17,11 @@ from triplex.functions.clean import (
     object_datatype,
     object_id,
     object_lang,
+    predicate_tail,
 )
+from triplex.operators.joins import HEAVY_ROWS, heavy_of_counts, lookup_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
+from triplex.session import stored
 
 
 def drop_duplicate_triples(df: DataFrame) -> DataFrame:
@@ -63,6 +66,42 @@ def clean_triples(df: DataFrame) -> DataFrame:
     )
 
 
+def mapping_conflicts(mapping: DataFrame) -> DataFrame:
+    """``old, news``: predicates that ``mapping (old, new)`` sends to more than one new name."""
+    return (
+        mapping.where(F.col("old").isNotNull()).groupBy("old")
+        .agg(F.array_sort(F.collect_set("new")).alias("news")).where(F.size("news") > 1)
+    )
+
+
+def clean_triples_mapped(df: DataFrame, mapping: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
+    """:func:`clean_triples` with a vocabulary mapping given as a relation ``(old, new)`` of any size.
+
+    The mapping replaces the built-in one.  It meets the distinct predicates
+    only; the rows then look up the raw spellings that it changes (a stored
+    relation, so the planner knows its size; predicates of very many rows are
+    split).  Pairs without an old or a new name say nothing; a name with two
+    new ones is an error.
+    """
+    pairs = stored(mapping.where("old IS NOT NULL AND new IS NOT NULL").select("old", "new").distinct(), "mapping")
+    conflicts = mapping_conflicts(pairs).orderBy("old").limit(5).collect()
+    if conflicts:
+        raise ValueError("conflicting mapping: " + "; ".join(f"{r['old']} -> {', '.join(r['news'])}" for r in conflicts))
+    names = df.select(F.col(PREDICATE).alias("_raw")).where(F.col("_raw").isNotNull()).groupBy("_raw").agg(
+        F.count(F.lit(1)).alias("__n")
+    ).select("_raw", "__n", F.when(F.col("__n") > 0, predicate_tail("_raw")).alias("_tail"))
+    changed = stored(names.join(pairs, F.col("_tail") == F.col("old")).select("_raw", "new", "__n"), "mapped-predicates")
+    heavy = heavy_of_counts(changed.select(F.xxhash64("_raw").alias("__hash"), "__n"), heavy_rows)
+    rows = lookup_join(df, changed.select("_raw", F.col("new").alias("_new")), PREDICATE, "_raw", "left", heavy=heavy)
+    extra = [c for c in df.columns if c not in TRIPLE_COLUMNS]
+    return rows.select(
+        clean_subject(SUBJECT).alias(SUBJECT),
+        F.coalesce("_new", predicate_tail(PREDICATE)).alias(PREDICATE),
+        clean_object(OBJECT).alias(OBJECT),
+        *extra,
+    )
+
+
 def object_parts(df: DataFrame) -> DataFrame:
     """Cleaned triple plus what the object cleaning throws away.
 

@@ -3,15 +3,17 @@
 Compared with a chain of independent actions over an uncached plan, the
 run reads and dedups the input **once**: the cleaned triples are written
 to a Parquet table (sorted by predicate inside each file, so a domain
-filter skips row groups), and every export reads that table.  Counters
-are taken with ``Observation`` inside the jobs that read the data anyway,
-so counting costs no extra pass.  Elapsed seconds are measured around
+filter skips row groups), and every export reads that table.  Counters come
+from that table as it was committed (narrow columns only) and are recorded in
+a ledger (``triplex.plans.ledger``).  Elapsed seconds are measured around
 actions (not around lazy plan building).
 """
 
 from __future__ import annotations
 
+import hashlib
 import time
+import uuid
 from contextlib import contextmanager
 from dataclasses import dataclass, field, replace
 
@@ -30,9 +32,14 @@ from triplex.operators.matching import matching_triples
 from triplex.operators.tokens import triple_tokens
 from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts
 from triplex.operators.vocabulary import unique_predicates
+from triplex.plans import ledger
 from triplex.schema import METRICS_SCHEMA, PREDICATE, TRIPLE_COLUMNS
 from triplex.session import scratch_path
 from triplex.sinks.delimited import write_delimited
+from triplex.sources.triples import CheckedTriples
+
+#: Raw copies of a triple, kept beside the cleaned columns.
+COPIES = "_copies"
 
 
 @dataclass
@@ -54,6 +61,9 @@ class ExportConfig:
     work_dir: str | None = None
     hierarchy: DataFrame | None = None  # a maintained vocabulary; else the data's own
     delimiter: str = EXPORT_DELIMITER
+    ledger_path: str | None = None  # of all runs; else one beside the run's data
+    run_id: str | None = None  # a retry under the same id replaces the run's counters
+    input_name: str | None = None  # what the run read; a later run over it replaces its counters
 
 
 @dataclass
@@ -89,21 +99,18 @@ class _Clock:
 def materialise_cleaned(raw: DataFrame, path: str, counters: dict[str, int] | None = None) -> DataFrame:
     """Dedup + clean ``raw`` once and write it to ``path`` (Parquet).
 
-    Keeps the raw-triple sample unit beside the cleaned columns.  With
-    ``counters`` the raw and deduplicated row counts are observed inside
-    the same job.
+    Keeps the raw-triple sample unit and the number of raw copies beside the
+    cleaned columns.  The row counts come from the table as it was committed,
+    two narrow columns, so tasks that Spark runs twice cannot count twice.
     """
-    obs_raw, obs_dedup = Observation("raw"), Observation("dedup")
-    src = raw.observe(obs_raw, F.count(F.lit(1)).alias("initCount")) if counters is not None else raw
-    dedup = drop_duplicate_triples(src.select(*TRIPLE_COLUMNS))
-    cleaned = clean_triples(dedup.select(*TRIPLE_COLUMNS, sample_unit().alias(SAMPLE_UNIT)))
-    if counters is not None:
-        cleaned = cleaned.observe(obs_dedup, F.count(F.lit(1)).alias("finalCount"))
+    dedup = raw.groupBy(*TRIPLE_COLUMNS).agg(F.count(F.lit(1)).alias(COPIES))
+    cleaned = clean_triples(dedup.select(*TRIPLE_COLUMNS, sample_unit().alias(SAMPLE_UNIT), COPIES))
     cleaned.sortWithinPartitions(PREDICATE).write.mode("overwrite").parquet(path)
+    written = raw.sparkSession.read.schema(cleaned.schema).parquet(path)
     if counters is not None:
-        counters["initCount"] = int(obs_raw.get["initCount"])
-        counters["finalCount"] = int(obs_dedup.get["finalCount"])
-    return raw.sparkSession.read.parquet(path)
+        n = written.agg(F.coalesce(F.sum(COPIES), F.lit(0)).alias("raw"), F.count(F.lit(1)).alias("distinct")).first()
+        counters["initCount"], counters["finalCount"] = int(n["raw"]), int(n["distinct"])
+    return written
 
 
 def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _Clock, paths: dict) -> None:
@@ -113,17 +120,19 @@ def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _C
     if cfg.export_sample:
         with clock(f"export {cfg.domain} sample"):
             in_domain = domain_triples(cleaned, cfg.domain, cleaned.select(PREDICATE), cfg.hierarchy)
-            obs_dom, obs_smp = Observation("domain"), Observation("sample")
-            in_domain = in_domain.observe(obs_dom, F.count(F.lit(1)).alias("domainCount"))
+            picked = F.col(SAMPLE_UNIT) < F.lit(cfg.fraction * _TWO_32)
+            n = in_domain.agg(F.count(F.lit(1)).alias("domain"), F.count(F.when(picked, 1)).alias("sample")).first()
+            path = f"{cfg.sample_folder or base + '/sample_'}{cfg.domain}_triples"
             if cfg.sample_mode == "hash":
-                sample = in_domain.where(F.col(SAMPLE_UNIT) < F.lit(cfg.fraction * _TWO_32))
+                write_delimited(in_domain.where(picked).select(*TRIPLE_COLUMNS), path, sep=cfg.delimiter)
+                counters["sample"] = int(n["sample"])
             else:
-                sample = in_domain.sample(False, cfg.fraction, cfg.seed)
-            sample = sample.select(*TRIPLE_COLUMNS).observe(obs_smp, F.count(F.lit(1)).alias("sample"))
-            path = f"{cfg.sample_folder or base + '/sample_'}{cfg.domain}_triples"
-            write_delimited(sample, path, sep=cfg.delimiter)
-            counters["domainCount"] = int(obs_dom.get["domainCount"])
-            counters["sample"] = int(obs_smp.get["sample"])
+                # Drawn in the tasks that write, which Spark observes once each.
+                seen = Observation("sample")
+                sample = in_domain.sample(False, cfg.fraction, cfg.seed).select(*TRIPLE_COLUMNS)
+                write_delimited(sample.observe(seen, F.count(F.lit(1)).alias("sample")), path, sep=cfg.delimiter)
+                counters["sample"] = int(seen.get["sample"])
+            counters["domainCount"] = int(n["domain"])
             paths["sample"] = path
     if cfg.export_matching:
         with clock("matching triples"):
@@ -142,13 +151,23 @@ def run_exports(cleaned: DataFrame, cfg: ExportConfig, counters: dict, clock: _C
             paths["unique_predicates"] = path
 
 
+def input_name(raw: DataFrame) -> str:
+    """A name for the files that ``raw`` reads; the same files have the same name in every run."""
+    files = sorted(raw.inputFiles())
+    if len(files) <= 1:
+        return files[0] if files else "table"
+    return f"{len(files)} files {hashlib.sha256(chr(10).join(files).encode()).hexdigest()[:16]}"
+
+
 def run_batch(spark: SparkSession, raw: DataFrame, cfg: ExportConfig | None = None,
-              perform_counts: bool = True) -> RunResult:
+              perform_counts: bool = True, checked: CheckedTriples | None = None) -> RunResult:
     """Run ingest -> dedup -> clean -> exports and return the result and metrics.
 
     ``raw`` is a ``Subject, Predicate, Object`` frame (``read_triples`` or the
     table adapter).  Output folders default to a fresh folder under the
-    session's shared checkpoint directory.
+    session's shared checkpoint directory.  With ``checked`` (a checked dump,
+    whose ``triples`` are ``raw``) the rejected lines are written beside the
+    data and counted.  The counters are recorded in a ledger beside the data.
     """
     cfg = cfg or ExportConfig()
     if cfg.work_dir is None:  # the caller's config stays as it is: its next run gets a folder of its own
@@ -157,7 +176,15 @@ def run_batch(spark: SparkSession, raw: DataFrame, cfg: ExportConfig | None = No
     with clock("dedup and clean"):
         cleaned = materialise_cleaned(raw, f"{cfg.work_dir}/cleaned", counters if perform_counts else None)
     paths["cleaned"] = f"{cfg.work_dir}/cleaned"
+    if checked is not None:
+        with clock("rejected lines"):
+            paths["rejects"] = f"{cfg.work_dir}/rejects"
+            checked.rejects.write.mode("overwrite").parquet(paths["rejects"])
+            counters["rejectCount"] = spark.read.schema(checked.rejects.schema).parquet(paths["rejects"]).count()
     run_exports(cleaned, cfg, counters, clock, paths)
+    if counters:
+        paths["ledger"] = cfg.ledger_path or f"{cfg.work_dir}/ledger"
+        ledger.record(spark, paths["ledger"], cfg.run_id or uuid.uuid4().hex, {cfg.input_name or input_name(raw): counters})
     tokens = triple_tokens(cleaned.select(*TRIPLE_COLUMNS))
     return RunResult(cleaned.select(*TRIPLE_COLUMNS), tokens, counters, clock.seconds, paths)
 

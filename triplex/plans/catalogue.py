@@ -7,21 +7,32 @@ keywords, k) are fixed below and used identically on both sides.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from triplex.functions.clean import clean_object, clean_predicate, clean_subject
 from triplex.functions.text import tokens_text
 from triplex.operators import domains, graph, hierarchy, matching, tokens, triples, vocabulary
+from triplex.plans import ledger
 from triplex.plans import oracle as O
-from triplex.plans.batch import run_counters
+from triplex.plans.batch import ExportConfig, run_batch, run_counters
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS, TRIPLE_SCHEMA
 from triplex.session import scratch_path
 from triplex.sinks.delimited import merge_parts, read_hierarchy, write_delimited, write_hierarchy, write_triples
+from triplex.sinks.template import read_template, write_template
 from triplex.sources.tables import load_table, raw_triples
-from triplex.sources.triples import read_parts, read_predicate_list, read_triples
+from triplex.sources.triples import (
+    escape_field,
+    read_named_csv,
+    read_parts,
+    read_predicate_list,
+    read_triples,
+    read_triples_checked,
+)
 
 # --- FIXED VALUES: query parameters ----------------------------------------------
 LEAF_DOMAIN = "people"      # has a non-leaf predicate (people.person)
@@ -31,6 +42,13 @@ SAMPLE_FRACTION = 0.5
 SAMPLE_SEED = 7
 KEYWORDS = ("person", "topic", "type", "order")
 TOP_K = 3
+DAMAGED_EVERY = 11          # of the lengths of a triple: five kinds of damaged lines, six of good ones
+PREDICATE_PAIRS = (         # a vocabulary mapping given as a relation
+    ("rdf-schema#label", "type.object.name"),
+    ("rdf-syntax-ns#type", "type.object.type"),
+    ("people.person.name", "person.full_name"),
+    ("common.topic.alias", "topic.alias"),
+)
 PREVIEW_ROWS = 25
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,12 +81,128 @@ def q_triples_scan_tsv_compat(spark, d):
     return read_triples(spark, path, mode="compat", escaped=True)
 
 
+def _damaged_lines(spark, d):
+    """The dump's lines; some, by the length of their triple, lack fields, have one too many or no end mark."""
+    tr = raw_triples(spark, d)
+    s, p, o = (F.coalesce(escape_field(c), F.lit("")) for c in TRIPLE_COLUMNS)
+    tab, end = F.lit("\t"), F.lit(".")
+    kind = (F.length(F.concat_ws("", *TRIPLE_COLUMNS)) % DAMAGED_EVERY)
+    line = (
+        F.when(kind == 0, F.concat_ws("\t", s, p, o))
+        .when(kind == 1, s)
+        .when(kind == 2, F.concat_ws("\t", s, p, o, end, end))
+        .when(kind == 3, F.concat(s, tab, tab, o, tab, end))
+        .when(kind == 4, F.concat_ws("\t", s, p, o, F.lit(";")))
+        .otherwise(F.concat_ws("\t", s, p, o, end))
+    )
+    path = scratch_path(spark, "damaged-tsv")
+    tr.select(line.alias("value")).write.text(path)
+    return read_triples_checked(spark, path, mode="ntriples", escaped=True)
+
+
+def q_triples_accepted(spark, d):
+    return _damaged_lines(spark, d).triples
+
+
+def q_triples_rejects(spark, d):
+    return _damaged_lines(spark, d).rejects
+
+
+def q_triples_line_counts(spark, d):
+    return _damaged_lines(spark, d).counts()
+
+
+def _run(spark, d, **options):
+    cfg = ExportConfig(domain=SAMPLE_DOMAIN, fraction=SAMPLE_FRACTION, **options)
+    return run_batch(spark, raw_triples(spark, d), cfg)
+
+
 def q_batch_run_sample(spark, d):
-    from triplex.plans.batch import ExportConfig, run_batch
+    result = run_batch(
+        spark, raw_triples(spark, d), ExportConfig(domain=SAMPLE_DOMAIN, fraction=SAMPLE_FRACTION), perform_counts=False
+    )
+    return read_parts(spark, result.paths["sample"], TRIPLE_SCHEMA)
+
 
-    cfg = ExportConfig(domain=SAMPLE_DOMAIN, fraction=SAMPLE_FRACTION, sample_mode="hash")
+def q_batch_run_matching(spark, d):
+    cfg = ExportConfig(export_sample=False, export_matching=True, domain=MATCH_DOMAIN)
     result = run_batch(spark, raw_triples(spark, d), cfg, perform_counts=False)
-    return read_parts(spark, result.paths["sample"], TRIPLE_SCHEMA)
+    schema = StructType([TRIPLE_SCHEMA[c] for c in (SUBJECT, OBJECT, PREDICATE)])
+    return read_parts(spark, result.paths["matching"], schema)
+
+
+def q_batch_run_full(spark, d):
+    cfg = ExportConfig(export_sample=False, export_full=True)
+    result = run_batch(spark, raw_triples(spark, d), cfg, perform_counts=False)
+    return read_parts(spark, result.paths["full"], TRIPLE_SCHEMA)
+
+
+def q_batch_run_predicates(spark, d):
+    cfg = ExportConfig(export_sample=False, export_unique_predicates=True)
+    result = run_batch(spark, raw_triples(spark, d), cfg, perform_counts=False)
+    return read_predicate_list(spark, result.paths["unique_predicates"])
+
+
+def q_batch_run_counters(spark, d):
+    found = _run(spark, d).metrics(spark)
+    return found.where("stage = 'counters'").select("metric", F.col("value").cast("long").alias("value"))
+
+
+def q_run_ledger(spark, d):
+    """Totals of a ledger that holds a run, its retry and a second run over the same input."""
+    path = scratch_path(spark, "ledger")
+    result = _run(spark, d, ledger_path=path, run_id="first", input_name="tables")
+    for run_id in ("first", "second"):
+        ledger.record(spark, path, run_id, {"tables": result.counters})
+    return ledger.totals(ledger.read(spark, path))
+
+
+def q_domain_triples_given(spark, d):
+    """Domain triples under a vocabulary that was written, read again and given to the filter."""
+    path = scratch_path(spark, "vocabulary")
+    write_hierarchy(hierarchy.predicate_hierarchy(_cl(spark, d)), path)
+    return domains.domain_triples_from_raw(raw_triples(spark, d), LEAF_DOMAIN, read_hierarchy(spark, path))
+
+
+def q_domain_sample_check(spark, d):
+    """What holds for any random sample: rows outside the domain, rows too many of a kind, size within six deviations."""
+    domain = domains.domain_triples(_cl(spark, d), SAMPLE_DOMAIN)
+    sample = domains.domain_sample_random(_cl(spark, d), SAMPLE_DOMAIN, SAMPLE_FRACTION, SAMPLE_SEED)
+    both = domain.withColumn("s", F.lit(0)).unionByName(sample.withColumn("s", F.lit(1)))
+    per = both.groupBy(*TRIPLE_COLUMNS).agg(F.sum(1 - F.col("s")).alias("n"), F.sum("s").alias("m"))
+    off = F.abs(F.sum("m") - SAMPLE_FRACTION * F.sum("n"))
+    return per.agg(
+        F.sum("n").alias("n_domain"),
+        F.count(F.when((F.col("n") == 0) & (F.col("m") > 0), 1)).alias("n_outside"),
+        F.count(F.when(F.col("m") > F.col("n"), 1)).alias("n_repeated"),
+        (off <= 6 * F.sqrt(SAMPLE_FRACTION * (1 - SAMPLE_FRACTION) * F.sum("n"))).alias("size_in_bound"),
+    )
+
+
+def _by_subject(spark, d):
+    return graph.write_by_subject(_parts(spark, d), f"triplex_{uuid.uuid4().hex}", scratch_path(spark, "by-subject"))
+
+
+def q_template_roundtrip(spark, d):
+    path = scratch_path(spark, "template")
+    write_template(hierarchy.predicate_hierarchy(_cl(spark, d)), path)
+    return read_template(spark, path)
+
+
+def q_predicates_mapped(spark, d):
+    mapping = spark.createDataFrame(PREDICATE_PAIRS, "old string, new string")
+    return triples.clean_triples_mapped(_dedup(spark, d), mapping)
+
+
+def q_graph_from_csv(spark, d):
+    path = scratch_path(spark, "named-csv")
+    columns = {SUBJECT: "from", PREDICATE: "link", OBJECT: "to"}
+    out = raw_triples(spark, d).select(
+        F.col(OBJECT).alias("to"), F.lit("x,\n\"y\"").alias("note"), F.col(SUBJECT).alias("from"), F.col(PREDICATE).alias("link")
+    )
+    write_delimited(out, path, sep=",", header=True, lossless=True)
+    raw = triples.drop_duplicate_triples(read_named_csv(spark, path, columns))
+    return graph.graph_nodes(triples.object_parts(raw))
 
 
 def q_export_roundtrip(spark, d):
@@ -178,6 +312,21 @@ QUERIES: dict[str, Query] = {
         *[F.col(c).asc_nulls_first() for c in TRIPLE_COLUMNS]).limit(PREVIEW_ROWS),
     "run_metrics": lambda s, d: run_counters(raw_triples(s, d), SAMPLE_DOMAIN, SAMPLE_FRACTION),
     "batch_run_sample": q_batch_run_sample,
+    "triples_accepted": q_triples_accepted,
+    "triples_rejects": q_triples_rejects,
+    "triples_line_counts": q_triples_line_counts,
+    "batch_run_matching": q_batch_run_matching,
+    "batch_run_full": q_batch_run_full,
+    "batch_run_predicates": q_batch_run_predicates,
+    "batch_run_counters": q_batch_run_counters,
+    "run_ledger": q_run_ledger,
+    "domain_triples_given": q_domain_triples_given,
+    "domain_sample_check": q_domain_sample_check,
+    "graph_nodes_by_subject": lambda s, d: graph.graph_nodes_by_subject(*_by_subject(s, d)),
+    "subject_as_object_by_subject": lambda s, d: graph.subject_as_object_by_subject(*_by_subject(s, d)),
+    "template_roundtrip": q_template_roundtrip,
+    "predicates_mapped": q_predicates_mapped,
+    "graph_from_csv": q_graph_from_csv,
 }
 
 # --- oracle SQL ------------------------------------------------------------------------
@@ -386,5 +535,62 @@ ORACLE: dict[str, str] = {
     ),
 }
 
+
+def _esc(c: str) -> str:
+    """A field of a dump line."""
+    out = f"replace(coalesce({c}, ''), '\\', '\\\\')"
+    for code, letter in ((9, "t"), (10, "n"), (13, "r")):
+        out = f"replace({out}, chr({code}), '\\{letter}')"
+    return out
+
+
+# Lines of the damaged dump and why they are no triple, from the definition of the damage.
+_LINES = O.with_(
+    O.TR,
+    f"f AS (SELECT *, {_esc('Subject')} AS s, {_esc('Predicate')} AS p, {_esc('Object')} AS o, "
+    f"length(coalesce(Subject, '') || coalesce(Predicate, '') || coalesce(Object, '')) % {DAMAGED_EVERY} AS k FROM tr)",
+    "lines AS (SELECT Subject, Predicate, Object, CASE k WHEN 0 THEN concat_ws(chr(9), s, p, o) WHEN 1 THEN s "
+    "WHEN 2 THEN concat_ws(chr(9), s, p, o, '.', '.') WHEN 3 THEN concat_ws(chr(9), s, '', o, '.') "
+    "WHEN 4 THEN concat_ws(chr(9), s, p, o, ';') ELSE concat_ws(chr(9), s, p, o, '.') END AS line, "
+    "CASE WHEN k = 1 AND trim(s) = '' THEN 'blank line' WHEN k < 3 THEN 'field count' "
+    "WHEN k = 3 OR s = '' OR p = '' OR o = '' THEN 'missing value' WHEN k = 4 THEN 'no end mark' END AS reason FROM f)",
+)
+_MAPPED = (
+    "CASE regexp_replace(Predicate, '^<.*/(.*?)>$', '\\1') "
+    + " ".join(f"WHEN {O.q(old)} THEN {O.q(new)}" for old, new in PREDICATE_PAIRS)
+    + " ELSE regexp_replace(Predicate, '^<.*/(.*?)>$', '\\1') END"
+)
+
+ORACLE |= {
+    "triples_accepted": _LINES + "SELECT Subject, Predicate, Object FROM lines WHERE reason IS NULL",
+    "triples_rejects": _LINES + "SELECT line, reason FROM lines WHERE reason IS NOT NULL",
+    "triples_line_counts": _LINES + (
+        "SELECT coalesce(reason, 'accepted') AS metric, count(*) AS value FROM lines GROUP BY 1 "
+        "UNION ALL SELECT 'lines', count(*) FROM lines"
+    ),
+    "batch_run_matching": O.with_(O.TR, O.DD, O.CL, O.PREDS, O.LEAVES, O.domain_leaves_cte(MATCH_DOMAIN)) + (
+        "SELECT NULLIF(trim(Subject), '') AS Subject, NULLIF(trim(Object), '') AS Object, "
+        "NULLIF(trim(Predicate), '') AS Predicate FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves) "
+        "AND contains(Object, Subject)"
+    ),
+    "batch_run_full": ORACLE["export_roundtrip_default"],
+    "batch_run_predicates": O.CL_BASE + "SELECT DISTINCT NULLIF(trim(Predicate), '') AS Predicate FROM cl",
+    "batch_run_counters": ORACLE["run_metrics"],
+    "run_ledger": ORACLE["run_metrics"],
+    "domain_triples_given": ORACLE["domain_triples"],
+    "domain_sample_check": O.with_(O.TR, O.DD, O.CL, O.PREDS, O.LEAVES, O.domain_leaves_cte(SAMPLE_DOMAIN)) + (
+        "SELECT count(*) AS n_domain, CAST(0 AS BIGINT) AS n_outside, CAST(0 AS BIGINT) AS n_repeated, "
+        "true AS size_in_bound FROM cl WHERE Predicate IN (SELECT Predicate FROM dleaves)"
+    ),
+    "graph_nodes_by_subject": ORACLE["graph_nodes"],
+    "subject_as_object_by_subject": ORACLE["subject_as_object"],
+    "template_roundtrip": _HIER,
+    "predicates_mapped": O.with_(O.TR, O.DD) + (
+        f"SELECT {O.clean_subject_sql('Subject')} AS Subject, {_MAPPED} AS Predicate, "
+        f"{O.clean_object_sql('Object')} AS Object FROM dd"
+    ),
+    "graph_from_csv": ORACLE["graph_nodes"],
+}
+
 # Not SQL-expressible (a random draw): rows-only check, plus a subset test.
 NO_ORACLE = ("domain_sample_random",)

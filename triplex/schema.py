@@ -39,6 +39,17 @@ HIERARCHY_SCHEMA = StructType(
     ]
 )
 
+# Counters of runs; a folder for each run.
+LEDGER_SCHEMA = StructType(
+    [
+        StructField("input", StringType(), True),
+        StructField("metric", StringType(), True),
+        StructField("value", LongType(), True),
+        StructField("written", DoubleType(), True),
+        StructField("run_id", StringType(), True),
+    ]
+)
+
 METRICS_SCHEMA = StructType(
     [
         StructField("stage", StringType(), False),

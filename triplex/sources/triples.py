@@ -8,9 +8,11 @@ files are splittable when uncompressed, so the scan parallelism follows
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from triplex.schema import (
     PREDICATE_LIST_SCHEMA,
@@ -86,6 +88,72 @@ def read_triples(
     return df.repartition(spread) if spread else df
 
 
+# --- FIXED VALUES: why a line is no triple, in the order of the tests ---------------
+BLANK_LINE = "blank line"
+FIELD_COUNT = "field count"
+MISSING_VALUE = "missing value"
+NO_END_MARK = "no end mark"
+END_MARK = "."
+
+
+@dataclass
+class CheckedTriples:
+    """A dump whose lines were checked: every line is one row of ``triples`` or of ``rejects``."""
+
+    lines: DataFrame  # line, reason (null: accepted), Subject, Predicate, Object
+
+    @property
+    def triples(self) -> DataFrame:
+        return self.lines.where(F.col("reason").isNull()).select(*TRIPLE_COLUMNS)
+
+    @property
+    def rejects(self) -> DataFrame:
+        """``line, reason`` of the lines that are no triple, as they were read."""
+        return self.lines.where(F.col("reason").isNotNull()).select("line", "reason")
+
+    def counts(self) -> DataFrame:
+        """``metric, value``: all lines, accepted lines, rejected lines by reason (one pass)."""
+        by_reason = self.lines.groupBy(F.coalesce("reason", F.lit("accepted")).alias("metric")).agg(
+            F.count(F.lit(1)).alias("value")
+        )
+        return by_reason.unionByName(by_reason.agg(F.coalesce(F.sum("value"), F.lit(0)).alias("value")).select(
+            F.lit("lines").alias("metric"), "value"
+        ))
+
+
+def read_triples_checked(
+    spark: SparkSession, path: str | list[str], mode: str = "compat", escaped: bool = False
+) -> CheckedTriples:
+    """Scan a dump like :func:`read_triples`, with the lines that are no triple set apart.
+
+    The parser routes records with too few or too many fields to a column of
+    their own (``columnNameOfCorruptRecord``); a record of four fields is
+    rejected if one of the three values is missing or if it does not end with
+    the end mark.  Accepted rows are those that :func:`read_triples` gives.
+    """
+    if mode not in READ_MODES:
+        raise ValueError(f"mode must be one of {READ_MODES}, got {mode!r}")
+    options = {"sep": "\t", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "bad"}
+    if mode == "ntriples":
+        options |= {"quote": "", "escape": ""}
+    fields = ", ".join(f"{c} string" for c in RAW_TRIPLE_SCHEMA.names)
+    record = F.from_csv("line", F.lit(f"{fields}, bad string"), options)
+    read = spark.read.option("lineSep", "\n").text(path).select(F.col("value").alias("line"), record.alias("r"))
+    missing = F.lit(False)
+    for c in TRIPLE_COLUMNS:
+        missing = missing | F.col(f"r.{c}").isNull()
+    reason = (
+        F.when(F.trim("line") == "", BLANK_LINE)
+        .when(F.col("r.bad").isNotNull(), FIELD_COUNT)
+        .when(missing, MISSING_VALUE)
+        .when(~F.col("r.Blank").eqNullSafe(END_MARK), NO_END_MARK)
+    )
+    lines = read.select("line", reason.alias("reason"), *[F.col(f"r.{c}").alias(c) for c in TRIPLE_COLUMNS])
+    if escaped:
+        lines = lines.select("line", "reason", *[unescape_field(c).alias(c) for c in TRIPLE_COLUMNS])
+    return CheckedTriples(lines)
+
+
 def read_predicate_list(spark: SparkSession, path: str | list[str], header: bool = False) -> DataFrame:
     """Scan a one-column list of predicates (a unique-predicates export)."""
     return (
@@ -96,6 +164,42 @@ def read_predicate_list(spark: SparkSession, path: str | list[str], header: bool
     )
 
 
+def read_named_csv(
+    spark: SparkSession, path: str | list[str], columns: dict[str, str], sep: str = ",", lossless: bool = True
+) -> DataFrame:
+    """Triples from delimited files with a header: ``columns`` maps Subject, Predicate, Object to header names.
+
+    Columns are found by name, so their order does not matter and others are
+    ignored.  All files of a folder must have one header: Spark compares each
+    file's with the first one's and fails where they differ, instead of reading
+    values of other columns.  ``lossless`` as in :func:`read_parts`.
+    """
+    missing = [c for c in TRIPLE_COLUMNS if c not in columns]
+    if missing:
+        raise ValueError(f"no header name given for {missing}")
+    options = {"sep": sep, "header": "true", "enforceSchema": "false"} | (LOSSLESS_READ if lossless else {})
+    names = spark.read.options(**options).csv(path).columns
+    absent = [n for n in columns.values() if n not in names]
+    if absent:
+        raise ValueError(f"no column {absent} in the header {names}")
+    schema = StructType([StructField(n, StringType()) for n in names])
+    rows = spark.read.options(**options).schema(schema).csv(path)
+    return rows.select(*[(_unmarked(columns[c]) if lossless else F.col(f"`{columns[c]}`")).alias(c) for c in TRIPLE_COLUMNS])
+
+
+def _unmarked(name: str) -> Column:
+    """A value that starts with a backslash was written with one more (see ``write_delimited``)."""
+    c = F.col(f"`{name}`")
+    return F.when(c.startswith("\\"), c.substr(F.lit(2), F.length(c))).otherwise(c)
+
+
+#: Reader options that match the lossless export.
+LOSSLESS_READ = {
+    "quote": '"', "escape": '"', "nullValue": NULL_MARK, "emptyValue": "", "multiLine": "true",
+    "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+}
+
+
 def read_parts(
     spark: SparkSession,
     folder: str | list[str],

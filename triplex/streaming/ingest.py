@@ -42,6 +42,11 @@ def stream_cleaned(spark: SparkSession, folder: str, mode: str = "compat") -> Da
     return clean_triples(raw.select(*TRIPLE_COLUMNS, sample_unit().alias(SAMPLE_UNIT)))
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(p)
+
+
 def start_ingest(
     spark: SparkSession,
     folder: str,
@@ -53,9 +58,15 @@ def start_ingest(
     """Start the incremental ingest into ``out_path`` (Parquet, append-only).
 
     ``available_now`` processes every file present and stops; otherwise the
-    query keeps running and picks up new files each trigger.
+    query keeps running and picks up new files each trigger.  A new
+    checkpoint is refused for an output that an earlier ingest wrote: the
+    sink's log would take its first batches for ones it has already.
     """
-    checkpoint = checkpoint or f"{out_path.rstrip('/')}/_ingest_checkpoint"
+    own = f"{out_path.rstrip('/')}/_ingest_checkpoint"
+    if checkpoint and checkpoint.rstrip("/") != own:
+        if _exists(spark, f"{out_path}/_spark_metadata") and not _exists(spark, f"{checkpoint}/offsets"):
+            raise ValueError(f"{out_path} was written under another checkpoint; name that one or another output")
+    checkpoint = checkpoint or own
     writer = (
         stream_cleaned(spark, folder, mode)
         .writeStream.format("parquet")
