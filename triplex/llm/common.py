@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.session import scratch_path
@@ -49,3 +49,33 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def text_digest(text_col: str) -> Column:
+    """SHA-256 of a text, 32 bytes; null counts as empty."""
+    return F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")), 256))
+
+
+def keep_decided(docs: DataFrame, decided: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The rows of ``docs``, all columns, that ``decided (doc_id, digest, n, kept)`` keeps.
+
+    ``decided`` holds each pair of id and text digest once, with its number of
+    rows; of repeated rows that are kept one stays.  Only keys are stored:
+    the rows are read once and dealt out once, against the keys to drop, in the
+    same way at every size (a merge join, whose hot keys adaptive execution
+    splits).
+    """
+    key_id, key_digest, digest = unused(docs, "key_id", "key_digest", "digest")
+    keys = materialise(
+        decided.where("NOT kept OR n > 1").select(
+            F.col("doc_id").alias(key_id), F.col("digest").alias(key_digest), F.col("kept").alias("again")
+        ),
+        "dropped-keys",
+    )
+    marked = docs.withColumn(digest, text_digest(text_col))
+    same = F.col(id_col).cast("long").eqNullSafe(F.col(key_id)) & (F.col(digest) == F.col(key_digest))
+    kept = marked.join(keys.select(key_id, key_digest).hint("merge"), same, "left_anti")
+    if keys.where("again").take(1):
+        repeated = marked.join(keys.where("again").select(key_id, key_digest), same, "left_semi")
+        kept = kept.unionByName(repeated.dropDuplicates([id_col, digest]))
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplex.llm.common import id_and_text, long_ids, materialise, unused
+from triplex.llm.common import id_and_text, keep_decided, long_ids, materialise
 
 #: A digest is a heavy hitter from this share of all rows on.
 HEAVY_SHARE = 1 / 1024
@@ -103,16 +103,9 @@ def exact_dedup(
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The input rows, all columns, without the copies that :func:`exact_dedup` drops.
 
-    Ids that occur once decide by a semi join on the id; rows that share an
-    id (repeated rows) are first told apart by their text.
+    Rows are told apart by id and text; of rows that repeat both one stays.
     """
-    kept = exact_dedup(docs, id_col, text_col).where("kept")
-    digest = F.unhex(F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256))
-    keys = kept.select(F.col("doc_id").alias("_keep_id"), F.col("digest").alias("_keep_digest"))
-    marked = docs.select("*", digest.alias("_text_digest"))
-    stay = marked.join(
-        keys,
-        F.col(id_col).cast("long").eqNullSafe(F.col("_keep_id")) & (F.col("_text_digest") == F.col("_keep_digest")),
-        "left_semi",
+    decided = exact_dedup(docs, id_col, text_col).groupBy("doc_id", "digest").agg(
+        F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept")
     )
-    return stay.dropDuplicates([id_col, "_text_digest"]).drop("_text_digest")
+    return keep_decided(docs, decided, id_col, text_col)

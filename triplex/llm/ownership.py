@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from triplex.llm.common import materialise
+from triplex.llm.common import materialise, text_digest, unused
 
 # Kind, pattern, group of the value, least length of the value.
 KINDS = (
@@ -125,10 +125,12 @@ def scan_rows(rows: DataFrame, max_owners: int = MAX_OWNERS, max_repositories: i
     )
 
 
-def _rows(docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str, row_id) -> DataFrame:
+def _rows(
+    docs: DataFrame, id_col: str, text_col: str, owner_col: str, repository_col: str, row_id, carried=None
+) -> DataFrame:
     return docs.select(
         row_id.alias("row_id"),
-        F.col(id_col).cast("long").alias("doc_id"),
+        (F.col(id_col).cast("long") if carried is None else carried).alias("doc_id"),
         F.col(owner_col).cast("string").alias("owner"),
         F.col(repository_col).cast("string").alias("repository"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
@@ -195,30 +197,33 @@ def redact(
     become one mark.  ``length_col``, where it exists, follows the new text of
     the changed rows; other rows are returned as they came.
     """
-    numbered = materialise(docs.withColumn("_row_id", F.monotonically_increasing_id()), "secret-rows")
-    spans = scan_rows(
-        _rows(numbered, id_col, text_col, owner_col, repository_col, F.col("_row_id")),
-        max_owners, max_repositories,
-    ).where("live")
+    digest, of_digest, steps, last = unused(docs, "digest", "of_digest", "steps", "last")
+    # Equal texts have equal spans, so a text's digest stands for its rows.
+    rows = _rows(
+        docs, id_col, text_col, owner_col, repository_col, F.monotonically_increasing_id(), F.hex(text_digest(text_col))
+    )
+    spans = scan_rows(rows, max_owners, max_repositories).where("live")
     before = Window.partitionBy("row_id").orderBy("start", "end", "kind").rowsBetween(Window.unboundedPreceding, -1)
-    steps = (
+    cuts = (
         spans.withColumn("from", F.coalesce(F.max("end").over(before), F.lit(0)))
-        .groupBy("row_id").agg(
-            F.array_sort(F.collect_list(F.struct("start", "from", "end"))).alias("_steps"), F.max("end").alias("_last")
+        .groupBy("row_id", F.unhex("doc_id").alias(of_digest)).agg(
+            F.array_sort(F.collect_list(F.struct("start", "from", "end"))).alias(steps), F.max("end").alias(last)
         )
+        .groupBy(of_digest).agg(F.min(steps).alias(steps), F.min(last).alias(last))
     )
     t = F.col(text_col)
-    pieces = F.transform("_steps", lambda s: F.when(
+    pieces = F.transform(steps, lambda s: F.when(
         (s["start"] > s["from"]) | (s["from"] == 0),
         F.concat(F.substring(t, (s["from"] + 1).cast("int"), (s["start"] - s["from"]).cast("int")), F.lit(mark)),
     ).otherwise(F.lit("")))
-    cleaned = F.concat(F.array_join(pieces, ""), F.substring(t, (F.col("_last") + 1).cast("int"), F.length(t)))
-    changed = F.col("_steps").isNotNull()
-    out = numbered.join(materialise(steps, "secret-steps"), F.col("_row_id") == F.col("row_id"), "left")
+    cleaned = F.concat(F.array_join(pieces, ""), F.substring(t, (F.col(last) + 1).cast("int"), F.length(t)))
+    changed = F.col(steps).isNotNull()
+    marked = docs.withColumn(digest, text_digest(text_col))
+    out = marked.join(materialise(cuts, "secret-steps"), F.col(digest) == F.col(of_digest), "left")
     out = out.withColumn(text_col, F.when(changed, cleaned).otherwise(t))
     if length_col in docs.columns:
         kind = docs.schema[length_col].dataType
         out = out.withColumn(
             length_col, F.when(changed, F.length(text_col).cast(kind)).otherwise(F.col(length_col))
         )
-    return out.select(*docs.columns)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from triplex.llm.common import id_and_text, long_ids, materialise, unused
+from triplex.llm.common import id_and_text, keep_decided, long_ids, materialise, text_digest
 
 #: Reference fingerprints of the pivot table (eight distances fill one long).
 PIVOTS = 16
@@ -77,24 +77,19 @@ def fingerprint(text: str, shingle: int = 3) -> int:
     return int(np.packbits(set_bits, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(
-    docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None
-) -> DataFrame:
-    """``(doc_id, fp)`` of every row, with a ``row_id`` if ``row_col`` names one; ``fp`` holds the 64 bits as a signed long."""
+def fingerprints(docs: DataFrame, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text", with_digest: bool = False) -> DataFrame:
+    """``(doc_id, fp)`` of every row, and its text's ``digest`` if wanted; ``fp`` holds the 64 bits as a signed long."""
 
     def hashed(batches):
         for pdf in batches:
             fps = np.array([fingerprint(t, shingle) for t in pdf.pop("text")], np.uint64)
             yield pdf.assign(fp=fps.view(np.int64))
 
-    if row_col is None:
-        return long_ids(id_and_text(docs, id_col, text_col).mapInPandas(hashed, "doc_id string, fp long"))
-    rows = docs.select(
-        F.col(id_col).cast("long").cast("string").alias("doc_id"),
-        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
-        F.col(row_col).alias("row_id"),
-    )
-    return long_ids(rows.mapInPandas(hashed, "doc_id string, row_id long, fp long"))
+    rows = id_and_text(docs, id_col, text_col)
+    if not with_digest:
+        return long_ids(rows.mapInPandas(hashed, "doc_id string, fp long"))
+    rows = rows.select("doc_id", text_digest("text").alias("digest"), "text")
+    return long_ids(rows.mapInPandas(hashed, "doc_id string, digest binary, fp long"))
 
 
 def _signed(x: int) -> int:
@@ -260,20 +255,25 @@ def drop_near_copies(docs: DataFrame, shingle: int = 3, bits: int = 3, id_col: s
     """The input rows, all columns, with one row of each component.
 
     It is the row with the smallest id; a row without an id stays only if no
-    row of its component has one, and among rows that share an id the first
-    one stays.  Every component keeps exactly one row.
+    row of its component has one, among rows that share an id the one with
+    the smallest text digest stays, and of repeated rows one.
     """
-    numbered = materialise(docs.withColumn("_row_id", F.monotonically_increasing_id()), "near-copy-rows")
-    first = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"), F.col("row_id"))
-    fps = materialise(
-        fingerprints(numbered, shingle, id_col, text_col, "_row_id").groupBy("fp").agg(F.min(first).alias("first")),
-        "distinct-fingerprints",
+    rows = materialise(
+        fingerprints(docs, shingle, id_col, text_col, with_digest=True)
+        .groupBy("doc_id", "digest", "fp").agg(F.count(F.lit(1)).alias("n")),
+        "near-copy-rows",
     )
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    fps = materialise(rows.groupBy("fp").agg(F.min(first).alias("first")), "distinct-fingerprints")
     linked = materialise(components(links(fps, bits)), "components")
-    kept = (
+    firsts = (
         fps.join(linked, fps["fp"] == linked["node"], "left")
         .groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min("first").alias("first"))
-        .select(F.col("first.row_id").alias("_kept_row"))
+        .select(F.col("first.doc_id").alias("first_id"), F.col("first.digest").alias("first_digest"))
+    )
+    # One row of a component is the first of all; every other one goes.
+    stays = F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("digest") == F.col("first_digest"))
+    decided = rows.join(materialise(firsts, "kept-rows"), stays, "left").select(
+        "doc_id", "digest", "n", F.col("first_digest").isNotNull().alias("kept")
     )
-    stay = numbered.join(materialise(kept, "kept-rows"), F.col("_row_id") == F.col("_kept_row"), "left_semi")
-    return stay.select(*docs.columns)
+    return keep_decided(docs, decided, id_col, text_col)
