@@ -108,3 +108,45 @@ def test_small_documents_table_against_brute_force(llm_documents):
     fps = {r.doc_id: fingerprint(r.text) for r in rows}
     got = {r.doc_id: r.component_id for r in near_duplicates(llm_documents).collect()}
     assert got == classes(fps)
+
+
+def test_near_fingerprints_share_a_pivot_cell(spark):
+    from triplex.llm.simhash import _signed, pivot_cells, pivot_table
+
+    rnd = random.Random(11)
+    pairs = []
+    for _ in range(200):
+        a = rnd.getrandbits(64)
+        pairs.append((a, a ^ sum(1 << b for b in rnd.sample(range(64), rnd.randint(0, 3)))))
+    fps = spark.createDataFrame([(_signed(x), i, s) for i, p in enumerate(pairs) for s, x in enumerate(p)], "fp long, i int, side int")
+    from pyspark.sql import functions as F
+
+    cells = pivot_table(fps).select("i", "side", F.array(*pivot_cells(3)).alias("c")).collect()
+    found = {(r["i"], r["side"]): set(r["c"]) for r in cells}
+    assert all(len(c) == 16 for c in found.values())
+    assert all(found[i, 0] & found[i, 1] for i in range(len(pairs)))
+
+
+@pytest.mark.parametrize("max_bucket", [1, 3, 1 << 15])
+def test_dealing_out_buckets_loses_no_link(spark, max_bucket):
+    from triplex.llm.simhash import _signed
+
+    rnd = random.Random(3)
+    base = [rnd.getrandbits(64) for _ in range(4)]
+    fps = [b ^ sum(1 << x for x in rnd.sample(range(64), rnd.randint(0, 4))) for b in base for _ in range(25)]
+    df = spark.createDataFrame([(_signed(f),) for f in set(fps)], "fp long")
+    found = {r["node"]: r["root"] for r in components(links(df, 3, max_bucket=max_bucket)).collect()}
+    order = sorted(set(fps))
+    want = classes(dict(enumerate(order)))
+    for i, a in enumerate(order):
+        for j, b in enumerate(order[:i]):
+            same = found.get(_signed(a), a) == found.get(_signed(b), b)
+            assert same == (want[i] == want[j])
+
+
+def test_a_bucket_that_is_one_tree_ends_early():
+    fp = np.array([1 << (i % 3) for i in range(3)] + [0], np.uint64)
+    many = np.tile(fp, 500)
+    table = np.zeros((len(many), 16), np.int16)
+    u, v = bucket_links(np.zeros(len(many), int), many, table, 3)
+    assert len(u) == len(many) - 1 and len(set(v.tolist())) == 1

@@ -12,6 +12,8 @@
 4. Among fingerprints that share a key, a pair is discarded when any
    coordinate of their table rows differs by more than ``bits`` (by the
    triangle inequality it cannot be near); survivors are verified on the bits.
+   The same coordinates deal out a bucket that is too large for one task:
+   fingerprints meet only in equal or neighbouring cells of the pivot space.
 5. A bucket reports its links as trees (one row per linked fingerprint, not
    one per pair); alternating large-star and small-star steps over tables in
    the shared folder turn the links of all buckets into components.
@@ -39,6 +41,10 @@ from triplex.llm.common import id_and_text, keep_decided, long_ids, materialise,
 
 #: Reference fingerprints of the pivot table (eight distances fill one long).
 PIVOTS = 16
+#: Fingerprints of a bucket that are compared in one task; larger buckets are dealt out by
+#: the cells of so many pivot distances.
+MAX_BUCKET = 1 << 15
+CELL_PIVOTS = 4
 SEED = 42
 
 
@@ -149,12 +155,39 @@ def bucket_links(bucket: np.ndarray, fp: np.ndarray, table: np.ndarray, bits: in
         step += 1
         left = left[left + step < len(bucket)]
         left = left[bucket[left] == bucket[left + step]]
+        if step & (step - 1) == 0 and len(left):  # now and then: buckets that are one tree already are done
+            begins = np.flatnonzero(np.diff(bucket, prepend=bucket[0] - 1))
+            low, high = np.minimum.reduceat(label, begins), np.maximum.reduceat(label, begins)
+            left = left[(low != high)[np.searchsorted(begins, left, side="right") - 1]]
     linked = np.flatnonzero(label != np.arange(len(label)))
     return fp[linked], fp[label[linked]]
 
 
-def links(fps: DataFrame, bits: int = 3, pivots: int = PIVOTS) -> DataFrame:
-    """``(u, v)`` with ``u > v``: links that join all distinct ``fp`` within ``bits`` of each other."""
+def pivot_cells(bits: int, word: str = "t0") -> list[F.Column]:
+    """The cells of the pivot space that a fingerprint is compared in, by its first ``CELL_PIVOTS`` distances.
+
+    A distance lies in the cell ``floor(distance / (bits + 1))``.  Near
+    fingerprints differ by ``bits`` at most in each distance, so their cells
+    are the same or neighbours; each goes to its own and the next cell of each
+    distance, and any two near ones meet in the higher of their cells.
+    """
+    cells = []
+    for choice in range(1 << CELL_PIVOTS):
+        cell = F.lit(0).cast("long")
+        for i in range(CELL_PIVOTS):
+            distance = F.shiftrightunsigned(word, 8 * i).bitwiseAND(F.lit(255).cast("long"))
+            own = F.floor(distance / (bits + 1)).cast("long") + (choice >> i & 1)
+            cell = cell.bitwiseOR(F.shiftleft(own, 8 * i))
+        cells.append(cell)
+    return cells
+
+
+def links(fps: DataFrame, bits: int = 3, pivots: int = PIVOTS, max_bucket: int = MAX_BUCKET) -> DataFrame:
+    """``(u, v)`` with ``u > v``: links that join all distinct ``fp`` within ``bits`` of each other.
+
+    A bucket of more than ``max_bucket`` fingerprints is dealt out by the cells
+    of its pivot distances, so no task holds it whole.
+    """
     words = [f"t{i}" for i in range(-(-pivots // 8))]
     keys = [
         F.struct(F.lit(i).cast("short").alias("choice"), F.col("fp").bitwiseAND(F.lit(m).cast("long")).alias("part"))
@@ -164,14 +197,25 @@ def links(fps: DataFrame, bits: int = 3, pivots: int = PIVOTS) -> DataFrame:
         pivot_table(fps.select("fp"), pivots)
         .select("fp", *words, F.explode(F.array(*keys)).alias("k"))
         .select("k.choice", "k.part", "fp", *words)
-        .repartition("choice", "part")
-        .sortWithinPartitions("choice", "part", "fp")
     )
+    hot = materialise(
+        rows.groupBy("choice", "part").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > max_bucket)
+        .select("choice", "part", F.lit(True).alias("hot")),
+        "hot-buckets",
+    )
+    whole = F.array(F.lit(0).cast("long"))
+    if hot.take(1):
+        cells = F.explode(F.when(F.col("hot"), F.array(*pivot_cells(bits))).otherwise(whole))
+        rows = rows.join(hot, ["choice", "part"], "left").select("choice", "part", cells.alias("cell"), "fp", *words)
+    else:
+        rows = rows.select("choice", "part", whole[0].alias("cell"), "fp", *words)
+    names = ["choice", "part", "cell"]
+    rows = rows.repartition(*names).sortWithinPartitions(*names, "fp")
 
     def report(parts: list[pd.DataFrame]) -> pd.DataFrame:
         pdf = pd.concat(parts, ignore_index=True)
-        choice, part = pdf["choice"].to_numpy(), pdf["part"].to_numpy()
-        bucket = np.cumsum(np.r_[True, (choice[1:] != choice[:-1]) | (part[1:] != part[:-1])])
+        keys = [pdf[name].to_numpy() for name in names]
+        bucket = np.cumsum(np.r_[True, np.any([k[1:] != k[:-1] for k in keys], axis=0)])
         packed = np.ascontiguousarray(pdf[words].to_numpy(np.int64))
         table = packed.view(np.int8).reshape(len(pdf), -1).astype(np.int16)
         u, v = bucket_links(bucket, pdf["fp"].to_numpy().view(np.uint64), table, bits)
@@ -183,10 +227,9 @@ def links(fps: DataFrame, bits: int = 3, pivots: int = PIVOTS) -> DataFrame:
         for pdf in batches:
             if not len(pdf):
                 continue
-            last = (pdf["choice"] == pdf["choice"].iloc[-1]) & (pdf["part"] == pdf["part"].iloc[-1])
-            cut = int((~last).to_numpy().nonzero()[0].max(initial=-1)) + 1
-            head = held[-1].iloc[-1] if held else None
-            goes_on = head is not None and (head["choice"], head["part"]) == (pdf["choice"].iloc[-1], pdf["part"].iloc[-1])
+            last = np.all([pdf[name].to_numpy() == pdf[name].iloc[-1] for name in names], axis=0)
+            cut = int((~last).nonzero()[0].max(initial=-1)) + 1
+            goes_on = bool(held) and all(held[-1][name].iloc[-1] == pdf[name].iloc[-1] for name in names)
             if cut == 0 and (goes_on or not held):
                 held.append(pdf)
                 continue
