@@ -108,3 +108,19 @@ def test_gzip_dump_with_spread(spark):
     assert plain.rdd.getNumPartitions() == 1 and spread.rdd.getNumPartitions() == 8
     assert sorted(map(tuple, spread.collect())) == sorted(map(tuple, plain.collect()))
     assert spread.dropDuplicates().count() == len(set(lines))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.text(alphabet="\\tnr\t\n\r\u0001a", max_size=12), min_size=1, max_size=60))
+def test_line_escapes_are_undone(spark, texts):
+    from triplex.sources.triples import escape_field, unescape_field
+
+    df = spark.createDataFrame([(t,) for t in texts] + [(None,)], "x string")
+    escaped = df.select("x", escape_field("x").alias("y"))
+    found = escaped.select("x", "y", unescape_field("y").alias("z")).collect()
+    assert all(r["x"] == r["z"] for r in found)
+    assert all(not set("\t\n\r") & set(r["y"] or "") for r in found)

@@ -36,15 +36,18 @@ def escape_field(c: str) -> Column:
 
 
 def unescape_field(c: str) -> Column:
-    """Undo :func:`escape_field`: pairs of backslashes are set apart first, so an escape is never misread."""
+    """Undo :func:`escape_field`.
 
-    def plain(piece: Column) -> Column:
-        for char, escape in LINE_ESCAPES:
-            piece = F.replace(piece, F.lit(escape), F.lit(char))
-        return piece
-
-    pieces = F.transform(F.split(F.col(c), r"\\\\", -1), plain)
-    return F.when(F.col(c).contains("\\"), F.array_join(pieces, "\\")).otherwise(F.col(c))
+    Pairs of backslashes are marked first, from left to right, so what follows
+    one is never taken for an escape.  The mark cannot occur by itself: in an
+    escaped field a backslash is followed by a backslash or a letter.  Plain
+    replacements only, which stay inside generated code.
+    """
+    backslash, mark = "\\", "\\\u0001"
+    out = F.replace(F.col(c), F.lit("\\\\"), F.lit(mark))
+    for char, escape in LINE_ESCAPES:
+        out = F.replace(out, F.lit(escape), F.lit(char))
+    return F.when(F.col(c).contains(backslash), F.replace(out, F.lit(mark), F.lit(backslash))).otherwise(F.col(c))
 
 
 def _tsv_reader(spark: SparkSession, schema: StructType, mode: str):
