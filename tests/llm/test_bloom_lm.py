@@ -79,3 +79,36 @@ def test_a_filter_beyond_the_broadcast_gives_the_same_scores(make_docs, monkeypa
     bits = lm.filter_totals(lm.ngram_counts(docs.where(F.coalesce(training, F.lit(True)))))[0]
     assert bits >= 4 * lm.CHUNK_BITS  # one chunk, the bound below, would be nearly full
     assert found(lm.CHUNK_BITS) == found(lm.MAX_BITS)
+
+
+def quantised(c):
+    """The count that the log-frequency scale keeps of a count."""
+    if not c:
+        return 0.0
+    q = math.floor(math.log2(c) + 1e-9)
+    return max(1.0, (2.0**q + 2.0 ** (q + 1) - 1) / 2)
+
+
+@pytest.mark.parametrize("max_bits", [lm.MAX_BITS, 1 << 10])
+def test_score_against_brute_force(make_docs, max_bits):
+    """With so few n-grams the filter gives no wrong answer, so its scores are those of plain counts."""
+    rows = [r for r in ROWS if r[0] != 102]
+    one, two = Counter(), Counter()
+    for i, t in rows:
+        if i is None or i % 3 != 2:
+            one.update(words(t))
+            two.update(zip(words(t), words(t)[1:]))
+    total, distinct = sum(one.values()), len(one)
+
+    def score(text):
+        out, before = 0.0, None
+        for w in words(text):
+            p = min(1.0, (quantised(one[w]) + 1) / (total + distinct + 1))
+            known = quantised(one[before]) if before is not None else 0.0
+            if known:
+                p = 0.7 * min(quantised(two[before, w]), known) / known + 0.3 * p
+            out, before = out + math.log10(p), w
+        return out
+
+    got = lm.score(make_docs(rows), F.col("doc_id") % 3 != 2, max_bits=max_bits).collect()
+    assert sorted(r["score"] for r in got) == pytest.approx(sorted(score(t) for _, t in rows))

@@ -45,3 +45,45 @@ def test_long_texts_are_counted_whole():
 def test_families_share_no_language():
     langs = [x for group in language_id.FAMILIES.values() for x in group]
     assert len(langs) == len(set(langs)) and language_id.family_of("xx") == "xx"
+
+
+def test_votes_against_plain_loops():
+    import math
+
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    langs = ["en", "de", "nl", "fr", "es", "xx"]
+    x = rng.normal(size=(120, 12))
+    label = [langs[i % 6] for i in range(120)]
+    for i, lang in enumerate(label):
+        x[i, langs.index(lang)] += 2.0
+    model = language_id.Model(x, label)
+
+    def choose(level, v):
+        names, pairs, weights = model.levels[level]
+        if len(names) == 1:
+            return names[0], 1.0
+        votes, sums, won = dict.fromkeys(names, 0), dict.fromkeys(names, 0.0), {}
+        for (a, b), w in zip(pairs, weights):
+            m = sum(p * q for p, q in zip(w, v))
+            votes[names[a] if m >= 0 else names[b]] += 1
+            sums[names[a]] += m
+            sums[names[b]] -= m
+            won[names[a], names[b]], won[names[b], names[a]] = m, -m
+        best = sorted(names, key=lambda n: (-votes[n], -sums[n], n))[0]
+        return best, 1 / (1 + math.exp(-3 * min(m for (a, _), m in won.items() if a == best)))
+
+    for v in rng.normal(size=(200, 12)):
+        family, p = choose("", v)
+        lang, q = choose(f"{family}/", v)
+        got, score = model.predict(v)
+        assert got == lang and abs(score - min(1.0, p * q)) < 1e-9
+    assert {model.predict(v)[0] for v in x} == set(langs)
+
+
+def test_only_letters_count_as_letters():
+    for text in (None, "", "12 3.4 !?", "² ½ Ⅻ ①", "\u0301 _ ,"):
+        assert language_id.text_features(text) is None, text
+    same = language_id.text_features("a b")
+    assert (language_id.text_features("a² b½") == same).all() and (language_id.text_features("A  ①b") == same).all()

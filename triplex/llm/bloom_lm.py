@@ -21,7 +21,8 @@ counts, which never pass through the driver.
 
 Defined results: null and empty texts hold the end token alone; rows without
 an id are training rows; repeated rows are rows of their own; an empty table
-gives no rows; other columns are ignored whatever their names.
+gives no rows; other columns are ignored whatever their names; a text of any
+length is counted and scored whole, a bounded number of its tokens at a time.
 """
 
 from __future__ import annotations

@@ -16,7 +16,8 @@
 Defined results: null text counts as empty; among equal texts the largest
 ``doc_id`` stays (a null id loses to any id); of rows that repeat both id and
 text exactly one stays, the one read last; an empty table gives no rows;
-other columns are ignored whatever their names.
+other columns are ignored whatever their names; a text of any length counts
+whole, by its digest.
 """
 
 from __future__ import annotations

@@ -13,7 +13,8 @@ languages, go to the tasks that read whole texts.
 Defined results: null texts and texts without a letter are ``und`` with score
 0, and so is every text if there was nothing to learn from; rows without an id
 are held out; repeated rows are rows of their own; an empty table gives no
-rows; other columns are ignored whatever their names.
+rows; other columns are ignored whatever their names; a text of any length
+is read whole, in steps of a fixed size.
 """
 
 from __future__ import annotations

@@ -24,7 +24,8 @@ costs one row per copy.  Nothing is collected to the driver.
 Defined results: null and empty texts have fingerprint zero and are linked
 like any other; a text of fewer words than a shingle is one shingle; repeated
 rows are rows of their own; an empty table gives no rows; other columns are
-ignored whatever their names.
+ignored whatever their names; a text of any length is hashed whole, in the
+memory of one task (some 20 bytes a word).
 """
 
 from __future__ import annotations
