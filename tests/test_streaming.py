@@ -54,3 +54,18 @@ def test_starts_without_a_checkpoint_lose_no_new_file(spark, tmp_path):
         (folder / f"part-{n}.tsv").write_text("".join(lines), newline="")
         start_ingest(spark, str(folder), out, mode="ntriples").awaitTermination()
         assert spark.read.parquet(out).count() == 5 * (n + 1)
+
+
+def test_a_new_checkpoint_on_a_written_output_is_refused(spark, tmp_path):
+    import pytest
+
+    src, out = tmp_path / "in", str(tmp_path / "out")
+    src.mkdir()
+    (src / "a.tsv").write_text("<s>\t<p>\t<o>\t.\n")
+    start_ingest(spark, str(src), out, checkpoint=str(tmp_path / "one")).awaitTermination()
+    assert spark.read.parquet(out).count() == 1
+    with pytest.raises(ValueError, match="another checkpoint"):
+        start_ingest(spark, str(src), out, checkpoint=str(tmp_path / "two"))
+    (src / "b.tsv").write_text("<s2>\t<p>\t<o>\t.\n")
+    start_ingest(spark, str(src), out, checkpoint=str(tmp_path / "one")).awaitTermination()
+    assert spark.read.parquet(out).count() == 2

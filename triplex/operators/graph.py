@@ -24,14 +24,22 @@ def graph_nodes(parts: DataFrame) -> DataFrame:
     """One row per subject: ``node_id, name, n_types, n_triples``.
 
     ``name`` is the smallest cleaned name object; ``n_types`` counts the
-    distinct type ids.
+    distinct type ids.  Types are few rows of their own, made distinct and
+    counted beside the other aggregates, so no row is doubled for them; both
+    sides are dealt by subject already when they meet.
     """
     p = F.col(PREDICATE)
-    return parts.where(F.col(SUBJECT).isNotNull()).groupBy(F.col(SUBJECT).alias("node_id")).agg(
+    nodes = parts.where(F.col(SUBJECT).isNotNull()).groupBy(F.col(SUBJECT).alias("node_id")).agg(
         F.min(F.when(p == NAME_PREDICATE, F.col(OBJECT))).alias("name"),
-        F.countDistinct(F.when(p == TYPE_PREDICATE, F.col("object_id"))).alias("n_types"),
         F.count(F.lit(1)).alias("n_triples"),
     )
+    types = (
+        graph_node_types(parts).where(F.col("node_id").isNotNull())
+        .groupBy("node_id").agg(F.count(F.lit(1)).alias("n_types"))
+    )
+    return nodes.join(types, "node_id", "left").select(
+        "node_id", "name", F.coalesce("n_types", F.lit(0)).cast("long").alias("n_types"), "n_triples"
+    )
 
 
 def write_by_subject(

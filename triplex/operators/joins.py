@@ -15,7 +15,7 @@ hash are both split.  Everything is one lazy plan; no job runs while it is built
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: Rows of one key that one task may get.
@@ -60,7 +60,12 @@ def _dealt(big: DataFrame, table: DataFrame, big_key: str, heavy: DataFrame):
         table.withColumn(_HASH, F.xxhash64(_KEY)).join(heavy, _HASH, "left")
         .select(*table.columns, F.explode(pieces).alias("__piece_r"))
     )
-    return left, right, (left[big_key] == right[_KEY]) & (left[_PIECE] == right["__piece_r"])
+    same = (F.col(f"l.`{big_key}`") == F.col(f"r.{_KEY}")) & (F.col(f"l.{_PIECE}") == F.col("r.__piece_r"))
+    return left.alias("l"), right.alias("r"), same
+
+
+def _of(side: str, columns: list[str]) -> list[Column]:
+    return [F.col(f"{side}.`{c}`") for c in columns]
 
 
 def _distinct(keys: DataFrame, key: str) -> DataFrame:
@@ -75,9 +80,7 @@ def lookup_join(big: DataFrame, table: DataFrame, big_key: str, key: str, how: s
     """
     found = heavy_keys(big, big_key, heavy_rows) if heavy is None else heavy
     left, right, same = _dealt(big, table.where(F.col(key).isNotNull()).withColumnRenamed(key, _KEY), big_key, found)
-    return left.join(right, same, how).select(
-        *[left[f"`{c}`"] for c in big.columns], *[right[c] for c in table.columns if c != key]
-    )
+    return left.join(right, same, how).select(*_of("l", big.columns), *_of("r", [c for c in table.columns if c != key]))
 
 
 def semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
@@ -91,7 +94,7 @@ def semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
     left, right, same = _dealt(big, _distinct(keys, key), big_key, heavy)
     # The key side is distinct, so an inner join returns a row at most once; unlike
     # a semi join it is not pushed into every branch of a union below it.
-    return left.join(right, same, "inner").select(*[left[f"`{c}`"] for c in big.columns])
+    return left.join(right, same, "inner").select(*_of("l", big.columns))
 
 
 def anti_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
@@ -107,5 +110,5 @@ def flag_join(big: DataFrame, keys: DataFrame, big_key: str, key: str, flag: str
     """``big`` with a boolean ``flag``: its key occurs in ``keys[key]`` (no key: false)."""
     heavy = heavy_keys(big if counted is None else counted, big_key, heavy_rows)
     left, right, same = _dealt(big, _distinct(keys, key), big_key, heavy)
-    joined = left.join(right.withColumn(_HIT, F.lit(True)), same, "left")
-    return joined.select(*[left[f"`{c}`"] for c in big.columns], F.coalesce(F.col(_HIT), F.lit(False)).alias(flag))
+    joined = left.join(right.withColumn(_HIT, F.lit(True)).alias("r"), same, "left")
+    return joined.select(*_of("l", big.columns), F.coalesce(F.col(_HIT), F.lit(False)).alias(flag))

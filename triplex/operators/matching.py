@@ -79,10 +79,9 @@ def subject_as_object_from_raw(raw: DataFrame, heavy_rows: int = HEAVY_ROWS) ->
 
 
 def _texts(df: DataFrame, column: str, name: str) -> DataFrame:
-    """``_id, _text, _size`` of the distinct non-empty values of ``column``, stored once."""
-    text = F.col(column)
+    """``_id, _text, _size`` of the distinct values of ``column``, stored once."""
     return stored(
-        df.select(text.alias("_text")).where(text.isNotNull() & (text != "")).distinct()
+        df.select(F.col(column).alias("_text")).where(F.col(column).isNotNull()).distinct()
         .select(F.monotonically_increasing_id().alias("_id"), "_text", F.length("_text").alias("_size")),
         name,
     )
@@ -112,8 +111,7 @@ def text_grams(texts: DataFrame, length: int, wanted: Column | None = None, chun
         rows = rows.select("_id", "_size", F.explode(F.when(n <= size, whole).otherwise(pieces(size))).alias("p")).select(
             "_id", "_size", F.col("p.part").alias("_part"), F.col("p.from").alias("_from"), F.col("p.n").alias("_n")
         )
-    # Each match takes one character and looks at the gram that starts with it.
-    grams = F.regexp_extract_all(part, F.lit(f"(?s)(?=(.{{{length}}}))."), F.lit(1))
+    grams = _grams_of(part, length)
     if wanted is not None:
         grams = F.when(wanted, grams)
     return rows.select("_id", "_size", "_from", F.posexplode(grams).alias("_at", "_gram")).select(
@@ -130,12 +128,19 @@ def _all_grams(texts: DataFrame, subjects: DataFrame) -> DataFrame:
     return out
 
 
+def _grams_of(part: Column, length: int) -> Column:
+    """The grams of a text, in order: each match takes one character and looks at the gram that starts with it."""
+    return F.regexp_extract_all(part, F.lit(f"(?s)(?=(.{{{length}}}))."), F.lit(1))
+
+
 def rarest_grams(subjects: DataFrame, counts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """``_id, _gram, _place, _uses``: each subject's gram with the smallest count.
 
     A subject with a gram that is not counted occurs in no object and goes.
     """
-    short = subjects.where(F.col("_size") < GRAM).select("_id", "_size", F.col("_text").alias("_gram"), F.lit(0).alias("_place"))
+    short = subjects.where((F.col("_size") > 0) & (F.col("_size") < GRAM)).select(
+        "_id", "_size", F.col("_text").alias("_gram"), F.lit(0).alias("_place")
+    )
     own = text_grams(subjects, GRAM).unionByName(short)
     counted = lookup_join(own, counts, "_gram", "_gram", "left", heavy_rows)
     best = F.min(F.struct(F.coalesce("_uses", F.lit(0)).alias("uses"), "_place", "_gram")).alias("best")
@@ -161,7 +166,7 @@ def substring_pairs(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     """
     objects, subjects = _texts(cl, OBJECT, "objects"), _texts(cl, SUBJECT, "subjects")
     grams = _all_grams(objects, subjects)
-    counts = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses"))
+    counts = stored(grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses")), "gram-counts")
     keyed = stored(
         rarest_grams(subjects, counts, heavy_rows).join(subjects.select("_id", "_text"), "_id"), "subject-grams"
     )
@@ -179,10 +184,11 @@ def substring_pairs(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     hits = semi_join(cut, keyed, "_sub", "_text", heavy_rows)
     found = hits.join(texts, "_id").select(F.col("_sub").alias(SUBJECT), F.col("_text").alias(OBJECT))
     # One row at most, the empty subject.
-    empty = F.broadcast(cl.where(F.col(SUBJECT) == "").select(SUBJECT).limit(1))
-    none = F.col(OBJECT).substr(1, 0)  # a key of each row, so that the join is one by equality
-    anything = cl.where(F.col(OBJECT).isNotNull()).select(OBJECT).distinct().withColumn("_none", none)
-    in_all = anything.join(empty, F.col("_none") == F.col(SUBJECT)).select(SUBJECT, OBJECT)
+    empty = F.broadcast(subjects.where("_size = 0").select(F.col("_text").alias(SUBJECT)).limit(1))
+    none = F.col("_text").substr(1, 0)  # a key of each row, so that the join is one by equality
+    in_all = objects.select(F.col("_text").alias(OBJECT), none.alias("_none")).join(
+        empty, F.col("_none") == F.col(SUBJECT)
+    ).select(SUBJECT, OBJECT)
     return found.unionByName(in_all)
 
 

@@ -57,8 +57,8 @@ def triple_tokens(cl: DataFrame) -> DataFrame:
 def token_frequency(df: DataFrame, text: str, id_col: str, stop_words: str = "none") -> DataFrame:
     """Per token: occurrences ``n`` and number of distinct ids ``n_rows`` whose rows hold it.
 
-    Rows may share an id; a null id adds occurrences only.  Tokens are sorted
-    inside each row, so a row knows the first occurrence of each, and one
+    Rows may share an id; a null id adds occurrences only.  Each row gives its
+    tokens and then its distinct tokens; the place tells which is which, so one
     aggregate by token alone, combined map side, counts occurrences and rows.
     Only rows whose id really repeats (found in the id column alone) need their
     distinct pairs of token and id.
@@ -69,17 +69,18 @@ def token_frequency(df: DataFrame, text: str, id_col: str, stop_words: str = "no
         "repeated-ids",
     )
     toks = with_tokens(df.select(F.col(id_col).alias("_id"), F.col(text).alias("_text")), "_text", stop_words, "_t")
-    rows = toks.select("_id", F.array_sort("_t").alias("_t"))
+    rows = toks.select("_id", "_t")
     twice = repeated.take(1)
     if twice:
         rows = rows.join(repeated, F.col("_id") == F.col("_again"), "left")
     else:
         rows = rows.withColumn("_again", F.lit(None).cast("string"))
-    flat = rows.select("_id", "_again", "_t", F.posexplode("_t").alias("_at", "token"))
-    first = (F.col("_at") == 0) | (F.try_element_at("_t", F.greatest("_at", F.lit(1))) != F.col("token"))
-    flat = flat.select("token", "_id", "_again", first.alias("_first"))
+    both = F.concat("_t", F.array_distinct("_t"))
+    flat = rows.select("_id", "_again", F.size("_t").alias("_n"), F.posexplode(both).alias("_at", "token")).select(
+        "token", "_id", "_again", (F.col("_at") >= F.col("_n")).alias("_first")
+    )
     own = F.col("_first") & F.col("_id").isNotNull() & F.col("_again").isNull()
-    counts = flat.groupBy("token").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(own, 1)).alias("n_rows"))
+    counts = flat.groupBy("token").agg(F.count(F.when(~F.col("_first"), 1)).alias("n"), F.count(F.when(own, 1)).alias("n_rows"))
     if not twice:
         return counts
     shared = flat.where(F.col("_first") & F.col("_again").isNotNull()).select("token", "_id").distinct()

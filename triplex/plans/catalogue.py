@@ -346,6 +346,8 @@ def _tok_select(tok_expr_fn, table, cols):
 
 # Characters that end an id in a text.
 _SEP = r""" \t\n\r\f"'()\[\]{}<>,;!?"""
+# Characters of a bare id, beside the dot.
+_BARE = "0-9A-Za-z_"
 
 _SAMPLE_THRESHOLD = f"{SAMPLE_FRACTION} * 4294967296"
 
@@ -478,15 +480,19 @@ ORACLE: dict[str, str] = {
         "SELECT s.Subject, o.Object FROM (SELECT DISTINCT Subject FROM cl WHERE Subject IS NOT NULL) s "
         "JOIN (SELECT DISTINCT Object FROM cl WHERE Object IS NOT NULL) o ON contains(o.Object, s.Subject)"
     ),
-    # From the definition: the subject stands between boundaries of the text.
+    # From the definition: the subject stands between boundaries of the text, separators for an id of any shape,
+    # any other character for one of letters, digits, _ and dots.
     "id_mentions": O.with_(
         O.TR, O.DD, O.CL,
         "sp AS MATERIALIZED (SELECT s.Subject, o.Object FROM (SELECT DISTINCT Subject FROM cl "
-        f"WHERE regexp_full_match(Subject, {O.q('<?[^' + _SEP + ']*[^' + _SEP + '.:]')})) s "
+        f"WHERE regexp_full_match(Subject, {O.q('<?[^' + _SEP + ']*[^' + _SEP + '.:]')}) "
+        f"OR regexp_full_match(Subject, {O.q('[' + _BARE + '.]*[' + _BARE + ']')})) s "
         "JOIN (SELECT DISTINCT Object FROM cl WHERE Object IS NOT NULL) o ON contains(o.Object, s.Subject))",
     ) + (
         f"SELECT * FROM sp WHERE regexp_matches(Object, CASE WHEN Subject LIKE '<%' THEN '' "
-        f"ELSE {O.q('(^|[' + _SEP + '])')} END || regexp_escape(Subject) || {O.q('[.:]*($|[' + _SEP + '])')})"
+        f"ELSE {O.q('(^|[' + _SEP + '])')} END || regexp_escape(Subject) || {O.q('[.:]*($|[' + _SEP + '])')}) "
+        f"OR (regexp_full_match(Subject, {O.q('[' + _BARE + '.]*[' + _BARE + ']')}) AND regexp_matches(Object, "
+        f"{O.q('(^|[^' + _BARE + '.])')} || regexp_escape(Subject) || {O.q('[.]*($|[^' + _BARE + '.])')}))"
     ),
     "graph_nodes": O.PARTS_BASE + (
         "SELECT Subject AS node_id, min(CASE WHEN Predicate = 'type.object.name' THEN Object END) AS name, "
