@@ -65,3 +65,18 @@ def test_a_document_without_an_id_survives_the_stages(spark):
     for name, stage in corpus_pipeline.STAGES[1:]:
         docs = materialise(stage(spark, docs, ""), f"test-odd-{name}")
         assert docs.where("doc_id IS NULL").count() == 1, name
+
+
+def test_run_leaves_only_its_result(spark, sf_small):
+    import os
+
+    from triplex.llm import common
+
+    before = len(common._WRITTEN)
+    folder = f"{common.scratch_path(spark, 'x').rsplit('/', 1)[0]}"
+    present = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = corpus_pipeline.run(spark, sf_small)
+    assert found.count() > 0
+    left = set(os.listdir(folder)) - present
+    assert len(left) == 1 and next(iter(left)).startswith("llm-pipeline-packing")
+    assert len(common._WRITTEN) == before + 1

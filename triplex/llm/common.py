@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from triplex.session import scratch_path
 
 
+#: Scratch tables that this process wrote, in order.
+_WRITTEN: list[str] = []
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
@@ -16,10 +20,32 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
+    _WRITTEN.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The scratch tables that are written inside a ``with`` block, to be removed when nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.first = spark, len(_WRITTEN)
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *failure):
+        return False
+
+    def remove(self, keep_last: bool = True) -> None:
+        """Remove the tables written so far, but for the last one (the result that was made from them)."""
+        stop = len(_WRITTEN) - int(keep_last)
+        for path in _WRITTEN[self.first : stop]:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
+        del _WRITTEN[self.first : stop]
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(doc_id string, text string)``: null text becomes empty, other columns go.
 
