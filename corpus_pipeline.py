@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from triplex.llm import exact_dedup, language_id, ownership, packing, simhash
-from triplex.llm.common import materialise
+from triplex.llm.common import Scratch, materialise
 from triplex.llm.queries import byte_bpe, byte_bpe_added
 
 
@@ -53,7 +53,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The packed pieces of ``documents``; of the tables written on the way only the last one stays."""
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with Scratch(spark) as scratch:
+        for name, stage in STAGES:
+            docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            scratch.remove()
     return docs
