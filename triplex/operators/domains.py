@@ -75,11 +75,12 @@ def raw_predicates_of_domain(raw: DataFrame, domain: str, hierarchy: DataFrame |
     The cleaning regex runs on the distinct raw predicates only (a map-side
     combined aggregate), never per triple.
     """
-    # Reading the count keeps the regex above the aggregate.
-    cleaned = F.when(F.col("_n") > 0, clean_predicate("_raw"))
+    # Reading an aggregate keeps the regex above it; one that repeated rows do not
+    # change lets Catalyst drop a dedup below it.
+    cleaned = F.when(F.col("_n") >= 0, clean_predicate("_raw"))
     vocab = (
         raw.select(F.col(PREDICATE).alias("_raw")).where(F.col("_raw").isNotNull())
-        .groupBy("_raw").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy("_raw").agg(F.max(F.length("_raw")).alias("_n"))
         .select("_raw", cleaned.alias(PREDICATE)).where(domain_of(PREDICATE) == domain)
     )
     if hierarchy is not None:
