@@ -101,3 +101,16 @@ def test_without_labels_the_element_around_the_region_stays_whole():
 def test_element_spans_of_broken_markup():
     seen = [("div", "", False), ("section", "", False), ("/div", "", False), ("div", "", False), ("/x", "", False)]
     assert html_extract.element_spans(seen, ("div", "section")) == [(1, 3), (0, 3), (3, 5)]
+
+
+def test_pages_without_labels_by_the_weights_of_others(spark, sf_small):
+    """Every second page loses its ``article`` tags; the weights come from the labelled half."""
+    pages = [tuple(r) for r in spark.read.parquet(f"{sf_small}/pages.parquet").select("page_id", "url", "html").collect()]
+    plain = lambda p: p.replace("<article>", "<div>").replace("</article>", "</div>")
+    mixed = [(i, u, plain(p) if i % 2 else p) for i, u, p in pages]
+    df = spark.createDataFrame(mixed, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(df).collect()}
+    unlabelled = [i for i, _, _ in pages if i % 2]
+    exact = sum(got[i] == article_of(dict((a, c) for a, _, c in pages)[i]) for i in unlabelled)
+    assert unlabelled and exact >= 0.95 * len(unlabelled)
+    assert all(got[i] == article_of(p) for i, _, p in pages if i % 2 == 0)

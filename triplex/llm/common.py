@@ -12,7 +12,7 @@ from triplex.session import scratch_path
 _WRITTEN: list[str] = []
 
 
-def materialise(df: DataFrame, name: str) -> DataFrame:
+def materialise(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` once to the shared scratch folder and read it back.
 
     This cuts the lineage with a table that outlives any executor, and fixes
@@ -21,7 +21,7 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, f"llm-{name}")
     _WRITTEN.append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -323,7 +323,7 @@ def compare_neighbours(
         dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "text").mapInPandas(
             _in_order(batch), f"{_PAIR}, part int, edge int, text string"
         ),
-        "phrase-neighbours",
+        "phrase-neighbours", compression="zstd",  # ranks are small numbers in order
     )
     inner = done.where("edge = 0").select(*_COLUMNS)
     heads = done.where("edge = 1").select(
