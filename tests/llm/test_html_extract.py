@@ -114,3 +114,10 @@ def test_pages_without_labels_by_the_weights_of_others(spark, sf_small):
     exact = sum(got[i] == article_of(dict((a, c) for a, _, c in pages)[i]) for i in unlabelled)
     assert unlabelled and exact >= 0.95 * len(unlabelled)
     assert all(got[i] == article_of(p) for i, _, p in pages if i % 2 == 0)
+
+
+def test_articles_that_are_only_comments_do_not_win():
+    said = "".join(f"<article class=comment-body><p>reader {i} says so</p></article>" for i in range(5))
+    page = f"<body><div class=post>{LONG}{ITEMS}</div><div>{said}</div>"
+    assert text_of(page).startswith(plain(LONG + ITEMS))
+    assert text_of(f"<body><div class=x>{LEAD}</div><article>{LONG}</article>") == plain(LONG)

@@ -275,26 +275,32 @@ def element_spans(seen: list, names: tuple[str, ...]) -> list[tuple[int, int]]:
 def whole_content(seen: list, first: int, end: int) -> tuple[int, int]:
     """The region, extended to whole content elements: lists and tables at its edges belong to it.
 
-    On a page with ``article`` or ``main`` these are the ones that the region
-    reaches into, on any other the innermost ``div`` or ``section`` around it.
+    These are each ``article`` or ``main`` that the region reaches into; if there
+    is none, the innermost ``div`` or ``section`` around it.
     """
     if first == end:
         return first, end
-    content = element_spans(seen, CONTENT)
-    if content:
-        reached = [(a, b) for a, b in content if a < end and first < b]
-        return min([first, *(a for a, _ in reached)]), max([end, *(b for _, b in reached)])
+    reached = [(a, b) for a, b in element_spans(seen, CONTENT) if a < end and first < b]
+    if reached:
+        return min(first, *(a for a, _ in reached)), max(end, *(b for _, b in reached))
     around = [(a, b) for a, b in element_spans(seen, ("div", "section")) if a <= first and end <= b]
     return min(around, key=lambda s: s[1] - s[0], default=(first, end))
 
 
+def words_of(seen: list, first: int, end: int) -> int:
+    return sum(len(text.split()) for _, text, _ in seen[first:end])
+
+
 def main_text(page: str, score: dict[str, float]) -> str:
     seen = list(events(page))
     other = score.get(OTHER, -1.0)
     points = [score.get(known(t), other) if t else score[WORD] * len(x.split()) for t, x, _ in seen]
-    if any(p > 0 and e[2] for p, e in zip(points, seen)):  # the page says where its content is
-        points = [p if e[2] else -abs(p) for p, e in zip(points, seen)]
     first, end = whole_content(seen, *best_region(points))
+    if any(p > 0 and e[2] for p, e in zip(points, seen)):
+        # The page says where its content is, unless far more is elsewhere (its articles are comments, say).
+        inside = whole_content(seen, *best_region([p if e[2] else -abs(p) for p, e in zip(points, seen)]))
+        if words_of(seen, first, end) <= 2 * words_of(seen, *inside):
+            first, end = inside
     parts = [x if not t else ("" if t.lstrip("/") in INLINE else " ") for t, x, _ in seen[first:end]]
     return " ".join("".join(parts).split())
 
