@@ -298,37 +298,41 @@ def _collected(counts: DataFrame, bits: int, total: int, distinct: int, base: fl
     return Filter(_joined_chunks(held.toLocalIterator(), chunks), chunks, total, distinct)
 
 
-def read_dealt(counts: DataFrame, bits: int, texts: DataFrame) -> DataFrame:
-    """``batch, h, levels`` (packed): the levels of all n-grams of ``texts (batch, text)``, a filter of any length.
+def batch_ngrams(texts, chunks: int, together: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-gram hashes of a batch of texts in the order of their places (``together`` chunks each), and the places."""
+    hashes = [token_hashes(tokens(t)) for t in texts]
+    h = np.unique(np.concatenate([*hashes, *map(pair_hashes, hashes)]))
+    place = ((h >> np.uint64(CHUNK_SHIFT)) & np.uint64(chunks - 1)).astype(np.int64) // together
+    order = np.argsort(place, kind="stable")
+    return h[order], place[order]
+
+
+def read_dealt(counts: DataFrame, bits: int, numbered: DataFrame) -> DataFrame:
+    """``batch, place, levels`` (packed): the levels of all n-grams of ``numbered (batch, text, ...)``, a filter of any length.
 
     Nothing but bounded parts of the filter meets the bounded batches: an
-    n-gram that every text holds is dealt once per batch.
+    n-gram that every text holds is dealt once per batch.  Only levels come
+    back; the batch knows its n-grams and their order.
     """
     chunks = bits // CHUNK_BITS
     together = min(PROBED_CHUNKS, chunks)
 
-    def dealt(batches):
-        for pdf in batches:
-            for batch, part in pdf.groupby("batch"):
-                hashes = [token_hashes(tokens(t)) for t in part["text"]]
-                h = np.unique(np.concatenate([*hashes, *map(pair_hashes, hashes)]))
-                place = ((h >> np.uint64(CHUNK_SHIFT)) & np.uint64(chunks - 1)).astype(np.int64) // together
-                order = np.argsort(place, kind="stable")
-                h, place = h[order], place[order]
-                first = np.flatnonzero(np.diff(place, prepend=-1))
-                yield pd.DataFrame({
-                    "place": place[first], "batch": batch,
-                    "h": [x.astype("<u8").tobytes() for x in np.split(h, first[1:])],
-                })
+    def dealt(pdf: pd.DataFrame) -> pd.DataFrame:
+        h, place = batch_ngrams(pdf["text"], chunks, together)
+        first = np.flatnonzero(np.diff(place, prepend=-1))
+        return pd.DataFrame({
+            "place": place[first], "batch": pdf["batch"].iloc[0],
+            "h": [x.astype("<u8").tobytes() for x in np.split(h, first[1:])],
+        })
 
     def probed(key, asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
         data = _joined_chunks(zip(held["chunk"], held["data"]), together, key[0] * together)
         found = [read_levels(data, together, np.frombuffer(x, "<u8")).astype(np.uint8).tobytes() for x in asked["h"]]
-        return pd.DataFrame({"batch": asked["batch"], "h": asked["h"], "levels": found})
+        return pd.DataFrame({"batch": asked["batch"], "place": asked["place"], "levels": found})
 
-    asked = texts.mapInPandas(dealt, "place long, batch long, h binary")
+    asked = numbered.groupBy("batch").applyInPandas(dealt, "place long, batch long, h binary")
     held = filter_chunks(counts, bits).withColumn("place", F.expr(f"chunk div {together}"))
-    return asked.groupBy("place").cogroup(held.groupBy("place")).applyInPandas(probed, "batch long, h binary, levels binary")
+    return asked.groupBy("place").cogroup(held.groupBy("place")).applyInPandas(probed, "batch long, place long, levels binary")
 
 
 def in_batches(rows: DataFrame, chars: int | None = None) -> DataFrame:
@@ -364,6 +368,8 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     counts = materialise(ngram_counts(rows.where("training")), "ngram-counts")
     bits, total, distinct = filter_totals(counts)
+    chunks = bits // CHUNK_BITS
+    together = min(PROBED_CHUNKS, chunks)
     whole_filter = _collected(counts, bits, total, distinct) if bits <= max_bits else None
     frequent = counts.where("single").orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "n").toPandas().sort_values("h")
     held = spark.sparkContext.broadcast((whole_filter, frequent["h"].to_numpy(np.int64), frequent["n"].to_numpy(np.int64)))
@@ -395,8 +401,9 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
             yield scored_with(held.value[0], pdf)
 
     def scored_batch(pdf: pd.DataFrame, read: pd.DataFrame) -> pd.DataFrame:
-        h = np.frombuffer(b"".join(read["h"]), "<u8")
-        return scored_with(ReadLevels(h, np.frombuffer(b"".join(read["levels"]), np.uint8), total, distinct), pdf)
+        h, _ = batch_ngrams(pdf["text"], chunks, together)
+        levels = np.frombuffer(b"".join(read.sort_values("place")["levels"]), np.uint8)
+        return scored_with(ReadLevels(h, levels, total, distinct), pdf)
 
     # A token stands for itself by its 64-bit hash in the exact counts too. The
     # counts of the most frequent ones come by broadcast, those of all others by a join.
@@ -408,7 +415,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         found = rows.mapInPandas(scored, columns)
     else:
         numbered = materialise(in_batches(rows), "batched-texts")
-        read = read_dealt(counts, bits, numbered.select("batch", "text"))
+        read = read_dealt(counts, bits, numbered)
         found = numbered.groupBy("batch").cogroup(read.groupBy("batch")).applyInPandas(scored_batch, columns)
     texts = materialise(found, "scored-texts")
     used = texts.select("row_id", F.explode(F.arrays_zip("h", "n")).alias("t")).select(
