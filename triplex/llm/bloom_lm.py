@@ -62,6 +62,8 @@ PROBED_CHUNKS = 128
 DEALT_CHARS = 1 << 23
 #: The most frequent tokens, whose exact counts are broadcast (16 bytes each).
 FREQUENT = 1 << 16
+#: Rows whose token hashes a task holds together while it scores.
+SCORED_TOGETHER = 1024
 #: Tokens that are probed together.
 TOKENS_TOGETHER = 1 << 18
 
@@ -398,7 +400,8 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
 
     def scored(batches):
         for pdf in batches:
-            yield scored_with(held.value[0], pdf)
+            for at in range(0, len(pdf), SCORED_TOGETHER):
+                yield scored_with(held.value[0], pdf.iloc[at : at + SCORED_TOGETHER])
 
     def scored_batch(pdf: pd.DataFrame, read: pd.DataFrame) -> pd.DataFrame:
         h, _ = batch_ngrams(pdf["text"], chunks, together)
