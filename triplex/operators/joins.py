@@ -23,7 +23,7 @@ HEAVY_ROWS = 1_000_000
 #: Heavy keys at most; the next heaviest are joined whole.
 MAX_HEAVY = 65_536
 
-_HASH, _PIECES, _PIECE, _KEY, _HIT = "__hash", "__pieces", "__piece", "__key", "__hit"
+_HASH, _PIECES, _PIECE, _KEY = "__hash", "__pieces", "__piece", "__key"
 
 
 def heavy_keys(big: DataFrame, big_key: str, heavy_rows: int = HEAVY_ROWS, max_heavy: int = MAX_HEAVY) -> DataFrame:
@@ -95,20 +95,3 @@ def semi_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
     # The key side is distinct, so an inner join returns a row at most once; unlike
     # a semi join it is not pushed into every branch of a union below it.
     return left.join(right, same, "inner").select(*_of("l", big.columns))
-
-
-def anti_join(big: DataFrame, keys: DataFrame, big_key: str, key: str,
-              heavy_rows: int = HEAVY_ROWS, counted: DataFrame | None = None) -> DataFrame:
-    """Rows of ``big`` whose ``big_key`` does not occur in ``keys[key]`` (rows without a key stay)."""
-    heavy = heavy_keys(big if counted is None else counted, big_key, heavy_rows)
-    left, right, same = _dealt(big, _distinct(keys, key), big_key, heavy)
-    return left.join(right, same, "left_anti").drop(_PIECE)
-
-
-def flag_join(big: DataFrame, keys: DataFrame, big_key: str, key: str, flag: str,
-              heavy_rows: int = HEAVY_ROWS, counted: DataFrame | None = None) -> DataFrame:
-    """``big`` with a boolean ``flag``: its key occurs in ``keys[key]`` (no key: false)."""
-    heavy = heavy_keys(big if counted is None else counted, big_key, heavy_rows)
-    left, right, same = _dealt(big, _distinct(keys, key), big_key, heavy)
-    joined = left.join(right.withColumn(_HIT, F.lit(True)).alias("r"), same, "left")
-    return joined.select(*_of("l", big.columns), F.coalesce(F.col(_HIT), F.lit(False)).alias(flag))
