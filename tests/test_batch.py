@@ -98,3 +98,41 @@ def test_two_runs_with_one_config_stay_readable(spark):
     first, second = (run_batch(spark, f, cfg) for f in frames)
     assert cfg.work_dir is None
     assert (first.cleaned.count(), second.cleaned.count()) == (1, 2)
+
+
+def test_counters_deal_no_row_by_its_predicate_or_text(spark):
+    import re
+
+    from helpers import triples_df
+
+    long = "x" * 500
+    rows = [(f"m.{i}", "d.p", f"{long}{i % 7}") for i in range(700)] + [
+        ("m.0", "d.p", f"{long}0"), ("m.0", "d.p", None), (None, "d.p", None), (None, "d.p", None), ("m.0", None, long),
+        ("m.0", "e.q", f"{long}0"), ("", "d.p", ""), ("", "d.p", None), (long, "d.p", "m.0"), (long, "d.p", "m.0"),
+    ]
+    raw = triples_df(spark, rows)
+    found = run_counters(raw, "d", 1.0)
+    domain = {r for r in rows if r[1] == "d.p"}
+    assert {r["metric"]: r["value"] for r in found.collect()} == {
+        "initCount": len(rows), "finalCount": len(set(rows)), "domainCount": len(domain), "sample": len(domain),
+    }
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"hashpartitioning\([^)]*Object#", plan)  # texts are no keys
+    join = plan[plan.index("Join"):]
+    assert join.index("_p#") < join.index("HashAggregate")  # counts are joined, not rows
+    assert dict((r["metric"], r["value"]) for r in run_counters(raw.limit(0), "d", 1.0).collect()) == {
+        "initCount": None, "finalCount": 0, "domainCount": 0, "sample": 0,
+    }
+
+
+def test_duplicate_counts_by_bounded_keys(spark):
+    from helpers import triples_df
+
+    from triplex.operators.triples import KEY_CHARS, bounded_key, duplicate_counts
+
+    values = [None, "", "#", "=", "é" * KEY_CHARS, "é" * (KEY_CHARS + 1), "x" * 5000, "x" * 5001]
+    rows = [(a, "p", b) for a in values for b in values]
+    raw = triples_df(spark, rows + rows[::3])
+    n = len(rows) + len(rows[::3])
+    assert [tuple(r) for r in duplicate_counts(raw).collect()] == [(n, len(rows), n - len(rows))]
+    assert max(len(r[0] or "") for r in raw.select(bounded_key("Object")).collect()) == KEY_CHARS + 1

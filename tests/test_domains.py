@@ -27,6 +27,20 @@ def test_domain_filter_equals_a_literal_list(spark, monkeypatch):
     assert domains.domain_triples(cl, "unknown").count() == 0
 
 
+def test_a_hot_predicate_is_split(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(domains, "HOT_ROWS", 100, raising=False)
+    rows = triples_df(spark, [(f"m.{i}", "d.p", "v") for i in range(2000)] + [("s", "d.q", "v"), ("s", None, "v")]).repartition(4)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # each task is one partition
+    try:
+        found = domains.filter_to_predicates(rows, rows.select("Predicate").where("Predicate = 'd.p'"))
+        per_task = [r["count"] for r in found.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(per_task) == 2000 and max(per_task) < 1500
+
+
 def test_a_given_vocabulary_decides(spark):
     from triplex.operators.hierarchy import predicate_hierarchy
 

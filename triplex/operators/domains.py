@@ -5,7 +5,7 @@ data's own vocabulary, or of a maintained one given as a hierarchy relation.
 The filter is one lazy plan.  The domain's prefix reaches the Parquet scan; a
 4 KB bitmap of the wanted predicates, a scalar subquery that Spark runs with
 the query, drops other rows before any shuffle; and a join with the
-predicates settles what is left exactly.
+predicates, hot ones split, settles what is left exactly.
 """
 
 from __future__ import annotations
@@ -16,12 +16,15 @@ from pyspark.sql import functions as F
 from triplex.functions.clean import clean_predicate, domain_of
 from triplex.operators.bitmap import bitmap_of, maybe_in
 from triplex.operators.hierarchy import domain_leaves, prefix_rows
+from triplex.operators.joins import semi_join
 from triplex.operators.triples import clean_triples, drop_duplicate_triples
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 
 SAMPLE_UNIT = "_sample_unit"
 # Bits of the filter's bitmap; a fixed size, whatever the vocabulary.
 BITMAP_BITS = 1 << 15
+# Rows of one predicate, with their texts, that one task of the filter may get.
+HOT_ROWS = 100_000
 _TWO_32 = 4294967296
 
 
@@ -40,10 +43,9 @@ def sample_unit(s: Column | str = SUBJECT, p: Column | str = PREDICATE, o: Colum
 def filter_to_predicates(df: DataFrame, predicates: DataFrame) -> DataFrame:
     """Rows of ``df`` whose predicate is in ``predicates`` (exact, case-sensitive; a null predicate is in none)."""
     wanted = predicates.select(F.col(PREDICATE).alias("_wanted")).where(F.col("_wanted").isNotNull())
-    p = F.col(PREDICATE)
-    near = df.where(maybe_in(bitmap_of(wanted, "_wanted", BITMAP_BITS), p, BITMAP_BITS))
-    # Distinct keys and an inner join: a semi join would be pushed into every branch of a union below it.
-    return near.join(wanted.distinct(), p == F.col("_wanted")).drop("_wanted")
+    near = df.where(maybe_in(bitmap_of(wanted, "_wanted", BITMAP_BITS), F.col(PREDICATE), BITMAP_BITS))
+    # Most of a domain can be rows of one predicate: those are split.
+    return semi_join(near, wanted, PREDICATE, "_wanted", HOT_ROWS)
 
 
 def leaves_of(cl: DataFrame | None, domain: str, hierarchy: DataFrame | None = None) -> DataFrame:

@@ -7,7 +7,7 @@ anything is shuffled: a hot duplicate never lands whole on one reducer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from triplex.functions.clean import (
@@ -23,6 +23,9 @@ from triplex.operators.joins import HEAVY_ROWS, heavy_of_counts, lookup_join
 from triplex.schema import OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 from triplex.session import stored
 
+#: Characters of the longest value that is its own key where only counts are wanted.
+KEY_CHARS = 64
+
 
 def drop_duplicate_triples(df: DataFrame) -> DataFrame:
     """Exact whole-triple dedup (before cleaning, as the source data is)."""
@@ -38,9 +41,19 @@ def triple_multiplicity(raw: DataFrame, min_count: int = 2) -> DataFrame:
     )
 
 
+def bounded_key(c: Column | str) -> Column:
+    """A value as a key of bounded size, null for null: itself up to ``KEY_CHARS`` characters, else its SHA-256.
+
+    Counting distinct values needs no texts; a task's hash table then grows
+    with its rows, not with the length of what they hold.
+    """
+    c = F.col(c) if isinstance(c, str) else c
+    return F.when(F.length(c) > KEY_CHARS, F.concat(F.lit("#"), F.sha2(c, 256))).otherwise(F.concat(F.lit("="), c))
+
+
 def duplicate_counts(raw: DataFrame) -> DataFrame:
-    """One row ``raw_count, dedup_count, duplicate_count`` from one shuffle."""
-    per_triple = raw.groupBy(*TRIPLE_COLUMNS).agg(F.count(F.lit(1)).alias("n"))
+    """One row ``raw_count, dedup_count, duplicate_count`` from one shuffle of bounded keys."""
+    per_triple = raw.groupBy(*[bounded_key(c).alias(c) for c in TRIPLE_COLUMNS]).agg(F.count(F.lit(1)).alias("n"))
     return per_triple.agg(
         F.sum("n").cast("long").alias("raw_count"),
         F.count(F.lit(1)).alias("dedup_count"),

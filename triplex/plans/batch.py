@@ -25,15 +25,15 @@ from triplex.operators.domains import (
     SAMPLE_UNIT,
     _TWO_32,
     domain_triples,
-    raw_domain_rows,
+    raw_predicates_of_domain,
     sample_unit,
 )
 from triplex.operators.matching import matching_triples
 from triplex.operators.tokens import triple_tokens
-from triplex.operators.triples import clean_triples, drop_duplicate_triples, duplicate_counts
+from triplex.operators.triples import bounded_key, clean_triples
 from triplex.operators.vocabulary import unique_predicates
 from triplex.plans import ledger
-from triplex.schema import METRICS_SCHEMA, PREDICATE, TRIPLE_COLUMNS
+from triplex.schema import METRICS_SCHEMA, OBJECT, PREDICATE, SUBJECT, TRIPLE_COLUMNS
 from triplex.session import scratch_path
 from triplex.sinks.delimited import write_delimited
 from triplex.sources.triples import CheckedTriples
@@ -201,15 +201,25 @@ def run_counters(raw: DataFrame, domain: str = DEFAULT_DOMAIN,
                  fraction: float = DEFAULT_SAMPLE_FRACTION, hierarchy: DataFrame | None = None) -> DataFrame:
     """The run's counters as a lazy ``metric, value`` relation.
 
-    Counting needs no cleaned values: the domain test is done on the raw
-    predicate (cleaned once per distinct predicate), before the dedup, so the
-    domain counters add no shuffle of the other rows.
+    Counting needs no cleaned values and no texts: copies meet by keys of
+    bounded size, in one shuffle, and are counted per raw predicate.  Those
+    few counts then meet the domain's predicates (cleaned once per distinct
+    predicate), so no row is dealt by its predicate: a domain whose rows are
+    nearly all of one predicate is counted by as many tasks as any other.
     """
     raw = raw.select(*TRIPLE_COLUMNS)
-    whole = duplicate_counts(raw).select(F.col("raw_count").alias("initCount"), F.col("dedup_count").alias("finalCount"))
-    in_domain = drop_duplicate_triples(raw_domain_rows(raw, domain, hierarchy)).agg(
-        F.count(F.lit(1)).alias("domainCount"),
-        F.count(F.when(sample_unit() < F.lit(fraction * _TWO_32), 1)).alias("sample"),
+    per_triple = raw.groupBy(PREDICATE, bounded_key(SUBJECT).alias("_s"), bounded_key(OBJECT).alias("_o")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(sample_unit() < F.lit(fraction * _TWO_32)).alias("picked")
     )
-    rows = [df.unpivot([], df.columns, "metric", "value") for df in (whole, in_domain)]
-    return rows[0].unionByName(rows[1])
+    per_predicate = per_triple.groupBy(F.col(PREDICATE).alias("_p")).agg(
+        F.sum("n").alias("n"), F.count(F.lit(1)).alias("n_distinct"), F.count(F.when(F.col("picked"), 1)).alias("n_picked")
+    )
+    wanted = raw_predicates_of_domain(raw, domain, hierarchy).where(F.col(PREDICATE).isNotNull()).distinct()
+    found, zero = F.col(PREDICATE).isNotNull(), F.lit(0).cast("long")
+    out = per_predicate.join(wanted, F.col("_p") == F.col(PREDICATE), "left").agg(
+        F.sum("n").alias("initCount"),
+        F.coalesce(F.sum("n_distinct"), zero).alias("finalCount"),
+        F.coalesce(F.sum(F.when(found, F.col("n_distinct"))), zero).alias("domainCount"),
+        F.coalesce(F.sum(F.when(found, F.col("n_picked"))), zero).alias("sample"),
+    )
+    return out.unpivot([], out.columns, "metric", "value")
