@@ -113,6 +113,24 @@ def _parts(spark, n=3000):
     return triples.object_parts(triples.drop_duplicate_triples(triples_df(spark, data)))
 
 
+def test_storing_by_subject_computes_the_rows_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(frames):
+        for f in frames:
+            seen.add(len(f))
+            yield f
+
+    parts = _parts(spark, 600).where(F.col(SUBJECT).isNotNull())
+    n = parts.count()
+    once = parts.mapInPandas(count, parts.schema)
+    bucketed, rest = graph.write_by_subject(
+        once, f"t_{uuid.uuid4().hex}", scratch_path(spark, "t-once"), 4
+    )
+    assert rows(bucketed) == rows(parts) and rest.count() == 0
+    assert seen.value == n
+
+
 @pytest.mark.parametrize("heavy", [20, 10**6])
 def test_tables_stored_by_subject(spark, heavy):
     parts = _parts(spark)

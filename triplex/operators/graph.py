@@ -50,15 +50,21 @@ def write_by_subject(
     Work per subject then needs no exchange of the bucketed table.  A bucket
     is read by one task, so subjects of more than ``heavy_rows`` rows (a
     bounded list) and rows without a subject are kept in a plain table beside it.
+    The rows are computed once and stored; the count and both tables read them.
     """
     spark = parts.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    heavy = F.broadcast(stored(heavy_keys(parts, SUBJECT, heavy_rows), "heavy-subjects"))
-    marked = parts.withColumn("__hash", F.xxhash64(SUBJECT)).join(heavy, "__hash", "left")
-    apart = F.col("__pieces").isNotNull() | F.col(SUBJECT).isNull()
-    marked.where(apart).select(*parts.columns).write.parquet(f"{path}/heavy")
+    parts = stored(parts, "parts")
+    heavy = stored(heavy_keys(parts, SUBJECT, heavy_rows), "heavy-subjects")
+    apart, rest = parts.where(F.col(SUBJECT).isNull()), parts.where(F.col(SUBJECT).isNotNull())
+    if not heavy.isEmpty():
+        marked = rest.withColumn("__hash", F.xxhash64(SUBJECT)).join(F.broadcast(heavy), "__hash", "left")
+        split = F.col("__pieces").isNotNull()
+        apart = apart.unionByName(marked.where(split).select(*parts.columns))
+        rest = marked.where(~split).select(*parts.columns)
+    apart.write.parquet(f"{path}/heavy")
     (
-        marked.where(~apart).select(*parts.columns).repartition(buckets, SUBJECT)
+        rest.repartition(buckets, SUBJECT)
         .write.format("parquet").option("path", f"{path}/bucketed").bucketBy(buckets, SUBJECT).sortBy(SUBJECT)
         .saveAsTable(name)
     )
