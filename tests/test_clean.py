@@ -109,3 +109,28 @@ def test_no_python_udf_in_cleaning_plan(spark):
     df = clean_triples(triples_df(spark, [("<a>", "<b/c>", '"d"@en')]))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_rules_without_a_pattern_equal_the_patterns(spark):
+    import itertools
+
+    from pyspark.sql import functions as F
+
+    from triplex import constants
+    from triplex.functions import clean
+
+    pieces = ["", "<", "/", ">", "@", '"', "a", "\n", "\r", "\u2028", "\U0001f600"]
+    values = {"".join(x) for x in itertools.product(pieces, repeat=4)} | {None, '"a"@en', '"a"@e@n', '"a"^^<b>', '"a"^^<b>\n', '"@en', '"@"@en'}
+    df, c = spark.createDataFrame([(x,) for x in values], "c string"), F.col("c")
+    quoted = c.startswith('"')
+    pairs = [
+        (clean.predicate_tail(c), F.regexp_replace(c, constants.PREDICATE_TAIL_REGEX, "$1")),
+        (clean.object_text(c), F.regexp_extract(c, constants.OBJECT_TEXT_REGEX, 1)),
+        (clean.object_lang(c), F.when(quoted, clean._nonempty(F.regexp_extract(c, clean.LANG_REGEX, 1)))),
+        (clean.object_datatype(c), F.when(quoted, clean._nonempty(F.regexp_extract(c, clean.DATATYPE_REGEX, 1)))),
+    ]
+    for own, by_pattern in pairs:
+        assert df.where(~own.eqNullSafe(by_pattern)).select("c").collect() == []
+        assert df.where(own.isNotNull() & ~own.eqNullSafe(c)).count() > 0
+    plan = df.select(clean.object_text(c))._jdf.queryExecution().executedPlan().toString()
+    assert "regexp" not in plan

@@ -67,6 +67,16 @@ def test_grams_of_every_place(spark):
     assert matching.text_grams(df, 2, F.lit(False)).count() == 0
 
 
+def test_the_rarest_gram_is_chosen_without_a_sort(spark):
+    texts = ["abcd", "xabc", "zz", "", "bcdé", "😀abc"]
+    subjects = spark.createDataFrame([(i, t, len(t)) for i, t in enumerate(texts)], "_id long, _text string, _size int")
+    uses = {"abc": 9, "bcd": 3, "xab": 4, "zz": 5, "cdé": 2, "😀ab": 1}
+    found = matching.rarest_grams(subjects, spark.createDataFrame(list(uses.items()), "_gram string, _uses long"))
+    got = sorted(tuple(r) for r in found.select("_id", "_gram", "_place", "_uses").collect())
+    assert got == [(0, "bcd", 1, 3), (1, "xab", 0, 4), (2, "zz", 0, 5), (4, "cdé", 1, 2), (5, "😀ab", 0, 1)]
+    assert "SortAggregate" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_substring_pairs_with_thousands_of_subject_lengths(spark):
     n = 5000
     long = "xy" * n

@@ -10,7 +10,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from triplex.constants import (
-    OBJECT_TEXT_REGEX,
     OBJECT_UNQUOTE_REGEX,
     PREDICATE_MAPPING,
     PREDICATE_TAIL_REGEX,
@@ -18,6 +17,8 @@ from triplex.constants import (
 )
 
 ColumnOrName = Column | str
+# What ends a line of an object.
+LINE_ENDS = ("\n", "\r", "\u0085", "\u2028", "\u2029")
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -43,8 +44,17 @@ def clean_subject(c: ColumnOrName) -> Column:
 
 
 def predicate_tail(c: ColumnOrName) -> Column:
-    """Text after the last ``/`` of a ``<...>`` value; other values unchanged."""
-    return F.regexp_replace(_c(c), PREDICATE_TAIL_REGEX, "$1")
+    """Text after the last ``/`` of a ``<...>`` value; other values unchanged.
+
+    The pattern decides where a line ends; values of one line need none.
+    """
+    c = _c(c)
+    tail = F.substring_index(c, "/", -1)
+    return (
+        F.when(c.contains("\n"), F.regexp_replace(c, PREDICATE_TAIL_REGEX, "$1"))
+        .when(c.startswith("<") & c.endswith(">") & c.contains("/"), tail.substr(F.lit(1), F.length(tail) - 1))
+        .otherwise(c)
+    )
 
 
 def map_predicate(c: ColumnOrName) -> Column:
@@ -72,7 +82,12 @@ def unquote_object(c: ColumnOrName) -> Column:
 
 def object_text(c: ColumnOrName) -> Column:
     """Everything before the first ``@`` of the first line, ``''`` if none."""
-    return F.regexp_extract(_c(c), OBJECT_TEXT_REGEX, 1)
+    c = _c(c)
+    text = F.substring_index(c, "@", 1)
+    found = c.contains("@")
+    for end in LINE_ENDS:
+        found = found & ~text.contains(end)
+    return F.when(found, text).when(c.isNotNull(), F.lit(""))
 
 
 def clean_object(c: ColumnOrName) -> Column:
@@ -99,13 +114,13 @@ DATATYPE_REGEX = r'(?s)^".*"\^\^<([^<>]*)>\z'
 def object_lang(c: ColumnOrName) -> Column:
     """Language tag of a ``"text"@tag`` literal, else NULL."""
     c = _c(c)
-    return F.when(c.startswith('"'), _nonempty(F.regexp_extract(c, LANG_REGEX, 1)))
+    return F.when(c.startswith('"') & c.contains('"@'), _nonempty(F.regexp_extract(c, LANG_REGEX, 1)))
 
 
 def object_datatype(c: ColumnOrName) -> Column:
     """Datatype URI of a ``"v"^^<type>`` literal, else NULL."""
     c = _c(c)
-    return F.when(c.startswith('"'), _nonempty(F.regexp_extract(c, DATATYPE_REGEX, 1)))
+    return F.when(c.startswith('"') & c.endswith(">"), _nonempty(F.regexp_extract(c, DATATYPE_REGEX, 1)))
 
 
 # --- dotted predicate paths -------------------------------------------------

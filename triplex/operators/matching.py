@@ -134,19 +134,20 @@ def _grams_of(part: Column, length: int) -> Column:
 
 
 def rarest_grams(subjects: DataFrame, counts: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
-    """``_id, _gram, _place, _uses``: each subject's gram with the smallest count.
+    """``_id, _gram, _place, _uses, _text``: each subject's gram with the smallest count.
 
     A subject with a gram that is not counted occurs in no object and goes.
+    Only numbers are kept per subject, in place; its gram is cut from its text.
     """
     short = subjects.where((F.col("_size") > 0) & (F.col("_size") < GRAM)).select(
         "_id", "_size", F.col("_text").alias("_gram"), F.lit(0).alias("_place")
     )
     own = text_grams(subjects, GRAM).unionByName(short)
     counted = lookup_join(own, counts, "_gram", "_gram", "left", heavy_rows)
-    best = F.min(F.struct(F.coalesce("_uses", F.lit(0)).alias("uses"), "_place", "_gram")).alias("best")
-    return counted.groupBy("_id").agg(best).where("best.uses > 0").select(
-        "_id", "best._gram", "best._place", F.col("best.uses").alias("_uses")
-    )
+    uses = F.coalesce("_uses", F.lit(0))
+    best = counted.groupBy("_id").agg(F.min(uses).alias("_uses"), F.min_by("_place", uses).alias("_place")).where("_uses > 0")
+    gram = F.col("_text").substr(F.col("_place") + 1, F.lit(GRAM))
+    return best.join(subjects.select("_id", "_text"), "_id").select("_id", gram.alias("_gram"), "_place", "_uses", "_text")
 
 
 def substring_pairs(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
@@ -167,9 +168,7 @@ def substring_pairs(cl: DataFrame, heavy_rows: int = HEAVY_ROWS) -> DataFrame:
     objects, subjects = _texts(cl, OBJECT, "objects"), _texts(cl, SUBJECT, "subjects")
     grams = _all_grams(objects, subjects)
     counts = stored(grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_uses")), "gram-counts")
-    keyed = stored(
-        rarest_grams(subjects, counts, heavy_rows).join(subjects.select("_id", "_text"), "_id"), "subject-grams"
-    )
+    keyed = stored(rarest_grams(subjects, counts, heavy_rows), "subject-grams")
     shapes = keyed.select("_gram", F.col("_place").alias("_offset"), F.length("_text").alias("_length")).distinct()
     uses = keyed.select(F.xxhash64("_gram").alias("__hash"), F.col("_uses").alias("__n")).distinct()
     start = F.col("_place") - F.col("_offset")
